@@ -287,8 +287,8 @@ def _codes(source: str, column: str, name: str, absent: str | None = None, share
 
 
 STATUS_SRC = f"""
-  SELECT CASE o_orderstatus WHEN 'F' THEN 'RJCT' WHEN 'O' THEN 'ACCP' WHEN 'P' THEN 'PDNG' END AS grp_status, NULL AS tx_status, NULL AS reason_code FROM orders
-  UNION ALL SELECT NULL, CASE l_returnflag WHEN 'A' THEN 'ACSP' WHEN 'R' THEN 'RJCT' END,
+  SELECT CASE o_orderstatus WHEN 'F' THEN 'RJCT' WHEN 'O' THEN 'ACCP' WHEN 'P' THEN 'PEND' END AS grp_status, NULL AS tx_status, NULL AS reason_code FROM orders
+  UNION ALL SELECT NULL, CASE l_returnflag WHEN 'A' THEN 'ACSP' WHEN 'R' THEN 'RJCT' WHEN 'N' THEN 'WAIT' END,
     CASE WHEN l_returnflag = 'R' THEN {_pick('l_linenumber', demo.STATUS_CODES)} END FROM lineitem"""
 REVERSAL_SRC = f"""
   SELECT CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_quantity AS INT) AS DECIMAL(18,2)) AS orig_amount,
@@ -445,5 +445,224 @@ def recon() -> dict[str, str]:
     }
 
 
+NAME = f"""{_case('o_orderpriority', {'1-URGENT': 'gen-pass-', '2-HIGH': 'gen-fail-', '3-MEDIUM': 'gen-edge-', '4-NOT SPECIFIED': 'gen-passage-'}, "'manual-'")} || o_orderkey || '.xml'"""
+CATEGORY = _case('o_orderpriority', {'1-URGENT': 'gen-pass', '2-HIGH': 'gen-fail', '3-MEDIUM': 'gen-edge', '4-NOT SPECIFIED': 'gen-pass'}, "'hand-crafted'")
+_TX_COLUMNS = """file_name, category, msg_id, nb_txs_declared, CAST(ctrl_sum AS DOUBLE) AS ctrl_sum, initiating_party, pmt_inf_id, pmt_method,
+  req_exec_date, debtor_name, debtor_country, debtor_iban_prefix, debtor_bic, debtor_bic_country, end_to_end_id, instr_id, has_uetr,
+  CAST(amount AS DOUBLE) AS amount, currency, charge_bearer, creditor_name, creditor_country, creditor_iban_prefix, creditor_bic,
+  creditor_bic_country, purpose_code, has_remittance_info"""
+
+
+def _iban_bad(column: str) -> str:
+    """MOD 97 of an account number whose national part is all digits."""
+    number = (
+        f"CAST(substr({column}, 5) AS HUGEINT) * 1000000 + (ascii({column}) - 55) * 10000 "
+        f"+ (ascii(substr({column}, 2, 1)) - 55) * 100 + CAST(substr({column}, 3, 2) AS INT)"
+    )
+    return f"(({number}) % 97 <> 1)"
+
+
+def shredding() -> dict[str, str]:
+    order_reason = "SELECT {name} AS file_name, {category} AS category, {code} AS {column} FROM orders"
+
+    def reasons(column: str) -> str:
+        return order_reason.format(name=NAME, category=CATEGORY, code=_pick(PRIORITY, demo.PRIORITY_CODES[column]), column=column)
+
+    mandate = "CASE WHEN o_orderstatus <> 'P' THEN 'MND' || o_custkey END"
+    return {
+        "shred_001": _with(TX, f"SELECT {_TX_COLUMNS} FROM tx"),
+        "shred_payment": _with(DETAIL, "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM detail"),
+        "shred_direct_debit": _with(LINES, """
+            SELECT file_name, category, CAST(amount AS DOUBLE) AS amount, CASE WHEN filled THEN currency END AS currency,
+              substr(creditor_iban, 1, 2) AS debtor_pfx, CASE WHEN filled THEN substr(debtor_iban, 1, 2) END AS creditor_pfx FROM lines"""),
+        "shred_status": f"""
+            SELECT {NAME} AS file_name, {CATEGORY} AS category, CASE o_orderstatus WHEN 'F' THEN 'RJCT' WHEN 'O' THEN 'ACCP' WHEN 'P' THEN 'PEND' END AS grp_status,
+              NULL AS tx_status, NULL AS reason_code FROM orders
+            UNION ALL SELECT {NAME}, {CATEGORY}, NULL, CASE l_returnflag WHEN 'A' THEN 'ACSP' WHEN 'R' THEN 'RJCT' WHEN 'N' THEN 'WAIT' END,
+              CASE WHEN l_returnflag = 'R' THEN {_pick('l_linenumber', demo.STATUS_CODES)} END FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
+        "shred_reversal": f"""
+            SELECT {NAME} AS file_name, {CATEGORY} AS category,
+              CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_quantity AS INT) AS DECIMAL(18,2)) AS DOUBLE) AS orig_amount,
+              CASE l_returnflag WHEN 'A' THEN 'EUR' WHEN 'R' THEN 'USD' END AS currency, {_pick('l_linenumber', demo.REVERSAL_CODES)} AS reversal_reason
+            FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
+        "shred_mandate_init": f"""
+            SELECT 'gen-pass-' || c_custkey || '.xml' AS file_name, 'gen-pass' AS category, {_case('c_mktsegment', demo.TRACKING)} AS tracking_ind,
+              {_country('c_nationkey')} AS creditor_pfx, CAST(NULL AS VARCHAR) AS debtor_pfx FROM customer""",
+        "shred_amend": reasons("amendment_reason"),
+        "shred_cancel": reasons("cancellation_reason"),
+        "shred_suspend": reasons("suspension_reason"),
+        "shred_accept": f"""
+            SELECT {NAME} AS file_name, {CATEGORY} AS category, CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' END AS accepted,
+              CASE WHEN o_orderstatus = 'O' THEN {_pick(PRIORITY, demo.PRIORITY_CODES['rejection_reason'])} END AS rejection_reason FROM orders""",
+        "shred_copy": f"SELECT {NAME} AS file_name, {CATEGORY} AS category, {mandate} AS orig_mandate_id FROM orders",
+        "file_base": _with(HDR, "SELECT file_name, '001' AS message_set, category, msg_id FROM hdr"),
+    }
+
+
+RULE_COUNTS = LINES + f""",
+pmt AS (
+  SELECT file_name, pmt_inf_id, any_value(pmt_method) AS pmt_method, count(*) AS n, sum(amount) FILTER (WHERE NOT equivalent) AS total,
+    count(*) FILTER (WHERE NOT equivalent) AS priced, any_value(debtor_iban) AS debtor_iban, any_value(debtor_bic) AS debtor_bic,
+    any_value(order_date) AS order_date
+  FROM lines WHERE filled GROUP BY 1, 2
+),
+msg AS (
+  SELECT file_name, any_value(nb_txs_declared) AS declared, any_value(ctrl_sum) AS ctrl_sum, count(end_to_end_id) AS n,
+    sum(amount) FILTER (WHERE NOT equivalent) AS total FROM lines GROUP BY 1
+),
+hits AS (
+  SELECT file_name, 'BR-001' AS rule_id, 1 AS v FROM msg WHERE declared <> n
+  UNION ALL SELECT file_name, 'BR-002', 1 FROM msg WHERE abs(ctrl_sum - total) > 0.01
+  UNION ALL SELECT file_name, 'BR-003', 1 FROM pmt WHERE pmt_method = 'CHK' AND priced > 0 AND abs(50000.00 - total) > 0.01
+  UNION ALL SELECT file_name, 'BR-004', 1 FROM pmt WHERE pmt_method = 'CHK' AND n <> 2
+  UNION ALL SELECT file_name, 'BR-005', count(*) - 1 FROM lines WHERE filled GROUP BY file_name, end_to_end_id HAVING count(*) > 1
+  UNION ALL SELECT file_name, 'BR-006', 1 FROM lines WHERE uetr_bad
+  UNION ALL SELECT file_name, 'BR-008', 1 FROM lines WHERE filled AND {_iban_bad('creditor_iban')}
+  UNION ALL SELECT file_name, 'BR-008', 1 FROM pmt WHERE {_iban_bad('debtor_iban')}
+  UNION ALL SELECT file_name, 'BR-009', 1 FROM pmt WHERE NOT regexp_full_match(debtor_bic, '[A-Z]{{6}}[A-Z0-9]{{2}}([A-Z0-9]{{3}})?')
+  UNION ALL SELECT file_name, 'BR-010', 1 FROM lines WHERE filled AND NOT equivalent AND currency = 'XXQ'
+  UNION ALL SELECT file_name, 'BR-011', 1 FROM pmt WHERE order_date < DATE '{demo.AS_OF}'
+),
+counts AS (SELECT file_name, rule_id, CAST(sum(v) AS BIGINT) AS violations FROM hits GROUP BY 1, 2),
+decided AS (
+  SELECT m.file_name, coalesce(sum(violations) FILTER (WHERE rule_id <> 'BR-011'), 0) AS br_errors,
+    coalesce(sum(violations) FILTER (WHERE rule_id = 'BR-011'), 0) AS br_warnings
+  FROM msg m LEFT JOIN counts USING (file_name) GROUP BY 1
+)"""
+
+
+def rules() -> dict[str, str]:
+    blank = "FROM orders WHERE o_orderstatus = 'P'"
+
+    def code_hits(message_set: str, rule: str, column: str, bad: str) -> str:
+        return (
+            f"SELECT '{message_set}' AS message_set, {NAME} AS file_name, '{rule}' AS rule_id, {_q(bad)} AS actual FROM orders "
+            f"WHERE {_pick(PRIORITY, demo.PRIORITY_CODES[column])} = {_q(bad)}"
+        )
+
+    return {
+        "rules_credit": _with(RULE_COUNTS, "SELECT file_name, rule_id, violations FROM counts"),
+        "rules_credit_flat": _with(RULE_COUNTS, "SELECT file_name, rule_id, violations FROM counts"),
+        "rules_credit_summary": _with(RULE_COUNTS, """
+            SELECT rule_id, CASE rule_id WHEN 'BR-011' THEN 'WARNING' ELSE 'ERROR' END AS severity, CAST(sum(violations) AS BIGINT) AS violations,
+              count(*) AS messages FROM counts GROUP BY 1"""),
+        "rules_direct_debit": _with(LINES, f"""
+            SELECT file_name, rule_id, CAST(sum(v) AS BIGINT) AS violations FROM (
+              SELECT file_name, 'BR-040' AS rule_id, 1 AS v FROM (SELECT file_name, any_value(nb_txs_declared) AS d, count(end_to_end_id) AS n FROM lines GROUP BY 1) WHERE d <> n
+              UNION ALL SELECT file_name, 'BR-041', 1 FROM (SELECT file_name, any_value(ctrl_sum) AS c, sum(amount) AS total FROM lines GROUP BY 1) WHERE abs(c - total) > 0.01
+              UNION ALL SELECT file_name, 'BR-043', 1 FROM lines WHERE filled AND {_iban_bad('creditor_iban')}
+              UNION ALL SELECT file_name, 'BR-043', count(DISTINCT pmt_inf_id) FROM lines WHERE filled AND {_iban_bad('debtor_iban')} GROUP BY 1
+              UNION ALL SELECT file_name, 'BR-044', count(DISTINCT pmt_inf_id) FROM lines WHERE filled AND NOT regexp_full_match(debtor_bic, '[A-Z]{{6}}[A-Z0-9]{{2}}([A-Z0-9]{{3}})?') GROUP BY 1
+              UNION ALL SELECT file_name, 'BR-010', 1 FROM lines WHERE filled AND currency = 'XXQ'
+              UNION ALL SELECT file_name, 'BR-046', count(DISTINCT pmt_inf_id) FROM lines WHERE filled AND order_date < DATE '{demo.AS_OF}' GROUP BY 1
+            ) GROUP BY 1, 2"""),
+        "rules_status": f"""
+            SELECT {NAME} AS file_name, 'BR-020' AS rule_id, 'PEND' AS actual, 'GrpSts ''PEND'' is not a recognised ISO 20022 group status code' AS message
+            FROM orders WHERE o_orderstatus = 'P'
+            UNION ALL SELECT {NAME}, 'BR-021', 'WAIT', 'TxSts ''WAIT'' is not a recognised ISO 20022 transaction status code'
+            FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'N'
+            UNION ALL SELECT {NAME}, 'BR-022', 'XX99', 'Status reason code ''XX99'' is not in the common ISO 20022 reason code set'
+            FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' AND l_linenumber = 7
+            UNION ALL SELECT {NAME}, 'BR-023', NULL, 'Original message reference OrgnlMsgId is missing or empty' FROM orders WHERE o_orderpriority = '5-LOW'""",
+        "rules_reversal": f"""
+            SELECT {NAME} AS file_name, 'BR-030' AS rule_id, CAST(NULL AS VARCHAR) AS actual FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber = 7
+            UNION ALL SELECT {NAME}, 'BR-031', 'ZZ99' FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber = 6""",
+        "rules_mandates": f"""
+            SELECT '009' AS message_set, 'gen-pass-' || c_custkey || '.xml' AS file_name, 'BR-050' AS rule_id, CAST(NULL AS VARCHAR) AS actual FROM customer WHERE c_acctbal < 0
+            UNION ALL SELECT '009', 'gen-pass-' || c_custkey || '.xml', 'BR-052', iban FROM (
+              SELECT c_custkey, {_iban('c_nationkey', 'c_custkey', 'c_acctbal')} AS iban FROM customer) WHERE {_iban_bad('iban')}
+            UNION ALL {code_hits('010', 'BR-060', 'amendment_reason', 'ZZ01')}
+            UNION ALL SELECT '010', {NAME}, 'BR-061', NULL {blank}
+            UNION ALL {code_hits('011', 'BR-070', 'cancellation_reason', 'ZZ02')}
+            UNION ALL SELECT '011', {NAME}, 'BR-071', NULL {blank}
+            UNION ALL SELECT '012', {NAME}, 'BR-081', NULL FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED'
+            UNION ALL SELECT '017', {NAME}, 'BR-090', NULL {blank}
+            UNION ALL {code_hits('018', 'BR-100', 'suspension_reason', 'ZZ03')}
+            UNION ALL SELECT '018', {NAME}, 'BR-101', NULL {blank}""",
+        "validation_summary": _with(RULE_COUNTS, f"""
+            SELECT count(*) AS total, count(*) FILTER (WHERE br_errors = 0) AS passed, count(*) FILTER (WHERE br_errors > 0) AS failed,
+              {_pct('count(*) FILTER (WHERE br_errors = 0)', 'count(*)', 'pass_pct', 0)},
+              count(*) FILTER (WHERE br_errors = 0 AND br_warnings > 0) AS passed_with_warnings,
+              CAST(sum(br_errors) AS BIGINT) AS br_errors, CAST(sum(br_warnings) AS BIGINT) AS br_warnings FROM decided"""),
+        "validation_status": _with(RULE_COUNTS, """
+            SELECT file_name, CASE WHEN br_errors > 0 THEN 'FAIL' WHEN br_warnings > 0 THEN 'WARN' ELSE 'PASS' END AS badge FROM decided"""),
+    }
+
+
+def _suggestions(column: str) -> str:
+    import re
+
+    whens = []
+    for pattern, template in texts.ADVICE:
+        parts = []
+        for part in re.split(r"(\{\d\})", template):
+            if re.fullmatch(r"\{\d\}", part):
+                parts.append(f"regexp_extract({column}, {_q(pattern)}, {int(part[1]) + 1})")
+            elif part:
+                parts.append(_q(part))
+        whens.append(f"WHEN regexp_matches({column}, {_q(pattern)}) THEN {' || '.join(parts)}")
+    return f"CASE {' '.join(whens)} ELSE {_q(texts.ADVICE_FALLBACK)} END"
+
+
+CASES = HDR + """,
+cases AS (
+  SELECT file_name AS source_file, message_set AS schema, order_ts, o_orderkey,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'pass' WHEN '4-NOT SPECIFIED' THEN 'pass' WHEN '2-HIGH' THEN 'fail' ELSE 'edge' END AS requested_category,
+    o_orderstatus <> 'F' AS valid FROM hdr
+),
+outcome AS (
+  SELECT *, CASE WHEN valid AND requested_category = 'edge' THEN 'edge' WHEN valid THEN 'pass' ELSE 'fail' END AS actual_category FROM cases
+)"""
+
+
+def expressions() -> dict[str, str]:
+    return {
+        "file_category": _with(HDR, f"SELECT file_name, category, {STRICT} AS strict_category FROM hdr"),
+        "iban_country": f"SELECT c_custkey, {_country('c_nationkey')} AS country FROM customer",
+        "bic_country": _with(HDR, "SELECT file_name, substr(debtor_bic, 5, 2) AS country FROM hdr"),
+        "iban_valid": f"""
+            SELECT c_custkey, iban, NOT {_iban_bad('iban')} AS valid FROM (
+              SELECT c_custkey, {_iban('c_nationkey', 'c_custkey', 'c_acctbal')} AS iban FROM customer)""",
+        "bic_valid": _with(HDR, "SELECT file_name, debtor_bic NOT LIKE 'B1NK%' AS valid FROM hdr WHERE debtor_bic IS NOT NULL"),
+        "uetr_valid": _with(LINES, "SELECT file_name, end_to_end_id, instr_id, NOT uetr_bad AS valid FROM lines WHERE uetr_given"),
+        "content_id": "SELECT event_id, sha256('pain.' || event_type || ':' || props) AS message_id FROM events",
+        "topic_name": _with(STATE, "SELECT event_id, 'iso20022.' || domain || '.' || message_set AS topic FROM del"),
+        "schema_label": _with(STATE, "SELECT event_id, domain || '.' || message_set AS label FROM del"),
+        "set_label": _with(STATE, f"SELECT event_id, {_case('message_set', model.SET_LABELS)} AS label, 'Payments Initiation' AS domain_label FROM del"),
+        "strip_ns": _with(STATE, "SELECT event_id, regexp_replace(error_detail, '\\{[^}]+\\}', '', 'g') AS message FROM del WHERE error_detail IS NOT NULL"),
+        "suggest_fix": _with(STATE, f"SELECT event_id, {_suggestions('error_detail')} AS suggestion FROM del WHERE error_detail IS NOT NULL"),
+        "error_summary": _with(STATE, """
+            SELECT event_id, substr(error_detail || '; ' || error_detail || '; ' || message_id, 1, 500) AS rule_text,
+              substr(error_detail || '; ' || error_detail || '; ' || message_id || '; ' || error_detail || '; ' || error_detail || '; ' || error_detail, 1, 500) AS schema_text
+            FROM del WHERE error_detail IS NOT NULL"""),
+        "relabel_outcome": _with(CASES, "SELECT source_file, actual_category, requested_category <> actual_category AS mismatch FROM outcome"),
+        "sequence_names": _with(CASES, """
+            SELECT source_file, 'gen-' || actual_category || '-' || CASE WHEN seq < 1000 THEN lpad(CAST(seq AS VARCHAR), 3, '0') ELSE CAST(seq AS VARCHAR) END || '-06302026.xml' AS file_name
+            FROM (SELECT *, row_number() OVER (PARTITION BY actual_category ORDER BY order_ts, o_orderkey) AS seq FROM outcome)"""),
+        "label_audit": _with(CASES, """
+            SELECT schema, count(*) FILTER (WHERE actual_category = 'pass') AS pass_cases, count(*) FILTER (WHERE actual_category = 'fail') AS fail_cases,
+              count(*) FILTER (WHERE actual_category = 'edge') AS edge_cases, count(*) AS total,
+              count(*) FILTER (WHERE requested_category <> actual_category) AS recategorised FROM outcome GROUP BY 1"""),
+        "spread_sample": _with(HDR, """
+            SELECT message_set, file_name, turn FROM (
+              SELECT message_set, file_name, row_number() OVER (PARTITION BY message_set ORDER BY file_name) AS turn FROM hdr)
+            ORDER BY turn, message_set LIMIT 12"""),
+        "facet_check": f"""
+            WITH v AS (
+              SELECT 'c' || c_custkey AS message_id, 'Document/Dbtr/Nm' AS path, c_name AS value FROM customer
+              UNION ALL SELECT 'c' || c_custkey, 'Document/Amt/@Ccy', {_case('c_mktsegment', {'AUTOMOBILE': 'EUR', 'BUILDING': 'USD', 'FURNITURE': 'GBP', 'MACHINERY': 'XXQ'})} FROM customer
+              UNION ALL SELECT 'o' || o_orderkey, 'Document/ChrgBr', o_orderstatus FROM orders
+              UNION ALL SELECT 'c' || c_custkey, 'Document/Amt', CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) FROM customer
+            )
+            SELECT message_id, path, 'maxLength' AS facet FROM v WHERE path = 'Document/Dbtr/Nm' AND length(value) > 17
+            UNION ALL SELECT message_id, path, 'pattern' FROM v WHERE path = 'Document/Dbtr/Nm' AND NOT regexp_full_match(value, 'Customer#[0-8]+')
+            UNION ALL SELECT message_id, path, 'required' FROM v WHERE path = 'Document/Amt/@Ccy' AND value IS NULL
+            UNION ALL SELECT message_id, path, 'enumeration' FROM v WHERE path = 'Document/ChrgBr' AND value NOT IN ('F', 'O')
+            UNION ALL SELECT message_id, path, 'minInclusive' FROM v WHERE path = 'Document/Amt' AND CAST(value AS DECIMAL(18,2)) < 0
+            UNION ALL SELECT message_id, path, 'fractionDigits' FROM v WHERE path = 'Document/Amt' AND CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT) % 10 <> 0
+            UNION ALL SELECT message_id, path, 'totalDigits' FROM v WHERE path = 'Document/Amt' AND length(rtrim(rtrim(ltrim(replace(value, '-', ''), '0'), '0'), '.')) - CASE WHEN contains(rtrim(value, '0'), '.') AND NOT rtrim(value, '0') LIKE '%.' THEN 1 ELSE 0 END > 5""",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**credit(), **dashboard(), **recon()}
+    return {**credit(), **dashboard(), **recon(), **shredding(), **rules(), **expressions()}

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from girolens import demo
+from girolens import demo, model
 from girolens.functions import ids
-from girolens.operators import joins, validate
+from girolens.functions.text import (
+    domain_label, error_summary, file_category, label, set_label, strip_namespaces, suggest_fix,
+)
+from girolens.operators import joins, labels, rules, rules_flat, shred, validate
 from girolens.plans import credit, dashboard, recon, runs
+from girolens.sources import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,5 +183,296 @@ RECON: dict[str, Query] = {
 }
 
 
+# --- shredding: tables -> XML -> rows ----------------------------------------
+
+
+def _shredded(
+    lines: DataFrame, build: Callable[[DataFrame], DataFrame], message_set: str,
+    shred_rows: Callable[[DataFrame], DataFrame], flat_rows: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Round trip through XML; orders too large for one message stay flat."""
+    fits, too_large = demo.split_by_size(lines)
+    parsed = corpus.well_formed(corpus.parse(build(fits), message_set))
+    return shred_rows(parsed).unionByName(flat_rows(too_large))
+
+
+def _money(frame: DataFrame, *columns: str) -> DataFrame:
+    for column in columns:
+        frame = frame.withColumn(column, F.col(column).cast("double"))
+    return frame
+
+
+def _shred_001(spark: SparkSession, folder: str) -> DataFrame:
+    lines = demo.order_lines(spark, folder)
+    rows = _shredded(lines, demo.messages, "001", shred.shred_001, demo.tx_001)
+    return _money(rows, "amount", "ctrl_sum")
+
+
+def _shred_payment(spark: SparkSession, folder: str) -> DataFrame:
+    lines = demo.order_lines(spark, folder)
+    return _money(_shredded(lines, demo.messages, "001", shred.shred_payment, demo.payment_detail), "amount")
+
+
+def _shred_direct_debit(spark: SparkSession, folder: str) -> DataFrame:
+    lines = demo.order_lines(spark, folder)
+    rows = _shredded(
+        lines, lambda x: demo.messages(x, "008"), "008", shred.shred_direct_debit, demo.direct_debit_detail
+    )
+    return _money(rows, "amount")
+
+
+def _shred_status(spark: SparkSession, folder: str) -> DataFrame:
+    items = demo.order_items(spark, folder)
+    return _shredded(items, demo.status_messages, "002", shred.shred_status, demo.status_rows)
+
+
+def _shred_reversal(spark: SparkSession, folder: str) -> DataFrame:
+    items = demo.order_items(spark, folder)
+    rows = _shredded(items, demo.reversal_messages, "007", shred.shred_reversal, demo.reversal_rows)
+    return _money(rows, "orig_amount")
+
+
+def _shred_mandate(message_set: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        parsed = corpus.parse(demo.mandate_messages(spark, folder, message_set), message_set)
+        return shred.shred(corpus.well_formed(parsed), message_set)
+
+    return run
+
+
+def _file_base(spark: SparkSession, folder: str) -> DataFrame:
+    fits, too_large = demo.split_by_size(demo.order_lines(spark, folder))
+    parsed = corpus.well_formed(corpus.parse(demo.messages(fits), "001"))
+    flat = too_large.select(
+        "file_name", F.lit("001").alias("message_set"), file_category(F.col("file_name")).alias("category"), "msg_id"
+    ).distinct()
+    return shred.file_base(parsed, "001").unionByName(flat)
+
+
+SHRED: dict[str, Query] = {
+    "shred_001": _shred_001,
+    "shred_payment": _shred_payment,
+    "shred_direct_debit": _shred_direct_debit,
+    "shred_status": _shred_status,
+    "shred_reversal": _shred_reversal,
+    "shred_mandate_init": _shred_mandate("009"),
+    "shred_amend": _shred_mandate("010"),
+    "shred_cancel": _shred_mandate("011"),
+    "shred_accept": _shred_mandate("012"),
+    "shred_copy": _shred_mandate("017"),
+    "shred_suspend": _shred_mandate("018"),
+    "file_base": _file_base,
+}
+
+
+# --- business rules ----------------------------------------------------------
+
+
+def _checked(messages: DataFrame, message_set: str) -> DataFrame:
+    parsed = corpus.well_formed(corpus.parse(messages, message_set))
+    as_of = F.lit(demo.AS_OF).cast("date")
+    return rules.violations(rules.with_violations(parsed, message_set, as_of), "file_name")
+
+
+def _rule_counts(spark: SparkSession, folder: str, limit: int = demo.MAX_TX_PER_MESSAGE) -> DataFrame:
+    """Rule hits per message: array form for messages, flat form beyond their size."""
+    fits, too_large = demo.split_by_size(demo.order_lines(spark, folder), limit)
+    in_arrays = _checked(demo.messages(fits), "001").groupBy("file_name", "rule_id").agg(
+        F.count(F.lit(1)).alias("violations")
+    )
+    as_of = F.lit(demo.AS_OF).cast("date")
+    return in_arrays.unionByName(
+        rules_flat.credit_rule_counts(demo.flat_rules_input(too_large), as_of)
+    )
+
+
+def _rules_flat(spark: SparkSession, folder: str) -> DataFrame:
+    flat = demo.flat_rules_input(demo.order_lines(spark, folder))
+    return rules_flat.credit_rule_counts(flat, F.lit(demo.AS_OF).cast("date"))
+
+
+def _severity() -> Column:
+    return label(F.col("rule_id"), {rule: text[0] for rule, text in model.RULES.items()})
+
+
+def _rules_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return _rule_counts(spark, folder).groupBy("rule_id").agg(
+        F.sum("violations").alias("violations"), F.count(F.lit(1)).alias("messages")
+    ).withColumn("severity", _severity())
+
+
+def _rules_direct_debit(spark: SparkSession, folder: str) -> DataFrame:
+    fits, too_large = demo.split_by_size(demo.order_lines(spark, folder))
+    in_arrays = _checked(demo.messages(fits, "008"), "008").groupBy("file_name", "rule_id").agg(
+        F.count(F.lit(1)).alias("violations")
+    )
+    as_of = F.lit(demo.AS_OF).cast("date")
+    return in_arrays.unionByName(rules_flat.debit_rule_counts(demo.flat_debit_input(too_large), as_of))
+
+
+def _rules_status(spark: SparkSession, folder: str) -> DataFrame:
+    fits, too_large = demo.split_by_size(demo.order_items(spark, folder))
+    in_arrays = _checked(demo.status_messages(fits), "002").select("file_name", "rule_id", "actual", "message")
+    return in_arrays.unionByName(rules_flat.status_rule_rows(*demo.flat_status_input(too_large)))
+
+
+def _rules_reversal(spark: SparkSession, folder: str) -> DataFrame:
+    fits, too_large = demo.split_by_size(demo.order_items(spark, folder))
+    in_arrays = _checked(demo.reversal_messages(fits), "007").select("file_name", "rule_id", "actual")
+    return in_arrays.unionByName(rules_flat.reversal_rule_rows(demo.flat_reversal_input(too_large)))
+
+
+def _rules_mandates(spark: SparkSession, folder: str) -> DataFrame:
+    parts = [
+        _checked(demo.mandate_messages(spark, folder, s), s).select(
+            F.lit(s).alias("message_set"), "file_name", "rule_id", "actual"
+        )
+        for s in ("009", "010", "011", "012", "017", "018")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _decided(spark: SparkSession, folder: str) -> DataFrame:
+    """Outcome per order message from its rule hits."""
+    hits = _rule_counts(spark, folder).withColumn("severity", _severity()).groupBy("file_name").agg(
+        F.sum(F.when(F.col("severity") == "ERROR", F.col("violations"))).alias("e"),
+        F.sum(F.when(F.col("severity") == "WARNING", F.col("violations"))).alias("w"),
+    )
+    files = demo.order_headers(spark, folder).select("file_name")
+    return files.join(hits, "file_name", "left").select(
+        "file_name",
+        F.coalesce("e", F.lit(0)).alias("br_errors"),
+        F.coalesce("w", F.lit(0)).alias("br_warnings"),
+    ).withColumn("passed", F.col("br_errors") == 0)
+
+
+RULES: dict[str, Query] = {
+    "rules_credit": _rule_counts,
+    "rules_credit_flat": _rules_flat,
+    "rules_credit_summary": _rules_summary,
+    "rules_direct_debit": _rules_direct_debit,
+    "rules_status": _rules_status,
+    "rules_reversal": _rules_reversal,
+    "rules_mandates": _rules_mandates,
+    "validation_summary": _on(_decided, runs.validation_summary),
+    "validation_status": _on(_decided, lambda d: runs.validation_status(d, "file_name")),
+}
+
+
+# --- single expressions --------------------------------------------------------
+
+
+def _cases(spark: SparkSession, folder: str) -> DataFrame:
+    """Generated cases: orders with a requested category and a validation result."""
+    orders = demo.read(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    headers = demo.order_headers(spark, folder).select("o_orderkey", "file_name", "message_set", "order_ts")
+    priority = F.col("o_orderpriority")
+    return headers.join(orders, "o_orderkey").select(
+        F.col("file_name").alias("source_file"),
+        F.col("message_set").alias("schema"),
+        "order_ts", "o_orderkey",
+        F.when(priority.isin("1-URGENT", "4-NOT SPECIFIED"), "pass").when(priority == "2-HIGH", "fail")
+        .otherwise("edge").alias("requested_category"),
+        (F.col("o_orderstatus") != "F").alias("valid"),
+    )
+
+
+def _sequence_names(spark: SparkSession, folder: str) -> DataFrame:
+    named = labels.sequence_names(
+        labels.with_outcome(_cases(spark, folder)), ["order_ts", "o_orderkey"], F.lit("2026-06-30").cast("date")
+    )
+    return named.select("source_file", "file_name")
+
+
+def _over_deliveries(*columns: Callable[[], Column], failed: bool = False) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows = demo.deliveries(spark, folder)
+        if failed:
+            rows = rows.where("error_detail IS NOT NULL")
+        return rows.select("event_id", *[c() for c in columns])
+
+    return run
+
+
+def _error_texts() -> Column:
+    detail = F.col("error_detail")
+    return F.array(detail, detail, F.col("message_id"), detail, detail, detail)
+
+
+# Facets of four elements, as a schema would state them.
+FACETS = [
+    ("Document/Dbtr/Nm", "maxLength", "17"),
+    ("Document/Dbtr/Nm", "pattern", "Customer#[0-8]+"),
+    ("Document/Amt/@Ccy", "required", ""),
+    ("Document/ChrgBr", "enumeration", "F O"),
+    ("Document/Amt", "minInclusive", "0"),
+    ("Document/Amt", "fractionDigits", "1"),
+    ("Document/Amt", "totalDigits", "5"),
+]
+
+
+def _facet_check(spark: SparkSession, folder: str) -> DataFrame:
+    customer, orders = demo.read(spark, folder, "customer"), demo.read(spark, folder, "orders")
+    party = F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("message_id")
+    pairs = F.array(
+        F.struct(F.lit("Document/Dbtr/Nm").alias("path"), F.col("c_name").alias("value")),
+        F.struct(F.lit("Document/Amt/@Ccy").alias("path"), demo.currency_of(F.col("c_mktsegment")).alias("value")),
+        F.struct(F.lit("Document/Amt").alias("path"), F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("value")),
+    )
+    values = customer.select(party, F.inline(pairs)).unionByName(
+        orders.select(
+            F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("message_id"),
+            F.lit("Document/ChrgBr").alias("path"), F.col("o_orderstatus").alias("value"),
+        )
+    )
+    facets = spark.createDataFrame(FACETS, validate.FACET_RULES_DDL)
+    return validate.facet_check(values, facets).select("message_id", "path", "facet")
+
+
+EXPRESSIONS: dict[str, Query] = {
+    "file_category": _on(demo.order_headers, lambda h: h.select(
+        "file_name", file_category(F.col("file_name")).alias("category"),
+        file_category(F.col("file_name"), strict=True).alias("strict_category"),
+    )),
+    "iban_country": _on(demo.customer_ibans, lambda c: c.select(
+        "c_custkey", ids.iban_country(F.col("iban")).alias("country")
+    )),
+    "bic_country": _on(demo.order_headers, lambda h: h.select(
+        "file_name", ids.bic_country(F.col("debtor_bic")).alias("country")
+    )),
+    "iban_valid": _on(demo.customer_ibans, lambda c: c.withColumn("valid", ids.iban_is_valid(F.col("iban")))),
+    "bic_valid": _on(demo.order_headers, lambda h: h.where("debtor_bic IS NOT NULL").select(
+        "file_name", ids.bic_is_valid(F.col("debtor_bic")).alias("valid")
+    )),
+    "uetr_valid": _on(demo.order_lines, lambda x: x.where("uetr IS NOT NULL").select(
+        "file_name", "end_to_end_id", "instr_id", ids.uetr_is_valid(F.col("uetr")).alias("valid")
+    )),
+    "content_id": lambda spark, folder: demo.read(spark, folder, "events").select(
+        "event_id",
+        ids.content_id(F.lit("pain"), F.col("event_type"), F.encode(F.col("props"), "UTF-8")).alias("message_id"),
+    ),
+    "topic_name": _over_deliveries(lambda: ids.topic_name(F.col("domain"), F.col("message_set")).alias("topic")),
+    "schema_label": _over_deliveries(lambda: ids.schema_label(F.col("domain"), F.col("message_set")).alias("label")),
+    "set_label": _over_deliveries(
+        lambda: set_label(F.col("message_set")).alias("label"),
+        lambda: domain_label(F.col("domain")).alias("domain_label"),
+    ),
+    "strip_ns": _over_deliveries(lambda: strip_namespaces(F.col("error_detail")).alias("message"), failed=True),
+    "suggest_fix": _over_deliveries(lambda: suggest_fix(F.col("error_detail")).alias("suggestion"), failed=True),
+    "error_summary": _over_deliveries(
+        lambda: error_summary(_error_texts()).alias("schema_text"),
+        lambda: error_summary(_error_texts(), first=3).alias("rule_text"),
+        failed=True,
+    ),
+    "relabel_outcome": _on(_cases, lambda c: labels.with_outcome(c).select("source_file", "actual_category", "mismatch")),
+    "sequence_names": _sequence_names,
+    "label_audit": _on(_cases, labels.label_audit),
+    "spread_sample": _on(demo.order_headers, lambda h: labels.spread_sample(
+        demo.order_base(h), ["message_set"], "file_name", 12
+    ).select("message_set", "file_name", "turn")),
+    "facet_check": _facet_check,
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**CREDIT, **DASHBOARD, **RECON}
+    return {**CREDIT, **DASHBOARD, **RECON, **SHRED, **RULES, **EXPRESSIONS}

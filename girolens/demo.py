@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from girolens import model
 from girolens.functions import ids
 from girolens.functions.text import file_category, xml_escape
 from girolens.operators.routing import DUPLICATE, FRESH, TAMPERED, route
@@ -51,6 +52,15 @@ def _mapped(column: Column, values: dict[str, str], other: str | None = None) ->
     return chain if other is None else chain.otherwise(other)
 
 
+def currency_of(segment: Column) -> Column:
+    return _mapped(segment, _CURRENCY)
+
+
+def _order_file() -> Column:
+    prefix = _mapped(F.col("o_orderpriority"), _PREFIX, "manual-")
+    return F.concat(prefix, F.col("o_orderkey").cast("string"), F.lit(".xml"))
+
+
 def order_headers(spark: SparkSession, folder: str) -> DataFrame:
     """One message header per order, with its debtor."""
     orders, customer = read(spark, folder, "orders"), read(spark, folder, "customer")
@@ -59,7 +69,7 @@ def order_headers(spark: SparkSession, folder: str) -> DataFrame:
     joined = orders.join(debtor, orders.o_custkey == debtor.c_custkey)
     key = F.col("o_orderkey").cast("string")
     country = _country(F.col("c_nationkey"))
-    name = F.concat(_mapped(F.col("o_orderpriority"), _PREFIX, "manual-"), key, F.lit(".xml"))
+    name = _order_file()
     return joined.select(
         "o_orderkey",
         name.alias("file_name"),
@@ -77,7 +87,7 @@ def order_headers(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("c_acctbal") > 9000, F.concat(F.lit("B1NK"), country, F.lit("22")))
         .otherwise(F.concat(F.lit("GIRO"), country, F.lpad(F.pmod("c_custkey", F.lit(90)).cast("string"), 2, "0")))
         .alias("debtor_bic"),
-        _mapped(F.col("c_mktsegment"), _CURRENCY).alias("currency"),
+        currency_of(F.col("c_mktsegment")).alias("currency"),
         F.when(F.col("o_orderstatus") == "F", "fail").when(F.col("o_orderstatus") == "O", "pass").alias("outcome"),
     )
 
@@ -392,6 +402,18 @@ def flat_rules_input(lines: DataFrame) -> DataFrame:
     )
 
 
+def flat_debit_input(lines: DataFrame) -> DataFrame:
+    """Lines in the column layout of the flat direct-debit rules."""
+    real = F.col("end_to_end_id").isNotNull()
+    return lines.select(
+        "file_name", F.col("nb_txs_declared").alias("declared"), "ctrl_sum", "pmt_inf_id",
+        F.col("order_date").alias("collection_date"), F.col("debtor_iban").alias("creditor_iban"),
+        F.col("debtor_bic").alias("creditor_bic"), real.alias("real"), F.col("instr_id").alias("mandate_id"),
+        "amount", F.when(real, F.col("currency")).alias("ccy"),
+        F.col("creditor_iban").alias("debtor_iban"), F.col("creditor_bic").alias("debtor_bic"),
+    )
+
+
 # --- detail tables of the other message sets --------------------------------
 
 
@@ -403,35 +425,48 @@ def _choice(position: Column, values: list[str | None]) -> Column:
 STATUS_CODES = ["AC01", "AC04", "AM05", "BE01", "MD01", "NARR", "XX99"]
 REVERSAL_CODES = ["DUPL", "FRAD", "TECH", "CUST", "UPAY", "ZZ99", None]
 PRIORITY_CODES = {
-    "amendment_reason": ["MD01", "MD02", "AM05", "NARR", None],
-    "cancellation_reason": ["CUST", "DUPL", "FRAD", None, "NARR"],
-    "suspension_reason": ["SSPD", "CUST", None, "UPAY", "NARR"],
+    "amendment_reason": ["MD01", "MD02", "AM05", "ZZ01", None],
+    "cancellation_reason": ["CUST", "DUPL", "ZZ02", None, "NARR"],
+    "suspension_reason": ["SSPD", "CUST", None, "ZZ03", "NARR"],
     "rejection_reason": ["AC01", "AC04", "MD01", None, "NARR"],
 }
 TRACKING = {"AUTOMOBILE": "true", "BUILDING": "false", "FURNITURE": "1", "MACHINERY": "0"}
 
 
+def _group_status() -> Column:
+    return _mapped(F.col("o_orderstatus"), {"F": "RJCT", "O": "ACCP", "P": "PEND"})
+
+
+def _tx_status() -> Column:
+    return _mapped(F.col("l_returnflag"), {"A": "ACSP", "R": "RJCT", "N": "WAIT"})
+
+
+def _status_reason() -> Column:
+    return F.when(F.col("l_returnflag") == "R", _choice(F.col("l_linenumber"), STATUS_CODES))
+
+
 def status_detail(spark: SparkSession, folder: str) -> DataFrame:
     """Group rows from orders, transaction rows from line items."""
     none = F.lit(None).cast("string")
     groups = read(spark, folder, "orders").select(
-        _mapped(F.col("o_orderstatus"), {"F": "RJCT", "O": "ACCP", "P": "PDNG"}).alias("grp_status"),
-        none.alias("tx_status"), none.alias("reason_code"),
+        _group_status().alias("grp_status"), none.alias("tx_status"), none.alias("reason_code")
     )
-    flag = F.col("l_returnflag")
     txs = read(spark, folder, "lineitem").select(
-        none.alias("grp_status"),
-        F.when(flag == "A", "ACSP").when(flag == "R", "RJCT").alias("tx_status"),
-        F.when(flag == "R", _choice(F.col("l_linenumber"), STATUS_CODES)).alias("reason_code"),
+        none.alias("grp_status"), _tx_status().alias("tx_status"), _status_reason().alias("reason_code")
     )
     return groups.unionByName(txs)
 
 
 def reversal_detail(spark: SparkSession, folder: str) -> DataFrame:
-    flag = F.col("l_returnflag")
-    return read(spark, folder, "lineitem").select(
-        (F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_quantity").cast("int")).cast("decimal(18,2)").alias("orig_amount"),
-        F.when(flag == "A", "EUR").when(flag == "R", "USD").alias("currency"),
+    return _reversal_rows(read(spark, folder, "lineitem"))
+
+
+def _reversal_rows(lines: DataFrame, *keys: str) -> DataFrame:
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    return lines.select(
+        *keys,
+        (price * F.col("l_quantity").cast("int")).cast("decimal(18,2)").alias("orig_amount"),
+        _mapped(F.col("l_returnflag"), {"A": "EUR", "R": "USD"}).alias("currency"),
         _choice(F.col("l_linenumber"), REVERSAL_CODES).alias("reversal_reason"),
     )
 
@@ -469,6 +504,147 @@ def customer_ibans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- XML of the other message sets -------------------------------------------
+
+
+def _document(message_set: str, *body: Column) -> Column:
+    root = model.LAYOUTS[message_set][0]
+    head = F.lit(f'<Document xmlns="urn:iso:std:iso:20022:tech:xsd:pain.{message_set}.001"><{root}>')
+    return F.concat(head, *body, F.lit(f"</{root}></Document>"))
+
+
+def _as_messages(rows: DataFrame, message_set: str, xml: Column) -> DataFrame:
+    return rows.select(
+        F.lit("pain").alias("domain"), F.lit(message_set).alias("message_set"), "file_name",
+        file_category(F.col("file_name")).alias("category"), xml.alias("xml"),
+    )
+
+
+def _optional(name: str, inner: Column) -> Column:
+    """Element around text that may be NULL; then the element is left out."""
+    return F.coalesce(F.concat(F.lit(f"<{name}>"), inner, F.lit(f"</{name}>")), F.lit(""))
+
+
+def _reason(name: str, code: Column) -> Column:
+    return _optional(name, F.concat(F.lit("<Rsn><Cd>"), code, F.lit("</Cd></Rsn>")))
+
+
+def order_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw orders with their raw lines."""
+    orders, line = read(spark, folder, "orders"), read(spark, folder, "lineitem")
+    joined = orders.join(line, orders.o_orderkey == line.l_orderkey, "left")
+    return joined.withColumn("file_name", _order_file())
+
+
+def _line_messages(items: DataFrame, message_set: str, head: Column, block: str, fragment: Column) -> DataFrame:
+    """One message per order; ``items`` restricted by ``split_by_size``."""
+    grouped = items.groupBy("o_orderkey", "file_name", "o_orderstatus", "o_orderpriority").agg(
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("l_orderkey").isNotNull(), fragment))), "").alias("txs")
+    )
+    return _as_messages(grouped, message_set, _document(message_set, head, _wrap(block, F.col("txs"))))
+
+
+def status_messages(items: DataFrame) -> DataFrame:
+    """Payment status reports; low-priority orders lack the original reference."""
+    key = F.concat(F.lit("M"), F.col("o_orderkey").cast("string"))
+    head = _wrap(
+        "OrgnlGrpInfAndSts",
+        _element("OrgnlMsgId", F.when(F.col("o_orderpriority") != "5-LOW", key)),
+        _element("GrpSts", _group_status()),
+    )
+    fragment = _wrap(
+        "TxInfAndSts", _element("TxSts", _tx_status()), _reason("StsRsnInf", _status_reason())
+    )
+    return _line_messages(items, "002", head, "OrgnlPmtInfAndSts", fragment)
+
+
+def status_rows(items: DataFrame) -> DataFrame:
+    """Status rows of orders too large for one message."""
+    none = F.lit(None).cast("string")
+    name = ["file_name", file_category(F.col("file_name")).alias("category")]
+    groups = items.select(*name, _group_status().alias("grp_status"), none.alias("tx_status"), none.alias("reason_code")).distinct()
+    txs = items.where("l_orderkey IS NOT NULL").select(
+        *name, none.alias("grp_status"), _tx_status().alias("tx_status"), _status_reason().alias("reason_code")
+    )
+    return groups.unionByName(txs)
+
+
+def flat_status_input(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Group rows and transaction rows in the layout of the flat status rules."""
+    key = F.concat(F.lit("M"), F.col("o_orderkey").cast("string"))
+    groups = items.select(
+        "file_name", F.when(F.col("o_orderpriority") != "5-LOW", key).alias("orig_msg_id"),
+        _group_status().alias("grp_status"),
+    ).distinct()
+    txs = items.where("l_orderkey IS NOT NULL").select(
+        "file_name", _tx_status().alias("tx_status"), _status_reason().alias("reason_code")
+    )
+    return groups, txs
+
+
+def flat_reversal_input(items: DataFrame) -> DataFrame:
+    reference = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    rows = _reversal_rows(items.where("l_orderkey IS NOT NULL"), "file_name", "l_orderkey", "l_linenumber")
+    return rows.withColumn("orig_reference", F.when(F.col("l_linenumber") < 7, reference))
+
+
+def reversal_messages(items: DataFrame) -> DataFrame:
+    """Reversals; the last line number lacks the original reference."""
+    rows = _reversal_rows(items, "o_orderkey", "file_name", "o_orderstatus", "o_orderpriority", "l_orderkey", "l_linenumber")
+    reference = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    fragment = _wrap(
+        "TxInf",
+        _element("OrgnlEndToEndId", F.when(F.col("l_linenumber") < 7, reference)),
+        _money("OrgnlInstdAmt", F.col("orig_amount"), F.col("currency")),
+        _reason("RvslRsnInf", F.col("reversal_reason")),
+    )
+    return _line_messages(rows, "007", F.lit(""), "OrgnlPmtInfAndRvsl", fragment)
+
+
+def reversal_rows(items: DataFrame) -> DataFrame:
+    rows = _reversal_rows(items, "file_name")
+    return rows.withColumn("category", file_category(F.col("file_name")))
+
+
+def mandate_messages(spark: SparkSession, folder: str, message_set: str) -> DataFrame:
+    """Mandate messages: initiations from customers, all others from orders."""
+    if message_set == "009":
+        customer = read(spark, folder, "customer").withColumn(
+            "file_name", F.concat(F.lit("gen-pass-"), F.col("c_custkey").cast("string"), F.lit(".xml"))
+        )
+        iban = _iban(F.col("c_nationkey"), F.col("c_custkey"), F.col("c_acctbal"))
+        request = F.when(F.col("c_acctbal") < 0, " ").otherwise(F.concat(F.lit("R"), F.col("c_custkey").cast("string")))
+        xml = _document("009", _wrap(
+            "Mndt", _element("MndtReqId", request), _element("TrckgInd", _mapped(F.col("c_mktsegment"), TRACKING)),
+            _account("CdtrAcct", iban),
+        ))
+        return _as_messages(customer, "009", xml)
+    orders = read(spark, folder, "orders").withColumn("file_name", _order_file())
+    position = F.substring("o_orderpriority", 1, 1).cast("int")
+    mandate = F.when(F.col("o_orderstatus") == "P", " ").otherwise(F.concat(F.lit("MND"), F.col("o_custkey").cast("string")))
+    original = _wrap("OrgnlMndt", _element("OrgnlMndtId", mandate))
+
+    def code(column: str) -> Column:
+        return _choice(position, PRIORITY_CODES[column])
+
+    status = F.col("o_orderstatus")
+    bodies = {
+        "010": lambda: _wrap("UndrlygAmdmntDtls", _reason("AmdmntRsn", code("amendment_reason")), _wrap("Mndt", _element("MndtId", mandate))),
+        "011": lambda: _wrap("UndrlygCxlDtls", _reason("CxlRsn", code("cancellation_reason")), original),
+        "012": lambda: _wrap(
+            "UndrlygAccptncDtls",
+            _wrap(
+                "AccptncRslt",
+                _element("Accptd", F.when(status == "F", "true").when(status == "O", "false")),
+                F.when(status == "O", _optional("RjctRsn", F.concat(F.lit("<Cd>"), code("rejection_reason"), F.lit("</Cd>")))).otherwise(""),
+            ),
+        ),
+        "017": lambda: _wrap("UndrlygCpyReqDtls", original),
+        "018": lambda: _wrap("UndrlygSspnsnDtls", _reason("SspnsnRsn", code("suspension_reason")), original),
+    }
+    return _as_messages(orders, message_set, _document(message_set, bodies[message_set]()))
+
+
 # --- deliveries -------------------------------------------------------------
 
 # Fixed error texts, one per class of error, chosen by position.

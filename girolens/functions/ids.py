@@ -9,8 +9,8 @@ from pyspark.sql import Column, functions as F
 
 from girolens import model
 
-_DIGITS_PER_STEP = 9
-_STEPS = 8  # 72 digits hold the longest account number (34 characters)
+_HALF = 36  # two halves of 36 digits hold the longest account number (34 characters)
+_SHIFT = pow(10, _HALF, 97)
 
 
 def iban_country(iban: Column) -> Column:
@@ -24,8 +24,8 @@ def bic_country(bic: Column) -> Column:
 def iban_remainder(iban: Column) -> Column:
     """ISO 7064 MOD 97-10 remainder of a compact upper-case account number.
 
-    The number has up to 68 digits once letters are expanded, so it is reduced
-    nine digits at a time; every step stays inside a BIGINT.
+    The number has up to 68 digits once letters are expanded, so it is cut into
+    two decimals that are reduced on their own and put together modulo 97.
     """
     turned = F.concat(F.substring(iban, 5, 34), F.substring(iban, 1, 4))
     digits = reduce(
@@ -33,13 +33,13 @@ def iban_remainder(iban: Column) -> Column:
         string.ascii_uppercase,
         turned,
     )
-    padded = F.lpad(digits, _STEPS * _DIGITS_PER_STEP, "0")
-    base = 10 ** _DIGITS_PER_STEP
-    rest = F.lit(0).cast("bigint")
-    for step in range(_STEPS):
-        chunk = F.substring(padded, step * _DIGITS_PER_STEP + 1, _DIGITS_PER_STEP)
-        rest = F.pmod(rest * F.lit(base) + chunk.try_cast("bigint"), F.lit(97))
-    return rest
+    padded = F.lpad(digits, 2 * _HALF, "0")
+
+    def rest(start: int) -> Column:
+        half = F.substring(padded, start, _HALF).try_cast(f"decimal({_HALF},0)")
+        return (half % F.lit(97).cast("decimal(2,0)")).cast("bigint")
+
+    return F.pmod(rest(1) * _SHIFT + rest(_HALF + 1), F.lit(97))
 
 
 def iban_is_valid(iban: Column) -> Column:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from girolens import model
 from girolens.functions import amounts, ids
 from girolens.functions.text import stripped, text
+from girolens.operators.once import once
+from girolens.operators.shred import credit_blocks
 
 
 def _none() -> Column:
@@ -177,62 +179,76 @@ def _not_boolean(values: Column, rule: str) -> Column:
 # --- credit transfers (001, 013) -------------------------------------------
 
 
-def _credit_transfer(blocks: list[str], as_of: Column) -> Column:
-    header, payments = F.col("body.GrpHdr"), F.col("body.PmtInf")
+def _of_payment(payment: Column, blocks: list[str]) -> Column:
+    """Transactions of one payment, whichever of the block names it uses."""
+    arrays = [payment[b] for b in blocks]
+    if len(arrays) == 1:
+        return arrays[0]
+    return F.when(arrays[0].isNull(), arrays[1]).when(arrays[1].isNull(), arrays[0]).otherwise(
+        F.concat(*arrays)
+    )
 
-    def of_payment(payment: Column) -> Column:
-        arrays = [payment[b] for b in blocks]
-        if len(arrays) == 1:
-            return arrays[0]
-        return F.when(arrays[0].isNull(), arrays[1]).when(arrays[1].isNull(), arrays[0]).otherwise(
-            F.concat(*arrays)
-        )
 
-    all_txs = _flat(F.transform(payments, of_payment))
+def _prepare_credit(parsed: DataFrame, blocks: list[str]) -> DataFrame:
+    """Arrays that many rules read, computed once per message."""
+    payments = F.transform(
+        F.col("body.PmtInf"),
+        lambda p: F.struct(
+            text(p["NbOfTxs"]).alias("declared"),
+            text(p["CtrlSum"]).alias("control"),
+            p["DbtrAcct"]["Id"]["IBAN"].alias("iban"),
+            p["DbtrAgt"]["FinInstnId"]["BICFI"].alias("bic"),
+            p["ReqdExctnDt"]["Dt"].alias("date"),
+            F.coalesce(F.array_size(_of_payment(p, blocks)), F.lit(0)).alias("n"),
+            _money(_present(F.transform(_of_payment(p, blocks), lambda t: t["Amt"]["InstdAmt"]))).alias("money"),
+        ),
+    )
+    txs = _flat(F.transform(F.col("body.PmtInf"), lambda p: _of_payment(p, blocks)))
+    ready = parsed.withColumn("_payments", payments).withColumn("_txs", txs)
+    amounts_of = _flat(F.transform("_payments", lambda p: p["money"]))
+    return (
+        ready.withColumn("_money", amounts_of)
+        .withColumn("_refs", _sorted_references())
+        .withColumn("_total", _sum(F.col("_money")))
+    )
+
+
+def _credit_transfer(as_of: Column) -> Column:
+    header, payments, all_txs = F.col("body.GrpHdr"), F.col("_payments"), F.col("_txs")
     count = F.coalesce(F.array_size(all_txs), F.lit(0))
     declared = text(header["NbOfTxs"])
     integer = _is_integer(declared)
 
-    instructed = _present(F.transform(all_txs, lambda t: t["Amt"]["InstdAmt"]))
-    money = _money(instructed)
     control = text(header["CtrlSum"])
     declared_sum = amounts.control_sum(control).cast(amounts.MONEY_SUM)
+    total = F.col("_total")
     tolerance = F.lit(model.CONTROL_SUM_TOLERANCE).cast("decimal(38,5)")
 
-    def payment_sum(payment: Column) -> Column:
-        return _sum(_money(_present(F.transform(of_payment(payment), lambda t: t["Amt"]["InstdAmt"]))))
-
-    def has_money(payment: Column) -> Column:
-        return F.size(_money(_present(F.transform(of_payment(payment), lambda t: t["Amt"]["InstdAmt"])))) > 0
-
-    def payment_count(payment: Column) -> Column:
-        return F.coalesce(F.array_size(of_payment(payment)), F.lit(0))
-
     def wrong_count(payment: Column) -> Column:
-        raw = text(payment["NbOfTxs"])
-        return _is_integer(raw) & (raw.try_cast("bigint") != payment_count(payment))
+        raw = payment["declared"]
+        return _is_integer(raw) & (raw.try_cast("bigint") != payment["n"])
 
     def wrong_sum(payment: Column) -> Column:
-        stated = amounts.control_sum(payment["CtrlSum"]).cast(amounts.MONEY_SUM)
-        return has_money(payment) & (F.abs(stated - payment_sum(payment)) > tolerance)
+        stated = amounts.control_sum(payment["control"]).cast(amounts.MONEY_SUM)
+        return (F.size(payment["money"]) > 0) & (F.abs(stated - _sum(payment["money"])) > tolerance)
 
     def payment_checks(payment: Column, i: Column) -> Column:
         n = (i + 1).cast("string")
-        counted = payment_count(payment).cast("string")
-        summed = amounts.plain(payment_sum(payment))
+        counted = payment["n"].cast("string")
+        summed = amounts.plain(_sum(payment["money"]))
         return F.concat(
             _check(
                 wrong_count(payment),
                 _violation(
-                    "BR-004", path=[n], message=[text(payment["NbOfTxs"]), counted],
-                    actual=counted, expected=text(payment["NbOfTxs"]),
+                    "BR-004", path=[n], message=[payment["declared"], counted],
+                    actual=counted, expected=payment["declared"],
                 ),
             ),
             _check(
                 wrong_sum(payment),
                 _violation(
-                    "BR-003", path=[n], message=[text(payment["CtrlSum"]), summed],
-                    actual=summed, expected=text(payment["CtrlSum"]),
+                    "BR-003", path=[n], message=[payment["control"], summed],
+                    actual=summed, expected=payment["control"],
                 ),
             ),
         )
@@ -244,12 +260,15 @@ def _credit_transfer(blocks: list[str], as_of: Column) -> Column:
         lambda v: _violation("BR-006", actual=v),
     )
     not_positive = _each(
-        F.transform(instructed, lambda a: F.coalesce(text(a["_VALUE"]), F.lit("0"))),
+        F.transform(
+            _present(F.transform(all_txs, lambda t: t["Amt"]["InstdAmt"])),
+            lambda a: F.coalesce(text(a["_VALUE"]), F.lit("0")),
+        ),
         lambda raw: raw.try_cast("double") <= 0,
         lambda raw: _violation("BR-007", actual=raw),
     )
     dates = F.concat(
-        F.coalesce(F.transform(payments, lambda p: p["ReqdExctnDt"]["Dt"]), F.array().cast("array<string>")),
+        F.coalesce(F.transform(payments, lambda p: p["date"]), F.array().cast("array<string>")),
         F.coalesce(F.transform(all_txs, lambda t: t["ReqdExctnDt"]["Dt"]), F.array().cast("array<string>")),
     )
     return F.concat(
@@ -271,20 +290,20 @@ def _credit_transfer(blocks: list[str], as_of: Column) -> Column:
             _violation("BR-002", message=model.NOT_A_DECIMAL, actual=control),
         ),
         _check(
-            (F.size(money) > 0) & (F.abs(declared_sum - _sum(money)) > tolerance),
+            (F.size("_money") > 0) & (F.abs(declared_sum - total) > tolerance),
             _violation(
                 "BR-002",
-                message=[amounts.plain(declared_sum), amounts.plain(_sum(money))],
-                actual=amounts.plain(_sum(money)), expected=amounts.plain(declared_sum),
+                message=[amounts.plain(declared_sum), amounts.plain(total)],
+                actual=amounts.plain(total), expected=amounts.plain(declared_sum),
             ),
         ),
         per_payment,
         _repeats(),
         uetrs,
         not_positive,
-        _ibans(F.transform(payments, lambda p: p["DbtrAcct"]["Id"]["IBAN"]), "BR-008", "DbtrAcct"),
+        _ibans(F.transform(payments, lambda p: p["iban"]), "BR-008", "DbtrAcct"),
         _ibans(F.transform(all_txs, lambda t: t["CdtrAcct"]["Id"]["IBAN"]), "BR-008", "CdtrAcct"),
-        _bics(F.transform(payments, lambda p: p["DbtrAgt"]["FinInstnId"]["BICFI"]), "BR-009", "DbtrAgt"),
+        _bics(F.transform(payments, lambda p: p["bic"]), "BR-009", "DbtrAgt"),
         _bics(F.transform(all_txs, lambda t: t["CdtrAgt"]["FinInstnId"]["BICFI"]), "BR-009", "CdtrAgt"),
         _bics(F.transform(all_txs, lambda t: t["IntrmyAgt1"]["FinInstnId"]["BICFI"]), "BR-009", "IntrmyAgt1"),
         _currencies(F.col("xml")),
@@ -293,19 +312,13 @@ def _credit_transfer(blocks: list[str], as_of: Column) -> Column:
     )
 
 
-def _sorted_references(blocks: list[str]) -> Column:
+def _sorted_references() -> Column:
     """End-to-end references of a message, sorted by value and then position.
 
     Sorting makes repeats neighbours, so finding them stays n log n even for a
     message with tens of thousands of transactions.
     """
-    arrays = [
-        _flat(F.transform(F.col("body.PmtInf"), lambda p, b=b: p[b])) for b in blocks
-    ]
-    empty = F.array().cast("array<string>")
-    references = F.concat(*[
-        F.coalesce(F.transform(a, lambda t: stripped(t["PmtId"]["EndToEndId"])), empty) for a in arrays
-    ])
+    references = F.transform("_txs", lambda t: stripped(t["PmtId"]["EndToEndId"]))
     placed = F.transform(references, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
     return F.array_sort(F.filter(placed, lambda s: s["v"].isNotNull()))
 
@@ -389,12 +402,18 @@ def _reversal() -> Column:
     )
 
 
+def _prepare_debit(parsed: DataFrame) -> DataFrame:
+    txs = _flat(F.transform(F.col("body.PmtInf"), lambda p: p["DrctDbtTxInf"]))
+    ready = parsed.withColumn("_txs", txs)
+    ready = ready.withColumn("_money", _money(_present(F.transform("_txs", lambda t: t["InstdAmt"]))))
+    return ready.withColumn("_total", _sum(F.col("_money")))
+
+
 def _direct_debit(as_of: Column, compat: bool) -> Column:
-    header, payments = F.col("body.GrpHdr"), F.col("body.PmtInf")
-    txs = _flat(F.transform(payments, lambda p: p["DrctDbtTxInf"]))
+    header, payments, txs = F.col("body.GrpHdr"), F.col("body.PmtInf"), F.col("_txs")
     count = F.coalesce(F.array_size(txs), F.lit(0))
     declared, control = text(header["NbOfTxs"]), text(header["CtrlSum"])
-    money = _money(_present(F.transform(txs, lambda t: t["InstdAmt"])))
+    total = F.col("_total")
     stated = amounts.control_sum(control).cast(amounts.MONEY_SUM)
     tolerance = F.lit(model.CONTROL_SUM_TOLERANCE).cast("decimal(38,5)")
 
@@ -412,11 +431,11 @@ def _direct_debit(as_of: Column, compat: bool) -> Column:
             ),
         ),
         _check(
-            (F.size(money) > 0) & (F.abs(stated - _sum(money)) > tolerance),
+            (F.size("_money") > 0) & (F.abs(stated - total) > tolerance),
             _violation(
                 "BR-041",
-                message=[amounts.plain(stated), amounts.plain(_sum(money))],
-                actual=amounts.plain(_sum(money)), expected=amounts.plain(stated),
+                message=[amounts.plain(stated), amounts.plain(total)],
+                actual=amounts.plain(total), expected=amounts.plain(stated),
             ),
         ),
         _each_indexed(txs, lambda t: mandate(t).isNull(), lambda t, n: _violation("BR-042", path=[n])),
@@ -499,21 +518,23 @@ def with_violations(
     """
     as_of = F.current_date() if as_of is None else as_of
     if message_set in ("001", "013"):
-        from girolens.operators.shred import credit_blocks
-
-        blocks = credit_blocks(message_set, compat)
-        ready = parsed.withColumn("_refs", _sorted_references(blocks))
-        return ready.withColumn("violations", _credit_transfer(blocks, as_of)).drop("_refs")
+        ready = _prepare_credit(parsed, credit_blocks(message_set, compat))
+    elif message_set == "008":
+        ready = _prepare_debit(parsed)
+    else:
+        ready = parsed
     rule_sets = {
+        "001": lambda: _credit_transfer(as_of), "013": lambda: _credit_transfer(as_of),
         "002": _status_report, "014": _status_report, "007": _reversal,
         "008": lambda: _direct_debit(as_of, compat), "009": _mandate_init,
         "010": _mandate_amend, "011": _mandate_cancel, "012": lambda: _mandate_accept(compat),
         "017": _mandate_copy, "018": _mandate_suspend,
     }
     build = rule_sets.get(message_set, _empty)
-    return parsed.withColumn("violations", build())
+    return once(ready, "violations", build()).drop("_payments", "_txs", "_money", "_refs", "_total")
 
 
 def violations(checked: DataFrame, *keys: str) -> DataFrame:
     """One row per violation."""
-    return checked.select(*keys, F.explode("violations").alias("v")).select(*keys, "v.*")
+    rows = checked.select(*keys, F.explode_outer("violations").alias("v"))
+    return rows.where("v IS NOT NULL").select(*keys, "v.*")

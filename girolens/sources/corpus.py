@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from girolens import model
 from girolens.functions import ids
 from girolens.functions.text import file_category
+from girolens.operators.once import once
 
 _XML_OPTIONS = {
     "ignoreNamespace": "true",
@@ -69,7 +70,7 @@ def parse(messages: DataFrame, message_set: str, xml: str = "xml") -> DataFrame:
 
     ``parsed`` is false for malformed documents, so rejects can be listed.
     """
-    document = messages.withColumn("_doc", parse_document(F.col(xml), message_set))
+    document = once(messages, "_doc", parse_document(F.col(xml), message_set))
     return document.select(
         *messages.columns,
         F.col(f"_doc.{model.LAYOUTS[message_set][0]}").alias("body"),
