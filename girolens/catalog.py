@@ -416,7 +416,7 @@ def _facet_check(spark: SparkSession, folder: str) -> DataFrame:
     party = F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("message_id")
     pairs = F.array(
         F.struct(F.lit("Document/Dbtr/Nm").alias("path"), F.col("c_name").alias("value")),
-        F.struct(F.lit("Document/Amt/@Ccy").alias("path"), demo.currency_of(F.col("c_mktsegment")).alias("value")),
+        F.struct(F.lit("Document/Amt/@Ccy").alias("path"), demo.currency_of("c_mktsegment").alias("value")),
         F.struct(F.lit("Document/Amt").alias("path"), F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("value")),
     )
     values = customer.select(party, F.inline(pairs)).unionByName(

@@ -23,20 +23,17 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def _country(nation: Column) -> Column:
+def _country(nation: str) -> str:
     """Two letters per nation key."""
-    second = F.pmod(nation * 7 + 3, F.lit(26))
-    return F.concat(F.char(F.pmod(nation, F.lit(26)) + 65), F.char(second + 65))
+    return f"concat(char(65 + pmod({nation}, 26)), char(65 + pmod({nation} * 7 + 3, 26)))"
 
 
-def _iban(nation: Column, key: Column, balance: Column) -> Column:
+def _iban(nation: str, key: str, balance: str) -> str:
     """Account number of a party; wrong check digits for negative balances."""
-    letters = (F.pmod(nation, F.lit(26)) + 10) * 10_000 + (F.pmod(nation * 7 + 3, F.lit(26)) + 10) * 100
-    rest = F.pmod(key.cast("bigint") * 1_000_000 + letters, F.lit(97))
-    check = F.when(balance < 0, F.lit(99) - rest).otherwise(F.lit(98) - rest)
-    return F.concat(
-        _country(nation), F.lpad(check.cast("string"), 2, "0"), F.lpad(key.cast("string"), 14, "0")
-    )
+    letters = f"(pmod({nation}, 26) + 10) * 10000 + (pmod({nation} * 7 + 3, 26) + 10) * 100"
+    rest = f"pmod(CAST({key} AS BIGINT) * 1000000 + {letters}, 97)"
+    check = f"IF({balance} < 0, 99, 98) - {rest}"
+    return f"concat({_country(nation)}, lpad(CAST({check} AS STRING), 2, '0'), lpad(CAST({key} AS STRING), 14, '0'))"
 
 
 _PREFIX = {
@@ -45,20 +42,20 @@ _PREFIX = {
 _CURRENCY = {"AUTOMOBILE": "EUR", "BUILDING": "USD", "FURNITURE": "GBP", "MACHINERY": "XXQ"}
 
 
-def _mapped(column: Column, values: dict[str, str], other: str | None = None) -> Column:
-    chain = None
-    for key, value in values.items():
-        chain = F.when(column == key, value) if chain is None else chain.when(column == key, value)
-    return chain if other is None else chain.otherwise(other)
+def _quoted(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def _mapped(column: str, values: dict[str, str], other: str | None = None) -> str:
+    whens = " ".join(f"WHEN {_quoted(k)} THEN {_quoted(v)}" for k, v in values.items())
+    return f"CASE {column} {whens} ELSE {_quoted(other)} END"
 
-def currency_of(segment: Column) -> Column:
-    return _mapped(segment, _CURRENCY)
 
+def currency_of(segment: str) -> Column:
+    return F.expr(_mapped(segment, _CURRENCY))
 
-def _order_file() -> Column:
-    prefix = _mapped(F.col("o_orderpriority"), _PREFIX, "manual-")
-    return F.concat(prefix, F.col("o_orderkey").cast("string"), F.lit(".xml"))
+
+_ORDER_FILE = f"concat({_mapped('o_orderpriority', _PREFIX, 'manual-')}, o_orderkey, '.xml')"
 
 
 def order_headers(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,141 +64,136 @@ def order_headers(spark: SparkSession, folder: str) -> DataFrame:
     nation = read(spark, folder, "nation").select("n_nationkey", "n_regionkey")
     debtor = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     joined = orders.join(debtor, orders.o_custkey == debtor.c_custkey)
-    key = F.col("o_orderkey").cast("string")
-    country = _country(F.col("c_nationkey"))
-    name = _order_file()
-    return joined.select(
+    country = _country("c_nationkey")
+    return joined.selectExpr(
         "o_orderkey",
-        name.alias("file_name"),
-        F.element_at(F.array(*[F.lit(s) for s in ("001", "002", "007", "008", "013")]), F.col("n_regionkey") + 1).alias("message_set"),
-        F.concat(F.lit("M"), key).alias("msg_id"),
-        (F.pmod("o_orderkey", F.lit(7)) + 1).alias("nb_txs_declared"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("ctrl_sum"),
-        F.col("c_name").alias("initiating_party"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.col("o_orderdate").alias("order_ts"),
-        F.col("c_name").alias("debtor_name"),
-        country.alias("debtor_country"),
-        _iban(F.col("c_nationkey"), F.col("c_custkey"), F.col("c_acctbal")).alias("debtor_iban"),
-        F.when(F.col("c_acctbal") < 0, F.lit(None))
-        .when(F.col("c_acctbal") > 9000, F.concat(F.lit("B1NK"), country, F.lit("22")))
-        .otherwise(F.concat(F.lit("GIRO"), country, F.lpad(F.pmod("c_custkey", F.lit(90)).cast("string"), 2, "0")))
-        .alias("debtor_bic"),
-        currency_of(F.col("c_mktsegment")).alias("currency"),
-        F.when(F.col("o_orderstatus") == "F", "fail").when(F.col("o_orderstatus") == "O", "pass").alias("outcome"),
+        f"{_ORDER_FILE} AS file_name",
+        "element_at(array('001', '002', '007', '008', '013'), n_regionkey + 1) AS message_set",
+        "concat('M', o_orderkey) AS msg_id",
+        "pmod(o_orderkey, 7) + 1 AS nb_txs_declared",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS ctrl_sum",
+        "c_name AS initiating_party",
+        "CAST(o_orderdate AS DATE) AS order_date",
+        "o_orderdate AS order_ts",
+        "c_name AS debtor_name",
+        f"{country} AS debtor_country",
+        f"{_iban('c_nationkey', 'c_custkey', 'c_acctbal')} AS debtor_iban",
+        f"""CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal > 9000 THEN concat('B1NK', {country}, '22')
+            ELSE concat('GIRO', {country}, lpad(CAST(pmod(c_custkey, 90) AS STRING), 2, '0')) END AS debtor_bic""",
+        f"{_mapped('c_mktsegment', _CURRENCY)} AS currency",
+        "CASE o_orderstatus WHEN 'F' THEN 'fail' WHEN 'O' THEN 'pass' END AS outcome",
     )
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions of every order; an order without lines keeps one empty row."""
     line, part = read(spark, folder, "lineitem"), read(spark, folder, "part")
-    supplier = read(spark, folder, "supplier")
-    country = _country(F.col("s_nationkey"))
-    creditor = supplier.select(
+    creditor = read(spark, folder, "supplier").selectExpr(
         "s_suppkey",
-        F.col("s_name").alias("creditor_name"),
-        country.alias("creditor_country"),
-        _iban(F.col("s_nationkey"), F.col("s_suppkey"), F.col("s_acctbal")).alias("creditor_iban"),
-        F.concat(F.lit("BENE"), country, F.lit("33XXX")).alias("creditor_bic"),
+        "s_name AS creditor_name",
+        f"{_country('s_nationkey')} AS creditor_country",
+        f"{_iban('s_nationkey', 's_suppkey', 's_acctbal')} AS creditor_iban",
+        f"concat('BENE', {_country('s_nationkey')}, '33XXX') AS creditor_bic",
     )
-    kind = part.select("p_partkey", F.substring("p_type", 1, 4).alias("kind"), (F.col("p_size") <= 25).alias("coded"))
+    kind = part.selectExpr("p_partkey", "substring(p_type, 1, 4) AS kind", "p_size <= 25 AS coded")
     rich = line.join(creditor, line.l_suppkey == creditor.s_suppkey, "left").join(
         kind, line.l_partkey == kind.p_partkey, "left"
     )
-    order_line = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    hashed = F.md5(F.concat_ws("-", order_line, F.col("l_partkey").cast("string")))
-    version = F.when(F.col("l_discount") > 0.09, "1").otherwise("4")
-    uetr = F.concat_ws(
-        "-", F.substring(hashed, 1, 8), F.substring(hashed, 9, 4), F.concat(version, F.substring(hashed, 14, 3)),
-        F.concat(F.lit("a"), F.substring(hashed, 18, 3)), F.substring(hashed, 21, 12),
-    )
-    amount = F.col("l_extendedprice").cast("decimal(18,2)")
-    tx = rich.select(
+    reference = "concat_ws('-', l_orderkey, l_linenumber)"
+    digest = f"md5(concat_ws('-', {reference}, l_partkey))"
+    tx = rich.selectExpr(
+        "*", f"{reference} AS end_to_end_id", f"{digest} AS digest"
+    ).selectExpr(
         "l_orderkey",
-        F.concat_ws("-", F.concat(F.lit("P"), F.col("l_orderkey").cast("string")), "l_linestatus").alias("pmt_inf_id"),
-        F.when(F.col("l_linestatus") == "O", "TRF").otherwise("CHK").alias("pmt_method"),
-        order_line.alias("end_to_end_id"),
-        F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("instr_id"),
-        F.when(F.col("l_discount") >= 0.05, uetr).alias("uetr"),
-        amount.alias("amount"),
-        (F.col("l_tax") >= 0.08).alias("equivalent"),
-        F.when(F.col("l_returnflag") == "A", "SHAR").when(F.col("l_returnflag") == "R", "DEBT").alias("charge_bearer"),
+        "concat('P', l_orderkey, '-', l_linestatus) AS pmt_inf_id",
+        "IF(l_linestatus = 'O', 'TRF', 'CHK') AS pmt_method",
+        "end_to_end_id",
+        "concat_ws('-', l_partkey, l_suppkey) AS instr_id",
+        """IF(l_discount >= 0.05D, concat_ws('-', substring(digest, 1, 8), substring(digest, 9, 4),
+             concat(IF(l_discount > 0.09D, '1', '4'), substring(digest, 14, 3)),
+             concat('a', substring(digest, 18, 3)), substring(digest, 21, 12)), NULL) AS uetr""",
+        "CAST(l_extendedprice AS DECIMAL(18,2)) AS amount",
+        "l_tax >= 0.08D AS equivalent",
+        "CASE l_returnflag WHEN 'A' THEN 'SHAR' WHEN 'R' THEN 'DEBT' END AS charge_bearer",
         "creditor_name", "creditor_country", "creditor_iban", "creditor_bic",
-        F.when(F.col("l_tax") >= 0.02, F.col("kind")).alias("purpose_code"),
+        "IF(l_tax >= 0.02D, kind, NULL) AS purpose_code",
         "coded",
-        F.when(F.col("l_tax") >= 0.04, F.concat(F.lit("Invoice "), order_line)).alias("remittance"),
+        "IF(l_tax >= 0.04D, concat('Invoice ', end_to_end_id), NULL) AS remittance",
     )
     headers = order_headers(spark, folder)
     return headers.join(tx, headers.o_orderkey == tx.l_orderkey, "left")
 
 
-def tx_001(lines: DataFrame) -> DataFrame:
-    """The 27-column transaction table, straight from the tables."""
-    real = F.col("end_to_end_id").isNotNull()
+_REAL = "end_to_end_id IS NOT NULL"
 
-    def when_real(column: str) -> Column:
-        return F.when(real, F.col(column)).alias(column)
 
-    return lines.select(
+def _when_real(expression: str, name: str | None = None) -> str:
+    return f"IF({_REAL}, {expression}, NULL) AS {name or expression}"
+
+
+def _prefix(iban: str) -> str:
+    return f"upper(substring({iban}, 1, 2))"
+
+
+def _bank_country(bic: str) -> str:
+    return f"upper(substring({bic}, 5, 2))"
+
+
+def tx_001(lines: DataFrame) -> DataFrame:
+    """The 27-column transaction table, straight from the tables."""
+    return lines.withColumn("category", file_category(F.col("file_name"))).selectExpr(
         "file_name",
-        file_category(F.col("file_name")).alias("category"),
-        when_real("msg_id"),
-        when_real("nb_txs_declared"),
-        when_real("ctrl_sum"),
-        when_real("initiating_party"),
+        "category",
+        *[_when_real(c) for c in ("msg_id", "nb_txs_declared", "ctrl_sum", "initiating_party")],
         "pmt_inf_id",
         "pmt_method",
-        F.when(real, F.col("order_date").cast("string")).alias("req_exec_date"),
-        when_real("debtor_name"),
-        when_real("debtor_country"),
-        F.when(real, ids.iban_country(F.col("debtor_iban"))).alias("debtor_iban_prefix"),
-        when_real("debtor_bic"),
-        F.when(real, ids.bic_country(F.col("debtor_bic"))).alias("debtor_bic_country"),
+        _when_real("CAST(order_date AS STRING)", "req_exec_date"),
+        *[_when_real(c) for c in ("debtor_name", "debtor_country")],
+        _when_real(_prefix("debtor_iban"), "debtor_iban_prefix"),
+        _when_real("debtor_bic"),
+        _when_real(_bank_country("debtor_bic"), "debtor_bic_country"),
         "end_to_end_id",
         "instr_id",
-        F.when(real, F.col("uetr").isNotNull()).alias("has_uetr"),
+        _when_real("uetr IS NOT NULL", "has_uetr"),
         "amount",
-        when_real("currency"),
+        _when_real("currency"),
         "charge_bearer",
         "creditor_name",
         "creditor_country",
-        ids.iban_country(F.col("creditor_iban")).alias("creditor_iban_prefix"),
+        f"{_prefix('creditor_iban')} AS creditor_iban_prefix",
         "creditor_bic",
-        ids.bic_country(F.col("creditor_bic")).alias("creditor_bic_country"),
+        f"{_bank_country('creditor_bic')} AS creditor_bic_country",
         "purpose_code",
-        F.when(real, F.col("remittance").isNotNull()).alias("has_remittance_info"),
+        _when_real("remittance IS NOT NULL", "has_remittance_info"),
     )
 
 
 def payment_detail(lines: DataFrame) -> DataFrame:
     """Short form of the transactions (instructed amounts and coded purposes only)."""
-    real = F.col("end_to_end_id").isNotNull()
-    instructed = real & ~F.col("equivalent")
-    return lines.select(
+    return lines.withColumn("category", file_category(F.col("file_name"))).selectExpr(
         "file_name",
-        file_category(F.col("file_name")).alias("category"),
+        "category",
         "pmt_method",
-        F.when(real, ids.iban_country(F.col("debtor_iban"))).alias("debtor_pfx"),
-        F.when(real, F.col("debtor_bic")).alias("debtor_bic"),
-        F.when(instructed, F.col("amount")).alias("amount"),
-        F.when(instructed, F.col("currency")).alias("currency"),
-        ids.iban_country(F.col("creditor_iban")).alias("creditor_pfx"),
+        _when_real(_prefix("debtor_iban"), "debtor_pfx"),
+        _when_real("debtor_bic"),
+        "IF(NOT equivalent, amount, NULL) AS amount",
+        "IF(NOT equivalent, currency, NULL) AS currency",
+        f"{_prefix('creditor_iban')} AS creditor_pfx",
         "charge_bearer",
-        F.when(F.col("coded"), F.col("purpose_code")).alias("purpose"),
-        F.col("uetr").isNotNull().alias("has_uetr"),
+        "IF(coded, purpose_code, NULL) AS purpose",
+        "uetr IS NOT NULL AS has_uetr",
     )
 
 
 def direct_debit_detail(lines: DataFrame) -> DataFrame:
     """Direct debits: the supplier collects from the customer."""
-    real = F.col("end_to_end_id").isNotNull()
-    return lines.select(
+    return lines.withColumn("category", file_category(F.col("file_name"))).selectExpr(
         "file_name",
-        file_category(F.col("file_name")).alias("category"),
+        "category",
         "amount",
-        F.when(real, F.col("currency")).alias("currency"),
-        ids.iban_country(F.col("creditor_iban")).alias("debtor_pfx"),
-        F.when(real, ids.iban_country(F.col("debtor_iban"))).alias("creditor_pfx"),
+        _when_real("currency"),
+        f"{_prefix('creditor_iban')} AS debtor_pfx",
+        _when_real(_prefix("debtor_iban"), "creditor_pfx"),
     )
 
 
@@ -434,11 +426,11 @@ TRACKING = {"AUTOMOBILE": "true", "BUILDING": "false", "FURNITURE": "1", "MACHIN
 
 
 def _group_status() -> Column:
-    return _mapped(F.col("o_orderstatus"), {"F": "RJCT", "O": "ACCP", "P": "PEND"})
+    return F.expr(_mapped("o_orderstatus", {"F": "RJCT", "O": "ACCP", "P": "PEND"}))
 
 
 def _tx_status() -> Column:
-    return _mapped(F.col("l_returnflag"), {"A": "ACSP", "R": "RJCT", "N": "WAIT"})
+    return F.expr(_mapped("l_returnflag", {"A": "ACSP", "R": "RJCT", "N": "WAIT"}))
 
 
 def _status_reason() -> Column:
@@ -466,15 +458,15 @@ def _reversal_rows(lines: DataFrame, *keys: str) -> DataFrame:
     return lines.select(
         *keys,
         (price * F.col("l_quantity").cast("int")).cast("decimal(18,2)").alias("orig_amount"),
-        _mapped(F.col("l_returnflag"), {"A": "EUR", "R": "USD"}).alias("currency"),
+        F.expr(_mapped("l_returnflag", {"A": "EUR", "R": "USD"})).alias("currency"),
         _choice(F.col("l_linenumber"), REVERSAL_CODES).alias("reversal_reason"),
     )
 
 
 def mandate_detail(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "customer").select(
-        _mapped(F.col("c_mktsegment"), TRACKING).alias("tracking_ind"),
-        _country(F.col("c_nationkey")).alias("creditor_pfx"),
+        F.expr(_mapped("c_mktsegment", TRACKING)).alias("tracking_ind"),
+        F.expr(_country("c_nationkey")).alias("creditor_pfx"),
     )
 
 
@@ -499,8 +491,8 @@ def copy_detail(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_ibans(spark: SparkSession, folder: str) -> DataFrame:
-    return read(spark, folder, "customer").select(
-        "c_custkey", _iban(F.col("c_nationkey"), F.col("c_custkey"), F.col("c_acctbal")).alias("iban")
+    return read(spark, folder, "customer").selectExpr(
+        "c_custkey", f"{_iban('c_nationkey', 'c_custkey', 'c_acctbal')} AS iban"
     )
 
 
@@ -533,7 +525,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """Raw orders with their raw lines."""
     orders, line = read(spark, folder, "orders"), read(spark, folder, "lineitem")
     joined = orders.join(line, orders.o_orderkey == line.l_orderkey, "left")
-    return joined.withColumn("file_name", _order_file())
+    return joined.withColumn("file_name", F.expr(_ORDER_FILE))
 
 
 def _line_messages(items: DataFrame, message_set: str, head: Column, block: str, fragment: Column) -> DataFrame:
@@ -612,14 +604,14 @@ def mandate_messages(spark: SparkSession, folder: str, message_set: str) -> Data
         customer = read(spark, folder, "customer").withColumn(
             "file_name", F.concat(F.lit("gen-pass-"), F.col("c_custkey").cast("string"), F.lit(".xml"))
         )
-        iban = _iban(F.col("c_nationkey"), F.col("c_custkey"), F.col("c_acctbal"))
+        iban = F.expr(_iban("c_nationkey", "c_custkey", "c_acctbal"))
         request = F.when(F.col("c_acctbal") < 0, " ").otherwise(F.concat(F.lit("R"), F.col("c_custkey").cast("string")))
         xml = _document("009", _wrap(
-            "Mndt", _element("MndtReqId", request), _element("TrckgInd", _mapped(F.col("c_mktsegment"), TRACKING)),
+            "Mndt", _element("MndtReqId", request), _element("TrckgInd", F.expr(_mapped("c_mktsegment", TRACKING))),
             _account("CdtrAcct", iban),
         ))
         return _as_messages(customer, "009", xml)
-    orders = read(spark, folder, "orders").withColumn("file_name", _order_file())
+    orders = read(spark, folder, "orders").withColumn("file_name", F.expr(_ORDER_FILE))
     position = F.substring("o_orderpriority", 1, 1).cast("int")
     mandate = F.when(F.col("o_orderstatus") == "P", " ").otherwise(F.concat(F.lit("MND"), F.col("o_custkey").cast("string")))
     original = _wrap("OrgnlMndt", _element("OrgnlMndtId", mandate))
@@ -673,31 +665,25 @@ WARNED = (40, 60)
 
 def deliveries(spark: SparkSession, folder: str) -> DataFrame:
     """One delivery per event; equal content has an equal id."""
-    k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
-    key = F.concat_ws("|", "event_type", F.col("user_id").cast("string"), "props")
-    millis = F.round(F.col("value") * 1000).cast("bigint")
-    prefix = (
-        F.when(k < 30, "gen-pass-").when(k < 50, "gen-fail-").when(k < 60, "gen-edge-")
-        .when(k < 70, "gen-passage").otherwise("case-")
-    )
-    value = F.col("value")
-    failed = value > FAILED_ABOVE
-    signature = F.when((value >= NO_DIGEST[0]) & (value < NO_DIGEST[1]), "").otherwise(F.lit("signed"))
-    return read(spark, folder, "events").select(
+    texts = ", ".join(_quoted(text) for text in ERROR_TEXTS)
+    failed = f"value > {FAILED_ABOVE}"
+    return read(spark, folder, "events").selectExpr(
+        "*", r"CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k"
+    ).selectExpr(
         "event_id",
-        F.col("ts").alias("sent_at"),
-        F.timestamp_add("MILLISECOND", millis, F.col("ts")).alias("received_at"),
-        F.sha2(key, 256).alias("message_id"),
-        F.lit("pain").alias("domain"),
-        _mapped(F.col("event_type"), EVENT_SETS).alias("message_set"),
-        F.concat(prefix, F.concat_ws("-", F.col("user_id").cast("string"), k.cast("string")), F.lit(".xml")).alias("file_name"),
-        signature.alias("signature"),
-        (~((value >= BAD_DIGEST[0]) & (value < NO_DIGEST[1]))).alias("sound"),
-        (value >= LOST_BELOW).alias("received"),
-        F.when(failed, "fail").otherwise("pass").alias("validation_status"),
-        F.when(failed, _choice(F.pmod(k, F.lit(len(ERROR_TEXTS))) + 1, ERROR_TEXTS)).alias("error_detail"),
-        k.alias("k"),
-        ((value >= WARNED[0]) & (value <= WARNED[1])).alias("warned"),
+        "ts AS sent_at",
+        "timestampadd(MILLISECOND, CAST(round(value * 1000) AS BIGINT), ts) AS received_at",
+        "sha2(concat_ws('|', event_type, user_id, props), 256) AS message_id",
+        "'pain' AS domain",
+        f"{_mapped('event_type', EVENT_SETS)} AS message_set",
+        """concat(CASE WHEN k < 30 THEN 'gen-pass-' WHEN k < 50 THEN 'gen-fail-' WHEN k < 60 THEN 'gen-edge-'
+                  WHEN k < 70 THEN 'gen-passage' ELSE 'case-' END, user_id, '-', k, '.xml') AS file_name""",
+        f"NOT (value >= {BAD_DIGEST[0]} AND value < {NO_DIGEST[1]}) AS sound",
+        f"value >= {LOST_BELOW} AS received",
+        f"IF({failed}, 'fail', 'pass') AS validation_status",
+        f"IF({failed}, element_at(array({texts}), pmod(k, {len(ERROR_TEXTS)}) + 1), NULL) AS error_detail",
+        "k",
+        f"value BETWEEN {WARNED[0]} AND {WARNED[1]} AS warned",
     )
 
 

@@ -44,8 +44,10 @@ def route(
     if processed is None:
         known = firsts.withColumn("seen", F.lit(False))
     else:
-        # one row per id: dropping repeats here keeps the lookup unique
-        old = processed.select("message_id").distinct().withColumn("seen", F.lit(True))
+        # reduce the history to the ids of this batch before anything is shuffled
+        old = processed.select("message_id").join(
+            firsts.select("message_id"), "message_id", "left_semi"
+        ).distinct().withColumn("seen", F.lit(True))
         known = firsts.join(old, "message_id", "left").withColumn(
             "seen", F.coalesce("seen", F.lit(False))
         )

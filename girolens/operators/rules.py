@@ -117,7 +117,7 @@ def _bics(values: Column, rule: str, element: str) -> Column:
     )
 
 
-_CCY_PATTERN = r"<(?:[\w.-]+:)?([\w.-]+)(?=\s)[^<>]*?\sCcy\s*=\s*[\"']([^\"']*)[\"']"
+_CCY_PATTERN = r"<(?:[\w.-]+:)?([\w.-]+)\s(?:[^<>]*?\s)?Ccy\s*=\s*[\"']([^\"']*)[\"']"
 _HIDDEN = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 
 
@@ -127,16 +127,18 @@ def _currencies(xml: Column) -> Column:
     The attribute occurs on dozens of paths (taxes, charges, remittance), so it
     is read from the text of the message rather than from the narrow layout.
     """
-    visible = F.regexp_replace(xml, _HIDDEN, "")
-    pattern = F.lit(_CCY_PATTERN)
-    pairs = F.arrays_zip(
-        F.regexp_extract_all(visible, pattern, F.lit(1)).alias("element"),
-        F.regexp_extract_all(visible, pattern, F.lit(2)).alias("code"),
-    )
+    visible = F.when(xml.contains("<!"), F.regexp_replace(xml, _HIDDEN, "")).otherwise(xml)
+    tags = F.regexp_extract_all(visible, F.lit(_CCY_PATTERN), F.lit(0))
+
+    def code(tag: Column) -> Column:
+        return F.regexp_extract(tag, _CCY_PATTERN, 2)
+
     return _each(
-        pairs,
-        lambda p: (p["code"] != "") & ~ids.currency_is_active(p["code"]),
-        lambda p: _violation("BR-010", path=[p["element"]], actual=p["code"]),
+        tags,
+        lambda tag: (code(tag) != "") & ~ids.currency_is_active(code(tag)),
+        lambda tag: _violation(
+            "BR-010", path=[F.regexp_extract(tag, _CCY_PATTERN, 1)], actual=code(tag)
+        ),
     )
 
 
