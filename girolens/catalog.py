@@ -187,11 +187,11 @@ RECON: dict[str, Query] = {
 
 
 def _shredded(
-    lines: DataFrame, build: Callable[[DataFrame], DataFrame], message_set: str,
+    spark: SparkSession, folder: str, lines: DataFrame, build: Callable[[DataFrame], DataFrame], message_set: str,
     shred_rows: Callable[[DataFrame], DataFrame], flat_rows: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """Round trip through XML; orders too large for one message stay flat."""
-    fits, too_large = demo.split_by_size(lines)
+    fits, too_large = demo.split_by_size(spark, folder, lines)
     parsed = corpus.well_formed(corpus.parse(build(fits), message_set))
     return shred_rows(parsed).unionByName(flat_rows(too_large))
 
@@ -204,31 +204,31 @@ def _money(frame: DataFrame, *columns: str) -> DataFrame:
 
 def _shred_001(spark: SparkSession, folder: str) -> DataFrame:
     lines = demo.order_lines(spark, folder)
-    rows = _shredded(lines, demo.messages, "001", shred.shred_001, demo.tx_001)
+    rows = _shredded(spark, folder, lines, demo.messages, "001", shred.shred_001, demo.tx_001)
     return _money(rows, "amount", "ctrl_sum")
 
 
 def _shred_payment(spark: SparkSession, folder: str) -> DataFrame:
     lines = demo.order_lines(spark, folder)
-    return _money(_shredded(lines, demo.messages, "001", shred.shred_payment, demo.payment_detail), "amount")
+    return _money(_shredded(spark, folder, lines, demo.messages, "001", shred.shred_payment, demo.payment_detail), "amount")
 
 
 def _shred_direct_debit(spark: SparkSession, folder: str) -> DataFrame:
     lines = demo.order_lines(spark, folder)
     rows = _shredded(
-        lines, lambda x: demo.messages(x, "008"), "008", shred.shred_direct_debit, demo.direct_debit_detail
+        spark, folder, lines, lambda x: demo.messages(x, "008"), "008", shred.shred_direct_debit, demo.direct_debit_detail
     )
     return _money(rows, "amount")
 
 
 def _shred_status(spark: SparkSession, folder: str) -> DataFrame:
     items = demo.order_items(spark, folder)
-    return _shredded(items, demo.status_messages, "002", shred.shred_status, demo.status_rows)
+    return _shredded(spark, folder, items, demo.status_messages, "002", shred.shred_status, demo.status_rows)
 
 
 def _shred_reversal(spark: SparkSession, folder: str) -> DataFrame:
     items = demo.order_items(spark, folder)
-    rows = _shredded(items, demo.reversal_messages, "007", shred.shred_reversal, demo.reversal_rows)
+    rows = _shredded(spark, folder, items, demo.reversal_messages, "007", shred.shred_reversal, demo.reversal_rows)
     return _money(rows, "orig_amount")
 
 
@@ -241,7 +241,7 @@ def _shred_mandate(message_set: str) -> Query:
 
 
 def _file_base(spark: SparkSession, folder: str) -> DataFrame:
-    fits, too_large = demo.split_by_size(demo.order_lines(spark, folder))
+    fits, too_large = demo.split_by_size(spark, folder, demo.order_lines(spark, folder))
     parsed = corpus.well_formed(corpus.parse(demo.messages(fits), "001"))
     flat = too_large.select(
         "file_name", F.lit("001").alias("message_set"), file_category(F.col("file_name")).alias("category"), "msg_id"
@@ -276,7 +276,7 @@ def _checked(messages: DataFrame, message_set: str) -> DataFrame:
 
 def _rule_counts(spark: SparkSession, folder: str, limit: int = demo.MAX_TX_PER_MESSAGE) -> DataFrame:
     """Rule hits per message: array form for messages, flat form beyond their size."""
-    fits, too_large = demo.split_by_size(demo.order_lines(spark, folder), limit)
+    fits, too_large = demo.split_by_size(spark, folder, demo.order_lines(spark, folder), limit)
     in_arrays = _checked(demo.messages(fits), "001").groupBy("file_name", "rule_id").agg(
         F.count(F.lit(1)).alias("violations")
     )
@@ -302,7 +302,7 @@ def _rules_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _rules_direct_debit(spark: SparkSession, folder: str) -> DataFrame:
-    fits, too_large = demo.split_by_size(demo.order_lines(spark, folder))
+    fits, too_large = demo.split_by_size(spark, folder, demo.order_lines(spark, folder))
     in_arrays = _checked(demo.messages(fits, "008"), "008").groupBy("file_name", "rule_id").agg(
         F.count(F.lit(1)).alias("violations")
     )
@@ -311,13 +311,13 @@ def _rules_direct_debit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _rules_status(spark: SparkSession, folder: str) -> DataFrame:
-    fits, too_large = demo.split_by_size(demo.order_items(spark, folder))
+    fits, too_large = demo.split_by_size(spark, folder, demo.order_items(spark, folder))
     in_arrays = _checked(demo.status_messages(fits), "002").select("file_name", "rule_id", "actual", "message")
     return in_arrays.unionByName(rules_flat.status_rule_rows(*demo.flat_status_input(too_large)))
 
 
 def _rules_reversal(spark: SparkSession, folder: str) -> DataFrame:
-    fits, too_large = demo.split_by_size(demo.order_items(spark, folder))
+    fits, too_large = demo.split_by_size(spark, folder, demo.order_items(spark, folder))
     in_arrays = _checked(demo.reversal_messages(fits), "007").select("file_name", "rule_id", "actual")
     return in_arrays.unionByName(rules_flat.reversal_rule_rows(demo.flat_reversal_input(too_large)))
 

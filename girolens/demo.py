@@ -7,7 +7,7 @@ only a mapping; every operator applied afterwards lives in the library.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from girolens import model
 from girolens.functions import ids
@@ -19,8 +19,15 @@ AS_OF = "1998-01-01"
 MAX_TX_PER_MESSAGE = 10_000
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    """One of the given tables; its footer is read once per process."""
+    path = f"{folder}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _country(nation: str) -> str:
@@ -58,14 +65,17 @@ def currency_of(segment: str) -> Column:
 _ORDER_FILE = f"concat({_mapped('o_orderpriority', _PREFIX, 'manual-')}, o_orderkey, '.xml')"
 
 
-def order_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """One message header per order, with its debtor."""
+def _raw_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with their debtor; a third of the work is done before any line is read."""
     orders, customer = read(spark, folder, "orders"), read(spark, folder, "customer")
     nation = read(spark, folder, "nation").select("n_nationkey", "n_regionkey")
     debtor = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-    joined = orders.join(debtor, orders.o_custkey == debtor.c_custkey)
+    return orders.join(debtor, orders.o_custkey == debtor.c_custkey)
+
+
+def _header_columns() -> list[str]:
     country = _country("c_nationkey")
-    return joined.selectExpr(
+    return [
         "o_orderkey",
         f"{_ORDER_FILE} AS file_name",
         "element_at(array('001', '002', '007', '008', '013'), n_regionkey + 1) AS message_set",
@@ -82,46 +92,55 @@ def order_headers(spark: SparkSession, folder: str) -> DataFrame:
             ELSE concat('GIRO', {country}, lpad(CAST(pmod(c_custkey, 90) AS STRING), 2, '0')) END AS debtor_bic""",
         f"{_mapped('c_mktsegment', _CURRENCY)} AS currency",
         "CASE o_orderstatus WHEN 'F' THEN 'fail' WHEN 'O' THEN 'pass' END AS outcome",
-    )
+    ]
 
 
-def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Transactions of every order; an order without lines keeps one empty row."""
-    line, part = read(spark, folder, "lineitem"), read(spark, folder, "part")
-    creditor = read(spark, folder, "supplier").selectExpr(
-        "s_suppkey",
-        "s_name AS creditor_name",
-        f"{_country('s_nationkey')} AS creditor_country",
-        f"{_iban('s_nationkey', 's_suppkey', 's_acctbal')} AS creditor_iban",
-        f"concat('BENE', {_country('s_nationkey')}, '33XXX') AS creditor_bic",
-    )
-    kind = part.selectExpr("p_partkey", "substring(p_type, 1, 4) AS kind", "p_size <= 25 AS coded")
-    rich = line.join(creditor, line.l_suppkey == creditor.s_suppkey, "left").join(
-        kind, line.l_partkey == kind.p_partkey, "left"
-    )
-    reference = "concat_ws('-', l_orderkey, l_linenumber)"
-    digest = f"md5(concat_ws('-', {reference}, l_partkey))"
-    tx = rich.selectExpr(
-        "*", f"{reference} AS end_to_end_id", f"{digest} AS digest"
-    ).selectExpr(
-        "l_orderkey",
+def _line_columns() -> list[str]:
+    reference = "concat(l_orderkey, '-', l_linenumber)"
+    digest = f"md5(concat({reference}, '-', l_partkey))"
+    country = _country("s_nationkey")
+    return [
+        f"{reference} AS end_to_end_id",
         "concat('P', l_orderkey, '-', l_linestatus) AS pmt_inf_id",
-        "IF(l_linestatus = 'O', 'TRF', 'CHK') AS pmt_method",
-        "end_to_end_id",
-        "concat_ws('-', l_partkey, l_suppkey) AS instr_id",
-        """IF(l_discount >= 0.05D, concat_ws('-', substring(digest, 1, 8), substring(digest, 9, 4),
-             concat(IF(l_discount > 0.09D, '1', '4'), substring(digest, 14, 3)),
-             concat('a', substring(digest, 18, 3)), substring(digest, 21, 12)), NULL) AS uetr""",
+        "CASE l_linestatus WHEN 'O' THEN 'TRF' WHEN 'F' THEN 'CHK' END AS pmt_method",
+        "concat(l_partkey, '-', l_suppkey) AS instr_id",
+        "l_discount >= 0.05D AS tracked",
+        f"""IF(l_discount >= 0.05D, regexp_replace({digest},
+             '^(.{{8}})(.{{4}}).(.{{3}}).(.{{3}})(.{{12}}).*$',
+             IF(l_discount > 0.09D, '$1-$2-1$3-a$4-$5', '$1-$2-4$3-a$4-$5')), NULL) AS uetr""",
         "CAST(l_extendedprice AS DECIMAL(18,2)) AS amount",
         "l_tax >= 0.08D AS equivalent",
         "CASE l_returnflag WHEN 'A' THEN 'SHAR' WHEN 'R' THEN 'DEBT' END AS charge_bearer",
-        "creditor_name", "creditor_country", "creditor_iban", "creditor_bic",
-        "IF(l_tax >= 0.02D, kind, NULL) AS purpose_code",
-        "coded",
-        "IF(l_tax >= 0.04D, concat('Invoice ', end_to_end_id), NULL) AS remittance",
+        "s_name AS creditor_name",
+        f"{country} AS creditor_country",
+        f"{_iban('s_nationkey', 's_suppkey', 's_acctbal')} AS creditor_iban",
+        f"concat('BENE', {country}, '33XXX') AS creditor_bic",
+        "IF(l_tax >= 0.02D, substring(p_type, 1, 4), NULL) AS purpose_code",
+        "p_size <= 25 AS coded",
+        "l_tax >= 0.04D AS remitted",
+        f"IF(l_tax >= 0.04D, concat('Invoice ', {reference}), NULL) AS remittance",
+    ]
+
+
+def order_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """One message header per order, with its debtor."""
+    return _raw_orders(spark, folder).selectExpr(*_header_columns())
+
+
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions of every order; an order without lines keeps one empty row.
+
+    Raw columns are joined first and texts are made from them afterwards, so the
+    shuffles carry keys and numbers rather than texts.
+    """
+    line, part = read(spark, folder, "lineitem"), read(spark, folder, "part")
+    supplier = read(spark, folder, "supplier")
+    rich = line.join(supplier, line.l_suppkey == supplier.s_suppkey, "left").join(
+        part, line.l_partkey == part.p_partkey, "left"
     )
-    headers = order_headers(spark, folder)
-    return headers.join(tx, headers.o_orderkey == tx.l_orderkey, "left")
+    orders = _raw_orders(spark, folder)
+    joined = orders.join(rich, orders.o_orderkey == rich.l_orderkey, "left")
+    return joined.selectExpr(*_header_columns(), *_line_columns())
 
 
 _REAL = "end_to_end_id IS NOT NULL"
@@ -154,7 +173,7 @@ def tx_001(lines: DataFrame) -> DataFrame:
         _when_real(_bank_country("debtor_bic"), "debtor_bic_country"),
         "end_to_end_id",
         "instr_id",
-        _when_real("uetr IS NOT NULL", "has_uetr"),
+        "tracked AS has_uetr",
         "amount",
         _when_real("currency"),
         "charge_bearer",
@@ -164,7 +183,7 @@ def tx_001(lines: DataFrame) -> DataFrame:
         "creditor_bic",
         f"{_bank_country('creditor_bic')} AS creditor_bic_country",
         "purpose_code",
-        _when_real("remittance IS NOT NULL", "has_remittance_info"),
+        "remitted AS has_remittance_info",
     )
 
 
@@ -181,7 +200,7 @@ def payment_detail(lines: DataFrame) -> DataFrame:
         f"{_prefix('creditor_iban')} AS creditor_pfx",
         "charge_bearer",
         "IF(coded, purpose_code, NULL) AS purpose",
-        "uetr IS NOT NULL AS has_uetr",
+        "coalesce(tracked, false) AS has_uetr",
     )
 
 
@@ -224,14 +243,21 @@ def order_state(headers: DataFrame) -> tuple[DataFrame, DataFrame]:
 # --- XML -------------------------------------------------------------------
 
 
-def split_by_size(lines: DataFrame, limit: int = MAX_TX_PER_MESSAGE) -> tuple[DataFrame, DataFrame]:
+def split_by_size(
+    spark: SparkSession, folder: str, lines: DataFrame, limit: int = MAX_TX_PER_MESSAGE
+) -> tuple[DataFrame, DataFrame]:
     """Lines of orders that fit into one message, and lines of those that do not.
 
-    Only the (few) large keys are looked up, so neither side is regrouped.
+    Sizes come from the key column alone.  Usually no order is too large, and then
+    the second part is known to be empty before anything is planned.
     """
-    large = lines.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    keys = large.select("o_orderkey")
-    return lines.join(keys, "o_orderkey", "left_anti"), lines.join(keys, "o_orderkey", "left_semi")
+    large = (
+        read(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select("o_orderkey")
+    )
+    if large.isEmpty():
+        return lines, lines.where(F.lit(False))
+    return lines.join(large, "o_orderkey", "left_anti"), lines.join(large, "o_orderkey", "left_semi")
 
 
 def _element(name: str, value: Column) -> Column:
