@@ -19,21 +19,22 @@ from girolens.sources import corpus
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _on_tx(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: build(demo.tx_001(demo.order_lines(spark, folder)))
+def _on_tx(build: Callable[[DataFrame], DataFrame], *sides: str) -> Query:
+    """Query over the transactions; ``sides`` are the dimensions it reads."""
+    return lambda spark, folder: build(demo.tx_001(demo.order_lines(spark, folder, sides)))
 
 
-def _view(spark: SparkSession, folder: str) -> DataFrame:
+def _view(spark: SparkSession, folder: str, *sides: str) -> DataFrame:
     processed, sent = demo.order_state(demo.order_headers(spark, folder))
-    return joins.pipeline_view(demo.tx_001(demo.order_lines(spark, folder)), processed, sent)
+    return joins.pipeline_view(demo.tx_001(demo.order_lines(spark, folder, sides)), processed, sent)
 
 
-def _on_view(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: build(_view(spark, folder))
+def _on_view(build: Callable[[DataFrame], DataFrame], *sides: str) -> Query:
+    return lambda spark, folder: build(_view(spark, folder, *sides))
 
 
-def _on_detail(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: build(demo.payment_detail(demo.order_lines(spark, folder)))
+def _on_detail(build: Callable[[DataFrame], DataFrame], *sides: str) -> Query:
+    return lambda spark, folder: build(demo.payment_detail(demo.order_lines(spark, folder, sides)))
 
 
 def _on(source: Callable[[SparkSession, str], DataFrame], build: Callable[[DataFrame], DataFrame]) -> Query:
@@ -77,17 +78,17 @@ CREDIT: dict[str, Query] = {
     "category_outcome": _on_view(credit.category_outcome),
     "currency_dist": _on_tx(credit.currency_dist),
     "amount_buckets": _on_view(credit.amount_buckets),
-    "debtor_country": _on_tx(credit.debtor_country),
-    "flow_matrix": _on_tx(credit.flow_matrix),
+    "debtor_country": _on_tx(credit.debtor_country, demo.CREDITOR),
+    "flow_matrix": _on_tx(credit.flow_matrix, demo.CREDITOR),
     "charge_bearer": _on_tx(credit.charge_bearer),
     "payment_method": _on_tx(credit.payment_method),
-    "purpose_code": _on_tx(credit.purpose_code),
-    "enrichment_coverage": _on_tx(credit.enrichment_coverage),
+    "purpose_code": _on_tx(credit.purpose_code, demo.KIND),
+    "enrichment_coverage": _on_tx(credit.enrichment_coverage, demo.KIND),
     "error_element": _on_state(credit.error_element, DONE),
     "error_type_7": _on_state(credit.error_type, DONE),
     "declared_vs_actual": _on_view(credit.declared_vs_actual),
     "bank_country": _on_tx(credit.bank_country),
-    "high_value": _on_view(credit.high_value),
+    "high_value": _on_view(credit.high_value, demo.CREDITOR, demo.KIND),
     "pipeline_view": _pipeline_view,
 }
 
@@ -102,7 +103,7 @@ DASHBOARD: dict[str, Query] = {
     "set_error_type": _on_state(dashboard.set_error_type, DONE),
     "pay_currency": _on_detail(dashboard.pay_currency),
     "pay_buckets": _on_detail(dashboard.pay_buckets),
-    "pay_corridors": _on_detail(dashboard.pay_corridors),
+    "pay_corridors": _on_detail(dashboard.pay_corridors, demo.CREDITOR),
     "pay_charge_bearer": _on_detail(dashboard.pay_charge_bearer),
     "status_group": _on(demo.status_detail, dashboard.status_group),
     "status_tx": _on(demo.status_detail, dashboard.status_tx),
@@ -193,7 +194,14 @@ def _shredded(
     """Round trip through XML; orders too large for one message stay flat."""
     fits, too_large = demo.split_by_size(spark, folder, lines)
     parsed = corpus.well_formed(corpus.parse(build(fits), message_set))
-    return shred_rows(parsed).unionByName(flat_rows(too_large))
+    return _also(shred_rows(parsed), too_large, flat_rows)
+
+
+def _also(
+    rows: DataFrame, too_large: DataFrame | None, flat: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Add what the flat form makes of orders too large for a message, if there are any."""
+    return rows if too_large is None else rows.unionByName(flat(too_large))
 
 
 def _money(frame: DataFrame, *columns: str) -> DataFrame:
@@ -243,10 +251,9 @@ def _shred_mandate(message_set: str) -> Query:
 def _file_base(spark: SparkSession, folder: str) -> DataFrame:
     fits, too_large = demo.split_by_size(spark, folder, demo.order_lines(spark, folder))
     parsed = corpus.well_formed(corpus.parse(demo.messages(fits), "001"))
-    flat = too_large.select(
+    return _also(shred.file_base(parsed, "001"), too_large, lambda lines: lines.select(
         "file_name", F.lit("001").alias("message_set"), file_category(F.col("file_name")).alias("category"), "msg_id"
-    ).distinct()
-    return shred.file_base(parsed, "001").unionByName(flat)
+    ).distinct())
 
 
 SHRED: dict[str, Query] = {
@@ -281,8 +288,8 @@ def _rule_counts(spark: SparkSession, folder: str, limit: int = demo.MAX_TX_PER_
         F.count(F.lit(1)).alias("violations")
     )
     as_of = F.lit(demo.AS_OF).cast("date")
-    return in_arrays.unionByName(
-        rules_flat.credit_rule_counts(demo.flat_rules_input(too_large), as_of)
+    return _also(
+        in_arrays, too_large, lambda x: rules_flat.credit_rule_counts(demo.flat_rules_input(x), as_of)
     )
 
 
@@ -307,19 +314,21 @@ def _rules_direct_debit(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("violations")
     )
     as_of = F.lit(demo.AS_OF).cast("date")
-    return in_arrays.unionByName(rules_flat.debit_rule_counts(demo.flat_debit_input(too_large), as_of))
+    return _also(
+        in_arrays, too_large, lambda x: rules_flat.debit_rule_counts(demo.flat_debit_input(x), as_of)
+    )
 
 
 def _rules_status(spark: SparkSession, folder: str) -> DataFrame:
     fits, too_large = demo.split_by_size(spark, folder, demo.order_items(spark, folder))
     in_arrays = _checked(demo.status_messages(fits), "002").select("file_name", "rule_id", "actual", "message")
-    return in_arrays.unionByName(rules_flat.status_rule_rows(*demo.flat_status_input(too_large)))
+    return _also(in_arrays, too_large, lambda x: rules_flat.status_rule_rows(*demo.flat_status_input(x)))
 
 
 def _rules_reversal(spark: SparkSession, folder: str) -> DataFrame:
     fits, too_large = demo.split_by_size(spark, folder, demo.order_items(spark, folder))
     in_arrays = _checked(demo.reversal_messages(fits), "007").select("file_name", "rule_id", "actual")
-    return in_arrays.unionByName(rules_flat.reversal_rule_rows(demo.flat_reversal_input(too_large)))
+    return _also(in_arrays, too_large, lambda x: rules_flat.reversal_rule_rows(demo.flat_reversal_input(x)))
 
 
 def _rules_mandates(spark: SparkSession, folder: str) -> DataFrame:

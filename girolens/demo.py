@@ -95,11 +95,23 @@ def _header_columns() -> list[str]:
     ]
 
 
-def _line_columns() -> list[str]:
+CREDITOR, KIND = "creditor", "kind"
+
+
+def _line_columns(sides: tuple[str, ...]) -> list[str]:
     reference = "concat(l_orderkey, '-', l_linenumber)"
     digest = f"md5(concat({reference}, '-', l_partkey))"
     country = _country("s_nationkey")
+    creditor = [
+        "s_name AS creditor_name",
+        f"{country} AS creditor_country",
+        f"{_iban('s_nationkey', 's_suppkey', 's_acctbal')} AS creditor_iban",
+        f"concat('BENE', {country}, '33XXX') AS creditor_bic",
+    ]
+    kind = ["IF(l_tax >= 0.02D, substring(p_type, 1, 4), NULL) AS purpose_code", "p_size <= 25 AS coded"]
     return [
+        *(creditor if CREDITOR in sides else []),
+        *(kind if KIND in sides else []),
         f"{reference} AS end_to_end_id",
         "concat('P', l_orderkey, '-', l_linestatus) AS pmt_inf_id",
         "CASE l_linestatus WHEN 'O' THEN 'TRF' WHEN 'F' THEN 'CHK' END AS pmt_method",
@@ -111,12 +123,6 @@ def _line_columns() -> list[str]:
         "CAST(l_extendedprice AS DECIMAL(18,2)) AS amount",
         "l_tax >= 0.08D AS equivalent",
         "CASE l_returnflag WHEN 'A' THEN 'SHAR' WHEN 'R' THEN 'DEBT' END AS charge_bearer",
-        "s_name AS creditor_name",
-        f"{country} AS creditor_country",
-        f"{_iban('s_nationkey', 's_suppkey', 's_acctbal')} AS creditor_iban",
-        f"concat('BENE', {country}, '33XXX') AS creditor_bic",
-        "IF(l_tax >= 0.02D, substring(p_type, 1, 4), NULL) AS purpose_code",
-        "p_size <= 25 AS coded",
         "l_tax >= 0.04D AS remitted",
         f"IF(l_tax >= 0.04D, concat('Invoice ', {reference}), NULL) AS remittance",
     ]
@@ -127,29 +133,31 @@ def order_headers(spark: SparkSession, folder: str) -> DataFrame:
     return _raw_orders(spark, folder).selectExpr(*_header_columns())
 
 
-def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+def order_lines(
+    spark: SparkSession, folder: str, sides: tuple[str, ...] = (CREDITOR, KIND)
+) -> DataFrame:
     """Transactions of every order; an order without lines keeps one empty row.
 
     Raw columns are joined first and texts are made from them afterwards, so the
-    shuffles carry keys and numbers rather than texts.
+    shuffles carry keys and numbers rather than texts.  The optimizer cannot know
+    that a left join to a dimension keeps the rows as they are, so a query names
+    the ``sides`` it reads and no other dimension is joined.
     """
-    line, part = read(spark, folder, "lineitem"), read(spark, folder, "part")
-    supplier = read(spark, folder, "supplier")
-    rich = line.join(supplier, line.l_suppkey == supplier.s_suppkey, "left").join(
-        part, line.l_partkey == part.p_partkey, "left"
-    )
+    lines = read(spark, folder, "lineitem")
+    if CREDITOR in sides:
+        supplier = read(spark, folder, "supplier")
+        lines = lines.join(supplier, lines.l_suppkey == supplier.s_suppkey, "left")
+    if KIND in sides:
+        part = read(spark, folder, "part")
+        lines = lines.join(part, lines.l_partkey == part.p_partkey, "left")
     orders = _raw_orders(spark, folder)
-    joined = orders.join(rich, orders.o_orderkey == rich.l_orderkey, "left")
-    return joined.selectExpr(*_header_columns(), *_line_columns())
+    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    return joined.selectExpr(*_header_columns(), *_line_columns(sides))
 
 
 _REAL = "end_to_end_id IS NOT NULL"
 
 
-def _when_real(expression: str, name: str | None = None) -> str:
-    return f"IF({_REAL}, {expression}, NULL) AS {name or expression}"
-
-
 def _prefix(iban: str) -> str:
     return f"upper(substring({iban}, 1, 2))"
 
@@ -158,50 +166,67 @@ def _bank_country(bic: str) -> str:
     return f"upper(substring({bic}, 5, 2))"
 
 
+def _available(lines: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Projection without the columns of dimensions that were not joined."""
+    absent = set()
+    if "creditor_iban" not in lines.columns:
+        absent |= {"creditor_name", "creditor_country", "creditor_iban_prefix", "creditor_bic",
+                   "creditor_bic_country", "creditor_pfx"}
+    if "purpose_code" not in lines.columns:
+        absent |= {"purpose_code", "purpose"}
+    kept = [f"{expression} AS {name}" for name, expression in columns.items() if name not in absent]
+    return lines.withColumn("category", file_category(F.col("file_name"))).selectExpr(*kept)
+
+
+def _if_real(expression: str) -> str:
+    return f"IF({_REAL}, {expression}, NULL)"
+
+
 def tx_001(lines: DataFrame) -> DataFrame:
     """The 27-column transaction table, straight from the tables."""
-    return lines.withColumn("category", file_category(F.col("file_name"))).selectExpr(
-        "file_name",
-        "category",
-        *[_when_real(c) for c in ("msg_id", "nb_txs_declared", "ctrl_sum", "initiating_party")],
-        "pmt_inf_id",
-        "pmt_method",
-        _when_real("CAST(order_date AS STRING)", "req_exec_date"),
-        *[_when_real(c) for c in ("debtor_name", "debtor_country")],
-        _when_real(_prefix("debtor_iban"), "debtor_iban_prefix"),
-        _when_real("debtor_bic"),
-        _when_real(_bank_country("debtor_bic"), "debtor_bic_country"),
-        "end_to_end_id",
-        "instr_id",
-        "tracked AS has_uetr",
-        "amount",
-        _when_real("currency"),
-        "charge_bearer",
-        "creditor_name",
-        "creditor_country",
-        f"{_prefix('creditor_iban')} AS creditor_iban_prefix",
-        "creditor_bic",
-        f"{_bank_country('creditor_bic')} AS creditor_bic_country",
-        "purpose_code",
-        "remitted AS has_remittance_info",
-    )
+    header = ["msg_id", "nb_txs_declared", "ctrl_sum", "initiating_party"]
+    plain = ["charge_bearer", "creditor_name", "creditor_country"]
+    return _available(lines, {
+        "file_name": "file_name",
+        "category": "category",
+        **{c: _if_real(c) for c in header},
+        "pmt_inf_id": "pmt_inf_id",
+        "pmt_method": "pmt_method",
+        "req_exec_date": _if_real("CAST(order_date AS STRING)"),
+        "debtor_name": _if_real("debtor_name"),
+        "debtor_country": _if_real("debtor_country"),
+        "debtor_iban_prefix": _if_real(_prefix("debtor_iban")),
+        "debtor_bic": _if_real("debtor_bic"),
+        "debtor_bic_country": _if_real(_bank_country("debtor_bic")),
+        "end_to_end_id": "end_to_end_id",
+        "instr_id": "instr_id",
+        "has_uetr": "tracked",
+        "amount": "amount",
+        "currency": _if_real("currency"),
+        **{c: c for c in plain},
+        "creditor_iban_prefix": _prefix("creditor_iban"),
+        "creditor_bic": "creditor_bic",
+        "creditor_bic_country": _bank_country("creditor_bic"),
+        "purpose_code": "purpose_code",
+        "has_remittance_info": "remitted",
+    })
 
 
 def payment_detail(lines: DataFrame) -> DataFrame:
     """Short form of the transactions (instructed amounts and coded purposes only)."""
-    return lines.withColumn("category", file_category(F.col("file_name"))).selectExpr(
-        "file_name",
-        "category",
-        "pmt_method",
-        _when_real(_prefix("debtor_iban"), "debtor_pfx"),
-        _when_real("debtor_bic"),
-        "IF(NOT equivalent, amount, NULL) AS amount",
-        "IF(NOT equivalent, currency, NULL) AS currency",
-        f"{_prefix('creditor_iban')} AS creditor_pfx",
-        "charge_bearer",
-        "IF(coded, purpose_code, NULL) AS purpose",
-        "coalesce(tracked, false) AS has_uetr",
-    )
+    return _available(lines, {
+        "file_name": "file_name",
+        "category": "category",
+        "pmt_method": "pmt_method",
+        "debtor_pfx": _if_real(_prefix("debtor_iban")),
+        "debtor_bic": _if_real("debtor_bic"),
+        "amount": "IF(NOT equivalent, amount, NULL)",
+        "currency": "IF(NOT equivalent, currency, NULL)",
+        "creditor_pfx": _prefix("creditor_iban"),
+        "charge_bearer": "charge_bearer",
+        "purpose": "IF(coded, purpose_code, NULL)",
+        "has_uetr": "coalesce(tracked, false)",
+    })
 
 
 def direct_debit_detail(lines: DataFrame) -> DataFrame:
@@ -210,9 +235,9 @@ def direct_debit_detail(lines: DataFrame) -> DataFrame:
         "file_name",
         "category",
         "amount",
-        _when_real("currency"),
+        f"{_if_real('currency')} AS currency",
         f"{_prefix('creditor_iban')} AS debtor_pfx",
-        _when_real(_prefix("debtor_iban"), "creditor_pfx"),
+        f"{_if_real(_prefix('debtor_iban'))} AS creditor_pfx",
     )
 
 
@@ -245,18 +270,18 @@ def order_state(headers: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def split_by_size(
     spark: SparkSession, folder: str, lines: DataFrame, limit: int = MAX_TX_PER_MESSAGE
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame | None]:
     """Lines of orders that fit into one message, and lines of those that do not.
 
-    Sizes come from the key column alone.  Usually no order is too large, and then
-    the second part is known to be empty before anything is planned.
+    Sizes come from the key column alone.  Usually no order is too large; then
+    there is no second part.
     """
     large = (
         read(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select("o_orderkey")
     )
     if large.isEmpty():
-        return lines, lines.where(F.lit(False))
+        return lines, None
     return lines.join(large, "o_orderkey", "left_anti"), lines.join(large, "o_orderkey", "left_semi")
 
 
