@@ -664,5 +664,30 @@ def expressions() -> dict[str, str]:
     }
 
 
+def jobs() -> dict[str, str]:
+    return {
+        "xsd_flag": _with(LINES, """
+            SELECT file_name, count(*) FILTER (WHERE filled) > 0 AND count(*) FILTER (WHERE filled AND NOT equivalent AND currency IS NULL) = 0 AS valid
+            FROM lines GROUP BY 1"""),
+        "stream_state": f"""
+            WITH raw AS (
+              SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events WHERE value >= {demo.LOST_BELOW}
+            ),
+            del AS (
+              SELECT event_id, sha256('pain.017:' || '<Document><MndtCpyReq><UndrlygCpyReqDtls><OrgnlMndt><OrgnlMndtId>' ||
+                  CASE WHEN k < 10 THEN ' ' ELSE user_id || '-' || k END ||
+                  '</OrgnlMndtId></OrgnlMndt></UndrlygCpyReqDtls></MndtCpyReq><!-- ' || event_type || ' ' || props || ' --></Document>') AS message_id,
+                value >= {_BAD[0]} AND value < {_NONE[1]} AS unsound, k FROM raw
+            ),
+            flow AS (
+              SELECT *, CASE WHEN count(*) FILTER (WHERE NOT unsound) OVER (
+                  PARTITION BY message_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0 THEN 'duplicate'
+                WHEN unsound THEN 'tampered' WHEN k < 10 THEN 'fail' ELSE 'pass' END AS outcome FROM del
+            )
+            SELECT message_id, outcome, count(*) AS deliveries FROM flow GROUP BY 1, 2
+            UNION ALL SELECT message_id, 'BR-090', count(*) FROM flow WHERE outcome = 'fail' GROUP BY 1""",
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**credit(), **dashboard(), **recon(), **shredding(), **rules(), **expressions()}
+    return {**jobs(), **credit(), **dashboard(), **recon(), **shredding(), **rules(), **expressions()}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,8 +15,10 @@ from girolens.functions.text import (
     domain_label, error_summary, file_category, label, set_label, strip_namespaces, suggest_fix,
 )
 from girolens.operators import joins, labels, rules, rules_flat, shred, validate
+from girolens.operators.ranking import ensure_checkpoint_dir
 from girolens.plans import credit, dashboard, recon, runs
-from girolens.sources import corpus
+from girolens.sources import corpus, events, state
+from girolens.streaming import receiver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,8 +48,8 @@ def _on(source: Callable[[SparkSession, str], DataFrame], build: Callable[[DataF
 def _on_state(build: Callable[..., DataFrame], *tables: str) -> Query:
     """Query over state tables; one-table queries get that table."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        state = demo.state(spark, folder)
-        return build(*[state[t] for t in tables])
+        derived = demo.state(spark, folder)
+        return build(*[derived[t] for t in tables])
 
     return run
 
@@ -483,5 +487,53 @@ EXPRESSIONS: dict[str, Query] = {
 }
 
 
+# --- jobs that write and read back ---------------------------------------------
+
+_XSD = Path(__file__).parent / "resources" / "credit_demo.xsd"
+
+
+def _flat_structure(lines: DataFrame) -> DataFrame:
+    """What the schema asks of a message, over flat lines."""
+    no_currency = F.col("end_to_end_id").isNotNull() & ~F.col("equivalent") & F.col("currency").isNull()
+    return lines.groupBy("file_name").agg(
+        ((F.count("end_to_end_id") > 0) & (F.count_if(no_currency) == 0)).alias("valid")
+    )
+
+
+def _xsd_flag(spark: SparkSession, folder: str) -> DataFrame:
+    """Order messages against a schema file that is shipped to every executor."""
+    spark.sparkContext.addFile(str(_XSD))
+    fits, too_large = demo.split_by_size(spark, folder, demo.order_lines(spark, folder))
+    flagged = demo.messages(fits).select(
+        "file_name", validate.xsd_flag(F.col("xml"), "001", _XSD.name).alias("valid")
+    )
+    return _also(flagged, too_large, _flat_structure)
+
+
+def _stream_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Deliveries through the streaming job; outcome counts from the tables it wrote."""
+    records = demo.stream_records(spark, folder)
+    ensure_checkpoint_dir(records)
+    base = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4()}"
+    records.write.json(f"{base}/records")
+    query = receiver.start(
+        events.file_stream(spark, f"{base}/records"), f"{base}/state", f"{base}/offsets"
+    )
+    query.awaitTermination()
+    tables = state.load_all(spark, f"{base}/state")
+    outcomes = [
+        tables["processed_messages"].select("message_id", F.col("validation_status").alias("outcome")),
+        tables["duplicate_events"].select("message_id", F.lit("duplicate").alias("outcome")),
+        tables["tampered_messages"].select("message_id", F.lit("tampered").alias("outcome")),
+        tables["rule_violations"].select("message_id", F.col("rule_id").alias("outcome")),
+    ]
+    return reduce(DataFrame.unionByName, outcomes).groupBy("message_id", "outcome").agg(
+        F.count(F.lit(1)).alias("deliveries")
+    )
+
+
+JOBS: dict[str, Query] = {"xsd_flag": _xsd_flag, "stream_state": _stream_state}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**CREDIT, **DASHBOARD, **RECON, **SHRED, **RULES, **EXPRESSIONS}
+    return {**CREDIT, **DASHBOARD, **RECON, **SHRED, **RULES, **EXPRESSIONS, **JOBS}

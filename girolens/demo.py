@@ -801,3 +801,45 @@ def rule_violations(processed: DataFrame) -> DataFrame:
         "message_id", "message_set", "file_name",
         F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("v"),
     ).select("message_id", "message_set", "file_name", "v.*")
+
+
+# --- deliveries as a stream ----------------------------------------------------
+
+_COPY_XML = (
+    "concat('<Document><MndtCpyReq><UndrlygCpyReqDtls><OrgnlMndt><OrgnlMndtId>', IF(k < 10, ' ', concat(user_id, '-', k)), "
+    "'</OrgnlMndtId></OrgnlMndt></UndrlygCpyReqDtls></MndtCpyReq><!-- ', event_type, ' ', props, ' --></Document>')"
+)
+
+
+def stream_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Received events as topic records: mandate copy requests, some damaged.
+
+    The content depends on type, user and properties, so repeated events are
+    repeated messages; blank mandate ids break a rule.
+    """
+    rows = read(spark, folder, "events").where(F.col("value") >= LOST_BELOW).selectExpr(
+        "*", "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k"
+    ).selectExpr("*", f"{_COPY_XML} AS xml")
+    content = F.encode("xml", "UTF-8")
+    value = F.col("value")
+    altered = (value >= BAD_DIGEST[0]) & (value < BAD_DIGEST[1])
+    dropped = (value >= NO_DIGEST[0]) & (value < NO_DIGEST[1])
+    signature = F.when(dropped, "").when(altered, "altered").otherwise(ids.content_digest(content))
+    payload = F.struct(
+        ids.content_id(F.lit("pain"), F.lit("017"), content).alias("message_id"),
+        F.lit("pain").alias("domain"),
+        F.lit("017").alias("message_set"),
+        F.lit("copy.xsd").alias("schema_name"),
+        F.concat(F.lit("gen-pass-"), F.col("event_id").cast("string"), F.lit(".xml")).alias("file_name"),
+        F.col("ts").cast("string").alias("sent_at"),
+        F.col("xml").alias("xml_content"),
+        signature.alias("signature"),
+    )
+    return rows.select(
+        payload["message_id"].alias("key"),
+        F.to_json(payload).alias("value"),
+        F.lit("iso20022.pain.017").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )

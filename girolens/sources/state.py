@@ -54,3 +54,15 @@ def register(tables: dict[str, DataFrame], prefix: str = "") -> None:
 
 def load_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, root, name) for name in model.STATE_DDL}
+
+
+def save_bucketed(table: DataFrame, name: str, buckets: int) -> None:
+    """Catalog table bucketed and sorted by message id.
+
+    Sent and processed tables saved with the same number of buckets are joined
+    on the id without a shuffle, as often as they are reconciled.
+    """
+    (
+        table.write.mode("overwrite").bucketBy(buckets, "message_id").sortBy("message_id")
+        .saveAsTable(name)
+    )
