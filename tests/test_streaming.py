@@ -91,6 +91,7 @@ def test_routes(spark, run):
         ("broken.xml", "fail", "iso20022.dlq"), ("good.xml", "pass", None), ("order.xml", "fail", "iso20022.dlq"),
         ("other.xml", "fail", "iso20022.dlq"), ("rule.xml", "fail", "iso20022.dlq"), ("warned.xml", "pass", None)]
     details = dict(table(spark, root, "processed_messages", "file_name", "error_detail"))
+    assert "'{schema}X': This element is not expected. Expected is ( {schema}GrpHdr )." in details["order.xml"]
     assert details["other.xml"] == "Schema unavailable" and details["rule.xml"].startswith("[BR-010]")
     assert table(spark, root, "duplicate_events", "file_name", "batch_id") == [("good.xml", 0), ("good.xml", 1)]
     assert table(spark, root, "tampered_messages", "file_name", "tampered_topic") == [
