@@ -75,5 +75,5 @@ def spread_sample(files: DataFrame, by: list[str], order: str, n: int) -> DataFr
     first ``n`` per set.
     """
     window = Window.partitionBy(*by).orderBy(order)
-    turns = files.withColumn("turn", F.row_number().over(window).cast("bigint")).where(F.col("turn") <= n)
-    return turns.orderBy("turn", *by).limit(n)
+    turns = files.withColumn("turn", F.row_number().over(window)).where(F.col("turn") <= n)
+    return turns.orderBy("turn", *by).limit(n).withColumn("turn", F.col("turn").cast("bigint"))

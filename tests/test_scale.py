@@ -97,6 +97,12 @@ def test_no_python_udf_and_no_cross_join(spark, folder):
             assert bad not in plan, (name, bad)
 
 
+def test_top_per_key_is_cut_before_the_shuffle(spark, folder):
+    for name in ("spread_sample", "set_error_element"):
+        plan = catalog.all_queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan and "Partial" in plan, name
+
+
 def test_filters_and_columns_reach_the_scan(spark, folder):
     plan = catalog.all_queries()["purpose_code"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "lineitem.parquet" in line)
