@@ -66,7 +66,7 @@ _ORDER_FILE = f"concat({_mapped('o_orderpriority', _PREFIX, 'manual-')}, o_order
 
 
 def _raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with their debtor; a third of the work is done before any line is read."""
+    """Orders with their debtor, joined before any line multiplies the rows."""
     orders, customer = read(spark, folder, "orders"), read(spark, folder, "customer")
     nation = read(spark, folder, "nation").select("n_nationkey", "n_regionkey")
     debtor = customer.join(nation, customer.c_nationkey == nation.n_nationkey)

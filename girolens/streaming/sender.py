@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, functions as F
 
 from girolens.functions import ids
+from girolens.functions.text import label
 from girolens.sources import events, state
 
 
@@ -24,9 +25,9 @@ def unsent(messages: DataFrame, sent_log: DataFrame) -> DataFrame:
 
 def schema_name(domain: Column, message_set: Column, names: dict[str, str]) -> Column:
     """Schema file name per ``domain.set``; ``unknown.xsd`` when there is none."""
-    from girolens.functions.text import label
-
-    return label(ids.schema_label(domain, message_set), names, "unknown.xsd") if names else F.lit("unknown.xsd")
+    if not names:
+        return F.lit("unknown.xsd")
+    return label(ids.schema_label(domain, message_set), names, "unknown.xsd")
 
 
 def send(
@@ -41,7 +42,7 @@ def send(
     log = state.read_table(spark, root, "sent_messages")
     now = F.lit(datetime.now(timezone.utc)).cast("timestamp")
     name = schema_name(F.col("domain"), F.col("message_set"), schemas or {})
-    new = unsent(messages.where(~F.col("oversize") | F.col("content").isNotNull()), log).persist()
+    new = unsent(messages, log).persist()
     try:
         publish(events.payloads(new, name, now))
         state.append(

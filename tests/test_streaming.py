@@ -112,8 +112,7 @@ def test_side_topics(run):
 def test_replay_of_a_batch_changes_nothing(spark, run):
     base, topic = run
     root = base / "state"
-    names = list(state.STATE) if hasattr(state, "STATE") else [
-        "processed_messages", "duplicate_events", "tampered_messages", "rule_violations"]
+    names = ["processed_messages", "duplicate_events", "tampered_messages", "rule_violations"]
     before = {n: table(spark, root, n, "message_id", "batch_id") for n in names}
     again = spark.read.schema(events.RECORD_DDL).json(str(topic.folder / "part-0001.json"))
     receiver.batch_writer(str(root), receiver.file_sink(str(root)), XSD, F.lit(AS_OF).cast("date"))(again, 1)
