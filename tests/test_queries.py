@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle
 from checks.compare import compare, connect
+from girolens import catalog
 
 
 @pytest.fixture(scope="module")
@@ -14,10 +16,10 @@ def con(folder):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(oracle.all_sql()) == set(catalog.all_queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.all_queries()))
 def test_query(spark, con, folder, name):
     assert compare(spark, con, folder, name) is None
 
