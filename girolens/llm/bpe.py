@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 LEAF = 4096
-_WHITE = frozenset("\\t\\n\\v\\f\\r \\x85\\xa0\\u1680\\u2028\\u2029\\u202f\\u205f\\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
+_WHITE = frozenset("\t\n\v\f\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
 
 
 @functools.lru_cache(1 << 14)
