@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from girolens.llm import bpe, url_filter
+from girolens.llm import bpe, decontaminate, near_dedup, quality, url_filter
 from girolens.llm.common import table
 
 #: The rules of the URL filter query.
@@ -23,15 +24,33 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("regions") > 0).alias("contaminated"), F.size("regions").cast("long").alias("n_regions"),
+                        F.array_sort(F.array_distinct("regions.item_id")).alias("item_ids"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link(table(spark, sf_dir, "documents"), n=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op5_quality": op5_quality,
+    "op6_decontamination": op6_decontamination,
     "op8_url_filter": op8_url_filter,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
