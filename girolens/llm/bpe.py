@@ -24,6 +24,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from girolens.llm.common import mapped
+
 LEAF = 4096
 _WHITE = frozenset("\t\n\v\f\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
 
@@ -170,4 +172,4 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks: str
                 yield pa.RecordBatch.from_arrays([part.column(0), *cells], names=names)
 
     names = [key, "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded"))]
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_tokens long, {rest}")
+    return mapped(docs.select(key, text), run, f"`{key}` {kind}, n_tokens long, {rest}")

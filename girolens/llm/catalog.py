@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from girolens.llm import bpe, decontaminate, near_dedup, quality, url_filter
+from girolens.llm import bpe, decontaminate, fingerprints, near_dedup, quality, token_blocks, url_filter
 from girolens.llm.common import table
 
 #: The rules of the URL filter query.
@@ -24,6 +24,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -45,12 +49,18 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.link(table(spark, sf_dir, "documents"), n=3, percent=85)
 
 
+def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_blocks.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op4_fingerprints": op4_fingerprints,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op8_url_filter": op8_url_filter,
     "op9_near_dedup": op9_near_dedup,
+    "op10_token_blocks": op10_token_blocks,
 }
 
 ORACLE: dict[str, str] = {

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text that the vectorised helpers look at in one go; a longer document is a block of its own.
 BLOCK_BYTES = 1 << 20
@@ -34,6 +37,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the modules of this package to the executors, once per application; they need not have them installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="llm-modules-")) / f"{package.name}-{context.applicationId}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in [package / "__init__.py", *sorted((package / "llm").glob("*.py"))]:
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """mapInArrow, after the executors got what `run` imports."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cuts the lineage of `df` with a checkpoint in the shared folder."""
     shared_folder(df.sparkSession)

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from girolens.llm.common import mapped
+
 Q = 8
 PIECE = 96
 STEP = 48
@@ -230,7 +232,7 @@ def find(docs: DataFrame, benchmark: DataFrame, chars: int = PASS_CHARS) -> Data
                     cells = pa.array([[dict(zip(keys, x, strict=True)) for x in r] for r in rows], plain)
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], cells], names=names)
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = mapped(docs, run, docs.schema)
     return docs.withColumn("regions", F.coalesce("regions", F.array().cast(kind)))
 
 

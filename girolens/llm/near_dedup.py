@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from girolens.llm.common import blocks, components, cut, mix, shingles, spans, words
+from girolens.llm.common import blocks, components, cut, mapped, mix, shingles, spans, words
 
 SYMBOLS = 64
 #: Members of a key that are compared with one another in one block.
@@ -79,7 +79,7 @@ def _prints(docs: DataFrame, n: int) -> DataFrame:
             cells = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cells], names=["doc_id", "n_shingles", "set_a", "set_b", "signature"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"),
         run, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
@@ -100,7 +100,7 @@ def _keys(classes: DataFrame, limit: int) -> DataFrame:
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + symbols[:, k])
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids)], names=["key", "id"])
 
-    return classes.select("id", "signature").mapInArrow(run, "key long, id long")
+    return mapped(classes.select("id", "signature"), run, "key long, id long")
 
 
 def _within(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
@@ -114,7 +114,7 @@ def _within(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
                 apart = (_matrix(batch.column(2)) != _matrix(batch.column(3))).sum(axis=1)
                 yield batch.select([0, 1]).filter(pa.array(apart <= limit))
 
-    return pairs.join(signed, "u").join(other, "v").select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
+    return mapped(pairs.join(signed, "u").join(other, "v").select("u", "v", "su", "sv"), run, "u long, v long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -178,7 +178,7 @@ def _crossing(members: DataFrame, limit: int) -> DataFrame:
             for part in pa.Table.from_batches(held).combine_chunks().to_batches():
                 yield pairs(part)
 
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    return mapped(dealt, run, "u long, v long").distinct()
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(packed, pa.binary())],
                                              names=["doc_id", "size", "packed"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, size long, packed binary")
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, size long, packed binary")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -211,7 +211,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep, pa.int64())), cells], names=["id", "found"])
 
     rows = _packed(docs).join(wanted.hint("SHUFFLE_HASH"), F.col("doc_id") == F.col("id"))
-    return rows.select("id", "size", "packed", "set_a", "set_b").mapInArrow(run, "id long, found array<long>").dropDuplicates(["id"])
+    return mapped(rows.select("id", "size", "packed", "set_a", "set_b"), run, "id long, found array<long>").dropDuplicates(["id"])
 
 
 def link(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

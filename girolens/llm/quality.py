@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girolens.llm.common import blocks, spans, words
+from girolens.llm.common import blocks, mapped, spans, words
 
 #: Labelled rows that a model is fitted on: those with the smallest hash of their id.
 SAMPLE_ROWS = 20_000
@@ -161,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Trees:
             cells = [pa.array(list(x), pa.list_(pa.float64())), batch.column(1).cast(pa.int32())]
             yield pa.RecordBatch.from_arrays(cells, names=["x", "y"])
 
-    found = texts.mapInArrow(run, "x array<double>, y int").orderBy("y", "x").toArrow()
+    found = mapped(texts, run, "x array<double>, y int").orderBy("y", "x").toArrow()
     x = np.array(found.column("x").to_pylist(), float).reshape(-1, FEATURES)
     return grow(x, (found.column("y").to_numpy() > 0).astype(float))
 
@@ -174,7 +174,7 @@ def score(docs: DataFrame, trees: Trees, at: float = 0.3) -> DataFrame:
             scores = trees.scores(statistics(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
 
-    scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+    scored = mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= at).cast("int").alias("predicted"))
 
@@ -188,4 +188,4 @@ def keep(docs: DataFrame, trees: Trees, at: float = 0.3) -> DataFrame:
             at_text = batch.schema.get_field_index("text")
             yield batch.filter(pa.array(trees.scores(statistics(batch.column(at_text))) >= at))
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)
