@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from girolens.llm import bpe, decontaminate, fingerprints, near_dedup, quality, token_blocks, url_filter
+from girolens.llm import bpe, decontaminate, fingerprints, near_dedup, quality, suffix_dedup, token_blocks, url_filter
 from girolens.llm.common import table
 
 #: The rules of the URL filter query.
@@ -39,6 +39,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_sort(F.array_distinct("regions.item_id")).alias("item_ids"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_near_dedup": op9_near_dedup,
     "op10_token_blocks": op10_token_blocks,
