@@ -6,10 +6,11 @@ but for a chance of about one in a million. Signatures are split into chunks suc
 budget has one wrong symbol at most (pigeonhole). For every chunk, each way to leave one symbol out gives a key, so all
 pairs within the budget share a key. Texts with equal sets collapse into one class before that.
 
-Pairs are not listed within a key. First every class is compared with the smallest class that shares a key with it;
-links that full sets confirm give components. Keys whose members are all in one component are done. In the others,
-pairs from different components are compared by signature in blocks of a bounded size, and those within the budget on
-full sets. So no link between different texts that would change a component is missed.
+Pairs are not listed within a key. Every class is compared with the smallest classes of its keys, and the nearest one
+by signature on full sets; confirmed links give components. Keys whose members are all in one component are done. In
+the others, pairs from different components are left. Small keys list them; in large ones, only pairs that share one of
+their rarest shingles can reach the threshold. What is within the budget is confirmed on full sets. So no link between
+different texts that would change a component is missed.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from girolens.llm.common import blocks, components, cut, mapped, mix, shingles, spans, words
 
 SYMBOLS = 64
-#: Members of a key that are compared with one another in one block.
-BLOCK = 1024
+#: Keys of more members find their remaining pairs by rare shingles; those of fewer list them.
+SMALL = 16
 _SIGMAS = 4.7
 _rng = np.random.default_rng(20240917)
 _A = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -104,7 +105,7 @@ def _keys(classes: DataFrame, limit: int) -> DataFrame:
 
 
 def _within(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
-    """The pairs (u, v) whose signatures differ in `limit` symbols at most."""
+    """The pairs (u, v) whose signatures differ in `limit` symbols at most, with the number of them."""
     signed = classes.select(F.col("id").alias("u"), F.col("signature").alias("su"))
     other = classes.select(F.col("id").alias("v"), F.col("signature").alias("sv"))
 
@@ -112,9 +113,10 @@ def _within(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 apart = (_matrix(batch.column(2)) != _matrix(batch.column(3))).sum(axis=1)
-                yield batch.select([0, 1]).filter(pa.array(apart <= limit))
+                cells = [batch.column(0), batch.column(1), pa.array(apart, pa.int32())]
+                yield pa.RecordBatch.from_arrays(cells, names=["u", "v", "apart"]).filter(pa.array(apart <= limit))
 
-    return mapped(pairs.join(signed, "u").join(other, "v").select("u", "v", "su", "sv"), run, "u long, v long")
+    return mapped(pairs.join(signed, "u").join(other, "v").select("u", "v", "su", "sv"), run, "u long, v long, apart int")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -127,58 +129,31 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("u", "v")
 
 
-def _crossing(members: DataFrame, limit: int) -> DataFrame:
-    """Pairs of one key from different components within the budget.
+def _crossing(members: DataFrame) -> DataFrame:
+    """Pairs of one key from different components; keys have SMALL members at most."""
+    left = members.select("key", F.col("id").alias("u"), F.col("component").alias("cu"))
+    right = members.select("key", F.col("id").alias("v"), F.col("component").alias("cv"))
+    return left.join(right, "key").where("u > v AND cu != cv").select("u", "v").distinct()
 
-    `members` has key, id, component, signature and size (members of the key). Keys of more than BLOCK members are
-    dealt to blocks by a hash of the id, and every pair of blocks is a group of its own.
-    """
-    many = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), many).cast("int")
-    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), many - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                         "own", "id", "component", "signature")
-    dealt = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
-
-    def pairs(batch: pa.RecordBatch | pa.Table) -> pa.RecordBatch:
-        col = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("key", "low", "high", "own", "id", "component")}
-        symbols = _matrix(batch.column("signature"))
-        us, vs, n, step = [], [], batch.num_rows, 1
-        alive = np.arange(n - 1)
-        while len(alive):
-            j = alive + step
-            same = (col["key"][alive] == col["key"][j]) & (col["low"][alive] == col["low"][j]) & (col["high"][alive] == col["high"][j])
-            alive, j = alive[same], j[same]
-            want = (col["component"][alive] != col["component"][j]) & (
-                (col["low"][alive] == col["high"][alive]) | (col["own"][alive] != col["own"][j]))
-            a, b = alive[want], j[want]
-            near = (symbols[a] != symbols[b]).sum(axis=1) <= limit
-            us.append(col["id"][a[near]])
-            vs.append(col["id"][b[near]])
-            step += 1
-            alive = alive[alive + step < n]
-        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # a group of two blocks at most goes on in the next batch
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, low, high = (batch.column(c).to_numpy() for c in ("key", "low", "high"))
-            last = int(np.flatnonzero((key != key[-1]) | (low != low[-1]) | (high != high[-1])).max(initial=-1)) + 1
-            if last == 0 and held and tuple(held[-1].slice(held[-1].num_rows - 1).select(["key", "low", "high"]).to_pylist()[0].values()) == (key[-1], low[-1], high[-1]):
-                held.append(batch)
-                continue
-            done = pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks()
-            for part in done.to_batches():
-                yield pairs(part)
-            held = [batch.slice(last)]
-        if held:
-            for part in pa.Table.from_batches(held).combine_chunks().to_batches():
-                yield pairs(part)
-
-    return mapped(dealt, run, "u long, v long").distinct()
+def _rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs from different components that share one of their rarest shingles.
+
+    A set of n shingles keeps its n - ceil(n percent / 100) + 1 rarest. Two sets that reach the threshold have one of
+    these in common, whatever the order, as long as it is the same for all (here: by frequency, then by hash). In a
+    group of near copies what all of them share is frequent, so members whose own changes are too many meet nobody.
+    """
+    homes = members.select("id", "component").distinct()
+    tokens = sets.join(homes.select("id"), "id").select("id", F.size("found").alias("n"), F.explode("found").alias("token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("often"))
+    ranked = tokens.join(often, "token").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("all"))
+    most = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    first = ranked.select("id", "n", F.explode(F.slice("all", F.lit(1), most.cast("int"))).alias("t")).where("t.often > 1")
+    first = first.join(homes, "id").select("id", "n", "component", F.col("t.token").alias("token"))
+    left = first.select("token", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
+    right = first.select("token", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"))
+    near = (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (F.col("u") > F.col("v")) & (F.col("cu") != F.col("cv"))
+    return left.join(right, "token").where(near).select("u", "v").distinct()
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -236,14 +211,16 @@ def link(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     sets = cut(_full_sets(docs, wanted, n))
 
     stars = members.where("id > leader").select(F.col("id").alias("u"), F.col("leader").alias("v")).distinct()
-    stars = _within(stars, classes, limit).groupBy("u").agg(F.min("v").alias("v"))
+    stars = _within(stars, classes, limit).groupBy("u").agg(F.min(F.struct("apart", "v")).alias("best"))
+    stars = stars.select("u", F.col("best.v").alias("v"))
     edges = cut(_confirmed(stars, sets, percent))
     found = components(edges)
     told = members.join(found, members["id"] == found["node"], "left").select(
         "key", "id", "size", F.coalesce("component", "id").alias("component"))
     mixed = told.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
-    rest = told.join(mixed, "key").join(classes.select("id", "signature"), "id")
-    more = cut(_confirmed(_crossing(rest, limit), sets, percent))
+    rest = cut(told.join(mixed, "key"))
+    pairs = _crossing(rest.where(F.col("size") <= SMALL)).unionByName(_rare(rest.where(F.col("size") > SMALL), sets, percent))
+    more = cut(_confirmed(_within(pairs.distinct(), classes, limit).select("u", "v"), sets, percent))
     found = components(edges.unionByName(more))
 
     homes = classes.select("set_a", "set_b", "id").join(found, F.col("id") == F.col("node"), "left").select(
