@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from girolens.llm import bpe, decontaminate, fingerprints, near_dedup, quality, suffix_dedup, token_blocks, url_filter
+from girolens.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    fingerprints,
+    html_wrappers,
+    near_dedup,
+    quality,
+    suffix_dedup,
+    token_blocks,
+    url_filter,
+)
 from girolens.llm.common import table
 
 #: The rules of the URL filter query.
@@ -20,10 +31,18 @@ URL_RULES = [
 ]
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+def op3_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(table(spark, sf_dir, "documents"))
 
@@ -58,7 +77,9 @@ def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
+    "op3_html_wrappers": op3_html_wrappers,
     "op4_fingerprints": op4_fingerprints,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,

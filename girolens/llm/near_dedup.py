@@ -230,3 +230,19 @@ def link(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     component = F.coalesce("component", "doc_id")
     return told.select("doc_id", "n_shingles", component.alias("component_id"),
                        F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def keep(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, one for each component, with all their columns.
+
+    Of rows with equal doc_id the smallest stays (by text, then the other columns). Rows with a null doc_id all stay.
+    """
+    told = link(docs, n, percent).where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("k_id")).agg(F.count("*").alias("k_n"))
+    told = cut(told)
+    rows = docs.join(told.hint("SHUFFLE_HASH"), F.col("doc_id") == F.col("k_id"))
+    names = ["text", *(c for c in docs.columns if c != "text")]
+    several = rows.where("k_n > 1").groupBy("k_id").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in names])).alias("row"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return (rows.where("k_n = 1").select(*columns)
+            .unionByName(several.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
+            .unionByName(docs.where(F.col("doc_id").isNull())))
