@@ -8,7 +8,8 @@ pairs within the budget share a key. Texts with equal sets collapse into one cla
 
 Pairs are not listed within a key. Every class is compared with the smallest classes of its keys, and the nearest one
 by signature on full sets; confirmed links give components. Keys whose members are all in one component are done. In
-the others, pairs from different components are left. Small keys list them; in large ones, only pairs that share one of
+the others, members meet chosen members of other components in a few turns, which joins most of what belongs together.
+Then all pairs from different components are left: small keys list them; in large ones, only pairs that share one of
 their rarest shingles can reach the threshold. What is within the budget is confirmed on full sets. So no link between
 different texts that would change a component is missed.
 """
@@ -28,10 +29,18 @@ from girolens.llm.common import blocks, components, cut, mapped, mix, shingles,
 SYMBOLS = 64
 #: Keys of more members find their remaining pairs by rare shingles; those of fewer list them.
 SMALL = 16
+#: Members that are compared with one another in one block of `_rare`.
+BLOCK = 1024
+#: Symbols of one byte of the signatures there.
+LONG = 256
+#: Turns in which members meet chosen members of other components, and the share of keys that one turn looks at.
+TURNS, KEYS_A_TURN = 4, 8
 _SIGMAS = 4.7
 _rng = np.random.default_rng(20240917)
 _A = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
+_LONG_A = _rng.integers(0, 1 << 63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LONG_B = _rng.integers(0, 1 << 63, LONG, dtype=np.uint64)
 
 
 def budget(percent: int) -> int:
@@ -46,13 +55,26 @@ def patterns(limit: int) -> list[np.ndarray]:
     return [np.delete(c, i) for c in chunks for i in range(len(c))]
 
 
-def signature(found: np.ndarray) -> np.ndarray:
-    """The signature of a set of shingle hashes."""
-    low = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
+def _long_budget(percent: int) -> int:
+    p = 1 - percent / 100
+    return math.ceil(LONG * p + _SIGMAS * math.sqrt(LONG * p * (1 - p)))
+
+
+def _lowest(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    low = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(found), 4096):
         part = found[i : i + 4096]
-        low = np.minimum(low, (part[None, :] * _A[:, None] + _B[:, None]).min(axis=1))
-    return mix(low).astype(np.uint16)
+        low = np.minimum(low, (part[None, :] * a[:, None] + b[:, None]).min(axis=1))
+    return mix(low)
+
+
+def signature(found: np.ndarray) -> np.ndarray:
+    """The signature of a set of shingle hashes."""
+    return _lowest(found, _A, _B).astype(np.uint16)
+
+
+def long_signature(found: np.ndarray) -> np.ndarray:
+    return _lowest(found, _LONG_A, _LONG_B).astype(np.uint8)
 
 
 def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -137,23 +159,82 @@ def _crossing(members: DataFrame) -> DataFrame:
 
 
 def _rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs from different components that share one of their rarest shingles.
+    """Pairs from different components that share one of their rarest shingles, if a long signature allows them.
 
-    A set of n shingles keeps its n - ceil(n percent / 100) + 1 rarest. Two sets that reach the threshold have one of
-    these in common, whatever the order, as long as it is the same for all (here: by frequency, then by hash). In a
-    group of near copies what all of them share is frequent, so members whose own changes are too many meet nobody.
+    Sets of n and m shingles that reach the threshold share at least a = ceil(p (n + m) / (100 + p)) of them. Put both
+    in one order (by frequency, then by hash): the first shingle that they share has at least a - 1 behind it in both.
+    So only first parts of the sets are dealt out by shingle. In a group of near copies what all of them share is
+    frequent and stands last. A pair is looked at where its first shared shingle is, by signatures of LONG symbols,
+    and only what these allow becomes a row. Frequent shingles are dealt to pairs of blocks of BLOCK members.
     """
     homes = members.select("id", "component").distinct()
     tokens = sets.join(homes.select("id"), "id").select("id", F.size("found").alias("n"), F.explode("found").alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("often"))
     ranked = tokens.join(often, "token").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("all"))
     most = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    first = ranked.select("id", "n", F.explode(F.slice("all", F.lit(1), most.cast("int"))).alias("t")).where("t.often > 1")
-    first = first.join(homes, "id").select("id", "n", "component", F.col("t.token").alias("token"))
-    left = first.select("token", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
-    right = first.select("token", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"))
-    near = (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (F.col("u") > F.col("v")) & (F.col("cu") != F.col("cv"))
-    return left.join(right, "token").where(near).select("u", "v").distinct()
+    first = ranked.select("id", "n", F.slice("all", F.lit(1), most.cast("int")).alias("first"))
+    first = first.join(homes, "id").join(sets.select("id", "long"), "id")
+    dealt = first.select("id", "n", "component", "long", F.col("first.token").alias("first"), F.explode("first").alias("t")).where("t.often > 1")
+    many = F.ceil(F.col("t.often") / BLOCK).cast("int")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), many).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), many - 1)))
+    group = ["token", "low", "high"]
+    dealt = dealt.select(F.col("t.token").alias("token"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                         "own", "id", "n", "component", "long", "first")
+    dealt = dealt.repartition(*group).sortWithinPartitions(*group, "id")
+    allowed = _long_budget(percent)
+
+    def pairs(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        token = rows.column("token")[0].as_py()
+        ids, n, home, own = (rows.column(c).to_numpy() for c in ("id", "n", "component", "own"))
+        low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
+        long = np.frombuffer(b"".join(rows.column("long").to_pylist()), np.uint8).reshape(-1, LONG)
+        firsts = [x.tolist() for x in rows.column("first").to_numpy(zero_copy_only=False)]
+        at = np.array([f.index(token) for f in firsts])
+        us, vs = [], []
+        for i in range(len(ids) - 1):
+            j = np.arange(i + 1, len(ids))
+            need = -(-percent * (n[i] + n[j]) // (100 + percent))
+            j = j[(home[j] != home[i]) & ((low == high) | (own[j] != own[i])) & (np.minimum(n[i] - at[i], n[j] - at[j]) >= need)]
+            j = j[(long[j] != long[i]).sum(axis=1) <= allowed]
+            before = set(firsts[i][: at[i]])
+            for k in j.tolist():
+                if before.isdisjoint(firsts[k][: at[k]]):
+                    us.append(max(ids[i], ids[k]))
+                    vs.append(min(ids[i], ids[k]))
+        return np.array(us, np.int64), np.array(vs, np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the rows of a group, two blocks at most, may go on in the next batch
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in group), strict=True))
+            edges = [0, *(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                part = batch.slice(a, b - a)
+                if held and keys[a] != tuple(held[0].column(c)[0].as_py() for c in group):
+                    yield _pair_rows(*pairs(_one(held)))
+                    held = []
+                if b - a:
+                    held.append(part)
+        if held:
+            yield _pair_rows(*pairs(_one(held)))
+
+    return mapped(dealt, run, "u long, v long").distinct()
+
+
+def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def _pair_rows(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+
+def _sampled(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (u, v) of different components: a member of every KEYS_A_TURN-th key with the one that a hash chooses there."""
+    some = members.where(F.pmod(F.xxhash64("key"), F.lit(KEYS_A_TURN)) == turn % KEYS_A_TURN)
+    chosen = some.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key", F.lit(turn)).alias("h"), "id", "component")).alias("c"))
+    met = some.join(chosen, "key").where(F.col("component") != F.col("c.component"))
+    return met.select(F.col("id").alias("u"), F.col("c.id").alias("v")).distinct()
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -171,7 +252,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(id, found) for the classes in `wanted` (id, set_a, set_b), from their whole texts."""
+    """(id, found, long) for the classes in `wanted` (id, set_a, set_b), from their whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
@@ -182,11 +263,12 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                          zip(part.column(2).to_pylist(), part.column(1).to_pylist(), strict=True)]
                 found = list(_sets(pa.array(texts, pa.large_string()), n))
                 keep = [i for i, s in enumerate(found) if _identity(s) == (part.column(3)[i].as_py(), part.column(4)[i].as_py())]
-                cells = pa.array([found[i].view(np.int64) for i in keep], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep, pa.int64())), cells], names=["id", "found"])
+                cells = [pa.array([found[i].view(np.int64) for i in keep], pa.list_(pa.int64())),
+                         pa.array([long_signature(found[i]).tobytes() for i in keep], pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep, pa.int64())), *cells], names=["id", "found", "long"])
 
     rows = _packed(docs).join(wanted.hint("SHUFFLE_HASH"), F.col("doc_id") == F.col("id"))
-    return mapped(rows.select("id", "size", "packed", "set_a", "set_b"), run, "id long, found array<long>").dropDuplicates(["id"])
+    return mapped(rows.select("id", "size", "packed", "set_a", "set_b"), run, "id long, found array<long>, long binary").dropDuplicates(["id"])
 
 
 def link(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -214,14 +296,20 @@ def link(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     stars = _within(stars, classes, limit).groupBy("u").agg(F.min(F.struct("apart", "v")).alias("best"))
     stars = stars.select("u", F.col("best.v").alias("v"))
     edges = cut(_confirmed(stars, sets, percent))
+    for turn in range(TURNS + 1):
+        found = components(edges)
+        told = members.join(found, members["id"] == found["node"], "left").select(
+            "key", "id", "size", F.coalesce("component", "id").alias("component"))
+        mixed = told.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
+        rest = cut(told.join(mixed, "key"))
+        if turn < TURNS:
+            pairs = _within(_sampled(rest, turn), classes, limit).groupBy("u").agg(F.min(F.struct("apart", "v")).alias("best"))
+            pairs = pairs.select("u", F.col("best.v").alias("v"))
+        else:
+            pairs = _crossing(rest.where(F.col("size") <= SMALL)).unionByName(_rare(rest.where(F.col("size") > SMALL), sets, percent))
+            pairs = _within(pairs.distinct(), classes, limit).select("u", "v")
+        edges = cut(edges.unionByName(_confirmed(pairs, sets, percent)))
     found = components(edges)
-    told = members.join(found, members["id"] == found["node"], "left").select(
-        "key", "id", "size", F.coalesce("component", "id").alias("component"))
-    mixed = told.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
-    rest = cut(told.join(mixed, "key"))
-    pairs = _crossing(rest.where(F.col("size") <= SMALL)).unionByName(_rare(rest.where(F.col("size") > SMALL), sets, percent))
-    more = cut(_confirmed(_within(pairs.distinct(), classes, limit).select("u", "v"), sets, percent))
-    found = components(edges.unionByName(more))
 
     homes = classes.select("set_a", "set_b", "id").join(found, F.col("id") == F.col("node"), "left").select(
         F.col("set_a").alias("a"), F.col("set_b").alias("b"), F.coalesce("component", "id").alias("component"))
@@ -239,10 +327,7 @@ def keep(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """
     told = link(docs, n, percent).where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("k_id")).agg(F.count("*").alias("k_n"))
     told = cut(told)
-    rows = docs.join(told.hint("SHUFFLE_HASH"), F.col("doc_id") == F.col("k_id"))
-    names = ["text", *(c for c in docs.columns if c != "text")]
-    several = rows.where("k_n > 1").groupBy("k_id").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in names])).alias("row"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return (rows.where("k_n = 1").select(*columns)
-            .unionByName(several.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
-            .unionByName(docs.where(F.col("doc_id").isNull())))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = rows.join(told.hint("SHUFFLE_HASH"), F.col("id") == F.col("k_id"))
+    several = found.where("k_n > 1").groupBy("k_id").agg(F.min(F.struct("row.text", "row")).alias("least")).select("least.row")
+    return found.where("k_n = 1").select("row").unionByName(several).unionByName(rows.where("id IS NULL").select("row")).select("row.*")
