@@ -33,9 +33,9 @@ WINDOW = 50
 GRAM = 20
 _WIDE = WINDOW - GRAM + 1  # q-grams of a window
 #: Bytes of a block of documents.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 #: Bytes of windows that are ordered at once within a block of documents.
-LOCAL_BYTES = 8 << 20
+LOCAL_BYTES = 2 << 20
 #: Positions that the queues of one order keep in memory before they go to disk.
 QUEUED = 32 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -200,6 +200,19 @@ def _unpacked(sizes: list[int], packed: list[bytes | None]) -> tuple[np.ndarray,
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
 
 
+def _bounds(*columns: np.ndarray) -> list[tuple[int, int]]:
+    """[i, j) of each run of rows that are equal in all columns."""
+    n = len(columns[0])
+    if not n:
+        return []
+    new = np.zeros(n, bool)
+    new[0] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(new)
+    return list(zip(first.tolist(), [*first[1:].tolist(), n], strict=True))
+
+
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of (doc_id, a, size, ...) cut into blocks of documents that fit in memory and 16-bit row numbers."""
     for batch in batches:
@@ -266,14 +279,11 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
             # a text's anchors that other texts of this block have ride along as they are
             order = np.argsort(row[several], kind="stable")
             r, x = row[several][order], h[several][order]
-            edges = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])) if len(r) else np.zeros(0, np.int64)
-            out = [(int(ids[r[e]]) % shards, int(ids[r[e]]), int(digests[r[e]]), x[e:f].tobytes())
-                   for e, f in zip(edges, [*edges[1:], len(r)], strict=True)]
+            out = [(int(ids[r[e]]) % shards, int(ids[r[e]]), int(digests[r[e]]), x[e:f].tobytes()) for e, f in _bounds(r)]
             shard = (h[first] % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             r, x, many, shard = row[first][order], h[first][order] // np.uint64(shards), several[first][order], shard[order]
-            edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else np.zeros(0, np.int64)
-            for e, f in zip(edges, [*edges[1:], len(r)], strict=True):
+            for e, f in _bounds(shard):
                 used, place = np.unique(r[e:f], return_inverse=True)
                 bits = x[e:f].view(np.uint8).reshape(-1, 8)[:, :_HASH_BYTES]
                 data = b"".join([np.array([len(used), f - e], "<u4").tobytes(), np.diff(ids[used], prepend=0).astype("<i8").tobytes(),
@@ -311,12 +321,8 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
         ids, digests, hashes = ids[wanted], digests[wanted], hashes[wanted]
         order = np.lexsort((digests, ids))
         ids, digests, hashes = ids[order], digests[order], hashes[order]
-        if not len(ids):
-            return []
-        edges = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (digests[1:] != digests[:-1])]))
-        mark = np.array([shard], np.uint64)
-        return [(int(ids[e]), int(digests[e]), b"S" + mark.tobytes() + hashes[e:f].tobytes())
-                for e, f in zip(edges, [*edges[1:], len(ids)], strict=True)]
+        mark = b"S" + np.array([shard], np.uint64).tobytes()
+        return [(int(ids[e]), int(digests[e]), mark + hashes[e:f].tobytes()) for e, f in _bounds(ids, digests)]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -490,7 +496,7 @@ def removals(docs: DataFrame, texts: bool = False) -> DataFrame:
     anything. Rows of equal doc_id take nothing from each other; repeated rows give repeated rows.
     """
     rest = [c for c in docs.columns if c != "text"] if texts else ["doc_id"]
-    shards, many = 4 * width(docs), width(docs)
+    shards, many = 8 * width(docs), width(docs)
     known = docs.where(F.col("doc_id").isNotNull())
     base = _texts(known, rest).repartition(many, "doc_id")
     copies = _firsts(known).withColumnRenamed("doc_id", "c_id")
