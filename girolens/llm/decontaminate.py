@@ -31,6 +31,7 @@ PASS_CHARS = 8_000_000
 _SEGMENT = 1 << 18
 _OVERLAP = 512
 _BETWEEN = np.uint32(0x7FFFFFFF)
+_BIAS = 1 << 30  # keeps starts positive where they share a number with costs
 _BASE = 0x9E3779B97F4A7C15
 _FOLD = np.arange(128, dtype=np.uint32)
 _FOLD[65:91] += 32
@@ -103,7 +104,7 @@ def _align(ix: Index, text: np.ndarray, piece: np.ndarray, low: np.ndarray, wide
     """Fewest edits of each piece against `text` on the diagonals low to low + wide - 1, with start and end there."""
     n, cells = len(piece), np.arange(wide)
     cost = np.zeros((n, wide), np.int64)
-    begin = low[:, None] + cells
+    begin = low[:, None] + cells + _BIAS
     best, best_end = np.full(n, 1 << 20), np.zeros(n, np.int64)
     best_begin = np.zeros(n, np.int64)
     for i in range(int(ix.size[piece].max())):
@@ -117,12 +118,11 @@ def _align(ix: Index, text: np.ndarray, piece: np.ndarray, low: np.ndarray, wide
         new = np.minimum(across, skip) - cells * (1 << 40)
         new = np.minimum.accumulate(new, axis=1) + cells * (1 << 40)
         cost, begin = new >> 40, new & ((1 << 40) - 1)
-        begin = np.where(begin >= 1 << 39, begin - (1 << 40), begin)
         done = np.flatnonzero(ix.size[piece] == i + 1)
         if len(done):
             cell = cost[done].argmin(axis=1)
             best[done] = cost[done, cell]
-            best_begin[done] = begin[done, cell]
+            best_begin[done] = begin[done, cell] - _BIAS
             best_end[done] = low[done] + cell + i + 1
     return best, best_begin, best_end
 
@@ -207,16 +207,15 @@ def _indexes(benchmark: DataFrame, chars: int) -> Iterator[Index]:
             yield ix
 
 
-def find(docs: DataFrame, benchmark: DataFrame, chars: int = PASS_CHARS) -> DataFrame:
-    """One row per row of `docs`: its columns, and `regions`: array of (item_id, start, end, edits), empty if clean.
+_REGIONS = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:bigint>>"
 
-    Positions are code points of the whole text. Null and empty texts have no regions; benchmark rows with a null id
-    or text, and items under LEAST characters, match nothing; an empty benchmark leaves every document clean. A
-    benchmark of more than `chars` characters is taken in several passes over the documents.
-    """
-    kind = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:bigint>>"
-    plain = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "start", "end", "edits")]))
-    docs = docs.drop("regions").withColumn("regions", F.lit(None).cast(kind))
+
+def _found(docs: DataFrame, benchmark: DataFrame, chars: int) -> DataFrame:
+    """(row, text, regions): the columns of `docs` in a struct, so that none of their names clashes."""
+    fields = ("item_id", "start", "end", "edits")
+    plain = pa.list_(pa.struct([(n, pa.int64()) for n in fields]))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = docs.select(row, F.coalesce("text", F.lit("")).alias("text"), F.lit(None).cast(_REGIONS).alias("regions"))
     for ix in _indexes(benchmark, chars):
         shared = docs.sparkSession.sparkContext.broadcast(ix)
 
@@ -224,18 +223,27 @@ def find(docs: DataFrame, benchmark: DataFrame, chars: int = PASS_CHARS) -> Data
             for batch in batches:
                 for low in range(0, batch.num_rows, 512):
                     part = batch.slice(low, 512)
-                    names = part.schema.names
-                    found = regions(shared.value, [t or "" for t in part.column(names.index("text")).to_pylist()])
-                    before = part.column(names.index("regions")).to_pylist()
-                    keys = ("item_id", "start", "end", "edits")
-                    rows = [sorted({*(tuple(x.values()) for x in b or ()), *f}) for b, f in zip(before, found, strict=True)]
-                    cells = pa.array([[dict(zip(keys, x, strict=True)) for x in r] for r in rows], plain)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], cells], names=names)
+                    new = regions(shared.value, part.column(1).to_pylist())
+                    rows = [sorted({*(tuple(x.values()) for x in b or ()), *f}) for b, f in zip(part.column(2).to_pylist(), new, strict=True)]
+                    cells = pa.array([[dict(zip(fields, x, strict=True)) for x in r] for r in rows], plain)
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), cells], names=["row", "text", "regions"])
+
+        found = mapped(found, run, found.schema)
+    return found.withColumn("regions", F.coalesce("regions", F.array().cast(_REGIONS)))
 
-        docs = mapped(docs, run, docs.schema)
-    return docs.withColumn("regions", F.coalesce("regions", F.array().cast(kind)))
+
+def find(docs: DataFrame, benchmark: DataFrame, chars: int = PASS_CHARS) -> DataFrame:
+    """One row per row of `docs`: its columns, and `regions`: array of (item_id, start, end, edits), empty if clean.
+
+    Positions are code points of the whole text. Null and empty texts have no regions; benchmark rows with a null id
+    or text, and items under LEAST characters, match nothing; an empty benchmark leaves every document clean. Repeated
+    rows give repeated rows. A column `regions` of `docs` is replaced. A benchmark of more than `chars` characters is
+    taken in several passes over the documents.
+    """
+    columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "regions"]
+    return _found(docs, benchmark, chars).select(*columns, "regions")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, chars: int = PASS_CHARS) -> DataFrame:
     """The rows of `docs` without a region, with all their columns."""
-    return find(docs, benchmark).where(F.size("regions") == 0).drop("regions")
+    return _found(docs, benchmark, chars).where(F.size("regions") == 0).select("row.*")
