@@ -4,8 +4,10 @@ Windows of 50 bytes are found equal by suffix order. No suffix array of the whol
 
 1. Copies of a whole text collapse to the one with the smallest id; the others are removed as a whole.
 2. Every window has an anchor, its smallest q-gram by hash. Equal windows have equal anchors, so only windows whose
-   anchor occurs in two different texts go on. Anchors are dealt to shards by hash. Each block of documents sends one
-   entry per anchor at most, so a passage that a third of all documents hold costs a shard one entry per block.
+   anchor occurs in two different texts go on. The 15 bytes on one side of the anchor belong to the window too, so a
+   byte of hash for each side has to agree as well. Anchors are dealt to shards by hash. Each block of documents sends
+   one entry per anchor and sides at most, so a passage that a third of all documents hold costs a shard one entry per
+   block.
 3. The windows that are left are ordered by induced sorting, first within each block of documents. What has an earlier
    copy in its own block is marked there; only the earliest copy of a window goes to the shard of its anchor, where
    the same is done for the windows of all blocks.
@@ -32,6 +34,7 @@ from girolens.llm.common import blocks, cut, mapped, mix, width
 WINDOW = 50
 GRAM = 20
 _WIDE = WINDOW - GRAM + 1  # q-grams of a window
+_SIDE = (WINDOW - GRAM) // 2  # bytes that a window has on one side of its anchor at least
 #: Bytes of a block of documents.
 BLOCK_BYTES = 8 << 20
 #: Bytes of windows that are ordered at once within a block of documents.
@@ -39,7 +42,7 @@ LOCAL_BYTES = 2 << 20
 #: Positions that the queues of one order keep in memory before they go to disk.
 QUEUED = 32 << 20
 _BASE = 0x9E3779B97F4A7C15
-_HASH_BYTES = 5
+_HASH_BYTES = 4
 
 
 class _Queue:
@@ -151,12 +154,15 @@ def repeats(text: np.ndarray, allowed: np.ndarray, owner: np.ndarray) -> np.ndar
     return found
 
 
-def _anchors(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of window starts with one anchor: row, first start, last start (in `text`), hash of the anchor."""
+def _anchors(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of window starts with one anchor: row, first start, last start (in `text`), hash of the anchor, and its
+    sides: a byte of hash (never 0) for the bytes before it in the high byte, for those behind it in the low byte, or 0
+    where the text has too few of them."""
     n = len(text)
     empty = np.zeros(0, np.int64)
+    nothing = empty, empty, empty, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     if n < WINDOW:
-        return empty, empty, empty, np.zeros(0, np.uint64)
+        return nothing
     powers: dict[int, np.ndarray] = {1: text.astype(np.uint64) + np.uint64(1)}
     size = 1
     while size < 16:
@@ -178,19 +184,44 @@ def _anchors(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     valid = np.arange(len(anchor)) + WINDOW <= at[row + 1]
     start = np.flatnonzero(valid)
     if not len(start):
-        return empty, empty, empty, np.zeros(0, np.uint64)
+        return nothing
     new = np.concatenate([[True], (anchor[start[1:]] != anchor[start[:-1]]) | (row[start[1:]] != row[start[:-1]]) | (np.diff(start) != 1)])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
-    return row[start[first]], start[first], start[last], h[anchor[start[first]]]
+    row, a = row[start[first]], anchor[start[first]]
+    eight = powers[8]
+
+    def side(begin: np.ndarray, there: np.ndarray) -> np.ndarray:
+        i = np.clip(begin, 0, n - _SIDE)
+        x = mix(eight[i] * np.uint64(_BASE) + eight[i + _SIDE - 8])
+        return np.where(there, x % np.uint64(255) + np.uint64(1), np.uint64(0))
+
+    before = side(a - _SIDE, a - _SIDE >= at[row])
+    behind = side(a + GRAM, a + GRAM + _SIDE <= at[row + 1])
+    return row, start[first], start[last], h[a], (before << np.uint64(8)) | behind
+
+
+def _elsewhere(h: np.ndarray, sides: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Which anchors another owner has too, with the same bytes on one side at least."""
+    out = np.zeros(len(h), bool)
+    for side in (sides >> np.uint64(8), sides & np.uint64(255)):
+        there = np.flatnonzero(side)
+        key = mix(h[there] * np.uint64(_BASE) + side[there])
+        order = np.argsort(key, kind="stable")
+        if len(order):
+            first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+            o = owner[there][order]
+            differs = np.minimum.reduceat(o, first) != np.maximum.reduceat(o, first)
+            out[there[order]] |= np.repeat(differs, np.diff(np.append(first, len(order))))
+    return out
 
 
-def _runs(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _runs(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     """As `_anchors`, in parts that stay small."""
     parts = []
     for i, j in blocks(at):
-        row, first, last, h = _anchors(text[at[i] : at[j]], at[i : j + 1] - at[i])
-        parts.append((row + i, first + at[i], last + at[i], h))
+        row, first, last, h, sides = _anchors(text[at[i] : at[j]], at[i : j + 1] - at[i])
+        parts.append((row + i, first + at[i], last + at[i], h, sides))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else _anchors(text[:0], at[:1])
 
 
@@ -268,27 +299,22 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
         for batch in _parts(batches):
             ids, digests = (batch.column(c).to_numpy() for c in (0, 1))
             text, at = _unpacked(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            row, _, _, h = _runs(text, at)
-            order = np.lexsort((row, h))
-            row, h = row[order], h[order]
-            once = np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])[: len(h)]
-            row, h = row[once], h[once]
-            first = np.concatenate([[True], h[1:] != h[:-1]])[: len(h)]
-            group = np.cumsum(first) - 1
-            several = np.bincount(group)[group] > 1 if len(h) else np.zeros(0, bool)
+            row, _, _, h, sides = _runs(text, at)
+            known = _elsewhere(h, sides, row)
             # a text's anchors that other texts of this block have ride along as they are
-            order = np.argsort(row[several], kind="stable")
-            r, x = row[several][order], h[several][order]
-            out = [(int(ids[r[e]]) % shards, int(ids[r[e]]), int(digests[r[e]]), x[e:f].tobytes()) for e, f in _bounds(r)]
+            r, x = row[known], _full(h[known], sides[known])
+            out = [(int(ids[r[e]]) % shards, int(ids[r[e]]), int(digests[r[e]]), np.unique(x[e:f]).tobytes()) for e, f in _bounds(r)]
+            _, first = np.unique(_full(h, sides), return_index=True)
             shard = (h[first] % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
-            r, x, many, shard = row[first][order], h[first][order] // np.uint64(shards), several[first][order], shard[order]
+            first, shard = first[order], shard[order]
+            r, x, s, many = row[first], h[first] // np.uint64(shards), sides[first], known[first]
             for e, f in _bounds(shard):
                 used, place = np.unique(r[e:f], return_inverse=True)
                 bits = x[e:f].view(np.uint8).reshape(-1, 8)[:, :_HASH_BYTES]
                 data = b"".join([np.array([len(used), f - e], "<u4").tobytes(), np.diff(ids[used], prepend=0).astype("<i8").tobytes(),
-                                 digests[used].astype("<i8").tobytes(), place.astype("<u2").tobytes(), np.packbits(many[e:f]).tobytes(),
-                                 bits.tobytes()])
+                                 digests[used].astype("<i8").tobytes(), place.astype("<u2").tobytes(), s[e:f].astype("<u2").tobytes(),
+                                 np.packbits(many[e:f]).tobytes(), bits.tobytes()])
                 out.append((int(shard[e]), len(data), None, codec.compress(data, asbytes=True)))
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
             for low in range(0, len(out), 2000):
@@ -297,28 +323,25 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
 
     def settle(shard: int, held: list[tuple[int, bytes]]) -> list[tuple[int, int, bytes]]:
         codec = pa.Codec("zstd")
-        ids, digests, many, hashes, base = [], [], [], [], 0
+        ids, digests, sides, many, hashes = [], [], [], [], []
         for size, data in held:
             data = codec.decompress(data, size, asbytes=True)
             n, m = (int(v) for v in np.frombuffer(data, "<u4", 2))
             own = np.cumsum(np.frombuffer(data, "<i8", n, 8))
             dig = np.frombuffer(data, "<i8", n, 8 + 8 * n)
-            place = np.frombuffer(data, "<u2", m, 8 + 16 * n).astype(np.int64)
-            at = 8 + 16 * n + 2 * m
-            many.append(np.unpackbits(np.frombuffer(data, np.uint8, (m + 7) // 8, at), count=m).astype(bool))
+            at = 8 + 16 * n
+            place = np.frombuffer(data, "<u2", m, at).astype(np.int64)
+            sides.append(np.frombuffer(data, "<u2", m, at + 2 * m).astype(np.uint64))
+            many.append(np.unpackbits(np.frombuffer(data, np.uint8, (m + 7) // 8, at + 4 * m), count=m).astype(bool))
             h = np.zeros((m, 8), np.uint8)
-            h[:, :_HASH_BYTES] = np.frombuffer(data, np.uint8, m * _HASH_BYTES, at + (m + 7) // 8).reshape(m, -1)
+            h[:, :_HASH_BYTES] = np.frombuffer(data, np.uint8, m * _HASH_BYTES, at + 4 * m + (m + 7) // 8).reshape(m, -1)
             hashes.append(h.view(np.uint64).ravel())
             ids.append(own[place])
             digests.append(dig[place])
-            base += n
-        ids, digests, many, hashes = (np.concatenate(v) for v in (ids, digests, many, hashes))
-        order = np.argsort(hashes, kind="stable")
-        hashes, ids, digests, many = hashes[order], ids[order], digests[order], many[order]
-        group = np.cumsum(np.concatenate([[True], hashes[1:] != hashes[:-1]])) - 1
-        wanted = (np.bincount(group)[group] > 1) & ~many
+        ids, digests, sides, many, hashes = (np.concatenate(v) for v in (ids, digests, sides, many, hashes))
+        wanted = _elsewhere(hashes, sides, ids) & ~many
         # a truncated hash comes back as all that is known of it; the text's own anchors are compared the same way
-        ids, digests, hashes = ids[wanted], digests[wanted], hashes[wanted]
+        ids, digests, hashes = ids[wanted], digests[wanted], (hashes[wanted] << np.uint64(16)) | sides[wanted]
         order = np.lexsort((digests, ids))
         ids, digests, hashes = ids[order], digests[order], hashes[order]
         mark = b"S" + np.array([shard], np.uint64).tobytes()
@@ -350,15 +373,19 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
     return mapped(dealt, gather, "doc_id long, a long, hashes binary")
 
 
-def _chosen(h: np.ndarray, shards: int, told: list[bytes]) -> np.ndarray:
+def _full(h: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    return mix(h * np.uint64(_BASE) + sides)
+
+
+def _chosen(h: np.ndarray, sides: np.ndarray, shards: int, told: list[bytes]) -> np.ndarray:
     """Which anchors of a text are among those told for it."""
     full = [np.frombuffer(t, np.uint64, offset=1) for t in told if t[:1] == b"H"]
-    out = np.isin(h, np.concatenate(full)) if full else np.zeros(len(h), bool)
+    out = np.isin(_full(h, sides), np.concatenate(full)) if full else np.zeros(len(h), bool)
     short = [np.frombuffer(t, np.uint64, offset=1) for t in told if t[:1] == b"S"]
     if short:
         keep = np.uint64((1 << (8 * _HASH_BYTES)) - 1)
-        key = ((h // np.uint64(shards)) & keep) * np.uint64(shards) + h % np.uint64(shards)
-        out |= np.isin(key, np.concatenate([t[1:] * np.uint64(shards) + t[0] for t in short]))
+        key = _full((((h // np.uint64(shards)) & keep) << np.uint64(16)) | sides, h % np.uint64(shards))
+        out |= np.isin(key, np.concatenate([_full(s[1:], s[:1]) for s in short]))
     return out
 
 
@@ -416,12 +443,12 @@ def _marks(candidates: DataFrame, shards: int) -> DataFrame:
         for batch in _parts(batches):
             ids, digests = (batch.column(c).to_numpy() for c in (0, 1))
             text, at = _unpacked(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            row, first, last, h = _runs(text, at)
+            row, first, last, h, sides = _runs(text, at)
             bounds = np.searchsorted(row, np.arange(len(ids) + 1))
             keep = np.zeros(len(row), bool)
             for k, told in enumerate(batch.column(4).to_pylist()):
                 own = slice(bounds[k], bounds[k + 1])
-                keep[own] = _chosen(h[own], shards, [t["hashes"] for t in told if t["a"] == digests[k]])
+                keep[own] = _chosen(h[own], sides[own], shards, [t["hashes"] for t in told if t["a"] == digests[k]])
             row, first, last, h = row[keep], first[keep], last[keep], h[keep]
             total = np.concatenate([[0], np.cumsum(last - first + WINDOW)])
             i = 0
