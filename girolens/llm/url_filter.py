@@ -38,7 +38,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     A rule fits its host and the subdomains of it, for paths that start with its path. The longest rule (host and path
     together, then the longer host) wins; of equal rules `block` wins. Without a rule, `rule` is null and `verdict` is
     `default`. Null URLs and URLs without `://` have empty host and path, which no rule fits. Rules with null parts are
-    left out. Repeated rows stay repeated.
+    left out. Repeated rows stay repeated. Columns of `pages` with the names of the new ones are replaced.
 
     Each distinct (host, path) is judged once, so copies of a hot URL collapse before the join; the partial aggregate
     does that in every task. Expressions are only made for path lengths that rules have. The join is on the short
@@ -69,9 +69,8 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
                     (F.col("r_verdict") == "block").cast("int").alias("block"), shown.alias("rule"),
                     F.col("r_verdict").alias("verdict"))
     best = hits.groupBy(F.col("host").alias("b_host"), F.col("path").alias("b_path")).agg(F.max(rank).alias("best"))
-    rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")],
-                        host.alias("host"), path.alias("path"))
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), host.alias("host"), path.alias("path"))
     joined = rows.join(best, (rows["host"] == best["b_host"]) & (rows["path"] == best["b_path"]), "left")
-    return joined.withColumns({
-        "rule": F.col("best.rule"), "verdict": F.coalesce(F.col("best.verdict"), F.lit(default)),
-    }).drop("best", "b_host", "b_path")
+    own = [F.col(f"row.`{c}`").alias(c) for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    return joined.select(*own, "host", "path", F.col("best.rule").alias("rule"),
+                         F.coalesce(F.col("best.verdict"), F.lit(default)).alias("verdict"))
