@@ -202,7 +202,7 @@ def test_fingerprints(docs):
         edited = text[: len(text) - cut] + after[:cut]
         assert by_id[doc][2] == hashlib.sha256(edited.encode()).hexdigest(), doc
     assert by_id[1][3] == by_id[2][3] and by_id[1][6] == 1.0 and by_id[4][3] == "" and len(by_id[7][3]) == 256
-    assert by_id[9][5] > 0.3 and all(0 <= r[5] <= 1 and 0 <= r[6] <= 1 for r in got)
+    assert by_id[3][5] > 0.6 and all(0 <= r[5] <= 1 and 0 <= r[6] <= 1 for r in got)
     assert fingerprints.compare(docs.limit(0)).count() == 0
     assert rows(fingerprints.compare(docs.where("doc_id = 7")), "near_next") == [(1.0,)]
 
