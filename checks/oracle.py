@@ -671,21 +671,29 @@ def jobs() -> dict[str, str]:
             FROM lines GROUP BY 1"""),
         "stream_state": f"""
             WITH raw AS (
-              SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events WHERE value >= {demo.LOST_BELOW}
+              SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k,
+                CASE event_type WHEN 'signup' THEN '018' WHEN 'error' THEN '010' ELSE '017' END AS message_set
+              FROM events WHERE value >= {demo.LOST_BELOW}
+            ),
+            named AS (
+              SELECT *, CASE message_set WHEN '018' THEN 'MndtSspnsnReq' ELSE 'MndtCpyReq' END AS root,
+                CASE message_set WHEN '018' THEN 'UndrlygSspnsnDtls' ELSE 'UndrlygCpyReqDtls' END AS block FROM raw
             ),
             del AS (
-              SELECT event_id, sha256('pain.017:' || '<Document><MndtCpyReq><UndrlygCpyReqDtls><OrgnlMndt><OrgnlMndtId>' ||
-                  CASE WHEN k < 10 THEN ' ' ELSE user_id || '-' || k END ||
-                  '</OrgnlMndtId></OrgnlMndt></UndrlygCpyReqDtls></MndtCpyReq><!-- ' || event_type || ' ' || props || ' --></Document>') AS message_id,
-                value >= {_BAD[0]} AND value < {_NONE[1]} AS unsound, k FROM raw
+              SELECT event_id, sha256('pain.' || message_set || ':<Document><' || root || '><' || block || '><OrgnlMndt><OrgnlMndtId>' ||
+                  CASE WHEN k < 10 THEN ' ' ELSE user_id || '-' || k END || '</OrgnlMndtId></OrgnlMndt>' ||
+                  CASE WHEN k BETWEEN 10 AND 14 THEN '<Extra/>' ELSE '' END ||
+                  '</' || block || '></' || root || '><!-- ' || event_type || ' ' || props || ' --></Document>') AS message_id,
+                value >= {_BAD[0]} AND value < {_NONE[1]} AS unsound, k, message_set FROM named
             ),
             flow AS (
               SELECT *, CASE WHEN count(*) FILTER (WHERE NOT unsound) OVER (
                   PARTITION BY message_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0 THEN 'duplicate'
-                WHEN unsound THEN 'tampered' WHEN k < 10 THEN 'fail' ELSE 'pass' END AS outcome FROM del
+                WHEN unsound THEN 'tampered' WHEN k < 15 OR message_set = '010' THEN 'fail' ELSE 'pass' END AS outcome FROM del
             )
             SELECT message_id, outcome, count(*) AS deliveries FROM flow GROUP BY 1, 2
-            UNION ALL SELECT message_id, 'BR-090', count(*) FROM flow WHERE outcome = 'fail' GROUP BY 1""",
+            UNION ALL SELECT message_id, CASE message_set WHEN '018' THEN 'BR-101' ELSE 'BR-090' END, count(*) FROM flow
+            WHERE outcome = 'fail' AND k < 10 AND message_set != '010' GROUP BY 1, 2""",
     }
 
 

@@ -191,21 +191,9 @@ RECON: dict[str, Query] = {
 # --- shredding: tables -> XML -> rows ----------------------------------------
 
 
-def _shredded(
-    spark: SparkSession, folder: str, lines: DataFrame, build: Callable[[DataFrame], DataFrame], message_set: str,
-    shred_rows: Callable[[DataFrame], DataFrame], flat_rows: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Round trip through XML; orders too large for one message stay flat."""
-    fits, too_large = demo.split_by_size(spark, folder, lines)
-    parsed = corpus.well_formed(corpus.parse(build(fits), message_set))
-    return _also(shred_rows(parsed), too_large, flat_rows)
-
-
-def _also(
-    rows: DataFrame, too_large: DataFrame | None, flat: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Add what the flat form makes of orders too large for a message, if there are any."""
-    return rows if too_large is None else rows.unionByName(flat(too_large))
+def _shredded(build: DataFrame, message_set: str, shred_rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Round trip through XML."""
+    return shred_rows(corpus.well_formed(corpus.parse(build, message_set)))
 
 
 def _money(frame: DataFrame, *columns: str) -> DataFrame:
@@ -215,33 +203,27 @@ def _money(frame: DataFrame, *columns: str) -> DataFrame:
 
 
 def _shred_001(spark: SparkSession, folder: str) -> DataFrame:
-    lines = demo.order_lines(spark, folder)
-    rows = _shredded(spark, folder, lines, demo.messages, "001", shred.shred_001, demo.tx_001)
-    return _money(rows, "amount", "ctrl_sum")
+    messages = demo.messages(demo.order_lines(spark, folder))
+    return _money(_shredded(messages, "001", shred.shred_001), "amount", "ctrl_sum")
 
 
 def _shred_payment(spark: SparkSession, folder: str) -> DataFrame:
-    lines = demo.order_lines(spark, folder)
-    return _money(_shredded(spark, folder, lines, demo.messages, "001", shred.shred_payment, demo.payment_detail), "amount")
+    messages = demo.messages(demo.order_lines(spark, folder))
+    return _money(_shredded(messages, "001", shred.shred_payment), "amount")
 
 
 def _shred_direct_debit(spark: SparkSession, folder: str) -> DataFrame:
-    lines = demo.order_lines(spark, folder)
-    rows = _shredded(
-        spark, folder, lines, lambda x: demo.messages(x, "008"), "008", shred.shred_direct_debit, demo.direct_debit_detail
-    )
-    return _money(rows, "amount")
+    messages = demo.messages(demo.order_lines(spark, folder), "008")
+    return _money(_shredded(messages, "008", shred.shred_direct_debit), "amount")
 
 
 def _shred_status(spark: SparkSession, folder: str) -> DataFrame:
-    items = demo.order_items(spark, folder)
-    return _shredded(spark, folder, items, demo.status_messages, "002", shred.shred_status, demo.status_rows)
+    return _shredded(demo.status_messages(demo.order_items(spark, folder)), "002", shred.shred_status)
 
 
 def _shred_reversal(spark: SparkSession, folder: str) -> DataFrame:
-    items = demo.order_items(spark, folder)
-    rows = _shredded(spark, folder, items, demo.reversal_messages, "007", shred.shred_reversal, demo.reversal_rows)
-    return _money(rows, "orig_amount")
+    messages = demo.reversal_messages(demo.order_items(spark, folder))
+    return _money(_shredded(messages, "007", shred.shred_reversal), "orig_amount")
 
 
 def _shred_mandate(message_set: str) -> Query:
@@ -253,11 +235,8 @@ def _shred_mandate(message_set: str) -> Query:
 
 
 def _file_base(spark: SparkSession, folder: str) -> DataFrame:
-    fits, too_large = demo.split_by_size(spark, folder, demo.order_lines(spark, folder))
-    parsed = corpus.well_formed(corpus.parse(demo.messages(fits), "001"))
-    return _also(shred.file_base(parsed, "001"), too_large, lambda lines: lines.select(
-        "file_name", F.lit("001").alias("message_set"), file_category(F.col("file_name")).alias("category"), "msg_id"
-    ).distinct())
+    messages = demo.messages(demo.order_lines(spark, folder))
+    return _shredded(messages, "001", lambda parsed: shred.file_base(parsed, "001"))
 
 
 SHRED: dict[str, Query] = {
@@ -285,16 +264,13 @@ def _checked(messages: DataFrame, message_set: str) -> DataFrame:
     return rules.violations(rules.with_violations(parsed, message_set, as_of), "file_name")
 
 
-def _rule_counts(spark: SparkSession, folder: str, limit: int = demo.MAX_TX_PER_MESSAGE) -> DataFrame:
-    """Rule hits per message: array form for messages, flat form beyond their size."""
-    fits, too_large = demo.split_by_size(spark, folder, demo.order_lines(spark, folder), limit)
-    in_arrays = _checked(demo.messages(fits), "001").groupBy("file_name", "rule_id").agg(
-        F.count(F.lit(1)).alias("violations")
-    )
-    as_of = F.lit(demo.AS_OF).cast("date")
-    return _also(
-        in_arrays, too_large, lambda x: rules_flat.credit_rule_counts(demo.flat_rules_input(x), as_of)
-    )
+def _counted(hits: DataFrame) -> DataFrame:
+    return hits.groupBy("file_name", "rule_id").agg(F.count(F.lit(1)).alias("violations"))
+
+
+def _rule_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule hits per message."""
+    return _counted(_checked(demo.messages(demo.order_lines(spark, folder)), "001"))
 
 
 def _rules_flat(spark: SparkSession, folder: str) -> DataFrame:
@@ -313,26 +289,17 @@ def _rules_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _rules_direct_debit(spark: SparkSession, folder: str) -> DataFrame:
-    fits, too_large = demo.split_by_size(spark, folder, demo.order_lines(spark, folder))
-    in_arrays = _checked(demo.messages(fits, "008"), "008").groupBy("file_name", "rule_id").agg(
-        F.count(F.lit(1)).alias("violations")
-    )
-    as_of = F.lit(demo.AS_OF).cast("date")
-    return _also(
-        in_arrays, too_large, lambda x: rules_flat.debit_rule_counts(demo.flat_debit_input(x), as_of)
-    )
+    return _counted(_checked(demo.messages(demo.order_lines(spark, folder), "008"), "008"))
 
 
 def _rules_status(spark: SparkSession, folder: str) -> DataFrame:
-    fits, too_large = demo.split_by_size(spark, folder, demo.order_items(spark, folder))
-    in_arrays = _checked(demo.status_messages(fits), "002").select("file_name", "rule_id", "actual", "message")
-    return _also(in_arrays, too_large, lambda x: rules_flat.status_rule_rows(*demo.flat_status_input(x)))
+    messages = demo.status_messages(demo.order_items(spark, folder))
+    return _checked(messages, "002").select("file_name", "rule_id", "actual", "message")
 
 
 def _rules_reversal(spark: SparkSession, folder: str) -> DataFrame:
-    fits, too_large = demo.split_by_size(spark, folder, demo.order_items(spark, folder))
-    in_arrays = _checked(demo.reversal_messages(fits), "007").select("file_name", "rule_id", "actual")
-    return _also(in_arrays, too_large, lambda x: rules_flat.reversal_rule_rows(demo.flat_reversal_input(x)))
+    messages = demo.reversal_messages(demo.order_items(spark, folder))
+    return _checked(messages, "007").select("file_name", "rule_id", "actual")
 
 
 def _rules_mandates(spark: SparkSession, folder: str) -> DataFrame:
@@ -489,25 +456,17 @@ EXPRESSIONS: dict[str, Query] = {
 
 # --- jobs that write and read back ---------------------------------------------
 
-_XSD = Path(__file__).parent / "resources" / "credit_demo.xsd"
-
-
-def _flat_structure(lines: DataFrame) -> DataFrame:
-    """What the schema asks of a message, over flat lines."""
-    no_currency = F.col("end_to_end_id").isNotNull() & ~F.col("equivalent") & F.col("currency").isNull()
-    return lines.groupBy("file_name").agg(
-        ((F.count("end_to_end_id") > 0) & (F.count_if(no_currency) == 0)).alias("valid")
-    )
+_RESOURCES = Path(__file__).parent / "resources"
+_XSD = _RESOURCES / "credit_demo.xsd"
+_STREAM_XSD = {"017": "copy_demo.xsd", "018": "suspension_demo.xsd"}
 
 
 def _xsd_flag(spark: SparkSession, folder: str) -> DataFrame:
     """Order messages against a schema file that is shipped to every executor."""
     spark.sparkContext.addFile(str(_XSD))
-    fits, too_large = demo.split_by_size(spark, folder, demo.order_lines(spark, folder))
-    flagged = demo.messages(fits).select(
+    return demo.messages(demo.order_lines(spark, folder)).select(
         "file_name", validate.xsd_flag(F.col("xml"), "001", _XSD.name).alias("valid")
     )
-    return _also(flagged, too_large, _flat_structure)
 
 
 def _stream_state(spark: SparkSession, folder: str) -> DataFrame:
@@ -516,8 +475,11 @@ def _stream_state(spark: SparkSession, folder: str) -> DataFrame:
     ensure_checkpoint_dir(records)
     base = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4()}"
     records.write.json(f"{base}/records")
+    for file in _STREAM_XSD.values():
+        spark.sparkContext.addFile(str(_RESOURCES / file))
     query = receiver.start(
-        events.file_stream(spark, f"{base}/records"), f"{base}/state", f"{base}/offsets"
+        events.file_stream(spark, f"{base}/records"), f"{base}/state", f"{base}/offsets",
+        xsd_paths=_STREAM_XSD,
     )
     query.awaitTermination()
     tables = state.load_all(spark, f"{base}/state")

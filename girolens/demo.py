@@ -15,9 +15,6 @@ from girolens.functions.text import file_category, xml_escape
 from girolens.operators.routing import DUPLICATE, FRESH, TAMPERED, route
 
 AS_OF = "1998-01-01"
-#: an order with more lines than this does not fit into one message of 10 MB
-MAX_TX_PER_MESSAGE = 10_000
-
 
 _SCHEMAS: dict[str, T.StructType] = {}
 
@@ -268,23 +265,6 @@ def order_state(headers: DataFrame) -> tuple[DataFrame, DataFrame]:
 # --- XML -------------------------------------------------------------------
 
 
-def split_by_size(
-    spark: SparkSession, folder: str, lines: DataFrame, limit: int = MAX_TX_PER_MESSAGE
-) -> tuple[DataFrame, DataFrame | None]:
-    """Lines of orders that fit into one message, and lines of those that do not.
-
-    Sizes come from the key column alone.  Usually no order is too large; then
-    there is no second part.
-    """
-    large = (
-        read(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select("o_orderkey")
-    )
-    if large.isEmpty():
-        return lines, None
-    return lines.join(large, "o_orderkey", "left_anti"), lines.join(large, "o_orderkey", "left_semi")
-
-
 def _element(name: str, value: Column) -> Column:
     """Element, or nothing for NULL."""
     return F.coalesce(F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>")), F.lit(""))
@@ -368,7 +348,7 @@ _HEADER_COLUMNS = [
 
 
 def messages(lines: DataFrame, message_set: str = "001") -> DataFrame:
-    """XML messages of orders (``lines`` restricted by ``split_by_size``).
+    """XML messages of orders, of any size.
 
     Payments of one order are split by method; stated payment totals are right
     for transfers and fixed wrong figures for cheques.
@@ -438,22 +418,10 @@ def flat_rules_input(lines: DataFrame) -> DataFrame:
         F.col("order_date").alias("req_exec_date"),
         F.when(real, F.col("debtor_iban")).alias("debtor_iban"),
         F.when(real, F.col("debtor_bic")).alias("debtor_bic"),
-        "end_to_end_id", "uetr",
+        real.alias("real"), "end_to_end_id", "uetr",
         F.when(~F.col("equivalent"), F.col("amount")).alias("instd_amount"),
         F.when(real, F.when(F.col("equivalent"), "EUR").otherwise(F.col("currency"))).alias("ccy"),
-        "creditor_iban", "creditor_bic",
-    )
-
-
-def flat_debit_input(lines: DataFrame) -> DataFrame:
-    """Lines in the column layout of the flat direct-debit rules."""
-    real = F.col("end_to_end_id").isNotNull()
-    return lines.select(
-        "file_name", F.col("nb_txs_declared").alias("declared"), "ctrl_sum", "pmt_inf_id",
-        F.col("order_date").alias("collection_date"), F.col("debtor_iban").alias("creditor_iban"),
-        F.col("debtor_bic").alias("creditor_bic"), real.alias("real"), F.col("instr_id").alias("mandate_id"),
-        "amount", F.when(real, F.col("currency")).alias("ccy"),
-        F.col("creditor_iban").alias("debtor_iban"), F.col("creditor_bic").alias("debtor_bic"),
+        "creditor_iban", "creditor_bic", F.lit(None).cast("string").alias("intermediary_bic"),
     )
 
 
@@ -580,7 +548,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _line_messages(items: DataFrame, message_set: str, head: Column, block: str, fragment: Column) -> DataFrame:
-    """One message per order; ``items`` restricted by ``split_by_size``."""
+    """One message per order, of any size."""
     grouped = items.groupBy("o_orderkey", "file_name", "o_orderstatus", "o_orderpriority").agg(
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("l_orderkey").isNotNull(), fragment))), "").alias("txs")
     )
@@ -612,25 +580,6 @@ def status_rows(items: DataFrame) -> DataFrame:
     return groups.unionByName(txs)
 
 
-def flat_status_input(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Group rows and transaction rows in the layout of the flat status rules."""
-    key = F.concat(F.lit("M"), F.col("o_orderkey").cast("string"))
-    groups = items.select(
-        "file_name", F.when(F.col("o_orderpriority") != "5-LOW", key).alias("orig_msg_id"),
-        _group_status().alias("grp_status"),
-    ).distinct()
-    txs = items.where("l_orderkey IS NOT NULL").select(
-        "file_name", _tx_status().alias("tx_status"), _status_reason().alias("reason_code")
-    )
-    return groups, txs
-
-
-def flat_reversal_input(items: DataFrame) -> DataFrame:
-    reference = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    rows = _reversal_rows(items.where("l_orderkey IS NOT NULL"), "file_name", "l_orderkey", "l_linenumber")
-    return rows.withColumn("orig_reference", F.when(F.col("l_linenumber") < 7, reference))
-
-
 def reversal_messages(items: DataFrame) -> DataFrame:
     """Reversals; the last line number lacks the original reference."""
     rows = _reversal_rows(items, "o_orderkey", "file_name", "o_orderstatus", "o_orderpriority", "l_orderkey", "l_linenumber")
@@ -805,31 +754,36 @@ def rule_violations(processed: DataFrame) -> DataFrame:
 
 # --- deliveries as a stream ----------------------------------------------------
 
-_COPY_XML = (
-    "concat('<Document><MndtCpyReq><UndrlygCpyReqDtls><OrgnlMndt><OrgnlMndtId>', IF(k < 10, ' ', concat(user_id, '-', k)), "
-    "'</OrgnlMndtId></OrgnlMndt></UndrlygCpyReqDtls></MndtCpyReq><!-- ', event_type, ' ', props, ' --></Document>')"
+_STREAM_SET = "CASE event_type WHEN 'signup' THEN '018' WHEN 'error' THEN '010' ELSE '017' END"
+_STREAM_XML = (
+    "concat('<Document><', root, '><', block, '><OrgnlMndt><OrgnlMndtId>', IF(k < 10, ' ', concat(user_id, '-', k)), "
+    "'</OrgnlMndtId></OrgnlMndt>', IF(k BETWEEN 10 AND 14, '<Extra/>', ''), '</', block, '></', root, '><!-- ', event_type, ' ', "
+    "props, ' --></Document>')"
 )
 
 
 def stream_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Received events as topic records: mandate copy requests, some damaged.
+    """Received events as topic records: mandate copies and suspensions, some damaged, and a set without a schema.
 
     The content depends on type, user and properties, so repeated events are
-    repeated messages; blank mandate ids break a rule.
+    repeated messages; blank mandate ids break a rule, extra elements the schema.
     """
     rows = read(spark, folder, "events").where(F.col("value") >= LOST_BELOW).selectExpr(
         "*", "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k"
-    ).selectExpr("*", f"{_COPY_XML} AS xml")
+    ).selectExpr("*", f"{_STREAM_SET} AS message_set").selectExpr(
+        "*", "IF(message_set = '018', 'MndtSspnsnReq', 'MndtCpyReq') AS root",
+        "IF(message_set = '018', 'UndrlygSspnsnDtls', 'UndrlygCpyReqDtls') AS block",
+    ).selectExpr("*", f"{_STREAM_XML} AS xml")
     content = F.encode("xml", "UTF-8")
     value = F.col("value")
     altered = (value >= BAD_DIGEST[0]) & (value < BAD_DIGEST[1])
     dropped = (value >= NO_DIGEST[0]) & (value < NO_DIGEST[1])
     signature = F.when(dropped, "").when(altered, "altered").otherwise(ids.content_digest(content))
     payload = F.struct(
-        ids.content_id(F.lit("pain"), F.lit("017"), content).alias("message_id"),
+        ids.content_id(F.lit("pain"), F.col("message_set"), content).alias("message_id"),
         F.lit("pain").alias("domain"),
-        F.lit("017").alias("message_set"),
-        F.lit("copy.xsd").alias("schema_name"),
+        F.col("message_set"),
+        F.concat(F.col("message_set"), F.lit(".xsd")).alias("schema_name"),
         F.concat(F.lit("gen-pass-"), F.col("event_id").cast("string"), F.lit(".xml")).alias("file_name"),
         F.col("ts").cast("string").alias("sent_at"),
         F.col("xml").alias("xml_content"),
@@ -838,7 +792,7 @@ def stream_records(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         payload["message_id"].alias("key"),
         F.to_json(payload).alias("value"),
-        F.lit("iso20022.pain.017").alias("topic"),
+        ids.topic_name(F.lit("pain"), F.col("message_set")).alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),

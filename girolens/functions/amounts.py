@@ -6,7 +6,8 @@ from pyspark.sql import Column, functions as F
 
 from girolens.functions.text import text
 
-MONEY = "decimal(18,5)"
+#: up to 18 integer digits, or up to 5 decimals; 18 digits in total are allowed
+MONEY = "decimal(23,5)"
 MONEY_SUM = "decimal(38,5)"
 
 

@@ -27,11 +27,19 @@ def iban_remainder(iban: Column) -> Column:
     The number has up to 68 digits once letters are expanded, so it is cut into
     two decimals that are reduced on their own and put together modulo 97.
     """
-    turned = F.concat(F.substring(iban, 5, 34), F.substring(iban, 1, 4))
-    digits = reduce(
+    rest_of = F.substring(iban, 5, 34)
+    letters = reduce(
         lambda text, letter: F.replace(text, F.lit(letter), F.lit(str(ord(letter) - 55))),
         string.ascii_uppercase,
-        turned,
+        rest_of,
+    )
+
+    def value(position: int) -> Column:
+        return (F.ascii(F.substring(iban, position, 1)) - 55).cast("string")
+
+    # most numbers have letters in the country only
+    digits = F.concat(
+        F.when(rest_of.rlike("[A-Z]"), letters).otherwise(rest_of), value(1), value(2), F.substring(iban, 3, 2)
     )
     padded = F.lpad(digits, 2 * _HALF, "0")
 

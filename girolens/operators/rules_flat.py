@@ -1,7 +1,7 @@
 """Credit-transfer rules over transactions that are already flat.
 
-Counts per message and rule from grouped aggregates.  This is the form for
-messages too large to be one array: every step is a partial aggregate, so a
+Counts per message and rule from grouped aggregates, for transactions that are
+kept as rows and no longer as messages.  Every step is a partial aggregate, so a
 message that holds a large share of all transactions is combined map-side.
 """
 
@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from girolens import model
 from girolens.functions import ids
 
-#: columns of the flat form; one row per transaction, NULL ``end_to_end_id``
-#: marks the placeholder of a message without transactions
+#: columns of the flat form; one row per transaction with ``real`` true, or one
+#: placeholder with ``real`` false for a message without transactions; ``ccy`` is
+#: the only currency of a transaction
 FLAT_COLUMNS = [
     "file_name", "msg_id", "declared", "ctrl_sum", "pmt_inf_id", "pmt_declared", "pmt_ctrl_sum",
-    "req_exec_date", "debtor_iban", "debtor_bic", "end_to_end_id", "uetr", "instd_amount", "ccy",
-    "creditor_iban", "creditor_bic",
+    "req_exec_date", "debtor_iban", "debtor_bic", "real", "end_to_end_id", "uetr", "instd_amount", "ccy",
+    "creditor_iban", "creditor_bic", "intermediary_bic",
 ]
 
 
@@ -32,7 +33,7 @@ def _off(stated: Column, actual: Column) -> Column:
 
 def credit_rule_counts(flat: DataFrame, as_of: Column) -> DataFrame:
     """``(file_name, rule_id, violations)`` for rules that fired."""
-    real = F.col("end_to_end_id").isNotNull()
+    real = F.col("real")
     per_reference = flat.groupBy(
         "file_name", "msg_id", "declared", "ctrl_sum", "pmt_inf_id", "pmt_declared",
         "pmt_ctrl_sum", "req_exec_date", "debtor_iban", "debtor_bic", "end_to_end_id",
@@ -42,7 +43,10 @@ def credit_rule_counts(flat: DataFrame, as_of: Column) -> DataFrame:
         F.sum(_ones((F.col("uetr") != "") & ~ids.uetr_is_valid(F.col("uetr")))).alias("BR-006"),
         F.sum(_ones(F.col("instd_amount") <= 0)).alias("BR-007"),
         F.sum(_ones((F.col("creditor_iban") != "") & ~ids.iban_is_valid(F.col("creditor_iban")))).alias("iban"),
-        F.sum(_ones((F.col("creditor_bic") != "") & ~ids.bic_is_valid(F.col("creditor_bic")))).alias("bic"),
+        F.sum(
+            _ones((F.col("creditor_bic") != "") & ~ids.bic_is_valid(F.col("creditor_bic")))
+            + _ones((F.col("intermediary_bic") != "") & ~ids.bic_is_valid(F.col("intermediary_bic")))
+        ).alias("bic"),
         F.sum(_ones((F.col("ccy") != "") & ~ids.currency_is_active(F.col("ccy")))).alias("BR-010"),
     )
     payment_keys = [
@@ -52,7 +56,7 @@ def credit_rule_counts(flat: DataFrame, as_of: Column) -> DataFrame:
     sums = ["BR-006", "BR-007", "iban", "bic", "BR-010"]
     # a reference may recur under another payment, so BR-005 needs its own grouping
     repeats = (
-        per_reference.where(real).groupBy("file_name", "end_to_end_id")
+        per_reference.where((F.col("n") > 0) & F.col("end_to_end_id").isNotNull()).groupBy("file_name", "end_to_end_id")
         .agg((F.sum("n") - 1).alias("again"))
         .groupBy("file_name").agg(F.sum("again").alias("BR-005"))
     )
@@ -90,67 +94,3 @@ def _as_rows(whole: DataFrame) -> DataFrame:
         *[F.struct(F.lit(r).alias("rule_id"), F.col(f"`{r}`").cast("bigint").alias("violations")) for r in fired]
     )
     return whole.select("file_name", F.inline(pairs)).where("violations > 0")
-
-
-def debit_rule_counts(flat: DataFrame, as_of: Column) -> DataFrame:
-    """Direct-debit rules over flat collections: ``(file_name, rule_id, violations)``."""
-    def bad(column: str, valid: Column) -> Column:
-        return _ones((F.col(column) != "") & ~valid)
-
-    payment = ["file_name", "declared", "ctrl_sum", "pmt_inf_id", "collection_date", "creditor_iban", "creditor_bic"]
-    per_payment = flat.groupBy(*payment).agg(
-        F.count_if("real").alias("n"),
-        F.sum("amount").alias("amount"),
-        F.sum(_ones(F.col("real") & (F.coalesce(F.btrim("mandate_id"), F.lit("")) == ""))).alias("BR-042"),
-        F.sum(bad("debtor_iban", ids.iban_is_valid(F.col("debtor_iban")))).alias("iban"),
-        F.sum(bad("debtor_bic", ids.bic_is_valid(F.col("debtor_bic")))).alias("bic"),
-        F.sum(bad("ccy", ids.currency_is_active(F.col("ccy")))).alias("BR-010"),
-    )
-    there = F.col("pmt_inf_id").isNotNull().cast("bigint")
-    whole = per_payment.groupBy("file_name", "declared", "ctrl_sum").agg(
-        F.sum("n").alias("n"),
-        F.sum("amount").alias("amount"),
-        F.sum("`BR-042`").alias("BR-042"),
-        F.sum(F.col("iban") + there * bad("creditor_iban", ids.iban_is_valid(F.col("creditor_iban")))).alias("BR-043"),
-        F.sum(F.col("bic") + there * bad("creditor_bic", ids.bic_is_valid(F.col("creditor_bic")))).alias("BR-044"),
-        F.sum("`BR-010`").alias("BR-010"),
-        F.sum(there * _ones(F.col("collection_date") < as_of)).alias("BR-046"),
-    )
-    return _as_rows(whole.select(
-        "file_name",
-        _ones(F.col("declared") != F.col("n")).alias("BR-040"),
-        _off(F.col("ctrl_sum"), F.col("amount")).alias("BR-041"),
-        *[F.col(f"`{c}`") for c in ("BR-042", "BR-043", "BR-044", "BR-010", "BR-046")],
-    ))
-
-
-def _hit(rows: DataFrame, when: Column, rule: str, actual: Column) -> DataFrame:
-    wording = model.RULES[rule][2]
-    message = F.format_string(wording, actual) if "%s" in wording else F.lit(wording)
-    return rows.where(when).select(
-        "file_name", F.lit(rule).alias("rule_id"), actual.alias("actual"), message.alias("message")
-    )
-
-
-def status_rule_rows(groups: DataFrame, txs: DataFrame) -> DataFrame:
-    """Status rules over flat groups and transactions, one row per hit."""
-    nothing = F.lit(None).cast("string")
-    group, tx, reason = F.col("grp_status"), F.col("tx_status"), F.col("reason_code")
-    return (
-        _hit(groups, (group != "") & ~group.isin(model.GROUP_STATUSES), "BR-020", group)
-        .unionByName(_hit(txs, (tx != "") & ~tx.isin(model.TX_STATUSES), "BR-021", tx))
-        .unionByName(_hit(txs, (reason != "") & ~reason.isin(model.STATUS_REASONS), "BR-022", reason))
-        .unionByName(_hit(groups, F.coalesce("orig_msg_id", F.lit("")) == "", "BR-023", nothing))
-    )
-
-
-def reversal_rule_rows(txs: DataFrame) -> DataFrame:
-    """Reversal rules over flat transactions, one row per hit."""
-    reason, amount, currency = F.col("reversal_reason"), F.col("orig_amount"), F.col("currency")
-    return (
-        _hit(txs, F.coalesce("orig_reference", F.lit("")) == "", "BR-030", F.lit(None).cast("string"))
-        .unionByName(_hit(txs, (reason != "") & ~reason.isin(model.REVERSAL_REASONS), "BR-031", reason))
-        .unionByName(_hit(txs, amount <= 0, "BR-032", amount.cast("string")))
-        .unionByName(_hit(txs, (currency != "") & ~ids.currency_is_active(currency), "BR-010", currency))
-        .select("file_name", "rule_id", "actual")
-    )

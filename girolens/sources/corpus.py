@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from girolens import model
@@ -9,6 +10,9 @@ from girolens.functions import ids
 from girolens.functions.text import file_category
 from girolens.operators.once import once
 
+#: the end of the root element, then nothing that counts
+_END = r"(?s)(?:</(?:[\w.-]+:)?Document\s*>|<(?:[\w.-]+:)?Document\b[^<>]*/>)(?:\s|<!--(?:(?!-->).)*+-->|<\?(?:(?!\?>).)*+\?>)*+\z"
+_FILE_DDL = "path STRING, length BIGINT, content BINARY"
 _XML_OPTIONS = {
     "ignoreNamespace": "true",
     "ignoreSurroundingSpaces": "false",
@@ -17,37 +21,42 @@ _XML_OPTIONS = {
 }
 
 
-def read_corpus(spark: SparkSession, root: str, message_set: str | None = None) -> DataFrame:
+def read_corpus(
+    spark: SparkSession, root: str, message_set: str | None = None, max_bytes: int | None = None
+) -> DataFrame:
     """Messages under ``root`` with the keys taken from their path.
 
-    Only files exactly three levels deep count.  Files above the size limit stay
-    in the result, flagged ``oversize`` and without content.  Nothing is sorted.
+    Only files exactly three levels deep count, and only the folders of
+    ``message_set`` are listed if one is named; ``root`` may be a glob.  Files of
+    any size are read.  With ``max_bytes`` larger files stay in the result,
+    flagged ``oversize`` and without content, and their bytes are not read.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.xml")
-        .option("recursiveFileLookup", "true")
-        .load(root)
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole_path = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    depth = len(whole_path.rstrip("/").split("/")) + 3
+
+    def files(columns: list[str]) -> DataFrame:
+        reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
+        try:
+            found = reader.load(f"{root.rstrip('/')}/*/{message_set or '*'}")
+            return found.where(F.size(F.split("path", "/")) == depth).select(*columns)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], _FILE_DDL).select(*columns)
+
+    parts = F.split("path", "/")
+    keys = [F.element_at(parts, -3).alias("domain"), F.element_at(parts, -2).alias("message_set"),
+            F.element_at(parts, -1).alias("file_name")]
+    size = F.col("length").alias("bytes")
+    whole = files(["path", "length", "content"])
+    if max_bytes is None:
+        return with_identity(whole.select(*keys, F.lit(False).alias("oversize"), size, "content"))
+    small = whole.where(F.col("length") <= max_bytes).select(*keys, F.lit(False).alias("oversize"), size, "content")
+    large = files(["path", "length"]).where(F.col("length") > max_bytes).select(
+        *keys, F.lit(True).alias("oversize"), size, F.lit(None).cast("binary").alias("content")
     )
-    base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
-    relative = F.element_at(F.split(F.col("path"), F.lit(_quote(base) + "/"), 2), 2)
-    parts = F.split(relative, "/")
-    keyed = files.select(
-        F.element_at(parts, 1).alias("domain"),
-        F.try_element_at(parts, F.lit(2)).alias("message_set"),
-        F.try_element_at(parts, F.lit(3)).alias("file_name"),
-        F.size(parts).alias("_depth"),
-        (F.col("length") > model.MAX_XML_BYTES).alias("oversize"),
-        F.col("length").alias("bytes"),
-        "content",
-    ).where("_depth = 3").drop("_depth")
-    if message_set is not None:
-        keyed = keyed.where(F.col("message_set") == message_set)
-    return with_identity(keyed)
-
-
-def _quote(path: str) -> str:
-    return r"\Q" + path + r"\E"
+    return with_identity(small.unionByName(large))
 
 
 def with_identity(messages: DataFrame) -> DataFrame:
@@ -56,7 +65,7 @@ def with_identity(messages: DataFrame) -> DataFrame:
         "*",
         ids.content_id(F.col("domain"), F.col("message_set"), F.col("content")).alias("message_id"),
         file_category(F.col("file_name")).alias("category"),
-        F.when(~F.col("oversize"), F.make_valid_utf8(F.col("content").cast("string"))).alias("xml"),
+        F.make_valid_utf8(F.col("content").cast("string")).alias("xml"),
     )
 
 
@@ -68,13 +77,16 @@ def parse_document(xml: Column, message_set: str) -> Column:
 def parse(messages: DataFrame, message_set: str, xml: str = "xml") -> DataFrame:
     """Messages of one set with ``body`` (element below Document) and ``parsed``.
 
-    ``parsed`` is false for malformed documents, so rejects can be listed.
+    ``parsed`` is false for malformed documents, so rejects can be listed.  The
+    parser stops at the end of the root element, so what follows it is looked at
+    here: only blanks, comments and instructions may.
     """
     document = once(messages, "_doc", parse_document(F.col(xml), message_set))
+    ended = F.col(xml).rlike(_END)
     return document.select(
         *messages.columns,
         F.col(f"_doc.{model.LAYOUTS[message_set][0]}").alias("body"),
-        (F.col(xml).isNotNull() & F.col(f"_doc.{model.CORRUPT}").isNull()).alias("parsed"),
+        (F.col(xml).isNotNull() & F.col(f"_doc.{model.CORRUPT}").isNull() & ended).alias("parsed"),
     )
 
 

@@ -41,14 +41,18 @@ def file_stream(spark: SparkSession, folder: str, files_per_batch: int | None =
 
 
 def decode(records: DataFrame) -> DataFrame:
-    """Payload fields plus the position of the record in its topic."""
+    """Payload fields plus the position of the record in its topic.
+
+    Records that are no JSON, and base64 text that is none, give NULL content. That matches no digest, so such a
+    record goes to quarantine and does not stop the stream.
+    """
     ddl = model.PAYLOAD_DDL + ", xml_base64 STRING"
     return records.select(
         F.from_json("value", ddl).alias("payload"), *_POSITION
     ).select(
         "payload.*",
         F.coalesce(
-            F.unbase64("payload.xml_base64"), F.encode(F.col("payload.xml_content"), "UTF-8")
+            F.try_to_binary(F.col("payload.xml_base64"), F.lit("base64")), F.encode(F.col("payload.xml_content"), "UTF-8")
         ).alias("content"),
         *_POSITION,
     )

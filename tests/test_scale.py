@@ -6,8 +6,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from girolens import catalog, demo
-from girolens.operators import joins, labels, ranking, routing
+from girolens import catalog
+from girolens.operators import joins, labels, ranking, routing, rules, shred
+from girolens.sources import corpus
+from tests import samples as s
 
 
 def test_row_number_is_global_and_gapless(spark):
@@ -77,11 +79,24 @@ def test_route_order(spark):
         1: "tampered", 2: "fresh", 3: "duplicate", 4: "duplicate", 5: "fresh", 6: "tampered", 7: "duplicate", 8: "duplicate"}
 
 
-def test_large_messages_stay_flat_and_agree(spark, folder):
-    """A tiny size limit sends most orders down the flat path; the results are the same."""
-    usual = {tuple(r) for r in catalog._rule_counts(spark, folder).select("file_name", "rule_id", "violations").collect()}
-    mixed = {tuple(r) for r in catalog._rule_counts(spark, folder, limit=3).select("file_name", "rule_id", "violations").collect()}
-    assert usual == mixed and len(usual) > 1000
+def test_array_form_and_flat_form_agree(spark, folder):
+    queries = catalog.all_queries()
+    arrays, flat = ({tuple(r) for r in queries[q](spark, folder).select("file_name", "rule_id", "violations").collect()}
+                    for q in ("rules_credit", "rules_credit_flat"))
+    assert arrays == flat and len(arrays) > 1000
+
+
+def test_one_message_of_any_size(spark):
+    """40,000 transactions in one message above 10 MB: all are shredded, and rules count as in small messages."""
+    many = 40_000
+    txs = "".join(s.credit_tx(f"R{i}" if i > 2 else "", ccy="QQQ" if i == 7 else "EUR") for i in range(many))
+    xml = s.credit(s.payment(txs)) + " " * (11 << 20)
+    frame = spark.createDataFrame([("pain", "001", "big.xml", "manual", xml)], "domain string, message_set string, file_name string, category string, xml string")
+    parsed = corpus.well_formed(corpus.parse(frame, "001"))
+    assert shred.shred_001(parsed).count() == many
+    found = rules.violations(rules.with_violations(parsed, "001", F.lit("2026-01-01").cast("date")), "file_name")
+    counts = {r.rule_id: r["count"] for r in found.groupBy("rule_id").count().collect()}
+    assert counts["BR-005"] == 2 and counts["BR-010"] == 1
 
 
 def test_round_robin_sample(spark):
@@ -107,4 +122,3 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
     plan = catalog.all_queries()["purpose_code"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "lineitem.parquet" in line)
     assert "l_shipdate" not in scan and "l_discount" not in scan
-    assert demo.MAX_TX_PER_MESSAGE > 0

@@ -103,7 +103,13 @@ def test_corpus_reader(spark, tmp_path):
     corpus_rows = corpus.read_corpus(spark, str(tmp_path / "data"))
     got = {r.file_name: r for r in corpus_rows.collect()}
     assert sorted(got) == ["gen-fail-002.xml", "gen-pass-001.xml", "huge.xml", "other.xml"]
-    assert got["huge.xml"].oversize and got["huge.xml"].xml is None
+    assert not got["huge.xml"].oversize and len(got["huge.xml"].xml) > 10 * 1024 * 1024
+    bounded = {r.file_name: r for r in corpus.read_corpus(spark, str(tmp_path / "data"), max_bytes=1 << 20).collect()}
+    assert bounded["huge.xml"].oversize and bounded["huge.xml"].xml is None and sorted(bounded) == sorted(got)
+    assert {r.file_name for r in corpus.read_corpus(spark, str(tmp_path / "da*"), "002").collect()} == {"other.xml"}
+    assert corpus.read_corpus(spark, str(tmp_path / "data"), "099").count() == 0
+    plan = corpus.read_corpus(spark, str(tmp_path / "data"), "002", max_bytes=5)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(length,5)" in plan and "/002]" in plan.replace("/*", "/").replace("pain/002", "/002"), plan
     import hashlib
 
     assert got["gen-pass-001.xml"].message_id == hashlib.sha256(b"pain.001:" + good).hexdigest()
@@ -111,4 +117,4 @@ def test_corpus_reader(spark, tmp_path):
     assert got["gen-fail-002.xml"].category == "gen-fail" and got["other.xml"].category == "hand-crafted"
     only = corpus.read_corpus(spark, f"file:{tmp_path}/data/", "002").collect()
     assert [r.file_name for r in only] == ["other.xml"]
-    assert corpus.well_formed(corpus.parse(corpus_rows.where("message_set = '001'"), "001")).count() == 2
+    assert corpus.well_formed(corpus.parse(corpus_rows.where("message_set = '001'"), "001")).count() == 3  # the huge one is empty but well-formed
