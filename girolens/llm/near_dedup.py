@@ -6,9 +6,9 @@ but for a chance of about one in a million. Signatures are split into chunks suc
 budget has one wrong symbol at most (pigeonhole). For every chunk, each way to leave one symbol out gives a key, so all
 pairs within the budget share a key. Texts with equal sets collapse into one class before that.
 
-Pairs are not listed within a key. Every class is compared with the smallest classes of its keys, and the nearest one
-by signature on full sets; confirmed links give components. Keys whose members are all in one component are done. In
-the others, members meet chosen members of other components in a few turns, which joins most of what belongs together.
+Pairs are not listed within a key. Every class meets the smallest classes of its keys and some that a hash chooses; the
+nearest one by signature is compared on full sets, and confirmed links give components. Keys whose members are all in
+one component are done. In the others, members meet chosen members of other components once more.
 Then all pairs from different components are left: small keys list them; in large ones, only pairs that share one of
 their rarest shingles can reach the threshold. What is within the budget is confirmed on full sets. So no link between
 different texts that would change a component is missed.
@@ -34,7 +34,7 @@ BLOCK = 1024
 #: Symbols of one byte of the signatures there.
 LONG = 256
 #: Turns in which members meet chosen members of other components, and the share of keys that one turn looks at.
-TURNS, KEYS_A_TURN = 4, 8
+TURNS, KEYS_A_TURN = 2, 4
 _SIGMAS = 4.7
 _rng = np.random.default_rng(20240917)
 _A = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -292,23 +292,28 @@ def link(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     wanted = members.select("id").distinct().join(classes.select("id", "set_a", "set_b"), "id")
     sets = cut(_full_sets(docs, wanted, n))
 
-    stars = members.where("id > leader").select(F.col("id").alias("u"), F.col("leader").alias("v")).distinct()
-    stars = _within(stars, classes, limit).groupBy("u").agg(F.min(F.struct("apart", "v")).alias("best"))
-    stars = stars.select("u", F.col("best.v").alias("v"))
-    edges = cut(_confirmed(stars, sets, percent))
+    edges = None
     for turn in range(TURNS + 1):
-        found = components(edges)
-        told = members.join(found, members["id"] == found["node"], "left").select(
-            "key", "id", "size", F.coalesce("component", "id").alias("component"))
-        mixed = told.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
-        rest = cut(told.join(mixed, "key"))
+        if edges is None:
+            rest = members.withColumn("component", F.col("id"))
+        else:
+            found = components(edges)
+            told = members.join(found, members["id"] == found["node"], "left").select(
+                "key", "id", "size", F.coalesce("component", "id").alias("component"))
+            mixed = told.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
+            rest = cut(told.join(mixed, "key"))
         if turn < TURNS:
-            pairs = _within(_sampled(rest, turn), classes, limit).groupBy("u").agg(F.min(F.struct("apart", "v")).alias("best"))
+            pairs = _sampled(rest, turn)
+            if edges is None:
+                stars = members.where("id > leader").select(F.col("id").alias("u"), F.col("leader").alias("v"))
+                pairs = pairs.unionByName(stars).distinct()
+            pairs = _within(pairs, classes, limit).groupBy("u").agg(F.min(F.struct("apart", "v")).alias("best"))
             pairs = pairs.select("u", F.col("best.v").alias("v"))
         else:
             pairs = _crossing(rest.where(F.col("size") <= SMALL)).unionByName(_rare(rest.where(F.col("size") > SMALL), sets, percent))
             pairs = _within(pairs.distinct(), classes, limit).select("u", "v")
-        edges = cut(edges.unionByName(_confirmed(pairs, sets, percent)))
+        new = _confirmed(pairs, sets, percent)
+        edges = cut(new if edges is None else edges.unionByName(new))
     found = components(edges)
 
     homes = classes.select("set_a", "set_b", "id").join(found, F.col("id") == F.col("node"), "left").select(
