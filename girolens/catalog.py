@@ -48,7 +48,7 @@ def _on(source: Callable[[SparkSession, str], DataFrame], build: Callable[[DataF
 def _on_state(build: Callable[..., DataFrame], *tables: str) -> Query:
     """Query over state tables; one-table queries get that table."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        derived = demo.state(spark, folder)
+        derived = demo.state(spark, folder, once=len(tables) > 2)
         return build(*[derived[t] for t in tables])
 
     return run

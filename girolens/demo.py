@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from girolens import model
 from girolens.functions import ids
 from girolens.functions.text import file_category, xml_escape
+from girolens.operators.ranking import ensure_checkpoint_dir
 from girolens.operators.routing import DUPLICATE, FRESH, TAMPERED, route
 
 AS_OF = "1998-01-01"
@@ -705,10 +706,17 @@ def routed(all_deliveries: DataFrame) -> DataFrame:
     return route(all_deliveries.where("received"), None, _POSITION, F.col("sound"))
 
 
-def state(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The five state tables that the deliveries lead to."""
+def state(spark: SparkSession, folder: str, once: bool = False) -> dict[str, DataFrame]:
+    """The five state tables that the deliveries lead to.
+
+    ``once`` routes the deliveries a single time and keeps the result in the
+    checkpoint folder, for queries that read several of the tables.
+    """
     everything = deliveries(spark, folder)
     flow = routed(everything)
+    if once:
+        ensure_checkpoint_dir(flow)
+        flow = flow.checkpoint()
     fresh = flow.where(F.col("route") == FRESH)
     kept = ["message_id", "domain", "message_set", "file_name"]
     processed = fresh.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from girolens.operators.ranking import _ranged
+from girolens.operators.ranking import _ranged, broadcast_small
 
 
 def relabel(requested: Column, valid: Column) -> Column:
@@ -49,7 +49,7 @@ def number_within(frame: DataFrame, key: list[str], order: list[str], name: str)
         *key, "_part", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift")
     )
     on = ["_part", *key]
-    return ranged.join(shifts, on).select(
+    return ranged.join(broadcast_small(shifts), on).select(
         *frame.columns, (F.col("_shift") + F.col("_row") - F.col("_start") + 1).alias(name)
     )
 

@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: rows of a table of offsets that may be broadcast
+MOST_BROADCAST = 200_000
 _OFFSET_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | row
 
 
@@ -39,6 +41,11 @@ def _ranged(frame: DataFrame, order: list[str]) -> DataFrame:
     ).drop("_id")
 
 
+def broadcast_small(frame: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """``frame`` with a broadcast hint if it is counted to have ``most`` rows at most."""
+    return F.broadcast(frame) if frame.limit(most + 1).count() <= most else frame
+
+
 def row_number(frame: DataFrame, order: list[str], name: str) -> DataFrame:
     """1-based global row number in the order of unique sort columns.
 
@@ -86,7 +93,7 @@ def quantile(frame: DataFrame, key: str, value: str, q: float, name: str) -> Dat
 
     wanted = spans.where(inside(low) | inside(high))
     in_part = Window.partitionBy(key, "_part").orderBy(value)
-    placed = ranged.join(wanted, [key, "_part"]).withColumn(
+    placed = ranged.join(broadcast_small(wanted), [key, "_part"]).withColumn(
         "_end", F.col("_from") + F.sum("_n").over(in_part)
     ).withColumn("_begin", F.col("_end") - F.col("_n"))
 

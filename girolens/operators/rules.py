@@ -128,18 +128,22 @@ def _currencies(xml: Column) -> Column:
     is read from the text of the message rather than from the narrow layout.
     """
     visible = F.when(xml.contains("<!"), F.regexp_replace(xml, _HIDDEN, "")).otherwise(xml)
+    codes = F.regexp_extract_all(visible, F.lit(_CCY_PATTERN), F.lit(2))
+    unknown = F.exists(codes, lambda c: (c != "") & ~ids.currency_is_active(c))
     tags = F.regexp_extract_all(visible, F.lit(_CCY_PATTERN), F.lit(0))
 
     def code(tag: Column) -> Column:
         return F.regexp_extract(tag, _CCY_PATTERN, 2)
 
-    return _each(
+    found = _each(
         tags,
         lambda tag: (code(tag) != "") & ~ids.currency_is_active(code(tag)),
         lambda tag: _violation(
             "BR-010", path=[F.regexp_extract(tag, _CCY_PATTERN, 1)], actual=code(tag)
         ),
     )
+    # tags are only located where a code is unknown
+    return F.when(unknown, found).otherwise(F.array().cast(f"array<{model.VIOLATION_DDL}>"))
 
 
 def _past_dates(values: Column, rule: str, as_of: Column) -> Column:

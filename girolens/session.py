@@ -19,6 +19,7 @@ def configured(builder: SparkSession.Builder, total_cores: int) -> SparkSession.
         "spark.sql.shuffle.partitions": str(3 * total_cores),
         "spark.sql.files.maxPartitionBytes": "64m",
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
