@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -66,6 +67,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of frames that nothing refers to any more, as after `cut`.
+
+    Spark does so when the driver's collector finds them, which on a quiet driver may be half an hour later.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def width(df: DataFrame) -> int:
     """Partitions for a shuffle that is dealt by hand."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -8,9 +8,9 @@ Windows of 50 bytes are found equal by suffix order. No suffix array of the whol
    byte of hash for each side has to agree as well. Anchors are dealt to shards by hash. Each block of documents sends
    one entry per anchor and sides at most, so a passage that a third of all documents hold costs a shard one entry per
    block.
-3. The windows that are left are ordered by induced sorting, first within each block of documents. What has an earlier
-   copy in its own block is marked there; only the earliest copy of a window goes to the shard of its anchor, where
-   the same is done for the windows of all blocks.
+3. What is left is compared first within each block of documents and then, by anchor, over all blocks: only the
+   earliest copy of a window in its block goes on. Windows around one anchor form a string; equal strings are decided
+   at once, and anchors with one string only need no more. The windows of the others are ordered by induced sorting.
 
 Induced sorting orders the S* suffixes (to the depth of a window, which is all that counts here), then induces the
 other suffixes through one queue per byte, which hold suffixes in order and go to disk when they grow large. Equal
@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from girolens.llm.common import blocks, cut, mapped, mix, width
+from girolens.llm.common import blocks, cut, mapped, mix, release, width
 
 WINDOW = 50
 GRAM = 20
 _WIDE = WINDOW - GRAM + 1  # q-grams of a window
 _SIDE = (WINDOW - GRAM) // 2  # bytes that a window has on one side of its anchor at least
 #: Bytes of a block of documents.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 #: Bytes of windows that are ordered at once within a block of documents.
 LOCAL_BYTES = 2 << 20
 #: Positions that the queues of one order keep in memory before they go to disk.
@@ -302,7 +302,7 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
             row, _, _, h, sides = _runs(text, at)
             known = _elsewhere(h, sides, row)
             # a text's anchors that other texts of this block have ride along as they are
-            r, x = row[known], _full(h[known], sides[known])
+            r, x = row[known], _short(h[known], sides[known], shards)
             out = [(int(ids[r[e]]) % shards, int(ids[r[e]]), int(digests[r[e]]), np.unique(x[e:f]).tobytes()) for e, f in _bounds(r)]
             _, first = np.unique(_full(h, sides), return_index=True)
             shard = (h[first] % np.uint64(shards)).astype(np.int64)
@@ -341,11 +341,10 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
         ids, digests, sides, many, hashes = (np.concatenate(v) for v in (ids, digests, sides, many, hashes))
         wanted = _elsewhere(hashes, sides, ids) & ~many
         # a truncated hash comes back as all that is known of it; the text's own anchors are compared the same way
-        ids, digests, hashes = ids[wanted], digests[wanted], (hashes[wanted] << np.uint64(16)) | sides[wanted]
+        ids, digests, hashes = ids[wanted], digests[wanted], _told(hashes[wanted], sides[wanted], np.uint64(shard))
         order = np.lexsort((digests, ids))
         ids, digests, hashes = ids[order], digests[order], hashes[order]
-        mark = b"S" + np.array([shard], np.uint64).tobytes()
-        return [(int(ids[e]), int(digests[e]), mark + hashes[e:f].tobytes()) for e, f in _bounds(ids, digests)]
+        return [(int(ids[e]), int(digests[e]), hashes[e:f].tobytes()) for e, f in _bounds(ids, digests)]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -357,7 +356,7 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
             out = []
             for shard, x, y, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if y is not None:
-                    out.append((x, y, b"H" + data))
+                    out.append((x, y, data))
                     continue
                 if shard != now and held:
                     out += settle(now, held)
@@ -378,15 +377,52 @@ def _full(h: np.ndarray, sides: np.ndarray) -> np.ndarray:
 
 
 def _chosen(h: np.ndarray, sides: np.ndarray, shards: int, told: list[bytes]) -> np.ndarray:
-    """Which anchors of a text are among those told for it."""
-    full = [np.frombuffer(t, np.uint64, offset=1) for t in told if t[:1] == b"H"]
-    out = np.isin(_full(h, sides), np.concatenate(full)) if full else np.zeros(len(h), bool)
-    short = [np.frombuffer(t, np.uint64, offset=1) for t in told if t[:1] == b"S"]
-    if short:
-        keep = np.uint64((1 << (8 * _HASH_BYTES)) - 1)
-        key = _full((((h // np.uint64(shards)) & keep) << np.uint64(16)) | sides, h % np.uint64(shards))
-        out |= np.isin(key, np.concatenate([_full(s[1:], s[:1]) for s in short]))
-    return out
+    """Which anchors of a text are among those told for it; one more by chance does no harm."""
+    return np.isin(_short(h, sides, shards), np.frombuffer(b"".join(told), np.uint32))
+
+
+def _short(h: np.ndarray, sides: np.ndarray, shards: int) -> np.ndarray:
+    """What a text is told of an anchor: four bytes that a shard can make from what it got."""
+    kept = (h // np.uint64(shards)) & np.uint64((1 << (8 * _HASH_BYTES)) - 1)
+    return _told(kept, sides, h % np.uint64(shards))
+
+
+def _told(kept: np.ndarray, sides: np.ndarray, shard: np.ndarray | np.uint64) -> np.ndarray:
+    return (_full((kept << np.uint64(16)) | sides, shard) >> np.uint64(32)).astype(np.uint32)
+
+
+def _true_runs(found: np.ndarray) -> list[tuple[int, int]]:
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], found.astype(np.int8), [0]])))
+    return list(zip(edges[0::2].tolist(), edges[1::2].tolist(), strict=True))
+
+
+def _decided(anchor: np.ndarray, owner: np.ndarray, strings: list[bytes]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Which strings of windows an earlier owner has as a whole; of the others, which of their windows one has.
+
+    Windows are only equal if their anchors are, so an anchor with one string is done once equal strings are.
+    """
+    known: dict[bytes, int] = {}
+    kind = np.array([known.setdefault(s, len(known)) for s in strings], np.int64)
+    least = np.full(len(known), np.iinfo(np.int64).max)
+    np.minimum.at(least, kind, owner)
+    whole = owner > least[kind]
+    first = np.flatnonzero(~whole & (owner == least[kind]))
+    _, pick = np.unique(kind[first], return_index=True)
+    kept = first[pick]  # an earliest copy of each string
+    _, group, many = np.unique(anchor[kept], return_inverse=True, return_counts=True)
+    kept = kept[many[group] > 1]
+    marked: dict[int, np.ndarray] = {}
+    if len(kept):
+        size = np.array([len(strings[k]) + 1 for k in kept])
+        joined = np.frombuffer(b"".join(strings[k] + b"\0" for k in kept), np.uint8)
+        place = np.cumsum(size) - size
+        spot = np.arange(len(joined)) - np.repeat(place, size)
+        allowed = spot < np.repeat(size - WINDOW, size)
+        found = repeats(joined, allowed, np.repeat(owner[kept], size))
+        windows = {int(kind[k]): found[p : p + n - WINDOW] for k, p, n in zip(kept, place, size, strict=True)}
+        windows = {k: f for k, f in windows.items() if f.any()}
+        marked = {int(k): windows[int(kind[k])] for k in np.flatnonzero(~whole) if int(kind[k]) in windows}
+    return whole, marked
 
 
 def _marks(candidates: DataFrame, shards: int) -> DataFrame:
@@ -394,47 +430,29 @@ def _marks(candidates: DataFrame, shards: int) -> DataFrame:
 
     def local(ids: np.ndarray, digests: np.ndarray, text: np.ndarray, at: np.ndarray, runs: tuple[np.ndarray, ...]) -> Iterator[tuple]:
         row, first, last, h = runs
-        # regions: runs that follow each other in one text
-        new = np.concatenate([[True], (row[1:] != row[:-1]) | (first[1:] > last[:-1] + WINDOW)])
-        begin = first[new]
-        end = np.append(last[np.flatnonzero(new)[1:] - 1], last[-1]) + WINDOW
-        size = end - begin + 1
-        place = np.concatenate([[0], np.cumsum(size)])
-        joined = np.zeros(place[-1], np.uint8)
-        spot = np.arange(place[-1]) - np.repeat(place[:-1] - begin, size)
-        body = spot < np.repeat(end, size)
-        joined[body] = text[spot[body]]
-        region = np.cumsum(new) - 1
-        shift = place[region] - begin[region]
-        allowed = np.zeros(len(joined), bool)
-        count = last - first + 1
-        starts = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - (first + shift), count)
-        allowed[starts] = True
-        owner = np.repeat(ids[row[new]], size)
-        found = repeats(joined, allowed, owner)
-        marked = found[starts]
-        run = np.repeat(np.arange(len(first)), count)
-        real = starts - shift[run]
-        yield from ranges(ids, digests, row[run[marked]], real[marked] - at[row[run[marked]]])
-        # the earliest copies go to the shards of their anchors
-        left, run = real[~marked], run[~marked]
-        if len(left):
-            e = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-            for k, a, b in zip(run[e], left[e], left[np.append(e[1:], len(left)) - 1], strict=True):
-                origin = at[row[k]]
-                yield (int(h[k] % np.uint64(shards)), int(ids[row[k]]), int(digests[row[k]]), int(a - origin), int(b - origin),
-                       text[a : b + WINDOW].tobytes())
-
-    def ranges(ids: np.ndarray, digests: np.ndarray, row: np.ndarray, start: np.ndarray) -> Iterator[tuple]:
-        if len(row):
-            order = np.lexsort((start, row))
-            row, start = row[order], start[order]
-            e = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)]))
-            for r, a, b in zip(row[e], start[e], start[np.append(e[1:], len(start)) - 1], strict=True):
-                yield int(ids[r]) % shards, int(ids[r]), int(digests[r]), int(a), int(b), None
-
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    names = ["shard", "doc_id", "a", "first", "last", "data"]
+        data = text.tobytes()
+        strings = [data[a : b + WINDOW] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+        owner = ids[row]
+        whole, marked = _decided(h, owner, strings)
+        for k, (r, a, b) in enumerate(zip(row.tolist(), first.tolist(), last.tolist(), strict=True)):
+            origin, many = int(at[r]), b - a + 1
+            found = marked.get(k)
+            if whole[k]:
+                yield None, int(ids[r]), int(digests[r]), a - origin, b - origin, None
+                continue
+            low, high = 0, many - 1
+            if found is not None:
+                for i, j in _true_runs(found):
+                    yield None, int(ids[r]), int(digests[r]), a - origin + i, a - origin + j - 1, None
+                left = np.flatnonzero(~found)
+                if not len(left):
+                    continue
+                low, high = int(left[0]), int(left[-1])
+            # the earliest copies go on to all others of their anchor
+            yield (int(h[k].astype(np.int64)), int(ids[r]), int(digests[r]), a - origin + low, a - origin + high, data[a + low : a + high + WINDOW])
+
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    names = ["anchor", "doc_id", "a", "first", "last", "data"]
 
     def packed(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names=names)
@@ -465,41 +483,34 @@ def _marks(candidates: DataFrame, shards: int) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(held: list[tuple]) -> Iterator[tuple]:
-            joined = np.frombuffer(b"".join(r[5] + b"\0" for r in held), np.uint8)
-            size = np.array([len(r[5]) + 1 for r in held])
-            many = size - WINDOW
-            place = np.cumsum(size) - size
-            starts = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - place, many)
-            allowed = np.zeros(len(joined), bool)
-            allowed[starts] = True
-            found = repeats(joined, allowed, np.repeat(np.array([r[1] for r in held]), size))[starts]
-            run = np.repeat(np.arange(len(held)), many)[found]
-            at = (starts - place[np.repeat(np.arange(len(held)), many)])[found]
-            if len(run):
-                e = np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (at[1:] != at[:-1] + 1)]))
-                for k, a, b in zip(run[e], at[e], at[np.append(e[1:], len(at)) - 1], strict=True):
-                    _, doc, digest, first, _, _ = held[k]
-                    yield 0, doc, digest, first + int(a), first + int(b), None
-
-        now, held = -1, []
+            whole, marked = _decided(np.array([r[0] for r in held]), np.array([r[1] for r in held]), [r[5] for r in held])
+            for k, (_, doc, digest, first, last, _) in enumerate(held):
+                if whole[k]:
+                    yield None, doc, digest, first, last, None
+                elif k in marked:
+                    for i, j in _true_runs(marked[k]):
+                        yield None, doc, digest, first + i, first + j - 1, None
+
+        held: list[tuple] = []
+        size = 0
         for batch in batches:
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[5] is None:
                     out.append(row)
                     continue
-                if row[0] != now and held:
+                if size > LOCAL_BYTES and row[0] != held[-1][0]:
                     out += settle(held)
-                    held = []
-                now = row[0]
+                    held, size = [], 0
                 held.append(row)
+                size += len(row[5])
             yield packed(out).select([1, 2, 3, 4])
         if held:
             yield packed(list(settle(held))).select([1, 2, 3, 4])
 
     rows = candidates.select("doc_id", "a", "size", "packed", "told")
-    dealt = mapped(rows, deal, "shard int, doc_id long, a long, first long, last long, data binary")
-    dealt = dealt.repartition(width(candidates), "shard").sortWithinPartitions("shard")
+    dealt = mapped(rows, deal, "anchor long, doc_id long, a long, first long, last long, data binary")
+    dealt = dealt.repartition(width(candidates), F.coalesce("anchor", "doc_id")).sortWithinPartitions("anchor")
     return mapped(dealt, gather, "doc_id long, a long, first long, last long")
 
 
@@ -523,18 +534,21 @@ def removals(docs: DataFrame, texts: bool = False) -> DataFrame:
     anything. Rows of equal doc_id take nothing from each other; repeated rows give repeated rows.
     """
     rest = [c for c in docs.columns if c != "text"] if texts else ["doc_id"]
-    shards, many = 8 * width(docs), width(docs)
+    shards, many = 2 * width(docs), width(docs)
     known = docs.where(F.col("doc_id").isNotNull())
     base = _texts(known, rest).repartition(many, "doc_id")
     copies = _firsts(known).withColumnRenamed("doc_id", "c_id")
     copy = F.coalesce(F.array_contains("copies", F.col("a")), F.lit(False))
     base = base.join(copies, base["doc_id"] == copies["c_id"], "left").select("doc_id", "rest", "size", "a", copy.alias("copy"), "packed")
     base = cut(base.withColumn("packed", F.when(~F.col("copy"), F.col("packed"))))
-    found = _shared_anchors(base.where("packed IS NOT NULL"), shards)
-    told = found.groupBy("doc_id").agg(F.collect_list(F.struct("a", "hashes")).alias("told"))
+    release(docs.sparkSession)
+    told = _shared_anchors(base.where("packed IS NOT NULL"), shards).groupBy("doc_id").agg(F.collect_list(F.struct("a", "hashes")).alias("told"))
+    told = cut(told)
+    release(docs.sparkSession)
     candidates = base.where("packed IS NOT NULL").join(told.withColumnRenamed("doc_id", "t_id"), F.col("doc_id") == F.col("t_id"))
     marks = _marks(candidates, shards)
-    marks = marks.groupBy(F.col("doc_id").alias("m_id")).agg(F.collect_list(F.struct("a", "first", "last")).alias("marks"))
+    marks = cut(marks.groupBy(F.col("doc_id").alias("m_id")).agg(F.collect_list(F.struct("a", "first", "last")).alias("marks")))
+    release(docs.sparkSession)
     told = base.join(marks, base["doc_id"] == marks["m_id"], "left").select("doc_id", "rest", "size", "a", "copy", "packed", "marks")
     nobody = _texts(docs.where(F.col("doc_id").isNull()), rest)
     told = told.unionByName(nobody.select("doc_id", "rest", "size", "a", F.lit(False).alias("copy"), "packed",
