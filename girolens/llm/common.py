@@ -62,9 +62,11 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of `df` with a checkpoint in the shared folder."""
+    """Cuts the lineage of `df` with a checkpoint in the shared folder, and frees what earlier cuts left behind."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    release(df.sparkSession)
+    return kept
 
 
 def release(spark: SparkSession) -> None:
