@@ -30,6 +30,7 @@ LEAST = 24
 PASS_CHARS = 8_000_000
 _SEGMENT = 1 << 18
 _OVERLAP = 512
+_HITS = 2_000_000  # shared q-grams that are held at once
 _BETWEEN = np.uint32(0x7FFFFFFF)
 _BIAS = 1 << 30  # keeps starts positive where they share a number with costs
 _BASE = 0x9E3779B97F4A7C15
@@ -139,6 +140,10 @@ def _regions(ix: Index, text: np.ndarray) -> set[tuple[int, int, int, int]]:
     many = ix.first[slot + 1] - ix.first[slot]
     if not len(at):
         return set()
+    if many.sum() > _HITS and len(text) > 4 * _OVERLAP:  # monotonous text: halves that overlap by more than a piece
+        half = len(text) // 2
+        right = _regions(ix, text[half - _OVERLAP :])
+        return _regions(ix, text[: half + _OVERLAP]) | {(i, a + half - _OVERLAP, b + half - _OVERLAP, e) for i, a, b, e in right}
     ends = np.cumsum(many)
     entry = np.arange(ends[-1]) - np.repeat(ends - many - ix.first[slot], many)
     piece = ix.piece[entry]
