@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -61,21 +60,22 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return df.mapInArrow(run, schema)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of `df` with a checkpoint in the shared folder, and frees what earlier cuts left behind."""
-    shared_folder(df.sparkSession)
-    kept = df.checkpoint(eager=True)
-    release(df.sparkSession)
-    return kept
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of frames that nothing refers to any more, as after `cut`.
+def cut(df: DataFrame) -> DataFrame:
+    """Cuts the lineage of `df` with a checkpoint in the shared folder; the shuffle files that led to it go at once.
 
-    Spark does so when the driver's collector finds them, which on a quiet driver may be half an hour later.
+    Spark would keep them until the driver's collector finds the frames, which may be long after.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
 def width(df: DataFrame) -> int:
