@@ -12,7 +12,10 @@ at all, so a repeated or lost task leaves no torn file.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import string
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,7 +33,8 @@ BLOCK = 4096
 PERCENTILE = 0.95
 _SEGMENT_DOCS, _SEGMENT_IDS = 256, 1 << 20
 #: Words whose ids a Python worker remembers; it starts anew beyond that.
-_WORDS = 300_000
+_WORDS = 600_000
+_MARKS = string.punctuation
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -80,10 +84,18 @@ def documents(data: bytes, first: int = 0, last: int | None = None) -> Iterator[
         yield ids[ends[k] - a * BLOCK : ends[k + 1] - a * BLOCK]
 
 
+def _letters(word: str) -> bool:
+    """Whether the split keeps the word whole and lower-casing it is plain: Latin letters only."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250" and "\u0130" not in word)
+
+
 class WordCoder:
     """Ids of texts for tokenizers that drop white space: words are encoded on their own, each new one once.
 
-    Neither the normalizer nor the split pattern of such a file looks across a space or a line feed.
+    Neither the normalizer nor the split pattern of such a file looks across a space or a line feed. A mark behind
+    letters is a part of its own, as are several of them. Words of Latin letters are encoded many at a time, in lower case
+    and split at spaces: that is all that the normalizer and the pattern do to them, and each ends with the only token
+    that carries the end-of-word sign.
     """
 
     def __init__(self, file: str):
@@ -92,22 +104,56 @@ class WordCoder:
 
         self._tokenizer = Tokenizer.from_file(file)
         self._tokenizer.encode_special_tokens = True
+        with open(file, encoding="utf-8") as text:
+            plain = json.load(text)
+        plain["normalizer"] = None
+        byte_level = [p for p in plain["pre_tokenizer"]["pretokenizers"] if p["type"] == "ByteLevel"]
+        plain["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *byte_level]}
+        self._plain = Tokenizer.from_str(json.dumps(plain))
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[str, bytes] = {}
 
+    def _learn(self, new: list[str]) -> None:
+        known = self._known
+        whole = [w for w in new if _letters(w)]
+        for i in range(0, len(whole), 4096):
+            part = whole[i : i + 4096]
+            ids = np.array(self._plain.encode_batch_fast([" ".join(part).lower()], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self._last[ids]) + 1
+            if len(ends) == len(part):
+                data, start = ids.tobytes(), 0
+                for w, end in zip(part, (4 * ends).tolist(), strict=True):
+                    known[w] = data[start:end]
+                    start = end
+        rest = [w for w in new if w not in known]
+        for i in range(0, len(rest), 4096):
+            part = rest[i : i + 4096]
+            for w, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[w] = np.array(e.ids, "<u4").tobytes()
+
     def encode(self, texts: list[str], end: int) -> tuple[list[int], np.ndarray]:
         """Number of ids of each text with the end id, and all ids."""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        wanted = set().union(*words)
-        if len(self._known) + len(wanted) > _WORDS:
+        if len(self._known) > _WORDS:
             self._known = {}
-        new = [w for w in wanted if w not in self._known]
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self._known[w] = np.array(e.ids, "<u4").tobytes()
+        known = self._known
+        words = [t.replace("\n", " ").split(" ") for t in texts]
+        found = [list(map(known.get, w)) for w in words]
+        open_ = [[k for k, x in enumerate(f) if x is None] if None in f else () for f in found]
+        new = list({w[k] for w, o in zip(words, open_, strict=True) for k in o})
+        bare = [w.rstrip(_MARKS) for w in new]
+        marked = [(w, b, w[len(b) :]) for w, b in zip(new, bare, strict=True) if len(b) < len(w) and b and _letters(b)]
+        parts = {*new}.difference(m[0] for m in marked).union(m[1] for m in marked).union(m[2] for m in marked)
+        self._learn([w for w in parts if w not in known])
+        for w, letters, marks in marked:
+            known[w] = known[letters] + known[marks]
         last = np.array([end], "<u4").tobytes()
-        found = [b"".join(map(self._known.__getitem__, w)) + last for w in words]
-        return [len(x) // 4 for x in found], np.frombuffer(b"".join(found), "<u4")
+        for w, f, o in zip(words, found, open_, strict=True):
+            for k in o:
+                f[k] = known[w[k]]
+        joined = [b"".join(f) + last for f in found]
+        return [len(x) // 4 for x in joined], np.frombuffer(b"".join(joined), "<u4")
 
 
 @functools.lru_cache(4)
