@@ -73,7 +73,7 @@ def cut(df: DataFrame) -> DataFrame:
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        return df.checkpoint(eager=True)
+        return df.select("*").checkpoint(eager=True)  # a frame keeps the setting that it was made under
     finally:
         spark.conf.set(_CLEANUP, before)
 
