@@ -9,11 +9,13 @@ are template text (one text on all pages) and which hold the article; every page
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -25,6 +27,8 @@ from girolens.llm.common import cut, mapped
 #: Bytes of all wrappers up to which they are broadcast; beyond that pages are joined to them by a shuffle.
 BROADCAST_BYTES = 16 << 20
 SALTS = 64
+#: Different pages of a host from which on a text that all of them have is template text.
+TEMPLATE_PAGES = 3
 _MOST = 24  # longest block, in tokens, that is looked for as a repeated group
 
 _TOKEN = re.compile(
@@ -110,8 +114,12 @@ def _plain(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-# A wrapper is a list of nodes: [label, optional] for a tag, ["#", optional, path, text or null if variable, characters]
-# for a slot, ["+", optional, nodes] for a repeated group.
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
+# A wrapper is a list of nodes: [label, optional] for a tag, ["#", optional, path, digest of the whole text or null if
+# variable, characters] for a slot, ["+", optional, nodes] for a repeated group.
 
 
 def _key(node: list) -> str:
@@ -179,19 +187,29 @@ def folded(nodes: list[list]) -> list[list]:
     return nodes
 
 
-def wrapper(page: str) -> list[list]:
-    """The wrapper of one page."""
+def read(page: str) -> tuple[list[list], str]:
+    """The wrapper of one page, and a digest of what could be its main text: pages of one digest are one page."""
     nodes: list[list] = []
+    inside: list[str] = []
+    others: list[str] = []
     for kind, path, value in stream(page):
         if kind == "t":
             text = _plain(value)
             if text:
-                nodes.append(["#", False, "/".join(path), text[:200], len(text)])
+                p = "/".join(path)
+                nodes.append(["#", False, p, _digest(text), len(text)])
+                if not _never(p):
+                    (inside if _inside(p) else others).append(text)
         elif kind == "o":
             nodes.append([value, False])
         elif kind == "c":
             nodes.append(["/" + value, False])
-    return folded(nodes)
+    return folded(nodes), _digest("\n".join(inside or others))
+
+
+def wrapper(page: str) -> list[list]:
+    """The wrapper of one page."""
+    return read(page)[0]
 
 
 def _slots(nodes: list[list], repeated: bool = False) -> Iterator[tuple[str, str | None, int, bool, bool]]:
@@ -202,19 +220,24 @@ def _slots(nodes: list[list], repeated: bool = False) -> Iterator[tuple[str, str
             yield n[2], n[3], n[4], repeated, n[1]
 
 
+@lru_cache(10_000)
 def _inside(path: str) -> bool:
     return any(p.rstrip("!^*") in _MAIN or p.endswith("*") for p in path.split("/"))
 
 
+@lru_cache(10_000)
 def _never(path: str) -> bool:
     parts = path.split("/")
     return any(p.endswith("!") for p in parts) or not _inside(path) and any(p.endswith("^") for p in parts)
 
 
 def verdicts(nodes: list[list], pages: int) -> dict:
-    """What the slots of a host mean: `main` paths or a `root` that main text stands below, and `fixed` texts."""
+    """What the slots of a host mean: `main` paths or a `root` that main text stands below, and `fixed` texts.
+
+    `pages` is the number of different pages that the wrapper is of, as far as it was counted.
+    """
     slots = [s for s in _slots(nodes) if not _never(s[0])]
-    fixed = [[p, t] for p, t, _, repeated, optional in slots if t and not repeated and not optional and pages > 2 and not _inside(p)]
+    fixed = [[p, t] for p, t, _, repeated, optional in slots if t and not repeated and not optional and pages >= TEMPLATE_PAGES and not _inside(p)]
     if any(_inside(p) for p, *_ in slots):
         return {"main": sorted({p for p, *_ in slots if _inside(p)}), "fixed": fixed}
     mass: dict[str, int] = {}
@@ -232,7 +255,9 @@ def extract(page: str, known: dict) -> str:
     tokens = stream(page)
     own = any(_inside("/".join(p)) for k, p, _ in tokens if k == "t")
     main, root = set(known.get("main", ())), known.get("root")
-    fixed = {(p, t) for p, t in known["fixed"]}
+    fixed: dict[str, set[str]] = {}
+    for p, t in known["fixed"]:
+        fixed.setdefault(p, set()).add(t)
     blocks: list[str] = []
     now: list[str] = []
 
@@ -254,7 +279,7 @@ def extract(page: str, known: dict) -> str:
             continue
         if kind == "b":
             now.append(" ")
-        elif (p, _plain(value)[:200]) not in fixed:
+        elif p not in fixed or _digest(_plain(value)) not in fixed[p]:
             now.append(value)
     flush()
     return "\n".join(blocks)
@@ -266,40 +291,42 @@ def host(url: Column) -> Column:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, pages) for every host of `pages` (url, html): the wrapper as JSON and how many pages it is of."""
-    shape = "host string, salt int, wrapper string, pages long"
+    """(host, wrapper, pages) for every host of `pages` (url, html): the wrapper as JSON and how many different pages
+    it is of, counted up to TEMPLATE_PAGES."""
+    shape = "host string, salt int, wrapper string, seen array<string>"
 
-    def rows(found: dict[str, tuple[list, int]]) -> pa.RecordBatch:
+    def rows(found: dict[str, tuple[list, list[str]]]) -> pa.RecordBatch:
         cells = [pa.array(list(found), pa.string()), pa.array([0] * len(found), pa.int32()),
-                 pa.array([json.dumps(w) for w, _ in found.values()], pa.string()), pa.array([n for _, n in found.values()], pa.int64())]
-        return pa.RecordBatch.from_arrays(cells, names=["host", "salt", "wrapper", "pages"])
+                 pa.array([json.dumps(w) for w, _ in found.values()], pa.string()), pa.array([n for _, n in found.values()], pa.list_(pa.string()))]
+        return pa.RecordBatch.from_arrays(cells, names=["host", "salt", "wrapper", "seen"])
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 1000):
                 part = batch.slice(low, 1000)
                 shapes: dict[tuple[str, str], list] = {}
-                count: dict[str, int] = {}
+                seen: dict[str, set[str]] = {}
                 for name, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    nodes = wrapper(page or "")
-                    count[name] = count.get(name, 0) + 1
+                    nodes, digest = read(page or "")
+                    seen.setdefault(name, set()).add(digest)
                     key = (name, " ".join(map(_shape, nodes)))
                     shapes[key] = [_merged(x, y) for x, y in zip(shapes[key], nodes, strict=True)] if key in shapes else nodes
-                found: dict[str, tuple[list, int]] = {}
+                found: dict[str, tuple[list, list[str]]] = {}
                 for (name, _), nodes in sorted(shapes.items()):
-                    found[name] = (align(found[name][0], nodes) if name in found else nodes, count[name])
+                    found[name] = (align(found[name][0], nodes) if name in found else nodes, sorted(seen[name])[:TEMPLATE_PAGES])
                 yield rows(found)
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
         known = None
         for text in sorted(group["wrapper"]):
             known = json.loads(text) if known is None else align(known, json.loads(text))
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "salt": pd.array([0], "int32"), "wrapper": [json.dumps(known)], "pages": [group["pages"].sum()]})
+        seen = sorted({d for digests in group["seen"] for d in digests})[:TEMPLATE_PAGES]
+        return pd.DataFrame({"host": [group["host"].iloc[0]], "salt": pd.array([0], "int32"), "wrapper": [json.dumps(known)], "seen": [seen]})
 
     parts = mapped(pages.select(host(F.col("url")).alias("host"), "html"), one, shape)
     parts = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)).cast("int"))
     parts = parts.groupBy("host", "salt").applyInPandas(fold, shape)
-    return parts.groupBy("host").applyInPandas(fold, shape).drop("salt")
+    return parts.groupBy("host").applyInPandas(fold, shape).select("host", "wrapper", F.size("seen").cast("long").alias("pages"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -82,6 +82,17 @@ def test_wrappers_repeat_and_align():
     assert any(t is None for p, t, *_ in slots if p == "p") and any(n[0] == "hr" and n[1] for n in both)
 
 
+def test_template_slots_are_whole_texts_of_different_pages(spark):
+    """Slots that begin alike and go on differently stay; copies of one page do not make its texts template text."""
+    lead = "The same long lead stands in front of every text of this host. " * 5
+    rows = [(n, f"http://lead.example/{n}", f"<body><div><h2>Site</h2><span>{lead}Then comes story {n}.</span></div></body>") for n in range(4)]
+    rows += [(10 + n, f"http://copies.example/{n}", f"<body><nav>{n}</nav><h1>Only one</h1><p>page</p></body>") for n in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in html_wrappers.main_text(pages).collect()}
+    assert all(f"Then comes story {n}." in texts[n] and "Site" not in texts[n] for n in range(4))
+    assert all(texts[10 + n] for n in range(5)), texts
+
+
 def test_pages_of_the_test_tables(spark, folder):
     """Every page of the small tables: the blocks of its article."""
     import html
