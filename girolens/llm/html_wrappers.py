@@ -5,6 +5,8 @@ of a host are aligned one after the other: slots with different texts become var
 becomes optional, and repeated groups are aligned inside. Wrappers align with wrappers in the same way, so a host is
 folded in parts: one wrapper per host and batch, then per host and salt, then per host. The wrapper tells which slots
 are template text (one text on all pages) and which hold the article; every page is then cut by the slots of its host.
+That goes for slots inside of an <article> or <main> too, where it takes more pages. Tags and key words settle what the
+wrapper leaves open: optional slots, repeated groups, hosts of few pages, and which variable slots stand outside.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ BROADCAST_BYTES = 16 << 20
 SALTS = 64
 #: Different pages of a host from which on a text that all of them have is template text.
 TEMPLATE_PAGES = 3
+#: The same within an article, where near copies of one article must not look like a template.
+INSIDE_PAGES = 8
 _MOST = 24  # longest block, in tokens, that is looked for as a repeated group
 
 _TOKEN = re.compile(
@@ -54,7 +58,8 @@ Path = tuple[str, ...]
 
 
 def _label(tag: str, attributes: str) -> str:
-    """The tag, with ! for parts that are never main text and ^ for headers, which only count outside of articles."""
+    """The tag, with ! for parts that are never main text, ? for parts that a key word speaks against, and ^ for headers,
+    which only count outside of articles."""
     words: set[str] = set()
     hidden = False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -64,8 +69,10 @@ def _label(tag: str, attributes: str) -> str:
             words.update(_WORD.findall(value))
         hidden |= name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "")
     main = tag in _MAIN or "main" in words and tag == "div"
-    if hidden or tag in _DROPPED or words & _ALWAYS or words & _MARKS and not words & _BODY and tag not in ("body", "html", *_MAIN):
+    if hidden or tag in _DROPPED or words & _ALWAYS:
         return tag + "!"
+    if words & _MARKS and not words & _BODY and tag not in ("body", "html", *_MAIN):
+        return tag + "?"
     if tag == "header" or "header" in words and not words & _BODY and tag not in ("body", "html", *_MAIN):
         return tag + "^"
     return tag + "*" if main else tag
@@ -94,14 +101,14 @@ def stream(page: str) -> list[tuple[str, Path, str]]:
             if tag == "br":
                 out.append(("b", tuple(stack), ""))
         elif closing:
-            names = [s.rstrip("!^*") for s in stack]
+            names = [s.rstrip("!?^*") for s in stack]
             if tag in names:
                 del stack[len(names) - 1 - names[::-1].index(tag) :]
             out.append(("c", tuple(stack), tag))
         else:
-            while stack and stack[-1].rstrip("!^*") in _CLOSED_BY_BLOCK:
+            while stack and stack[-1].rstrip("!?^*") in _CLOSED_BY_BLOCK:
                 stack.pop()
-            if stack and stack[-1].rstrip("!^*") == tag and tag in ("li", "tr", "td", "th", "dt", "dd", "option"):
+            if stack and stack[-1].rstrip("!?^*") == tag and tag in ("li", "tr", "td", "th", "dt", "dd", "option"):
                 stack.pop()
             label = _label(tag, m.group(3))
             out.append(("o", tuple(stack), label))
@@ -198,7 +205,7 @@ def read(page: str) -> tuple[list[list], str]:
             if text:
                 p = "/".join(path)
                 nodes.append(["#", False, p, _digest(text), len(text)])
-                if not _never(p):
+                if not _never(p) or _open(p):
                     (inside if _inside(p) else others).append(text)
         elif kind == "o":
             nodes.append([value, False])
@@ -222,24 +229,35 @@ def _slots(nodes: list[list], repeated: bool = False) -> Iterator[tuple[str, str
 
 @lru_cache(10_000)
 def _inside(path: str) -> bool:
-    return any(p.rstrip("!^*") in _MAIN or p.endswith("*") for p in path.split("/"))
+    return any(p.rstrip("!?^*") in _MAIN or p.endswith("*") for p in path.split("/"))
 
 
 @lru_cache(10_000)
 def _never(path: str) -> bool:
     parts = path.split("/")
-    return any(p.endswith("!") for p in parts) or not _inside(path) and any(p.endswith("^") for p in parts)
+    return any(p.endswith(("!", "?")) for p in parts) or not _inside(path) and any(p.endswith("^") for p in parts)
+
+
+@lru_cache(10_000)
+def _open(path: str) -> bool:
+    """Whether only key words speak against a path inside of an article."""
+    return _inside(path) and _never(path) and not any(p.endswith("!") for p in path.split("/"))
 
 
 def verdicts(nodes: list[list], pages: int) -> dict:
-    """What the slots of a host mean: `main` paths or a `root` that main text stands below, and `fixed` texts.
+    """What the slots of a host mean: a `root` that main text stands below if no article does, `fixed` texts, and `kept`
+    paths inside of articles whose slots are variable on every page, whatever key words say.
 
     `pages` is the number of different pages that the wrapper is of, as far as it was counted.
     """
-    slots = [s for s in _slots(nodes) if not _never(s[0])]
-    fixed = [[p, t] for p, t, _, repeated, optional in slots if t and not repeated and not optional and pages >= TEMPLATE_PAGES and not _inside(p)]
-    if any(_inside(p) for p, *_ in slots):
-        return {"main": sorted({p for p, *_ in slots if _inside(p)}), "fixed": fixed}
+    every = list(_slots(nodes))
+    slots = [s for s in every if not _never(s[0])]
+    fixed = [[p, t] for p, t, _, repeated, optional in every if t and not repeated and not optional
+             and (not _never(p) or _open(p)) and pages >= (INSIDE_PAGES if _inside(p) else TEMPLATE_PAGES)]
+    loose = {p for p, _, _, repeated, optional in every if repeated or optional}
+    kept = sorted({p for p, t, *_ in every if t is None and p not in loose and _open(p)}) if pages >= INSIDE_PAGES else []
+    if any(_inside(p) for p, *_ in slots) or kept:
+        return {"fixed": fixed, "kept": kept}
     mass: dict[str, int] = {}
     constant = {(p, t) for p, t in fixed}
     for p, t, n, _, _ in slots:
@@ -247,14 +265,14 @@ def verdicts(nodes: list[list], pages: int) -> dict:
             parent = p.rpartition("/")[0]
             mass[parent] = mass.get(parent, 0) + n
     root = max(sorted(mass), key=lambda p: mass[p], default="")
-    return {"root": root, "fixed": fixed}
+    return {"root": root, "fixed": fixed, "kept": kept}
 
 
 def extract(page: str, known: dict) -> str:
     """The main text of a page: blocks in page order, white space as one space, joined by line feeds."""
     tokens = stream(page)
     own = any(_inside("/".join(p)) for k, p, _ in tokens if k == "t")
-    main, root = set(known.get("main", ())), known.get("root")
+    kept, root = set(known["kept"]), known.get("root")
     fixed: dict[str, set[str]] = {}
     for p, t in known["fixed"]:
         fixed.setdefault(p, set()).add(t)
@@ -272,7 +290,7 @@ def extract(page: str, known: dict) -> str:
             flush()
             continue
         p = "/".join(path)
-        good = not _never(p) and (p in main or _inside(p)) if own or root is None else not _never(p) and (p == root or p.startswith(root + "/" if root else ""))
+        good = _inside(p) and (not _never(p) or p in kept) if own or root is None else not _never(p) and (p == root or p.startswith(root + "/" if root else ""))
         if root is None and not own:
             good = not _never(p) and bool(path)  # a page without the article that its host has: all that is not dropped
         if not good:
@@ -292,7 +310,7 @@ def host(url: Column) -> Column:
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper, pages) for every host of `pages` (url, html): the wrapper as JSON and how many different pages
-    it is of, counted up to TEMPLATE_PAGES."""
+    it is of, counted up to INSIDE_PAGES."""
     shape = "host string, salt int, wrapper string, seen array<string>"
 
     def rows(found: dict[str, tuple[list, list[str]]]) -> pa.RecordBatch:
@@ -313,14 +331,14 @@ def wrappers(pages: DataFrame) -> DataFrame:
                     shapes[key] = [_merged(x, y) for x, y in zip(shapes[key], nodes, strict=True)] if key in shapes else nodes
                 found: dict[str, tuple[list, list[str]]] = {}
                 for (name, _), nodes in sorted(shapes.items()):
-                    found[name] = (align(found[name][0], nodes) if name in found else nodes, sorted(seen[name])[:TEMPLATE_PAGES])
+                    found[name] = (align(found[name][0], nodes) if name in found else nodes, sorted(seen[name])[:INSIDE_PAGES])
                 yield rows(found)
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
         known = None
         for text in sorted(group["wrapper"]):
             known = json.loads(text) if known is None else align(known, json.loads(text))
-        seen = sorted({d for digests in group["seen"] for d in digests})[:TEMPLATE_PAGES]
+        seen = sorted({d for digests in group["seen"] for d in digests})[:INSIDE_PAGES]
         return pd.DataFrame({"host": [group["host"].iloc[0]], "salt": pd.array([0], "int32"), "wrapper": [json.dumps(known)], "seen": [seen]})
 
     parts = mapped(pages.select(host(F.col("url")).alias("host"), "html"), one, shape)
@@ -350,7 +368,7 @@ def main_text(pages: DataFrame) -> DataFrame:
             texts = []
             for page, name, text, n in zip(*(batch.column(c).to_pylist() for c in ("html", "host", "wrapper", "pages")), strict=True):
                 if name not in told:
-                    told[name] = verdicts(json.loads(text), n) if text else {"fixed": []}
+                    told[name] = verdicts(json.loads(text), n) if text else {"fixed": [], "kept": []}
                 texts.append(extract(page or "", told[name]))
             cells = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(cells, names=["page_id", "url", "text", "n_chars"])

@@ -93,6 +93,20 @@ def test_template_slots_are_whole_texts_of_different_pages(spark):
     assert all(texts[10 + n] for n in range(5)), texts
 
 
+def test_wrapper_decides_inside_of_articles(spark):
+    """Template text inside of an article goes; a variable slot stays though a key word stands there."""
+    def body(n):
+        return (f"<body><nav>{n}</nav><article><h1>Title {n}</h1><div class='lead'>By our staff</div><div class='notice'>Note {n} on it</div>"
+                f"<p>Story {n}</p><div class='share'>Tell others</div><div class='comments'>Reader {n}</div></article></body>")
+
+    rows = [(n, f"http://many.example/{n}", body(n)) for n in range(9)] + [(20 + n, f"http://few.example/{n}", body(n)) for n in range(2)]
+    rows += [(30 + n, f"http://same.example/{n}", body(1)) for n in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in html_wrappers.main_text(pages).collect()}
+    assert all(texts[n] == f"Title {n}\nNote {n} on it\nStory {n}" for n in range(9)), texts
+    assert all(texts[k + n] == f"Title {m}\nBy our staff\nStory {m}" for k, n, m in [(20, 0, 0), (20, 1, 1), *((30, n, 1) for n in range(9))]), texts
+
+
 def test_pages_of_the_test_tables(spark, folder):
     """Every page of the small tables: the blocks of its article."""
     import html
