@@ -39,7 +39,11 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = re.compile(r"[a-z0-9]+")
-_RAW = frozenset("script style textarea title xmp noscript template svg iframe object canvas audio video select math".split())
+_RAW = frozenset("script style textarea title xmp iframe noscript".split())
+_SKIPPED = frozenset("template svg object canvas audio video select math".split())
+_FOREIGN = frozenset(["svg", "math"])
+_SCOPE = frozenset(["template", "object"])  # end tags in them close nothing outside
+_OPTIONS = frozenset("option optgroup hr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
                     "strong sub sup time tt u var wbr input button".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -82,37 +86,66 @@ def stream(page: str) -> list[tuple[str, Path, str]]:
     """(kind, path, value): `o` and `c` for opened and closed blocks, `t` for text, `b` for an inline break.
 
     The path holds the labels of the open blocks. Inline tags have no part in it. Scripts, styles, comments and other
-    elements without running text are left out.
+    elements without running text are left out: raw text up to its end tag, others as long as they are open. If one of
+    these others (or a noscript) has no end tag, only its start tag is left out.
     """
     out: list[tuple[str, Path, str]] = []
     stack: list[str] = []
+    skipped: int | None = None  # where the outermost element stands that is left out
+    ends: dict[str, int] = {}
     at = 0
+
+    def ended(tag: str) -> bool:
+        if tag not in ends:
+            ends[tag] = max((m.start() for m in re.finditer(rf"</{re.escape(tag)}\b", page, re.I)), default=-1)
+        return ends[tag] >= at
+
+    def emit(kind: str, value: str) -> None:
+        if skipped is None:
+            out.append((kind, tuple(stack), value))
+
     while m := _TOKEN.match(page, at):
         at = m.end()
         if m.group(2) is None:
             if m.group(0)[0] != "<" or m.group(0) == "<":
-                out.append(("t", tuple(stack), m.group(0)))
+                emit("t", m.group(0))
             continue
         tag, closing = m.group(2).lower(), bool(m.group(1))
+        closed = m.group(3).rstrip().endswith("/")
         if tag in _RAW and not closing:
+            if closed and skipped is not None and any(s in _FOREIGN for s in stack[skipped:]) or tag == "noscript" and not ended(tag):
+                continue
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
         elif tag in _INLINE:
             if tag == "br":
-                out.append(("b", tuple(stack), ""))
+                emit("b", "")
         elif closing:
             names = [s.rstrip("!?^*") for s in stack]
-            if tag in names:
+            low = 0 if skipped is None else max((k for k in range(skipped, len(names)) if names[k] in _SCOPE), default=0)
+            if tag in names[low:]:
                 del stack[len(names) - 1 - names[::-1].index(tag) :]
-            out.append(("c", tuple(stack), tag))
+                if skipped is not None and len(stack) <= skipped:
+                    skipped = None
+                    if tag in _SKIPPED:
+                        continue
+            if tag not in _SKIPPED:
+                emit("c", tag)
+        elif tag in _SKIPPED:
+            if not (closed and tag in _FOREIGN) and (tag == "select" or ended(tag)):
+                skipped = len(stack) if skipped is None else skipped
+                stack.append(tag)
         else:
+            if skipped is not None and "select" in stack[skipped:] and tag not in _OPTIONS:
+                del stack[skipped + stack[skipped:].index("select") :]  # no other block can stand in it
+                skipped = None if len(stack) <= skipped else skipped
             while stack and stack[-1].rstrip("!?^*") in _CLOSED_BY_BLOCK:
                 stack.pop()
             if stack and stack[-1].rstrip("!?^*") == tag and tag in ("li", "tr", "td", "th", "dt", "dd", "option"):
                 stack.pop()
             label = _label(tag, m.group(3))
-            out.append(("o", tuple(stack), label))
-            if tag not in _VOID and not m.group(3).rstrip().endswith("/"):
+            emit("o", label)
+            if tag not in _VOID and not closed:
                 stack.append(label)
     return out
 

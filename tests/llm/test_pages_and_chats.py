@@ -107,6 +107,20 @@ def test_wrapper_decides_inside_of_articles(spark):
     assert all(texts[k + n] == f"Title {m}\nBy our staff\nStory {m}" for k, n, m in [(20, 0, 0), (20, 1, 1), *((30, n, 1) for n in range(9))]), texts
 
 
+@pytest.mark.parametrize("odd", [
+    "<svg width='9'/>", "<math />", "<svg><style/><path d='x'/><title>Icon</title><g><text>no</text></g></svg>", "<video src='x'>", "<audio src='x'>",
+    "<canvas>", "<object data='x'>", "<noscript>", "<noscript><p>no</p></noscript>", "<select><option>no<option>no", "<select><option>no</option></select>",
+    "<object><object></div>no</object><p>no</p></object>", "<template></article><p>no</p></template>", "<div><video><p>no</div><video></video>",
+])
+def test_skipped_elements_end(odd):
+    """What is left out ends with its element; without an end tag it does not take the rest of the page along."""
+    nothing = {"fixed": [], "kept": []}
+    before = html_wrappers.extract(f"<body>{odd}<article><h1>Title</h1><p>Story</p></article></body>", nothing)
+    within = html_wrappers.extract(f"<body><article><h1>Title</h1>{odd}<p>Story</p></article></body>", nothing)
+    assert before == within == "Title\nStory"
+    assert html_wrappers.extract("<body><p>One <svg><path/></svg>two</p></body>", nothing) == "One two"
+
+
 def test_pages_of_the_test_tables(spark, folder):
     """Every page of the small tables: the blocks of its article."""
     import html
