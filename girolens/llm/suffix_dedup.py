@@ -95,7 +95,7 @@ def _words(text: np.ndarray) -> np.ndarray:
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """All positions of `text` (bytes, the last one 0) by the suffixes there, exact to WINDOW bytes."""
+    """All positions of `text` (bytes, the last one 0, as others may be) by the suffixes there, exact to WINDOW bytes."""
     n = len(text)
     step = np.diff(text.astype(np.int16))
     apart = np.flatnonzero(step)
@@ -103,6 +103,7 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     small = np.ones(n, bool)  # S type: smaller than the suffix behind it; the last one is
     small[:-1] = np.where(following < len(apart), step[apart[np.minimum(following, len(apart) - 1)]] > 0, False) if len(apart) else False
     stars = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    stars = stars[stars < n - 1]  # the end comes before all others, also before those that start with its byte
     w = _words(text)
     keys = [w[stars + 8 * k] for k in range(-(-WINDOW // 8))]
     stars = stars[np.lexsort(keys[::-1])]
@@ -110,6 +111,8 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     _deal(seeds, text, stars)
     queues = [_Queue() for _ in range(256)]
     larges: list[np.ndarray] = []
+    if n > 1:
+        _deal(queues, text, np.array([n - 2]))  # the last but one is L type
     for b in range(256):  # L types, upwards
         waves = []
         while len(wave := queues[b].take()):
@@ -121,7 +124,6 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         before = seed[seed > 0] - 1
         _deal(queues, text, before[~small[before]])
     out = []
-    _deal(queues, text, np.array([n - 1]))
     for b in range(255, -1, -1):  # S types, downwards
         waves = []
         while len(wave := queues[b].take()):
@@ -133,7 +135,7 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         _deal(queues, text, before[small[before]])
         out += [np.concatenate(waves)[::-1] if waves else np.zeros(0, np.int64), large]
         larges[b] = np.zeros(0, np.int64)
-    return np.concatenate(out[::-1])
+    return np.concatenate([[n - 1], *out[::-1]])
 
 
 def repeats(text: np.ndarray, allowed: np.ndarray, owner: np.ndarray) -> np.ndarray:

@@ -151,6 +151,19 @@ def test_induced_order_and_queues_on_disk(letters, monkeypatch):
         assert sorted(order.tolist()) == list(range(3001)) and keys == sorted(keys)
 
 
+@pytest.mark.parametrize("text", [b"\0", b"a\0", b"aa\0\0", b"ab\0ba" + b"-" * 70 + b"\0\0", b"\0\0\0\0", b"b\0a\0\0b\0\0", b"cab" + b" " * 60 + b"=" * 60 + b"\0\0"])
+def test_order_of_texts_that_end_with_several_zeros(text):
+    order = suffix_dedup.suffix_order(np.frombuffer(text, np.uint8)).tolist()
+    keys = [text[i : i + 50].ljust(50, b"\0") for i in order]
+    assert sorted(order) == list(range(len(text))) and keys == sorted(keys)
+
+
+def test_windows_of_a_long_run_at_the_end_are_found():
+    strings = [b"-" * 70 + b"a", b"b" + b"-" * 70]
+    whole, marked = suffix_dedup._decided(np.array([5, 5]), np.array([1, 2]), strings)
+    assert not whole.any() and marked.keys() == {1} and marked[1].tolist() == [False] + [True] * 21
+
+
 def test_decontamination_finds_edited_passages_and_leaves_clean_text(spark, docs):
     items = [(1, "The quick brown fox jumps over the lazy dog while thirteen wizards vexingly quiz the daft jocks."), (2, None),
              (3, "short"), (None, "nobody"), (4, " ".join(f"term{i * 37 % 101}" for i in range(80)))]
