@@ -11,6 +11,8 @@ Windows of 50 bytes are found equal by suffix order. No suffix array of the whol
 3. What is left is compared first within each block of documents and then, by anchor, over all blocks: only the
    earliest copy of a window in its block goes on. Windows around one anchor form a string; equal strings are decided
    at once, and anchors with one string only need no more. The windows of the others are ordered by induced sorting.
+   An anchor that very many windows have in all (a short phrase in ever different surroundings) would fill the memory of
+   one task. Its windows are dealt one by one, by digests of 128 bits as for whole texts, and compared as they pass.
 
 Induced sorting orders the S* suffixes (to the depth of a window, which is all that counts here), then induces the
 other suffixes through one queue per byte, which hold suffixes in order and go to disk when they grow large. Equal
@@ -39,6 +41,10 @@ _SIDE = (WINDOW - GRAM) // 2  # bytes that a window has on one side of its ancho
 BLOCK_BYTES = 8 << 20
 #: Bytes of windows that are ordered at once within a block of documents.
 LOCAL_BYTES = 2 << 20
+#: Strings of one anchor, counted before any comparison, beyond which its windows are dealt one by one.
+HOT_STRINGS = 1 << 14
+#: Bytes of text for a shard of anchors at most; there are at least eight shards for each partition.
+SHARD_BYTES = 16 << 20
 #: Positions that the queues of one order keep in memory before they go to disk.
 QUEUED = 32 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -293,8 +299,11 @@ def _firsts(docs: DataFrame) -> DataFrame:
     return told.join(least, ["a", "b"]).where("doc_id > least").groupBy("doc_id").agg(F.collect_set("a").alias("copies"))
 
 
-def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
-    """(doc_id, a, hashes): anchors of a text that other texts have too."""
+def _shared_anchors(texts: DataFrame, shards: int, most: int) -> DataFrame:
+    """(doc_id, a, hashes): anchors of a text that other texts have too.
+
+    Rows without a doc_id hold the keys of anchors of more than `most` strings.
+    """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=1)
@@ -306,16 +315,16 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
             # a text's anchors that other texts of this block have ride along as they are
             r, x = row[known], _short(h[known], sides[known], shards)
             out = [(int(ids[r[e]]) % shards, int(ids[r[e]]), int(digests[r[e]]), np.unique(x[e:f]).tobytes()) for e, f in _bounds(r)]
-            _, first = np.unique(_full(h, sides), return_index=True)
+            _, first, strings = np.unique(_full(h, sides), return_index=True, return_counts=True)
             shard = (h[first] % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
-            first, shard = first[order], shard[order]
+            first, shard, strings = first[order], shard[order], np.minimum(strings[order], 0xFFFF)
             r, x, s, many = row[first], h[first] // np.uint64(shards), sides[first], known[first]
             for e, f in _bounds(shard):
                 used, place = np.unique(r[e:f], return_inverse=True)
                 bits = x[e:f].view(np.uint8).reshape(-1, 8)[:, :_HASH_BYTES]
                 data = b"".join([np.array([len(used), f - e], "<u4").tobytes(), np.diff(ids[used], prepend=0).astype("<i8").tobytes(),
-                                 digests[used].astype("<i8").tobytes(), place.astype("<u2").tobytes(), s[e:f].astype("<u2").tobytes(),
+                                 digests[used].astype("<i8").tobytes(), place.astype("<u2").tobytes(), s[e:f].astype("<u2").tobytes(), strings[e:f].astype("<u2").tobytes(),
                                  np.packbits(many[e:f]).tobytes(), bits.tobytes()])
                 out.append((int(shard[e]), len(data), None, codec.compress(data, asbytes=True)))
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
@@ -323,9 +332,9 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
                 cells = [pa.array([o[c] for o in out[low : low + 2000]], kind) for c, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays(cells, names=["shard", "x", "y", "data"])
 
-    def settle(shard: int, held: list[tuple[int, bytes]]) -> list[tuple[int, int, bytes]]:
+    def settle(shard: int, held: list[tuple[int, bytes]]) -> list[tuple[int | None, int | None, bytes]]:
         codec = pa.Codec("zstd")
-        ids, digests, sides, many, hashes = [], [], [], [], []
+        ids, digests, sides, strings, many, hashes = [], [], [], [], [], []
         for size, data in held:
             data = codec.decompress(data, size, asbytes=True)
             n, m = (int(v) for v in np.frombuffer(data, "<u4", 2))
@@ -334,19 +343,24 @@ def _shared_anchors(texts: DataFrame, shards: int) -> DataFrame:
             at = 8 + 16 * n
             place = np.frombuffer(data, "<u2", m, at).astype(np.int64)
             sides.append(np.frombuffer(data, "<u2", m, at + 2 * m).astype(np.uint64))
-            many.append(np.unpackbits(np.frombuffer(data, np.uint8, (m + 7) // 8, at + 4 * m), count=m).astype(bool))
+            strings.append(np.frombuffer(data, "<u2", m, at + 4 * m))
+            many.append(np.unpackbits(np.frombuffer(data, np.uint8, (m + 7) // 8, at + 6 * m), count=m).astype(bool))
             h = np.zeros((m, 8), np.uint8)
-            h[:, :_HASH_BYTES] = np.frombuffer(data, np.uint8, m * _HASH_BYTES, at + 4 * m + (m + 7) // 8).reshape(m, -1)
+            h[:, :_HASH_BYTES] = np.frombuffer(data, np.uint8, m * _HASH_BYTES, at + 6 * m + (m + 7) // 8).reshape(m, -1)
             hashes.append(h.view(np.uint64).ravel())
             ids.append(own[place])
             digests.append(dig[place])
-        ids, digests, sides, many, hashes = (np.concatenate(v) for v in (ids, digests, sides, many, hashes))
+        ids, digests, sides, strings, many, hashes = (np.concatenate(v) for v in (ids, digests, sides, strings, many, hashes))
+        order = np.argsort(hashes, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(hashes[order]) != 0]))
+        hot = hashes[order[first]][np.add.reduceat(strings[order].astype(np.int64), first) > most]
         wanted = _elsewhere(hashes, sides, ids) & ~many
         # a truncated hash comes back as all that is known of it; the text's own anchors are compared the same way
         ids, digests, hashes = ids[wanted], digests[wanted], _told(hashes[wanted], sides[wanted], np.uint64(shard))
         order = np.lexsort((digests, ids))
         ids, digests, hashes = ids[order], digests[order], hashes[order]
-        return [(int(ids[e]), int(digests[e]), hashes[e:f].tobytes()) for e, f in _bounds(ids, digests)]
+        told = [(int(ids[e]), int(digests[e]), hashes[e:f].tobytes()) for e, f in _bounds(ids, digests)]
+        return told + ([(None, None, _key(hot, np.uint64(shard)).tobytes())] if len(hot) else [])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -389,6 +403,11 @@ def _short(h: np.ndarray, sides: np.ndarray, shards: int) -> np.ndarray:
     return _told(kept, sides, h % np.uint64(shards))
 
 
+def _key(kept: np.ndarray, shard: np.ndarray | np.uint64) -> np.ndarray:
+    """An anchor as its shard knows it; two of one key by chance do no harm."""
+    return mix(kept * np.uint64(_BASE) + shard)
+
+
 def _told(kept: np.ndarray, sides: np.ndarray, shard: np.ndarray | np.uint64) -> np.ndarray:
     return (_full((kept << np.uint64(16)) | sides, shard) >> np.uint64(32)).astype(np.uint32)
 
@@ -427,8 +446,11 @@ def _decided(anchor: np.ndarray, owner: np.ndarray, strings: list[bytes]) -> tup
     return whole, marked
 
 
-def _marks(candidates: DataFrame, shards: int) -> DataFrame:
-    """(doc_id, a, first, last): ranges of window starts that an earlier document has."""
+def _dealt(candidates: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
+    """(anchor, doc_id, a, first, last, data): what is left to compare; without data, ranges that an earlier document has.
+
+    Data is a string of windows, or for an anchor with a key in `hot` the digest of one window, with a part of it as anchor.
+    """
 
     def local(ids: np.ndarray, digests: np.ndarray, text: np.ndarray, at: np.ndarray, runs: tuple[np.ndarray, ...]) -> Iterator[tuple]:
         row, first, last, h = runs
@@ -436,6 +458,7 @@ def _marks(candidates: DataFrame, shards: int) -> DataFrame:
         strings = [data[a : b + WINDOW] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
         owner = ids[row]
         whole, marked = _decided(h, owner, strings)
+        alone = np.isin(_key((h // np.uint64(shards)) & np.uint64((1 << (8 * _HASH_BYTES)) - 1), h % np.uint64(shards)), hot)
         for k, (r, a, b) in enumerate(zip(row.tolist(), first.tolist(), last.tolist(), strict=True)):
             origin, many = int(at[r]), b - a + 1
             found = marked.get(k)
@@ -450,15 +473,15 @@ def _marks(candidates: DataFrame, shards: int) -> DataFrame:
                 if not len(left):
                     continue
                 low, high = int(left[0]), int(left[-1])
+            if alone[k]:
+                for i in range(many) if found is None else left.tolist():
+                    digest = hashlib.blake2b(data[a + i : a + i + WINDOW], digest_size=16).digest()
+                    start = a - origin + i
+                    yield int.from_bytes(digest[:8], "little", signed=True), int(ids[r]), int(digests[r]), start, start, digest
+                continue
             # the earliest copies go on to all others of their anchor
             yield (int(h[k].astype(np.int64)), int(ids[r]), int(digests[r]), a - origin + low, a - origin + high, data[a + low : a + high + WINDOW])
 
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    names = ["anchor", "doc_id", "a", "first", "last", "data"]
-
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names=names)
-
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             ids, digests = (batch.column(c).to_numpy() for c in (0, 1))
@@ -478,11 +501,24 @@ def _marks(candidates: DataFrame, shards: int) -> DataFrame:
                 for shard, doc, a, s, e, data in local(ids, digests, text, at, (row[i:j], first[i:j], last[i:j], h[i:j])):
                     out.append((shard, doc, a, s, e, data))
                     if len(out) >= 20_000:
-                        yield packed(out)
+                        yield _rows(out)
                         out = []
-                yield packed(out)
+                yield _rows(out)
                 i = j
 
+    rows = candidates.select("doc_id", "a", "size", "packed", "told")
+    return mapped(rows, deal, "anchor long, doc_id long, a long, first long, last long, data binary")
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)],
+                                      names=["anchor", "doc_id", "a", "first", "last", "data"])
+
+
+def _marks(candidates: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
+    """(doc_id, a, first, last): ranges of window starts that an earlier document has."""
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(held: list[tuple]) -> Iterator[tuple]:
             whole, marked = _decided(np.array([r[0] for r in held]), np.array([r[1] for r in held]), [r[5] for r in held])
@@ -495,24 +531,30 @@ def _marks(candidates: DataFrame, shards: int) -> DataFrame:
 
         held: list[tuple] = []
         size = 0
+        now, least = None, {}  # smallest ids of the windows of one anchor; rows come by id
         for batch in batches:
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[5] is None:
                     out.append(row)
                     continue
+                if len(row[5]) < WINDOW:
+                    if row[0] != now:
+                        now, least = row[0], {}
+                    if least.setdefault(row[5], row[1]) < row[1]:
+                        out.append((*row[:5], None))
+                    continue
                 if size > LOCAL_BYTES and row[0] != held[-1][0]:
                     out += settle(held)
                     held, size = [], 0
                 held.append(row)
                 size += len(row[5])
-            yield packed(out).select([1, 2, 3, 4])
+            yield _rows(out).select([1, 2, 3, 4])
         if held:
-            yield packed(list(settle(held))).select([1, 2, 3, 4])
+            yield _rows(list(settle(held))).select([1, 2, 3, 4])
 
-    rows = candidates.select("doc_id", "a", "size", "packed", "told")
-    dealt = mapped(rows, deal, "anchor long, doc_id long, a long, first long, last long, data binary")
-    dealt = dealt.repartition(width(candidates), F.coalesce("anchor", "doc_id")).sortWithinPartitions("anchor")
+    dealt = _dealt(candidates, shards, hot)
+    dealt = dealt.repartition(width(candidates), F.coalesce("anchor", "doc_id")).sortWithinPartitions("anchor", "doc_id")
     return mapped(dealt, gather, "doc_id long, a long, first long, last long")
 
 
@@ -536,17 +578,20 @@ def removals(docs: DataFrame, texts: bool = False) -> DataFrame:
     anything. Rows of equal doc_id take nothing from each other; repeated rows give repeated rows.
     """
     rest = [c for c in docs.columns if c != "text"] if texts else ["doc_id"]
-    shards, many = 8 * width(docs), width(docs)
+    many = width(docs)
     known = docs.where(F.col("doc_id").isNotNull())
     base = _texts(known, rest).repartition(many, "doc_id")
     copies = _firsts(known).withColumnRenamed("doc_id", "c_id")
     copy = F.coalesce(F.array_contains("copies", F.col("a")), F.lit(False))
     base = base.join(copies, base["doc_id"] == copies["c_id"], "left").select("doc_id", "rest", "size", "a", copy.alias("copy"), "packed")
     base = cut(base.withColumn("packed", F.when(~F.col("copy"), F.col("packed"))))
-    told = _shared_anchors(base.where("packed IS NOT NULL"), shards).groupBy("doc_id").agg(F.collect_list(F.struct("a", "hashes")).alias("told"))
+    shards = max(8 * many, -(-(base.agg(F.sum("size")).first()[0] or 0) // SHARD_BYTES))
+    told = _shared_anchors(base.where("packed IS NOT NULL"), shards, HOT_STRINGS).groupBy("doc_id").agg(F.collect_list(F.struct("a", "hashes")).alias("told"))
     told = cut(told)
+    hot = told.where("doc_id IS NULL").select(F.explode("told.hashes")).collect()
+    hot = np.frombuffer(b"".join(bytes(r[0]) for r in hot), np.uint64)
     candidates = base.where("packed IS NOT NULL").join(told.withColumnRenamed("doc_id", "t_id"), F.col("doc_id") == F.col("t_id"))
-    marks = _marks(candidates, shards)
+    marks = _marks(candidates, shards, hot)
     marks = cut(marks.groupBy(F.col("doc_id").alias("m_id")).agg(F.collect_list(F.struct("a", "first", "last")).alias("marks")))
     told = base.join(marks, base["doc_id"] == marks["m_id"], "left").select("doc_id", "rest", "size", "a", "copy", "packed", "marks")
     nobody = _texts(docs.where(F.col("doc_id").isNull()), rest)

@@ -139,6 +139,27 @@ def test_suffix_dedup_equals_brute_force(docs):
     assert suffix_dedup.removals(docs.limit(0)).count() == 0
 
 
+def test_anchors_of_many_strings_are_dealt_by_windows(spark, monkeypatch):
+    """A phrase in ever different surroundings is not held by one task, and nothing is lost."""
+    rnd = np.random.default_rng(9)
+
+    def letters(n):
+        return rnd.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+
+    phrases = [letters(n) for n in (20, 24, 35, 49, 60, 80)]
+    pairs = [(k, "".join(letters(int(rnd.integers(0, 60))) + p for p in phrases) + letters(40) + "-" * int(rnd.integers(40, 70))) for k in range(400)]
+    calls = []
+    real = suffix_dedup._marks
+    monkeypatch.setattr(suffix_dedup, "HOT_STRINGS", 50)
+    monkeypatch.setattr(suffix_dedup, "_marks", lambda *a: calls.append(a) or real(*a))
+    frame = spark.createDataFrame(pairs, "doc_id long, text string").repartition(8)
+    got = rows(suffix_dedup.removals(frame), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    want = removed(pairs)
+    assert len(got) == 400 and all(r[1:] == want[r[0]][:4] for r in got)
+    strings = suffix_dedup._dealt(*calls[0]).where("octet_length(data) >= 50").groupBy("anchor").count()
+    assert len(calls[0][2]) and (strings.agg(F.max("count")).first()[0] or 0) <= 50
+
+
 @pytest.mark.parametrize("letters", [1, 2, 4, 200])
 def test_induced_order_and_queues_on_disk(letters, monkeypatch):
     rnd = np.random.default_rng(letters)
