@@ -13,6 +13,7 @@ from girolens.llm import (
     decontaminate,
     fingerprints,
     html_wrappers,
+    merkle,
     near_dedup,
     quality,
     suffix_dedup,
@@ -76,6 +77,10 @@ def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_near_dedup": op9_near_dedup,
     "op10_token_blocks": op10_token_blocks,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLE: dict[str, str] = {
@@ -112,4 +118,66 @@ ORACLE: dict[str, str] = {
         )
         SELECT p.page_id, p.host, p.path, h.best.rule AS rule, coalesce(h.best.verdict, 'allow') AS verdict
         FROM parts p LEFT JOIN hits h ON p.page_id = h.page_id""",
+    "op11_merkle": r"""
+        WITH RECURSIVE base AS (
+            SELECT doc_id, source, text,
+                coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(str_split(doc_id::VARCHAR, ''),
+                    lambda d: ascii(d)::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                    lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 5 = 0 AS tampers
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                CASE WHEN tampers THEN sha256(head || coalesce(strlen(text) || ':' || translate(text,
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS other
+            FROM base
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree, count(*) OVER (PARTITION BY source) AS n
+            FROM leaves
+        ), low AS (
+            SELECT tree, 0 AS level, place AS idx, n, leaf AS node FROM placed
+            UNION ALL
+            SELECT tree, level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY idx))
+            FROM low WHERE n > 1 GROUP BY tree, level, idx // 16, n
+        ), tops AS (
+            SELECT tree, node AS subroot, tree - 1 AS idx, count(*) OVER () AS n FROM low WHERE n = 1
+        ), high AS (
+            SELECT 0 AS level, idx, n, subroot AS node FROM tops
+            UNION ALL
+            SELECT level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY idx))
+            FROM high WHERE n > 1 GROUP BY level, idx // 16, n
+        ), nodes AS (
+            SELECT tree, level, idx, node FROM low WHERE n > 1
+            UNION ALL SELECT 0, level, idx, node FROM high WHERE n > 1
+        ), steps AS (
+            SELECT tree, level, idx,
+                coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+            FROM nodes WINDOW run AS (PARTITION BY tree, level, idx // 16 ORDER BY idx)
+        ), depths AS (
+            SELECT tree, max(level) + 1 AS depth FROM steps GROUP BY tree
+        ), paths AS (
+            SELECT p.tree, p.place, s.level AS k, s.l, s.r
+            FROM (SELECT DISTINCT tree, place FROM placed) p JOIN steps s ON s.tree = p.tree AND s.idx = p.place // (16 ** s.level)::BIGINT
+            UNION ALL
+            SELECT p.tree, p.place, coalesce(d.depth, 0) + s.level, s.l, s.r
+            FROM (SELECT DISTINCT tree, place FROM placed) p LEFT JOIN depths d ON d.tree = p.tree
+                JOIN steps s ON s.tree = 0 AND s.idx = (p.tree - 1) // (16 ** s.level)::BIGINT
+        ), proofs AS (
+            SELECT tree, place, sha256(string_agg(l || r, '' ORDER BY k)) AS proof FROM paths GROUP BY tree, place
+        ), folds AS (
+            SELECT tree, place, 0 AS k, coalesce(other, leaf) AS node FROM placed
+            UNION ALL
+            SELECT f.tree, f.place, f.k + 1, sha256(p.l || f.node || p.r)
+            FROM folds f JOIN paths p ON p.tree = f.tree AND p.place = f.place AND p.k = f.k
+        ), ends AS (
+            SELECT tree, place, max_by(node, k) AS folded FROM folds GROUP BY tree, place
+        )
+        SELECT p.doc_id, p.leaf, t.subroot, (SELECT node FROM high WHERE n = 1) AS root,
+            coalesce(o.proof, sha256('')) AS proof_sha256, e.folded AS folded_root,
+            e.folded = (SELECT node FROM high WHERE n = 1) AS verified
+        FROM placed p JOIN tops t ON t.tree = p.tree LEFT JOIN proofs o ON o.tree = p.tree AND o.place = p.place
+            JOIN ends e ON e.tree = p.tree AND e.place = p.place""",
 }
