@@ -15,6 +15,7 @@ from girolens.llm import (
     html_wrappers,
     merkle,
     near_dedup,
+    periodic_runs,
     quality,
     suffix_dedup,
     token_blocks,
@@ -81,6 +82,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.strongest(periodic_runs.find(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_dedup": op9_near_dedup,
     "op10_token_blocks": op10_token_blocks,
     "op11_merkle": op11_merkle,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
