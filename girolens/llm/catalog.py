@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,12 @@ from girolens.llm import (
     near_dedup,
     periodic_runs,
     quality,
+    secrets,
     suffix_dedup,
     token_blocks,
     url_filter,
 )
-from girolens.llm.common import table
+from girolens.llm.common import shared_folder, table
 
 #: The rules of the URL filter query.
 URL_RULES = [
@@ -86,6 +88,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.strongest(periodic_runs.find(periodic_runs.planted(table(spark, sf_dir, "documents"))))
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = f"{shared_folder(spark)}/secrets-{uuid.uuid4().hex}"
+    secrets.scan(docs, ledger)
+    return secrets.told(secrets.findings(docs, ledger))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
@@ -99,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_blocks": op10_token_blocks,
     "op11_merkle": op11_merkle,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_secrets": op13_secrets,
 }
 
 ORACLE: dict[str, str] = {
@@ -186,4 +196,33 @@ ORACLE: dict[str, str] = {
             e.folded = (SELECT node FROM high WHERE n = 1) AS verified
         FROM placed p JOIN tops t ON t.tree = p.tree LEFT JOIN proofs o ON o.tree = p.tree AND o.place = p.place
             JOIN ends e ON e.tree = p.tree AND e.place = p.place""",
+    "op13_secrets": r"""
+        WITH rules(rank, kind, pattern, part, least) AS (
+            VALUES (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+                (1, 'access', '()(AKIA[A-Z0-9]+)', 2, 20), (2, 'hex', '()([0-9a-f]+)', 2, 24)
+        ), texts AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+        ), cut AS (
+            SELECT row, rank, kind, least, unnest(list_transform(range(1, len(m) + 1), lambda k: {'start':
+                list_sum(list_transform(p[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0),
+                'whole': length(m[k]), 'own': length(v[k])})) AS hit
+            FROM (
+                SELECT row, 0 AS rank, 'assign' AS kind, 6 AS least, regexp_extract_all(text, (SELECT pattern FROM rules WHERE rank = 0), 0) AS m,
+                    regexp_extract_all(text, (SELECT pattern FROM rules WHERE rank = 0), 2) AS v,
+                    string_split_regex(text, (SELECT pattern FROM rules WHERE rank = 0)) AS p FROM texts
+                UNION ALL
+                SELECT row, 1, 'access', 20, regexp_extract_all(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+'),
+                    string_split_regex(text, 'AKIA[A-Z0-9]+') FROM texts
+                UNION ALL
+                SELECT row, 2, 'hex', 24, regexp_extract_all(text, '[0-9a-f]{24,}'), regexp_extract_all(text, '[0-9a-f]{24,}'),
+                    string_split_regex(text, '[0-9a-f]{24,}') FROM texts
+            )
+        ), held AS (
+            SELECT row, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+                string_agg(kind || ':' || hit.start::BIGINT || ':' || (hit.start + hit.whole)::BIGINT, ',' ORDER BY hit.start, rank) AS spans
+            FROM cut WHERE hit.own >= least GROUP BY row
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+            sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM texts LEFT JOIN held USING (row)""",
 }
