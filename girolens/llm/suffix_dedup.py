@@ -412,6 +412,23 @@ def _told(kept: np.ndarray, sides: np.ndarray, shard: np.ndarray | np.uint64) ->
     return (_full((kept << np.uint64(16)) | sides, shard) >> np.uint64(32)).astype(np.uint32)
 
 
+def _ranges(ids: np.ndarray, digests: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """(doc_id, a, ranges) of each text: its ranges of window starts, merged where they meet, as pairs of 64-bit numbers."""
+    if not len(ids):
+        return []
+    order = np.lexsort((first, digests, ids))
+    ids, digests, first, last = ids[order], digests[order], first[order], last[order]
+    bounds = _bounds(ids, digests)
+    apart = np.int64(max(int(last.max()) + 2, 1))
+    shift = np.repeat(np.arange(len(bounds)), [f - e for e, f in bounds]) * apart  # so that texts do not meet
+    until = np.maximum.accumulate(last + shift)
+    new = np.concatenate([[True], first[1:] + shift[1:] > until[:-1] + 1])
+    start = np.flatnonzero(new)
+    pairs = np.stack([first[start], (until - shift)[np.append(start[1:], len(ids)) - 1]], axis=1).astype("<i8")
+    edge = np.searchsorted(start, [e for e, _ in bounds] + [len(ids)])
+    return [(int(ids[e]), int(digests[e]), pairs[edge[k] : edge[k + 1]].tobytes()) for k, (e, _) in enumerate(bounds)]
+
+
 def _true_runs(found: np.ndarray) -> list[tuple[int, int]]:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], found.astype(np.int8), [0]])))
     return list(zip(edges[0::2].tolist(), edges[1::2].tolist(), strict=True))
@@ -447,9 +464,10 @@ def _decided(anchor: np.ndarray, owner: np.ndarray, strings: list[bytes]) -> tup
 
 
 def _dealt(candidates: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
-    """(anchor, doc_id, a, first, last, data): what is left to compare; without data, ranges that an earlier document has.
+    """(anchor, doc_id, a, first, last, data, ranges): what is left to compare.
 
     Data is a string of windows, or for an anchor with a key in `hot` the digest of one window, with a part of it as anchor.
+    Rows without data hold the packed ranges of window starts of a text that an earlier document has.
     """
 
     def local(ids: np.ndarray, digests: np.ndarray, text: np.ndarray, at: np.ndarray, runs: tuple[np.ndarray, ...]) -> Iterator[tuple]:
@@ -458,17 +476,19 @@ def _dealt(candidates: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
         strings = [data[a : b + WINDOW] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
         owner = ids[row]
         whole, marked = _decided(h, owner, strings)
+        gone = [(row[whole], first[whole], last[whole])]
+        for k, found in marked.items():
+            i, j = np.array(_true_runs(found)).T
+            gone.append((np.full(len(i), row[k]), first[k] + i, first[k] + j - 1))
+        r, a, b = (np.concatenate(x) for x in zip(*gone, strict=True))
+        for doc, digest, ranges in _ranges(ids[r], digests[r], a - at[r], b - at[r]):
+            yield None, doc, digest, None, None, None, ranges
         alone = np.isin(_key((h // np.uint64(shards)) & np.uint64((1 << (8 * _HASH_BYTES)) - 1), h % np.uint64(shards)), hot)
-        for k, (r, a, b) in enumerate(zip(row.tolist(), first.tolist(), last.tolist(), strict=True)):
-            origin, many = int(at[r]), b - a + 1
-            found = marked.get(k)
-            if whole[k]:
-                yield None, int(ids[r]), int(digests[r]), a - origin, b - origin, None
-                continue
+        for k in np.flatnonzero(~whole).tolist():
+            r, a, many = int(row[k]), int(first[k]), int(last[k] - first[k]) + 1
+            origin, found = int(at[r]), marked.get(k)
             low, high = 0, many - 1
             if found is not None:
-                for i, j in _true_runs(found):
-                    yield None, int(ids[r]), int(digests[r]), a - origin + i, a - origin + j - 1, None
                 left = np.flatnonzero(~found)
                 if not len(left):
                     continue
@@ -477,10 +497,10 @@ def _dealt(candidates: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
                 for i in range(many) if found is None else left.tolist():
                     digest = hashlib.blake2b(data[a + i : a + i + WINDOW], digest_size=16).digest()
                     start = a - origin + i
-                    yield int.from_bytes(digest[:8], "little", signed=True), int(ids[r]), int(digests[r]), start, start, digest
+                    yield int.from_bytes(digest[:8], "little", signed=True), int(ids[r]), int(digests[r]), start, start, digest, None
                 continue
             # the earliest copies go on to all others of their anchor
-            yield (int(h[k].astype(np.int64)), int(ids[r]), int(digests[r]), a - origin + low, a - origin + high, data[a + low : a + high + WINDOW])
+            yield (int(h[k].astype(np.int64)), int(ids[r]), int(digests[r]), a - origin + low, a - origin + high, data[a + low : a + high + WINDOW], None)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
@@ -498,8 +518,8 @@ def _dealt(candidates: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
             while i < len(row):
                 j = max(int(np.searchsorted(total, total[i] + LOCAL_BYTES, "right")) - 1, i + 1)
                 out = []
-                for shard, doc, a, s, e, data in local(ids, digests, text, at, (row[i:j], first[i:j], last[i:j], h[i:j])):
-                    out.append((shard, doc, a, s, e, data))
+                for found in local(ids, digests, text, at, (row[i:j], first[i:j], last[i:j], h[i:j])):
+                    out.append(found)
                     if len(out) >= 20_000:
                         yield _rows(out)
                         out = []
@@ -507,55 +527,63 @@ def _dealt(candidates: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
                 i = j
 
     rows = candidates.select("doc_id", "a", "size", "packed", "told")
-    return mapped(rows, deal, "anchor long, doc_id long, a long, first long, last long, data binary")
+    return mapped(rows, deal, "anchor long, doc_id long, a long, first long, last long, data binary, ranges binary")
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)],
-                                      names=["anchor", "doc_id", "a", "first", "last", "data"])
+                                      names=["anchor", "doc_id", "a", "first", "last", "data", "ranges"])
 
 
 def _marks(candidates: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
-    """(doc_id, a, first, last): ranges of window starts that an earlier document has."""
+    """(doc_id, a, ranges): packed ranges of window starts that an earlier document has."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def settle(held: list[tuple]) -> Iterator[tuple]:
-            whole, marked = _decided(np.array([r[0] for r in held]), np.array([r[1] for r in held]), [r[5] for r in held])
-            for k, (_, doc, digest, first, last, _) in enumerate(held):
-                if whole[k]:
-                    yield None, doc, digest, first, last, None
-                elif k in marked:
-                    for i, j in _true_runs(marked[k]):
-                        yield None, doc, digest, first + i, first + j - 1, None
+        def settle(held: list[tuple]) -> list[tuple[int, int, bytes]]:
+            owner = np.array([r[1] for r in held])
+            whole, marked = _decided(np.array([r[0] for r in held]), owner, [r[5] for r in held])
+            found = [(int(k), held[k][3], held[k][4]) for k in np.flatnonzero(whole)]
+            found += [(k, held[k][3] + i, held[k][3] + j - 1) for k in marked for i, j in _true_runs(marked[k])]
+            if not found:
+                return []
+            k, first, last = np.array(found).T
+            return _ranges(owner[k], np.array([r[2] for r in held])[k], first, last)
 
         held: list[tuple] = []
         size = 0
         now, least = None, {}  # smallest ids of the windows of one anchor; rows come by id
         for batch in batches:
-            out = []
+            out, single = [], []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[5] is None:
-                    out.append(row)
+                    out.append((row[1], row[2], row[6]))
                     continue
                 if len(row[5]) < WINDOW:
                     if row[0] != now:
                         now, least = row[0], {}
                     if least.setdefault(row[5], row[1]) < row[1]:
-                        out.append((*row[:5], None))
+                        single.append(row[1:5])
                     continue
                 if size > LOCAL_BYTES and row[0] != held[-1][0]:
                     out += settle(held)
                     held, size = [], 0
                 held.append(row)
                 size += len(row[5])
-            yield _rows(out).select([1, 2, 3, 4])
+            if single:
+                out += _ranges(*np.array(single).T)
+            yield _packed(out)
         if held:
-            yield _rows(list(settle(held))).select([1, 2, 3, 4])
+            yield _packed(settle(held))
 
     dealt = _dealt(candidates, shards, hot)
     dealt = dealt.repartition(width(candidates), F.coalesce("anchor", "doc_id")).sortWithinPartitions("anchor", "doc_id")
-    return mapped(dealt, gather, "doc_id long, a long, first long, last long")
+    return mapped(dealt, gather, "doc_id long, a long, ranges binary")
+
+
+def _packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names=["doc_id", "a", "ranges"])
 
 
 def spans(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -592,11 +620,11 @@ def removals(docs: DataFrame, texts: bool = False) -> DataFrame:
     hot = np.frombuffer(b"".join(bytes(r[0]) for r in hot), np.uint64)
     candidates = base.where("packed IS NOT NULL").join(told.withColumnRenamed("doc_id", "t_id"), F.col("doc_id") == F.col("t_id"))
     marks = _marks(candidates, shards, hot)
-    marks = cut(marks.groupBy(F.col("doc_id").alias("m_id")).agg(F.collect_list(F.struct("a", "first", "last")).alias("marks")))
+    marks = cut(marks.groupBy(F.col("doc_id").alias("m_id")).agg(F.collect_list(F.struct("a", "ranges")).alias("marks")))
     told = base.join(marks, base["doc_id"] == marks["m_id"], "left").select("doc_id", "rest", "size", "a", "copy", "packed", "marks")
     nobody = _texts(docs.where(F.col("doc_id").isNull()), rest)
     told = told.unionByName(nobody.select("doc_id", "rest", "size", "a", F.lit(False).alias("copy"), "packed",
-                                          F.lit(None).cast("array<struct<a:bigint,first:bigint,last:bigint>>").alias("marks")))
+                                          F.lit(None).cast("array<struct<a:bigint,ranges:binary>>").alias("marks")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
@@ -605,7 +633,7 @@ def removals(docs: DataFrame, texts: bool = False) -> DataFrame:
                 part = batch.slice(low, 256)
                 out = []
                 for size, a, copy, packed, marks in zip(*(part.column(c).to_pylist() for c in range(2, 7)), strict=True):
-                    gone = [(0, size)] if copy else spans([(m["first"], m["last"]) for m in marks or () if m["a"] == a])
+                    gone = [(0, size)] if copy else spans(np.frombuffer(b"".join(m["ranges"] for m in marks or () if m["a"] == a), "<i8").reshape(-1, 2).tolist())
                     data = codec.decompress(packed, size, asbytes=True) if size and packed is not None else b""
                     edges = [0, *(x for s in gone for x in s), size]
                     kept = b"".join(data[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
