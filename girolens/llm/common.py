@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -60,6 +62,34 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return df.mapInArrow(run, schema)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int | None = 512,
+         size: int = BLOCK_BYTES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` on slices of `rows` rows and, but for longer rows, `size` bytes at most (None: whole batches); the worker
+    gives back its memory after a task.
+
+    Workers are used again by later stages. What malloc and Arrow keep of a stage would add to what the next one needs.
+    """
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if rows is None:
+                yield batch
+                continue
+            step = max(1, min(rows, batch.num_rows * size // max(batch.nbytes, 1)))
+            for low in range(0, batch.num_rows, step):
+                yield batch.slice(low, step)
+
+    def leaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(slices(batches))
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):  # only glibc has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return leaner
+
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

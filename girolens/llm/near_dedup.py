@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from girolens.llm.common import blocks, components, cut, mapped, mix, shingles, spans, words
+from girolens.llm.common import blocks, components, cut, lean, mapped, mix, shingles, spans, words
 
 SYMBOLS = 64
 #: Keys of more members find their remaining pairs by rare shingles; those of fewer list them.
@@ -103,7 +103,7 @@ def _prints(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *cells], names=["doc_id", "n_shingles", "set_a", "set_b", "signature"])
 
     return mapped(docs.select(F.col("doc_id").cast("long"), "text"),
-        run, "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
+        lean(run), "doc_id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -123,7 +123,7 @@ def _keys(classes: DataFrame, limit: int) -> DataFrame:
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + symbols[:, k])
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids)], names=["key", "id"])
 
-    return mapped(classes.select("id", "signature"), run, "key long, id long")
+    return mapped(classes.select("id", "signature"), lean(run, None), "key long, id long")
 
 
 def _within(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
@@ -138,7 +138,7 @@ def _within(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
                 cells = [batch.column(0), batch.column(1), pa.array(apart, pa.int32())]
                 yield pa.RecordBatch.from_arrays(cells, names=["u", "v", "apart"]).filter(pa.array(apart <= limit))
 
-    return mapped(pairs.join(signed, "u").join(other, "v").select("u", "v", "su", "sv"), run, "u long, v long, apart int")
+    return mapped(pairs.join(signed, "u").join(other, "v").select("u", "v", "su", "sv"), lean(run, None), "u long, v long, apart int")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -218,7 +218,7 @@ def _rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if held:
             yield _pair_rows(*pairs(_one(held)))
 
-    return mapped(dealt, run, "u long, v long").distinct()
+    return mapped(dealt, lean(run, None), "u long, v long").distinct()
 
 
 def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -248,7 +248,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(packed, pa.binary())],
                                              names=["doc_id", "size", "packed"])
 
-    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, size long, packed binary")
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), lean(run), "doc_id long, size long, packed binary")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -268,7 +268,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep, pa.int64())), *cells], names=["id", "found", "long"])
 
     rows = _packed(docs).join(wanted.hint("SHUFFLE_HASH"), F.col("doc_id") == F.col("id"))
-    return mapped(rows.select("id", "size", "packed", "set_a", "set_b"), run, "id long, found array<long>, long binary").dropDuplicates(["id"])
+    return mapped(rows.select("id", "size", "packed", "set_a", "set_b"), lean(run), "id long, found array<long>, long binary").dropDuplicates(["id"])
 
 
 def link(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girolens.llm.common import blocks, mapped, spans, words
+from girolens.llm.common import blocks, lean, mapped, spans, words
 
 #: Labelled rows that a model is fitted on: those with the smallest hash of their id.
 SAMPLE_ROWS = 20_000
@@ -188,4 +188,4 @@ def keep(docs: DataFrame, trees: Trees, at: float = 0.3) -> DataFrame:
             at_text = batch.schema.get_field_index("text")
             yield batch.filter(pa.array(trees.scores(statistics(batch.column(at_text))) >= at))
 
-    return mapped(docs, run, schema)
+    return mapped(docs, lean(run), schema)

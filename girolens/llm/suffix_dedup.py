@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from girolens.llm.common import blocks, cut, mapped, mix, width
+from girolens.llm.common import blocks, cut, lean, mapped, mix, width
 
 WINDOW = 50
 GRAM = 20
@@ -280,7 +280,7 @@ def _texts(docs: DataFrame, rest: list[str]) -> DataFrame:
                      pa.array([d[1] for d in digests], pa.int64()), pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cells], names=["doc_id", "rest", "size", "a", "b", "packed"])
 
-    return mapped(rows, run, StructType([StructField("rest", shape, False) if f.name == "rest" else f for f in
+    return mapped(rows, lean(run), StructType([StructField("rest", shape, False) if f.name == "rest" else f for f in
                                          StructType.fromDDL("doc_id long, rest int, size long, a long, b long, packed binary").fields]))
 
 
@@ -294,7 +294,7 @@ def _firsts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *cells], names=["doc_id", "a", "b"])
 
     told = docs.where(F.octet_length("text") >= WINDOW).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    told = cut(mapped(told, run, "doc_id long, a long, b long"))
+    told = cut(mapped(told, lean(run), "doc_id long, a long, b long"))
     least = told.groupBy("a", "b").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
     return told.join(least, ["a", "b"]).where("doc_id > least").groupBy("doc_id").agg(F.collect_set("a").alias("copies"))
 
@@ -383,9 +383,9 @@ def _shared_anchors(texts: DataFrame, shards: int, most: int) -> DataFrame:
         if held:
             yield rows(settle(now, held))
 
-    dealt = mapped(texts.select("doc_id", "a", "size", "packed"), deal, "shard int, x long, y long, data binary")
+    dealt = mapped(texts.select("doc_id", "a", "size", "packed"), lean(deal, None), "shard int, x long, y long, data binary")
     dealt = dealt.repartition(width(texts), "shard").sortWithinPartitions("shard")
-    return mapped(dealt, gather, "doc_id long, a long, hashes binary")
+    return mapped(dealt, lean(gather, None), "doc_id long, a long, hashes binary")
 
 
 def _full(h: np.ndarray, sides: np.ndarray) -> np.ndarray:
@@ -527,7 +527,7 @@ def _dealt(candidates: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
                 i = j
 
     rows = candidates.select("doc_id", "a", "size", "packed", "told")
-    return mapped(rows, deal, "anchor long, doc_id long, a long, first long, last long, data binary, ranges binary")
+    return mapped(rows, lean(deal, None), "anchor long, doc_id long, a long, first long, last long, data binary, ranges binary")
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -578,7 +578,7 @@ def _marks(candidates: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
 
     dealt = _dealt(candidates, shards, hot)
     dealt = dealt.repartition(width(candidates), F.coalesce("anchor", "doc_id")).sortWithinPartitions("anchor", "doc_id")
-    return mapped(dealt, gather, "doc_id long, a long, ranges binary")
+    return mapped(dealt, lean(gather, None), "doc_id long, a long, ranges binary")
 
 
 def _packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -645,7 +645,7 @@ def removals(docs: DataFrame, texts: bool = False) -> DataFrame:
 
     shape = StructType([f for f in told.schema.fields if f.name in ("doc_id", "rest")]
                        + StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string").fields)
-    result = mapped(told, run, shape)
+    result = mapped(told, lean(run), shape)
     if not texts:
         return result.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     kinds = dict(docs.dtypes)
