@@ -665,11 +665,7 @@ def expressions() -> dict[str, str]:
 
 
 def jobs() -> dict[str, str]:
-    return {
-        "xsd_flag": _with(LINES, """
-            SELECT file_name, count(*) FILTER (WHERE filled) > 0 AND count(*) FILTER (WHERE filled AND NOT equivalent AND currency IS NULL) = 0 AS valid
-            FROM lines GROUP BY 1"""),
-        "stream_state": f"""
+    stream = f"""
             WITH raw AS (
               SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k,
                 CASE event_type WHEN 'signup' THEN '018' WHEN 'error' THEN '010' ELSE '017' END AS message_set
@@ -693,7 +689,13 @@ def jobs() -> dict[str, str]:
             )
             SELECT message_id, outcome, count(*) AS deliveries FROM flow GROUP BY 1, 2
             UNION ALL SELECT message_id, CASE message_set WHEN '018' THEN 'BR-101' ELSE 'BR-090' END, count(*) FROM flow
-            WHERE outcome = 'fail' AND k < 10 AND message_set != '010' GROUP BY 1, 2""",
+            WHERE outcome = 'fail' AND k < 10 AND message_set != '010' GROUP BY 1, 2"""
+    return {
+        "xsd_flag": _with(LINES, """
+            SELECT file_name, count(*) FILTER (WHERE filled) > 0 AND count(*) FILTER (WHERE filled AND NOT equivalent AND currency IS NULL) = 0 AS valid
+            FROM lines GROUP BY 1"""),
+        "stream_state": stream,
+        "stream_commits": stream,
     }
 
 

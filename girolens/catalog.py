@@ -469,20 +469,8 @@ def _xsd_flag(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _stream_state(spark: SparkSession, folder: str) -> DataFrame:
-    """Deliveries through the streaming job; outcome counts from the tables it wrote."""
-    records = demo.stream_records(spark, folder)
-    ensure_checkpoint_dir(records)
-    base = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4()}"
-    records.write.json(f"{base}/records")
-    for file in _STREAM_XSD.values():
-        spark.sparkContext.addFile(str(_RESOURCES / file))
-    query = receiver.start(
-        events.file_stream(spark, f"{base}/records"), f"{base}/state", f"{base}/offsets",
-        xsd_paths=_STREAM_XSD,
-    )
-    query.awaitTermination()
-    tables = state.load_all(spark, f"{base}/state")
+def _outcomes(tables: dict[str, DataFrame]) -> DataFrame:
+    """Deliveries per message and outcome, rule hits included, from the state tables."""
     outcomes = [
         tables["processed_messages"].select("message_id", F.col("validation_status").alias("outcome")),
         tables["duplicate_events"].select("message_id", F.lit("duplicate").alias("outcome")),
@@ -494,7 +482,39 @@ def _stream_state(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-JOBS: dict[str, Query] = {"xsd_flag": _xsd_flag, "stream_state": _stream_state}
+def _streamed(spark: SparkSession, folder: str, parts: int, **options) -> DataFrame:
+    """Deliveries through the streaming job, in ``parts`` files in the order of their offsets, one file a batch."""
+    records = demo.stream_records(spark, folder)
+    ensure_checkpoint_dir(records)
+    base = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4()}"
+    if parts == 1:
+        records.write.json(f"{base}/records")
+    else:
+        low, high = records.agg(F.min("offset"), F.max("offset")).first()
+        part = F.floor((F.col("offset") - low) * parts / (high - low + 1))
+        for k in range(parts):
+            records.where(part == k).coalesce(1).write.mode("append").json(f"{base}/records")
+    for file in _STREAM_XSD.values():
+        spark.sparkContext.addFile(str(_RESOURCES / file))
+    query = receiver.start(
+        events.file_stream(spark, f"{base}/records", None if parts == 1 else 1), f"{base}/state", f"{base}/offsets",
+        xsd_paths=_STREAM_XSD, **options,
+    )
+    query.awaitTermination()
+    return _outcomes(state.load_all(spark, f"{base}/state"))
+
+
+def _stream_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Deliveries through the streaming job; outcome counts from the tables it wrote."""
+    return _streamed(spark, folder, 1)
+
+
+def _stream_commits(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over four batches, whose commits are merged two by two; ids of earlier batches come from the index."""
+    return _streamed(spark, folder, 4, fan=2)
+
+
+JOBS: dict[str, Query] = {"xsd_flag": _xsd_flag, "stream_state": _stream_state, "stream_commits": _stream_commits}
 
 
 def all_queries() -> dict[str, Query]:

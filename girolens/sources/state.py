@@ -1,10 +1,12 @@
-"""Pipeline state tables: Parquet folders written by batch id."""
+"""Pipeline state tables: Parquet folders that become visible by commits."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from girolens import model
+from girolens.sources import id_index
+from girolens.sources.commits import FAN, Commit, compact, folder, new_name, put, read, snapshot
 
 BATCH = "batch_id"
 
@@ -13,37 +15,56 @@ def path_of(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """One state table; the folder may not exist before the first batch."""
-    ddl = model.STATE_DDL[table]
-    reader = spark.read.schema(f"{ddl}, {BATCH} BIGINT")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path_of(root, table))
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return spark.createDataFrame([], f"{ddl}, {BATCH} BIGINT")
-    return reader.parquet(path_of(root, table))
+def _columns(table: str) -> list[str]:
+    return [field.split()[0] for field in model.STATE_DDL[table].split(", ")]
 
 
-def overwrite_batch(rows: DataFrame, root: str, table: str, batch_id: int) -> None:
-    """Write the rows of one micro-batch; running it again replaces them.
+def read_table(spark: SparkSession, root: str, table: str, commits: list[Commit] | None = None) -> DataFrame:
+    """The committed rows of one state table, with the batch that wrote them.
 
-    The batch id is a directory, so a replay touches only its own files.
+    Tables that belong together are read from one ``snapshot``, as ``load_all`` does; a later one may hold more.
     """
-    columns = [field.split()[0] for field in model.STATE_DDL[table].split(", ")]
+    found = snapshot(spark, root) if commits is None else commits
+    return read(spark, root, table, f"{model.STATE_DDL[table]}, {BATCH} BIGINT", found)
+
+
+def write_table(rows: DataFrame, root: str, table: str, name: str, batch_id: int) -> None:
+    """Write rows of one table into the folder of a commit, which nobody reads before the commit is put into place."""
     (
-        rows.select(*columns)
-        .write.mode("overwrite")
-        .parquet(f"{path_of(root, table)}/{BATCH}={batch_id}")
+        rows.select(*_columns(table), F.lit(batch_id).cast("bigint").alias(BATCH))
+        .write.mode("overwrite").parquet(folder(root, table, name))
     )
 
 
 def append(rows: DataFrame, root: str, table: str) -> None:
-    """Plain append for batch writers such as the sent log."""
-    columns = [field.split()[0] for field in model.STATE_DDL[table].split(", ")]
-    (
-        rows.select(*columns, F.lit(-1).cast("bigint").alias(BATCH))
-        .write.mode("append").partitionBy(BATCH).parquet(path_of(root, table))
-    )
+    """One commit of one table, for batch writers such as the sent log."""
+    name = new_name(table)
+    write_table(rows, root, table, name, -1)
+    put(rows.sparkSession, root, Commit(name, table, (table,)))
+    compact_tables(rows.sparkSession, root, table)
+
+
+def compact_tables(spark: SparkSession, root: str, kind: str, fan: int = FAN) -> int:
+    """Merge small commits of the state tables and the index of ids; the number of merges.
+
+    The files of a merged commit follow the bytes of its parts: reading packs small files into splits, and each split
+    becomes one file.
+    """
+    def merge(members: list[Commit], name: str) -> tuple[tuple[str, ...], dict]:
+        tables = sorted({t for c in members for t in c.tables})
+        notes = {}
+        for table in tables:
+            if table == id_index.TABLE:
+                ids = spark.read.schema(id_index.DDL).parquet(
+                    *[f"{folder(root, table, c.name)}/prefix={p}" for c in members if table in c.tables for p in c.notes[table]["prefixes"]]
+                ) if any(c.notes.get(table, {}).get("prefixes") for c in members) else spark.createDataFrame([], id_index.DDL)
+                notes[table] = id_index.write(ids, root, name, ids.count())
+            else:
+                rows = read(spark, root, table, f"{model.STATE_DDL[table]}, {BATCH} BIGINT", members)
+                rows.write.mode("overwrite").parquet(folder(root, table, name))
+        return tuple(tables), notes
+
+    return compact(spark, root, kind, merge, fan)
 
 
 def register(tables: dict[str, DataFrame], prefix: str = "") -> None:
@@ -53,7 +74,8 @@ def register(tables: dict[str, DataFrame], prefix: str = "") -> None:
 
 
 def load_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, root, name) for name in model.STATE_DDL}
+    commits = snapshot(spark, root)
+    return {name: read_table(spark, root, name, commits) for name in model.STATE_DDL}
 
 
 def save_bucketed(table: DataFrame, name: str, buckets: int) -> None:
