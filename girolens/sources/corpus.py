@@ -74,6 +74,11 @@ def parse_document(xml: Column, message_set: str) -> Column:
     return F.from_xml(xml, model.document_ddl(message_set), _XML_OPTIONS)
 
 
+def ended(xml: Column) -> Column:
+    """Whether nothing but blanks, comments and instructions follows the root element."""
+    return xml.rlike(_END)
+
+
 def parse(messages: DataFrame, message_set: str, xml: str = "xml") -> DataFrame:
     """Messages of one set with ``body`` (element below Document) and ``parsed``.
 
@@ -82,11 +87,10 @@ def parse(messages: DataFrame, message_set: str, xml: str = "xml") -> DataFrame:
     here: only blanks, comments and instructions may.
     """
     document = once(messages, "_doc", parse_document(F.col(xml), message_set))
-    ended = F.col(xml).rlike(_END)
     return document.select(
         *messages.columns,
         F.col(f"_doc.{model.LAYOUTS[message_set][0]}").alias("body"),
-        (F.col(xml).isNotNull() & F.col(f"_doc.{model.CORRUPT}").isNull() & ended).alias("parsed"),
+        (F.col(xml).isNotNull() & F.col(f"_doc.{model.CORRUPT}").isNull() & ended(F.col(xml))).alias("parsed"),
     )
 
 
