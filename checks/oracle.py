@@ -664,6 +664,15 @@ def expressions() -> dict[str, str]:
     }
 
 
+MIXED = """
+mixed AS (
+  SELECT c_custkey AS k, CAST(c_acctbal AS DECIMAL(18,2)) AS amount, c_mktsegment, c_nationkey, 'gen-pass-' || c_custkey || '.xml' AS file_name,
+    ['001', '002', '007', '008', '009', '010', '011', '012', '013', '014', '017', '018', '999'][CAST(c_custkey % 13 AS INT) + 1] AS message_set,
+    c_custkey % 17 = 0 AS cut_short
+  FROM customer
+)"""
+
+
 def jobs() -> dict[str, str]:
     stream = f"""
             WITH raw AS (
@@ -694,6 +703,40 @@ def jobs() -> dict[str, str]:
         "xsd_flag": _with(LINES, """
             SELECT file_name, count(*) FILTER (WHERE filled) > 0 AND count(*) FILTER (WHERE filled AND NOT equivalent AND currency IS NULL) = 0 AS valid
             FROM lines GROUP BY 1"""),
+        "corpus_outcomes": f"""
+            WITH {MIXED},
+            hits AS (
+              SELECT *, list_filter([
+                CASE WHEN message_set IN ('001', '013') AND k % 5 = 0 THEN 'BR-012' END,
+                CASE WHEN message_set IN ('001', '013') AND amount <= 0 THEN 'BR-007' END,
+                CASE WHEN message_set = '013' AND k % 3 = 0 AND amount <= 0 THEN 'BR-007' END,
+                CASE WHEN message_set = '013' AND k % 3 = 0 THEN 'BR-001' END,
+                CASE WHEN message_set = '013' AND k % 3 = 0 AND abs(amount) > 0.01 THEN 'BR-002' END,
+                CASE WHEN message_set = '013' AND k % 3 = 0 THEN 'BR-005' END,
+                CASE WHEN message_set IN ('002', '014') AND k % 4 = 0 THEN 'BR-020' END,
+                CASE WHEN message_set IN ('002', '014') AND k % 3 = 0 THEN 'BR-021' END,
+                CASE WHEN message_set = '007' AND amount <= 0 THEN 'BR-032' END,
+                CASE WHEN message_set = '008' AND k % 2 = 1 THEN 'BR-042' END,
+                CASE WHEN message_set = '009' AND c_mktsegment = 'AUTOMOBILE' THEN 'BR-051' END,
+                CASE WHEN message_set = '009' AND c_nationkey % 2 = 1 THEN 'BR-053' END,
+                CASE WHEN message_set = '010' AND k % 2 = 1 THEN 'BR-061' END,
+                CASE WHEN message_set = '011' AND k % 2 = 1 THEN 'BR-071' END,
+                CASE WHEN message_set = '012' AND k % 3 = 0 THEN 'BR-080' END,
+                CASE WHEN message_set = '017' AND k % 2 = 1 THEN 'BR-090' END,
+                CASE WHEN message_set = '018' AND k % 2 = 1 THEN 'BR-101' END
+              ], lambda r: r IS NOT NULL AND NOT cut_short) AS rules, CAST(cut_short OR message_set = '999' AS INT) AS structural FROM mixed
+            )
+            SELECT file_name, message_set, CASE WHEN structural = 0 AND len(rules) = 0 THEN 'pass' ELSE 'fail' END AS validation_status,
+              structural, CAST(len(rules) AS INT) AS br_errors, array_to_string(list_sort(list_distinct(rules)), ',') AS rules FROM hits""",
+        "store_payment_013": f"""
+            WITH {MIXED}
+            SELECT file_name, 'gen-pass' AS category, amount, 'EUR' AS currency, false AS has_uetr FROM mixed
+            JOIN (VALUES (1), (2)) t(n) ON n = 1 OR k % 3 = 0 WHERE message_set = '013' AND NOT cut_short""",
+        "store_status_014": f"""
+            WITH {MIXED}
+            SELECT file_name, 'gen-pass' AS category, CASE WHEN n = 1 THEN CASE WHEN k % 4 = 0 THEN 'XXXX' ELSE 'ACCP' END END AS grp_status,
+              CASE WHEN n = 2 THEN CASE WHEN k % 3 = 0 THEN 'YYYY' ELSE 'ACSP' END END AS tx_status, CAST(NULL AS VARCHAR) AS reason_code
+            FROM mixed, (VALUES (1), (2)) t(n) WHERE message_set = '014' AND NOT cut_short""",
         "stream_state": stream,
         "stream_commits": stream,
     }

@@ -17,7 +17,7 @@ from girolens.functions.text import (
 from girolens.operators import joins, labels, rules, rules_flat, shred, validate
 from girolens.operators.ranking import ensure_checkpoint_dir
 from girolens.plans import credit, dashboard, recon, runs
-from girolens.sources import corpus, events, state
+from girolens.sources import corpus, events, state, store
 from girolens.streaming import receiver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -514,7 +514,34 @@ def _stream_commits(spark: SparkSession, folder: str) -> DataFrame:
     return _streamed(spark, folder, 4, fan=2)
 
 
-JOBS: dict[str, Query] = {"xsd_flag": _xsd_flag, "stream_state": _stream_state, "stream_commits": _stream_commits}
+def _corpus_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """A corpus of all sets, one unknown and some malformed messages, validated in one pass."""
+    done = validate.validate_corpus(demo.mixed_messages(spark, folder), as_of=F.lit(demo.AS_OF).cast("date"))
+    return done.select(
+        "file_name", "message_set", "validation_status", F.size("errors").alias("structural"), "br_errors",
+        F.array_join(F.array_sort(F.array_distinct("violations.rule_id")), ",").alias("rules"),
+    )
+
+
+def _from_store(message_set: str, shredder: Callable[[DataFrame], DataFrame]) -> Query:
+    """Rows of one set from a store of parsed messages that got them in two steps, the second time new ones only."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        messages = demo.mixed_messages(spark, folder)
+        ensure_checkpoint_dir(messages)
+        root = f"{spark.sparkContext.getCheckpointDir()}/store-{uuid.uuid4()}"
+        store.extend(messages.where(F.xxhash64("file_name") % 2 == 0), root)
+        store.extend(messages, root)
+        return shredder(corpus.well_formed(store.read_set(spark, root, message_set)))
+
+    return run
+
+
+JOBS: dict[str, Query] = {
+    "xsd_flag": _xsd_flag, "stream_state": _stream_state, "stream_commits": _stream_commits, "corpus_outcomes": _corpus_outcomes,
+    "store_payment_013": _from_store("013", lambda parsed: shred.shred_payment(parsed, "013").select(
+        "file_name", "category", F.col("amount").cast("decimal(18,2)").alias("amount"), "currency", "has_uetr")),
+    "store_status_014": _from_store("014", shred.shred_status),
+}
 
 
 def all_queries() -> dict[str, Query]:

@@ -14,6 +14,7 @@ from girolens.functions import ids
 from girolens.functions.text import file_category, xml_escape
 from girolens.operators.ranking import ensure_checkpoint_dir
 from girolens.operators.routing import DUPLICATE, FRESH, TAMPERED, route
+from girolens.sources.corpus import with_identity
 
 AS_OF = "1998-01-01"
 
@@ -638,6 +639,64 @@ def mandate_messages(spark: SparkSession, folder: str, message_set: str) -> Data
     return _as_messages(orders, message_set, _document(message_set, bodies[message_set]()))
 
 
+# --- a corpus of all sets -----------------------------------------------------
+
+#: the set of a customer's message, by the remainder of the key; the last one has no layout
+MIXED_SETS = [*model.MESSAGE_SETS, "999"]
+CUT_SHORT = 17  # every so many messages are not well-formed
+
+
+def mixed_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """One message per customer, of the set that the key chooses; rules fire by key, balance, segment and nation."""
+    key = F.col("c_custkey")
+    amount = F.col("c_acctbal").cast("decimal(18,2)")
+    number = F.concat(F.lit("M"), key.cast("string"))
+
+    def blank(every: int, rest: int = 0) -> Column:
+        return F.when(key % every == rest, F.lit(" ")).otherwise(number)
+
+    header = _wrap("GrpHdr", _element("MsgId", blank(5)), _element("NbOfTxs", F.lit("1")), _element("CtrlSum", amount.cast("string")))
+
+    def credit(block: str, twice: Column) -> Column:
+        one = _wrap(block, _wrap("PmtId", _element("EndToEndId", number)), _wrap("Amt", _money("InstdAmt", amount, F.lit("EUR"))))
+        return F.concat(header, _wrap("PmtInf", one, F.when(twice, one).otherwise("")))
+
+    status = F.concat(
+        _wrap("OrgnlGrpInfAndSts", _element("OrgnlMsgId", number), _element("GrpSts", F.when(key % 4 == 0, "XXXX").otherwise("ACCP"))),
+        _wrap("OrgnlPmtInfAndSts", _wrap("TxInfAndSts", _element("TxSts", F.when(key % 3 == 0, "YYYY").otherwise("ACSP")))),
+    )
+    original = _wrap("OrgnlMndt", _element("OrgnlMndtId", blank(2, 1)))
+    bodies = {
+        "001": credit("CdtTrfTxInf", F.lit(False)),
+        "002": status,
+        "007": _wrap("OrgnlPmtInfAndRvsl", _wrap("TxInf", _element("OrgnlEndToEndId", number), _money("OrgnlInstdAmt", amount, F.lit("EUR")))),
+        "008": F.concat(header, _wrap("PmtInf", _wrap(
+            "DrctDbtTxInf", _money("InstdAmt", amount, F.lit("EUR")), _wrap("DrctDbtTx", _wrap("MndtRltdInf", _element("MndtId", blank(2, 1))))))),
+        "009": _wrap(
+            "Mndt", _element("MndtReqId", number),
+            _element("TrckgInd", F.when(F.col("c_mktsegment") == "AUTOMOBILE", "maybe").otherwise("true")),
+            _agent("CdtrAgt", F.when(F.col("c_nationkey") % 2 == 0, "GIRODE22").otherwise("short")),
+        ),
+        "010": _wrap("UndrlygAmdmntDtls", _wrap("Mndt", _element("MndtId", blank(2, 1)))),
+        "011": _wrap("UndrlygCxlDtls", original),
+        "012": _wrap("UndrlygAccptncDtls", _wrap("AccptncRslt", _element("Accptd", F.when(key % 3 == 0, "yes").otherwise("true")))),
+        "013": credit("CdtTrfTx", key % 3 == 0),
+        "014": status,
+        "017": _wrap("UndrlygCpyReqDtls", original),
+        "018": _wrap("UndrlygSspnsnDtls", original),
+    }
+    turn = F.pmod(key, F.lit(len(MIXED_SETS))).cast("int")
+    xml = F.lit("<Document/>")
+    for place, message_set in enumerate(model.MESSAGE_SETS):
+        xml = F.when(turn == place, _document(message_set, bodies[message_set])).otherwise(xml)
+    xml = F.when(key % CUT_SHORT == 0, F.substring(xml, 1, 30)).otherwise(xml)
+    rows = read(spark, folder, "customer").select(
+        F.lit("pain").alias("domain"), _choice(turn + 1, MIXED_SETS).alias("message_set"),
+        F.concat(F.lit("gen-pass-"), key.cast("string"), F.lit(".xml")).alias("file_name"), F.encode(xml, "UTF-8").alias("content"),
+    )
+    return with_identity(rows)
+
+
 # --- deliveries -------------------------------------------------------------
 
 # Fixed error texts, one per class of error, chosen by position.
