@@ -422,6 +422,28 @@ def recon() -> dict[str, str]:
             SELECT s.message_id, s.file_name, s.domain || '.' || s.message_set AS schema_label, coalesce(p.validation_status, 'not_processed') AS status,
               strftime(p.processed_at, '%Y-%m-%d %H:%M:%S') AS processed_second, substr(p.error_detail, 1, 200) AS error
             FROM sent s LEFT JOIN processed p USING (message_id)"""),
+        "report_cube": _with(STATE, f"""
+            SELECT 'schema' AS set_id, s.message_set AS key, NULL AS status, count(*) AS sent, count(p.message_id) AS done, count(p.message_id) AS n,
+              count(*) FILTER (WHERE p.validation_status = 'pass') AS passed, count(*) FILTER (WHERE p.validation_status = 'fail') AS failed, NULL::BIGINT AS sets,
+              min(epoch_ms(s.sent_at)) FILTER (WHERE p.message_id IS NOT NULL) AS first_sent, max(epoch_ms(p.processed_at)) AS last_done
+            FROM sent s LEFT JOIN processed p USING (message_id) GROUP BY 2
+            UNION ALL
+            SELECT 'all', NULL, NULL, count(s.message_id), count(*) FILTER (WHERE s.message_id = p.message_id), count(p.message_id),
+              count(*) FILTER (WHERE s.message_id = p.message_id AND p.validation_status = 'pass'), count(*) FILTER (WHERE s.message_id = p.message_id AND p.validation_status = 'fail'),
+              NULL, min(epoch_ms(s.sent_at)) FILTER (WHERE s.message_id = p.message_id), max(epoch_ms(p.processed_at)) FILTER (WHERE s.message_id = p.message_id)
+            FROM sent s FULL JOIN processed p ON s.message_id = p.message_id
+            UNION ALL
+            SELECT 'error', {_classes('p.error_detail', texts.ERROR_CATEGORIES, 'Other validation error')}, NULL, count(s.message_id), count(s.message_id), count(*),
+              0, count(s.message_id), count(DISTINCT p.message_set), min(epoch_ms(s.sent_at)), max(epoch_ms(p.processed_at)) FILTER (WHERE s.message_id IS NOT NULL)
+            FROM processed p LEFT JOIN sent s ON s.message_id = p.message_id WHERE p.validation_status = 'fail' AND p.error_detail IS NOT NULL GROUP BY 2
+            UNION ALL
+            SELECT 'category', p.test_category, p.validation_status, count(s.message_id), count(s.message_id), count(*),
+              count(s.message_id) FILTER (WHERE p.validation_status = 'pass'), count(s.message_id) FILTER (WHERE p.validation_status = 'fail'), NULL,
+              min(epoch_ms(s.sent_at)), max(epoch_ms(p.processed_at)) FILTER (WHERE s.message_id IS NOT NULL)
+            FROM (SELECT *, {STRICT} AS test_category FROM processed) p LEFT JOIN sent s ON s.message_id = p.message_id GROUP BY 2, 3
+            UNION ALL SELECT 'tampered', domain || '.' || message_set, NULL, NULL, NULL, count(*), NULL, NULL, NULL, NULL, NULL FROM tampered GROUP BY 2
+            UNION ALL SELECT 'severity', severity, NULL, NULL, NULL, count(*), NULL, NULL, NULL, NULL, NULL FROM violations GROUP BY 2
+            UNION ALL SELECT 'duplicate', 'all', NULL, NULL, NULL, count(*), NULL, NULL, NULL, NULL, NULL FROM duplicates HAVING count(*) > 0"""),
         "duplicate_log": _with(STATE, """
             SELECT file_name, domain || '.' || message_set AS schema_label, substr(message_id, 1, 16) AS short_id,
               strftime(detected_at, '%Y-%m-%d %H:%M:%S') AS detected_second FROM duplicates"""),

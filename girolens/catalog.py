@@ -167,6 +167,9 @@ RECON: dict[str, Query] = {
     "violation_severity_totals": _on_state(recon.violation_severity_totals, HITS),
     "recon_summary": _on_state(recon.recon_summary, SENT, DONE, DUPES, BAD, HITS),
     "message_detail": _on_state(recon.message_detail, SENT, DONE),
+    "report_cube": _on_state(
+        lambda *t: recon.report_cube(*t).select("set_id", "key", "status", "sent", "done", "n", "passed", "failed", "sets", "first_sent", "last_done"),
+        SENT, DONE, DUPES, BAD, HITS),
     "duplicate_log": _on_state(recon.duplicate_log, DUPES),
     "tampered_log": _on_state(recon.tampered_log, BAD),
     "pass_band": _on_state(recon.pass_band, SENT, DONE),

@@ -108,6 +108,46 @@ def quantile(frame: DataFrame, key: str, value: str, q: float, name: str) -> Dat
     return picked.select(key, (F.col("_low") + (F.col("_high") - F.col("_low")) * weight).alias(name))
 
 
+def _bucket(value: Column) -> Column:
+    """Number of a bucket that grows with a whole number and holds one in 256 of its size, so a key has a few thousand."""
+    size = F.abs(value)
+    shift = F.greatest(F.length(F.bin(size)) - 9, F.lit(0)).cast("int")
+    scaled = F.call_function("shiftright", size, shift)
+    place = F.when(size < 256, size).otherwise((shift + 1) * 256 + scaled - 256)
+    return F.when(value < 0, -place).otherwise(place)
+
+
+def counted_quantile(counted: DataFrame, key: str, value: str, n: str, q: float, name: str) -> DataFrame:
+    """Exact interpolated quantile of whole numbers that are counted already: unique ``key, value`` with ``n`` rows each.
+
+    Counts per bucket say in which one or two buckets of a key the wanted ranks are; only the values of those are put
+    in order.  Nothing is sorted or kept as a whole, and a bucket has few different values whatever the number of rows.
+    """
+    held = counted.where(F.col(value).isNotNull()).select(key, value, F.col(n).alias("_n"), _bucket(F.col(value)).alias("_bucket"))
+    sizes = held.groupBy(key, "_bucket").agg(F.sum("_n").alias("_size"))
+    running, whole = Window.partitionBy(key).orderBy("_bucket"), Window.partitionBy(key)
+    spans = sizes.select(
+        key, "_bucket", (F.sum("_size").over(running) - F.col("_size")).alias("_from"), F.sum("_size").over(running).alias("_to"),
+        (F.lit(q) * (F.sum("_size").over(whole) - 1)).alias("_rank"),
+    )
+
+    def inside(rank: Column, low: str, high: str) -> Column:
+        return (rank >= F.col(low)) & (rank < F.col(high))
+
+    low, high = F.floor("_rank"), F.ceil("_rank")
+    wanted = spans.where(inside(low, "_from", "_to") | inside(high, "_from", "_to")).drop("_to")
+    order = Window.partitionBy(key, "_bucket").orderBy(value)
+    placed = held.join(wanted, [key, "_bucket"]).withColumn("_end", F.col("_from") + F.sum("_n").over(order))
+    placed = placed.withColumn("_begin", F.col("_end") - F.col("_n"))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when(inside(rank, "_begin", "_end"), F.col(value))).cast("double")
+
+    picked = placed.groupBy(key).agg(at(low).alias("_low"), at(high).alias("_high"), F.max("_rank").alias("_rank"))
+    weight = F.col("_rank") - F.floor("_rank")
+    return picked.select(key, (F.col("_low") + (F.col("_high") - F.col("_low")) * weight).alias(name))
+
+
 def share_of_total(grouped: DataFrame, count: str, name: str = "pct", digits: int = 1) -> DataFrame:
     """Percentage of the grand total.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from girolens.functions.amounts import count_if, percent
@@ -10,7 +12,7 @@ from girolens.functions.ids import schema_label
 from girolens.functions.times import epoch_millis
 from girolens.operators.joins import matched, recon_status
 from girolens.operators.ranking import (
-    quantile, row_number, share_of_max, share_of_total, share_within,
+    counted_quantile, ensure_checkpoint_dir, row_number, share_of_max, share_of_total, share_within,
 )
 
 def _rows() -> Column:
@@ -79,17 +81,19 @@ def _seconds(millis: Column, digits: int) -> Column:
 
 def latency_by_schema(sent: DataFrame, processed: DataFrame) -> DataFrame:
     """Latency statistics per set; the 95th percentile is exact and interpolated."""
-    pairs = matched(sent, processed)
-    stats = pairs.groupBy("message_set").agg(
-        _rows().alias("msg_count"),
+    # counted once: all that follows reads the same shuffled counts
+    counted = matched(sent, processed).groupBy("message_set", "latency_ms").agg(
+        _rows().alias("n"), F.min("processed_at").alias("first"), F.max("processed_at").alias("last")
+    )
+    timed = F.sum(F.when(F.col("latency_ms").isNotNull(), F.col("n")))
+    stats = counted.groupBy("message_set").agg(
+        F.sum("n").alias("msg_count"),
         _seconds(F.min("latency_ms"), 2).alias("min_sec"),
-        F.round(
-            F.sum("latency_ms").cast("double") / F.count("latency_ms") / F.lit(1000.0), 2
-        ).alias("avg_sec"),
+        F.round(F.sum(F.col("latency_ms") * F.col("n")).cast("double") / timed / F.lit(1000.0), 2).alias("avg_sec"),
         _seconds(F.max("latency_ms"), 2).alias("max_sec"),
-        (epoch_millis(F.max("processed_at")) - epoch_millis(F.min("processed_at"))).cast("double").alias("receiver_span_ms"),
+        (epoch_millis(F.max("last")) - epoch_millis(F.min("first"))).cast("double").alias("receiver_span_ms"),
     )
-    p95 = quantile(pairs, "message_set", "latency_ms", 0.95, "_p95")
+    p95 = counted_quantile(counted, "message_set", "latency_ms", "n", 0.95, "_p95")
     return (
         stats.join(p95, "message_set", "left")
         .select(
@@ -254,19 +258,120 @@ def error_bars(processed: DataFrame) -> DataFrame:
     return share_of_max(error_patterns(processed), "occurrences", "bar_pct")
 
 
+def report_cube(
+    sent: DataFrame, processed: DataFrame, duplicates: DataFrame, tampered: DataFrame, violations: DataFrame
+) -> DataFrame:
+    """All counts of the report in one pass: every state table is read once.
+
+    ``set_id`` names the grouping of a row, ``key`` and ``status`` are what it groups by: ``schema`` (message set of
+    sent messages), ``error`` (class), ``category`` (category and outcome), ``all``, ``tampered`` (set label),
+    ``severity`` and ``duplicate``.  ``sent`` counts sent messages, ``done`` those that were processed too, ``n`` the rows of the grouped
+    table; times are of messages that were sent and processed.
+    """
+    status = F.col("p.validation_status")
+    joined = sent.select("message_id", F.struct("message_set", "sent_at").alias("s")).join(
+        processed.select("message_id", F.struct("message_set", "file_name", "validation_status", "error_detail", "processed_at").alias("p")),
+        "message_id", "full",
+    )
+    here, done = F.col("s").isNotNull(), F.col("p").isNotNull()
+    failed = (status == "fail") & F.col("p.error_detail").isNotNull()
+    flat = joined.select(
+        F.col("s.message_set").alias("sent_set"), F.when(failed, F.col("p.message_set")).alias("done_set"),
+        F.when(failed, error_category(F.col("p.error_detail"))).alias("error"),
+        F.when(done, file_category(F.col("p.file_name"), strict=True)).alias("category"), status.alias("status"),
+        here.alias("here"), done.alias("done"), (here & done).alias("both"), F.col("s.sent_at"), F.col("p.processed_at"),
+    )
+    both = F.col("both")
+    sets = [["sent_set"], ["error", "done_set"], ["category", "status"], []]
+    names = ["sent_set", "error", "done_set", "category", "status"]
+    counts = [
+        F.count_if("here").alias("sent"), F.count_if(both).alias("done"), F.count_if("done").alias("n"),
+        F.count_if(both & (F.col("status") == "pass")).alias("passed"), F.count_if(both & (F.col("status") == "fail")).alias("failed"),
+        F.min(F.when(both, epoch_millis(F.col("sent_at")))).alias("first_sent"), F.max(F.when(both, epoch_millis(F.col("sent_at")))).alias("last_sent"),
+        F.min(F.when(both, epoch_millis(F.col("processed_at")))).alias("first_done"), F.max(F.when(both, epoch_millis(F.col("processed_at")))).alias("last_done"),
+    ]
+    grouped = flat.groupingSets(sets, *names).agg(F.grouping_id().alias("g"), F.count("done_set").alias("in_set"), *counts)
+    measures = ["sent", "done", "n", "passed", "failed", "first_sent", "last_sent", "first_done", "last_done"]
+    # bit 4 is sent_set, 3 error, 2 done_set, 1 category, 0 status; a set bit is not grouped by
+    named = grouped.select(
+        F.when(F.col("g") == 0b01111, "schema").when(F.col("g") == 0b10011, "error").when(F.col("g") == 0b11100, "category").otherwise("all").alias("set_id"),
+        F.coalesce("sent_set", "error", "category").alias("key"), "status", F.when(F.col("in_set") > 0, 1).otherwise(0).alias("one"), *measures,
+    ).where(
+        ((F.col("set_id") != "schema") | (F.col("sent") > 0)) & ((F.col("set_id") != "error") | F.col("key").isNotNull())
+        & ((F.col("set_id") != "category") | (F.col("n") > 0))
+    )
+    total = [F.sum(m).alias(m) for m in measures[:5]] + [F.min("first_sent").alias("first_sent"), F.max("last_sent").alias("last_sent"),
+                                                         F.min("first_done").alias("first_done"), F.max("last_done").alias("last_done")]
+    # of the classes of errors the sets are counted; all other groups have one row
+    main = named.groupBy("set_id", "key", "status").agg(*total, F.when(F.col("set_id") == "error", F.sum("one")).alias("sets"))
+
+    def side(rows: DataFrame, set_id: str, key: Column) -> DataFrame:
+        grouped = rows.groupBy(key.alias("key")).agg(_rows().alias("n"))
+        return grouped.select(F.lit(set_id).alias("set_id"), "key", "n")
+
+    others = [
+        side(tampered, "tampered", schema_label(F.col("domain"), F.col("message_set"))),
+        side(violations, "severity", F.col("severity")), side(duplicates, "duplicate", F.lit("all")),
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), others, main)
+
+
+def datasets_of(cube: DataFrame) -> dict[str, DataFrame]:
+    """The grouped datasets of the report from ``report_cube``, which has a few hundred rows and should be kept."""
+    def of(set_id: str) -> DataFrame:
+        return cube.where(F.col("set_id") == set_id)
+
+    share = F.coalesce(percent(F.col("passed"), F.col("done")), F.lit(0.0))
+    breakdown = of("schema").select(
+        F.col("key").alias("message_set"), F.col("sent").alias("total_sent"), F.col("done").alias("processed"),
+        F.col("passed").alias("pass_count"), F.col("failed").alias("fail_count"), (F.col("sent") - F.col("done")).alias("pending"),
+        share.alias("pass_rate"),
+    ).orderBy("message_set")
+    patterns = of("error").select(
+        F.col("key").alias("error_category"), F.col("n").alias("occurrences"), F.col("sets").alias("schemas_affected")
+    ).orderBy(F.desc("occurrences"), "error_category")
+    outcomes = of("category").select(
+        F.col("key").alias("test_category"), F.col("status").alias("validation_status"), F.col("n").alias("count")
+    ).orderBy("test_category", "validation_status")
+    bad = of("tampered").select(F.col("key").alias("schema_label"), F.col("n").alias("tampered_count")).orderBy(
+        F.desc("tampered_count"), "schema_label")
+
+    def number(set_id: str, key: str) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("set_id") == set_id) & (F.col("key") == key), F.col("n"))), F.lit(0))
+
+    whole = F.col("set_id") == "all"
+
+    def first(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(whole, F.col(name))), F.lit(0))
+
+    summary = cube.agg(
+        first("sent").alias("total_sent"), first("passed").alias("passed"), first("failed").alias("failed"),
+        (first("sent") - first("done")).alias("not_processed"), number("duplicate", "all").alias("duplicates"),
+        F.coalesce(F.sum(F.when(F.col("set_id") == "tampered", F.col("n"))), F.lit(0)).alias("tampered"),
+        number("severity", "ERROR").alias("br_errors"), number("severity", "WARNING").alias("br_warnings"),
+    ).withColumn("fully_reconciled", F.col("not_processed") == 0)
+    span = F.col("last_done") - F.col("first_done")
+    timeline = of("all").select(
+        _seconds(F.col("last_sent") - F.col("first_sent"), 3).alias("sender_sec"), _seconds(F.col("first_done") - F.col("last_sent"), 3).alias("wait_sec"),
+        _seconds(span, 3).alias("receiver_sec"), F.col("done").alias("total_messages"),
+        F.round(F.col("done") * F.lit(1000.0) / F.nullif(span.cast("double"), F.lit(0.0)), 0).alias("throughput_per_sec"),
+    )
+    return {
+        "summary": summary, "schema_breakdown": breakdown, "error_patterns": share_of_max(patterns, "occurrences", "bar_pct"),
+        "category_outcomes": share_within(outcomes, "test_category", "count"), "tampered_by_set": share_of_max(bad, "tampered_count", "bar_pct"),
+        "pipeline_timeline": timeline,
+    }
+
+
 def run_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All datasets of the reconciliation report."""
+    """All datasets of the reconciliation report; the grouped ones come from one pass over the tables, which is run here."""
     sent, processed = tables["sent_messages"], tables["processed_messages"]
     duplicates, tampered = tables["duplicate_events"], tables["tampered_messages"]
     violations = tables["rule_violations"]
-    return {
-        "summary": recon_summary(sent, processed, duplicates, tampered, violations),
-        "schema_breakdown": schema_breakdown(sent, processed),
-        "error_patterns": error_bars(processed),
-        "category_outcomes": category_share(processed),
-        "tampered_by_set": tampered_bars(tampered),
+    ensure_checkpoint_dir(sent)
+    cube = report_cube(sent, processed, duplicates, tampered, violations).checkpoint(eager=True)
+    return datasets_of(cube) | {
         "latency_by_schema": latency_by_schema(sent, processed),
-        "pipeline_timeline": pipeline_timeline(sent, processed),
         "latency_scatter": latency_scatter(sent, processed),
         "rule_violations": rule_violation_summary(violations),
         "messages": message_detail(sent, processed).orderBy("schema_label", "file_name"),
