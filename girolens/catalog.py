@@ -153,6 +153,24 @@ def _integrity(spark: SparkSession, folder: str) -> DataFrame:
     return raw.select("event_id", validate.integrity(F.col("content"), digest).alias("integrity"))
 
 
+def _manifest_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Deliveries against the log of what was sent; some carry other content with a digest made for it."""
+    value, k = F.col("value"), F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    domain, message_set = F.lit("pain"), F.lit("017")
+    raw = demo.read(spark, folder, "events").select("event_id", "value", F.encode("props", "UTF-8").alias("sent"), k.alias("k"))
+    extra = F.encode(F.lit("!"), "UTF-8")
+    content = F.when(F.col("k") % 7 == 3, F.concat("sent", extra)).otherwise(F.col("sent"))
+    digest = F.when(value < demo.BAD_DIGEST[0], "").otherwise(ids.content_digest(F.col("content")))
+    # of those with other content every second one also carries the id of that content
+    told = F.when((F.col("k") % 7 == 3) & (F.col("event_id") % 2 == 0), F.col("content")).otherwise(F.col("sent"))
+    rows = raw.withColumn("content", content).select(
+        "event_id", domain.alias("domain"), message_set.alias("message_set"), "content",
+        ids.content_id(domain, message_set, told).alias("message_id"), validate.integrity(F.col("content"), digest).alias("integrity"),
+    )
+    log = raw.select(ids.content_id(domain, message_set, F.col("sent")).alias("message_id")).distinct()
+    return validate.against_manifest(rows, log).select("event_id", "integrity")
+
+
 RECON: dict[str, Query] = {
     "schema_breakdown": _on_state(recon.schema_breakdown, SENT, DONE),
     "error_patterns": _on_state(recon.error_patterns, DONE),
@@ -184,6 +202,7 @@ RECON: dict[str, Query] = {
         "event_id", "message_id", "route"
     ),
     "integrity_split": _integrity,
+    "manifest_split": _manifest_split,
     "adhoc_status_counts": _on_state(runs.status_counts, DONE),
     "adhoc_failed": _on_state(runs.failed, DONE),
     "adhoc_duplicates": _on_state(lambda d: _millis(runs.duplicates(d), "detected_at"), DUPES),

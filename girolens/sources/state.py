@@ -40,7 +40,12 @@ def append(rows: DataFrame, root: str, table: str) -> None:
     """One commit of one table, for batch writers such as the sent log."""
     name = new_name(table)
     write_table(rows, root, table, name, -1)
-    put(rows.sparkSession, root, Commit(name, table, (table,)))
+    tables, notes = (table,), {}
+    if table == "sent_messages":  # the index is what deliveries are held against
+        ids = rows.select("message_id", F.lit(-1).cast("bigint").alias(BATCH))
+        notes = {id_index.SENT: id_index.write(ids, root, name, table=id_index.SENT)}
+        tables = (table, id_index.SENT)
+    put(rows.sparkSession, root, Commit(name, table, tables, notes=notes))
     compact_tables(rows.sparkSession, root, table)
 
 
@@ -54,11 +59,11 @@ def compact_tables(spark: SparkSession, root: str, kind: str, fan: int = FAN) ->
         tables = sorted({t for c in members for t in c.tables})
         notes = {}
         for table in tables:
-            if table == id_index.TABLE:
+            if table in (id_index.TABLE, id_index.SENT):
                 ids = spark.read.schema(id_index.DDL).parquet(
                     *[f"{folder(root, table, c.name)}/prefix={p}" for c in members if table in c.tables for p in c.notes[table]["prefixes"]]
                 ) if any(c.notes.get(table, {}).get("prefixes") for c in members) else spark.createDataFrame([], id_index.DDL)
-                notes[table] = id_index.write(ids, root, name, ids.count())
+                notes[table] = id_index.write(ids, root, name, ids.count(), table)
             else:
                 rows = read(spark, root, table, f"{model.STATE_DDL[table]}, {BATCH} BIGINT", members)
                 rows.write.mode("overwrite").parquet(folder(root, table, name))

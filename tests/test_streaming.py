@@ -160,3 +160,25 @@ def test_sender_to_receiver(spark, tmp_path):
     assert (summary.total_sent, summary.not_processed, summary.fully_reconciled) == (2, 0, True)
     state.register(tables)
     assert spark.sql("SELECT count(*) FROM sent_messages").first()[0] == 2
+
+
+def test_content_that_was_never_sent(spark, tmp_path):
+    """A message altered together with its digest passes the digest, but not the log of the sender."""
+    good, other = s.credit(s.payment(s.credit_tx("A"))), s.credit(s.payment(s.credit_tx("B")))
+    for k, xml in enumerate([good, other]):
+        target = tmp_path / f"data/pain/001/gen-pass-{k}.xml"
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_text(xml)
+    sender.send(corpus.read_corpus(spark, str(tmp_path / "data")), str(tmp_path / "sender"), lambda records: None, {"pain.001": "credit.xsd"})
+    altered = good.replace("100.00", "900.00")
+    topic = Topic(tmp_path / "in")
+    a = payload("a.xml", good)
+    topic.put(payload("swapped.xml", other) | {"message_id": a["message_id"]}, payload("altered.xml", altered) | {"message_id": a["message_id"]},
+              payload("new.xml", altered), a, payload("b.xml", other))
+    records = spark.read.schema(events.RECORD_DDL).json(str(topic.folder))
+    root = str(tmp_path / "state")
+    receiver.batch_writer(root, receiver.file_sink(root), XSD, F.lit(AS_OF).cast("date"), manifest_root=str(tmp_path / "sender"))(records, 0)
+    assert table(spark, root, "processed_messages", "file_name", "validation_status") == [("a.xml", "pass"), ("b.xml", "pass")]
+    caught = topic_values(root, "iso20022.tampered")
+    assert sorted((v["file_name"], v["tamper_reason"]) for v in caught) == [
+        ("altered.xml", "differs from manifest"), ("new.xml", "differs from manifest"), ("swapped.xml", "differs from manifest")]
