@@ -103,9 +103,10 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(file)
-        self._tokenizer.encode_special_tokens = True
         with open(file, encoding="utf-8") as text:
             plain = json.load(text)
+        # a text that may hold an added token, which reaches over spaces, is encoded as a whole
+        self._signs = tuple({t["content"][:2] for t in plain["added_tokens"]})
         plain["normalizer"] = None
         byte_level = [p for p in plain["pre_tokenizer"]["pretokenizers"] if p["type"] == "ByteLevel"]
         plain["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *byte_level]}
@@ -138,7 +139,11 @@ class WordCoder:
         if len(self._known) > _WORDS:
             self._known = {}
         known = self._known
+        signs = self._signs
+        whole = [k for k, t in enumerate(texts) if any(s in t for s in signs)]
         words = [t.replace("\n", " ").split(" ") for t in texts]
+        for k in whole:
+            words[k] = []
         found = [list(map(known.get, w)) for w in words]
         open_ = [[k for k, x in enumerate(f) if x is None] if None in f else () for f in found]
         new = list({w[k] for w, o in zip(words, open_, strict=True) for k in o})
@@ -152,6 +157,8 @@ class WordCoder:
         for w, f, o in zip(words, found, open_, strict=True):
             for k in o:
                 f[k] = known[w[k]]
+        for k in whole:
+            found[k] = [np.array(self._tokenizer.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes()]
         joined = [b"".join(f) + last for f in found]
         return [len(x) // 4 for x in joined], np.frombuffer(b"".join(joined), "<u4")
 

@@ -259,7 +259,6 @@ def test_token_blocks_round_trip(spark, docs, tmp_path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     token_blocks.write(docs, str(tmp_path / "ids"))
     got = sorted(rows(token_blocks.read(spark, str(tmp_path / "ids"), ids=True), "start", "doc_id", "n_tokens", "ids", "ids_crc32"))
     start = 0
@@ -270,6 +269,19 @@ def test_token_blocks_round_trip(spark, docs, tmp_path):
     assert token_blocks.round_trip(docs.limit(0)).count() == 0
 
 
+def test_added_tokens_are_encoded_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, coder = Tokenizer.from_file(file), token_blocks.WordCoder(file)
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b", "<|STARTOFTEXT|> x", "<|startoftext|>\n\n two <|endoftext|><|endoftext|>", "< |endoftext|>", "<|", "<|endof text|>",
+             " <|endoftext|> ", "plain words", "", "é <|EndOfText|>İ", "word. " * 300 + "<|endoftext|>" + " word" * 300]
+    counts, ids = coder.encode(texts, 2)
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert counts == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert want[0] == [320, 49407, 321, 2]
+
+
 def test_packing():
     rnd = np.random.default_rng(0)
     cases = [rnd.zipf(1.3, n) % 50_000 for n in (1, 2, 100, 4096)] + [np.array([0]), np.array([2**32 - 1, 0]), np.full(4096, 7)]
