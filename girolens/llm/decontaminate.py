@@ -24,10 +24,10 @@ PIECE = 96
 STEP = 48
 #: Edits for each character of a piece.
 RATE = 0.1
-#: Items of fewer characters are too short to prove anything and match nothing.
+#: Items of fewer characters have too few q-grams for edits; they match where they stand as they are, between words.
 LEAST = 24
 #: Characters of benchmark text that one pass holds in memory; more of it takes more passes.
-PASS_CHARS = 8_000_000
+PASS_CHARS = 1_000_000
 _SEGMENT = 1 << 18
 _OVERLAP = 512
 _HITS = 2_000_000  # shared q-grams that are held at once
@@ -71,19 +71,45 @@ class Index:
     piece: np.ndarray
     at: np.ndarray
     seen: np.ndarray  # low hash bits that occur
+    short: dict[str, list[int]]  # items under LEAST characters
+
+    def exact(self, c: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, start, end) of short items that stand in a normal text between characters that are no letters or digits."""
+        if not self.short:
+            return
+        if self._finder is None:
+            import ahocorasick
+
+            self._finder = ahocorasick.Automaton()
+            for text in self.short:
+                self._finder.add_word(text, text)
+            self._finder.make_automaton()
+        text = c.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        for last, found in self._finder.iter(text):
+            a, b = last + 1 - len(found), last + 1
+            if (a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum()):
+                for item in self.short[found]:
+                    yield item, a, b
+
+    _finder = None  # made where it is used
 
 
 def index(items: list[tuple[int, str]]) -> Index | None:
-    pieces = []
+    pieces, short = [], {}
     for item, text in items:
         c, _ = normal(text.strip())
         if len(c) < LEAST:
+            if len(c):
+                short.setdefault(c.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass"), []).append(item)
             continue
         starts = [0] if len(c) < PIECE + STEP else [*range(0, len(c) - PIECE, STEP), len(c) - PIECE]
         size = len(c) if len(c) < PIECE + STEP else PIECE
         pieces += [(item, c[s : s + size]) for s in starts]
-    if not pieces:
+    if not pieces and not short:
         return None
+    if not pieces:
+        none = np.zeros(0, np.int64)
+        return Index(none, none, none, none, np.zeros((0, 0), np.uint32), none.astype(np.uint64), none, none, none, np.zeros(1 << 20, bool), short)
     size = np.array([len(c) for _, c in pieces])
     edits = np.minimum((size * RATE).astype(np.int64), (size - Q) // Q)
     chars = np.zeros((len(pieces), size.max()), np.uint32)
@@ -98,7 +124,7 @@ def index(items: list[tuple[int, str]]) -> Index | None:
     seen = np.zeros(1 << 20, bool)
     seen[hashes & np.uint64(0xFFFFF)] = True
     least = np.maximum(size + 1 - Q - edits * Q, 1)
-    return Index(np.array([i for i, _ in pieces]), size, edits, least, chars, hashes, np.append(first, len(h)), piece[order], at[order], seen)
+    return Index(np.array([i for i, _ in pieces]), size, edits, least, chars, hashes, np.append(first, len(h)), piece[order], at[order], seen, short)
 
 
 def _align(ix: Index, text: np.ndarray, piece: np.ndarray, low: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,7 +156,7 @@ def _align(ix: Index, text: np.ndarray, piece: np.ndarray, low: np.ndarray, wide
 
 def _regions(ix: Index, text: np.ndarray) -> set[tuple[int, int, int, int]]:
     """(item, start, end, edits) in `text` for pieces within their budget."""
-    if len(text) < Q:
+    if len(text) < Q or not len(ix.hashes):
         return set()
     h = grams(text)
     at = np.flatnonzero(ix.seen[h & np.uint64(0xFFFFF)])
@@ -189,6 +215,7 @@ def regions(ix: Index, texts: list[str]) -> list[list[tuple[int, int, int, int]]
     size = 0
     for row, text in enumerate(texts):
         c, where = normal(text)
+        out[row] |= {(item, int(where[a]), int(where[b - 1]) + 1, 0) for item, a, b in ix.exact(c)}
         for s in range(0, max(len(c) - _OVERLAP, 1), _SEGMENT):
             part = slice(s, s + _SEGMENT + _OVERLAP)
             waiting.append((row, c[part], where[part]))
@@ -241,8 +268,9 @@ def find(docs: DataFrame, benchmark: DataFrame, chars: int = PASS_CHARS) -> Data
     """One row per row of `docs`: its columns, and `regions`: array of (item_id, start, end, edits), empty if clean.
 
     Positions are code points of the whole text. Null and empty texts have no regions; benchmark rows with a null id
-    or text, and items under LEAST characters, match nothing; an empty benchmark leaves every document clean. Repeated
-    rows give repeated rows. A column `regions` of `docs` is replaced. A benchmark of more than `chars` characters is
+    or text, and blank items, match nothing; items under LEAST characters match without edits, between characters that
+    are no letters or digits. An empty benchmark leaves every document clean, empty `docs` give no rows. Equal regions of
+    several pieces are told once. Repeated rows give repeated rows. A column `regions` of `docs` is replaced. A benchmark of more than `chars` characters is
     taken in several passes over the documents.
     """
     columns = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "regions"]

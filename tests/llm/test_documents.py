@@ -269,6 +269,48 @@ def test_token_blocks_round_trip(spark, docs, tmp_path):
     assert token_blocks.round_trip(docs.limit(0)).count() == 0
 
 
+def nearest(piece, text):
+    """Fewest edits between the piece and any part of the text."""
+    row = np.zeros(len(text) + 1, int)
+    steps = np.arange(len(text) + 1)
+    for i, ch in enumerate(piece):
+        new = np.minimum(row[1:] + 1, row[:-1] + (text != ch))
+        new = np.concatenate([[i + 1], new])
+        row = np.minimum.accumulate(new - steps) + steps
+    return row.min()
+
+
+def test_decontamination_equals_edit_distances_over_all_places(spark):
+    rnd = np.random.default_rng(11)
+    letters = np.array(list("abcdefgh "))
+    items = ["".join(rnd.choice(letters, n)) for n in (24, 40, 95, 96, 143, 144, 260)]
+    texts = []
+    for k in range(90):
+        item = items[k % len(items)].strip()
+        part = list(item[: 96 if len(item) > 143 else len(item)]) if k % 3 else list(item[50:146])
+        for _ in range(int(rnd.integers(0, len(part) // 6 + 1))):
+            at, way = rnd.integers(0, len(part)), rnd.integers(0, 3)
+            part[at : at + (way != 1)] = [] if way == 0 else [rnd.choice(letters)]
+        texts.append("".join(rnd.choice(letters, 120)) + "".join(part) + "".join(rnd.choice(letters, 90)))
+    ix = decontaminate.index(list(enumerate(items)))
+    got = [bool(r) for r in decontaminate.regions(ix, texts)]
+    want = []
+    for text in texts:
+        c, _ = decontaminate.normal(text)
+        want.append(any(nearest(ix.chars[p, : ix.size[p]], c) <= ix.edits[p] for p in range(len(ix.size))))
+    assert got == want and 20 < sum(want) < 85
+
+
+def test_short_items_match_as_they_are(spark, docs):
+    benchmark = spark.createDataFrame([(1, "Two  words"), (2, "an"), (3, " "), (4, "中文"), (5, "é là"), (6, "Fin."), (6, "word7 is")], "item_id long, text string")
+    frame = docs.unionByName(spark.createDataFrame([(50, "An end, two\nWORDS!"), (51, "twowords two words1"), (52, "中文 an-x")], "doc_id long, text string"), allowMissingColumns=True)
+    found = {d: {(x.item_id, x.start, x.end) for x in r} for d, r in rows(decontaminate.find(frame, benchmark), "doc_id", "regions")}
+    assert found[50] == {(2, 0, 2), (1, 8, 17)} and found[51] == set() and found[52] == {(4, 0, 2), (2, 3, 5)}
+    assert found[7] == {(1, 0, 9)} and found[8] == {(1, 0, 9)} and found[12] == set() and found[4] == found[5] == set()
+    assert {i for i, _, _ in found[1]} == {6} and {i for i, _, _ in found[11]} == {6}
+    assert decontaminate.find(docs.limit(0), benchmark).count() == 0
+
+
 def test_added_tokens_are_encoded_as_the_library_does():
     from tokenizers import Tokenizer
 
