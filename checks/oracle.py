@@ -525,6 +525,29 @@ def shredding() -> dict[str, str]:
     }
 
 
+def sections() -> dict[str, str]:
+    """Counts per code over the shredded rows of a set; reasons and countries are cut at ten where the report does."""
+    rows = shredding()
+
+    def counts(query: str, dataset: str, column: str, absent: str | None = None, k: int | None = None) -> str:
+        key, where = (column, f"WHERE {column} IS NOT NULL") if absent is None else (f"coalesce({column}, {_q(absent)})", "")
+        cut = f" QUALIFY row_number() OVER (ORDER BY count(*) DESC, {key}) <= {k}" if k else ""
+        return f"SELECT {_q(dataset)} AS dataset, {key} AS key, count(*) AS count FROM ({rows[query]}) {where} GROUP BY {key}{cut}"
+
+    parts = {
+        "002": [("shred_status", "group_status", "grp_status"), ("shred_status", "tx_status", "tx_status"), ("shred_status", "reason", "reason_code", None, 10)],
+        "007": [("shred_reversal", "reason", "reversal_reason"), ("shred_reversal", "currency", "currency")],
+        "009": [("shred_mandate_init", "tracking", "tracking_ind", "(absent)"), ("shred_mandate_init", "country", "creditor_pfx", None, 10)],
+        "010": [("shred_amend", "reason", "amendment_reason")],
+        "011": [("shred_cancel", "reason", "cancellation_reason")],
+        "012": [("shred_accept", "acceptance", "accepted", "(absent)"), ("shred_accept", "rejection", "rejection_reason")],
+        "018": [("shred_suspend", "reason", "suspension_reason")],
+    }
+    found = {f"section_{s}": " UNION ALL ".join(f"SELECT * FROM ({counts(*p)})" for p in own) for s, own in parts.items()}
+    found["section_017"] = f"SELECT 'copies' AS dataset, 'all' AS key, count(DISTINCT orig_mandate_id) AS count FROM ({rows['shred_copy']})"
+    return found
+
+
 RULE_COUNTS = LINES + f""",
 pmt AS (
   SELECT file_name, pmt_inf_id, any_value(pmt_method) AS pmt_method, count(*) AS n, sum(amount) FILTER (WHERE NOT equivalent) AS total,
@@ -769,4 +792,4 @@ def jobs() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
-    return {**jobs(), **credit(), **dashboard(), **recon(), **shredding(), **rules(), **expressions()}
+    return {**jobs(), **credit(), **dashboard(), **recon(), **shredding(), **sections(), **rules(), **expressions()}

@@ -277,6 +277,44 @@ SHRED: dict[str, Query] = {
 }
 
 
+# --- report sections over shredded messages ------------------------------------
+
+# message set -> dataset -> its builder and the column it groups by
+_SECTIONS: dict[str, dict[str, tuple[Callable[[DataFrame], DataFrame], str]]] = {
+    "002": {"group_status": (dashboard.status_group, "group_status"), "tx_status": (dashboard.status_tx, "tx_status"),
+            "reason": (dashboard.status_reason, "reason_code")},
+    "007": {"reason": (dashboard.reversal_reason, "reason"), "currency": (dashboard.reversal_currency, "currency")},
+    "009": {"tracking": (dashboard.mandate_tracking, "tracking"), "country": (dashboard.mandate_country, "creditor_country")},
+    "010": {"reason": (lambda d: dashboard.reason_codes(d, "amendment_reason"), "reason_code")},
+    "011": {"reason": (lambda d: dashboard.reason_codes(d, "cancellation_reason"), "reason_code")},
+    "012": {"acceptance": (dashboard.mandate_acceptance, "accepted"), "rejection": (dashboard.mandate_rejection, "rejection_reason")},
+    "017": {"copies": (lambda d: dashboard.mandate_copy(d).select(F.lit("all").alias("key"), F.col("unique_mandate_ids").alias("count")), "key")},
+    "018": {"reason": (lambda d: dashboard.reason_codes(d, "suspension_reason"), "reason_code")},
+}
+_SHREDDED = {
+    "002": "shred_status", "007": "shred_reversal", "009": "shred_mandate_init", "010": "shred_amend", "011": "shred_cancel",
+    "012": "shred_accept", "017": "shred_copy", "018": "shred_suspend",
+}
+
+
+def _section(message_set: str) -> Query:
+    """Datasets of a report section in long form, from messages that are shredded once."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        detail = SHRED[_SHREDDED[message_set]](spark, folder)
+        ensure_checkpoint_dir(detail)
+        detail = detail.checkpoint()
+        parts = [
+            build(detail).select(F.lit(name).alias("dataset"), F.col(key).alias("key"), "count")
+            for name, (build, key) in _SECTIONS[message_set].items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    return run
+
+
+SECTIONS: dict[str, Query] = {f"section_{s}": _section(s) for s in _SECTIONS}
+
+
 # --- business rules ----------------------------------------------------------
 
 
@@ -567,4 +605,4 @@ JOBS: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {**CREDIT, **DASHBOARD, **RECON, **SHRED, **RULES, **EXPRESSIONS, **JOBS}
+    return {**CREDIT, **DASHBOARD, **RECON, **SHRED, **SECTIONS, **RULES, **EXPRESSIONS, **JOBS}
