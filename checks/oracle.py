@@ -6,8 +6,7 @@ side but the fixed texts and codes of the demo mapping.
 
 from __future__ import annotations
 
-from girolens import demo, model
-from girolens.functions import text as texts
+from girolens import demo
 
 
 def _q(value: str | None) -> str:
@@ -195,8 +194,61 @@ def _report_bucket(column: str) -> str:
     return _ladder(column, [(1000, "< 1,000"), (10000, "1k – 9,999"), (100000, "10k – 99,999"), (1000000, "100k – 999,999")], "1M – 10M")
 
 
-TYPES = [(m, full) for m, full, _ in texts.ERROR_TYPES]
-TYPES_SHORT = [(m, short) for m, _, short in texts.ERROR_TYPES]
+# Fixed values, written out here so that a wrong one in the library shows: classes of errors in the order in which
+# their markers are tried, advice per kind of schema error ({0}, {1} are capture groups), names of the message sets.
+TYPES = [(['is not expected'], 'Wrong element order / unexpected element'),
+ (['Missing child element'], 'Missing required element'),
+ (['not a valid value'], 'Invalid field value'),
+ (['minLength', 'maxLength'], 'String length constraint'),
+ (['pattern'], 'Pattern / regex mismatch'),
+ (['facet'], 'Facet constraint violation')]
+TYPES_SHORT = [(['is not expected'], 'Element order'),
+ (['Missing child element'], 'Missing required'),
+ (['not a valid value'], 'Invalid value'),
+ (['minLength', 'maxLength'], 'Length constraint'),
+ (['pattern'], 'Pattern mismatch'),
+ (['facet'], 'Facet violation')]
+CATEGORIES = [(["facet 'enumeration'"], 'Invalid enumeration value'),
+ (["facet 'pattern'"], 'Pattern / format violation'),
+ (["facet 'maxLength'"], 'String exceeds max length'),
+ (["facet 'minLength'"], 'Empty required field'),
+ (["facet 'minInclusive'"], 'Value below minimum'),
+ (["facet 'totalDigits'"], 'Too many digits'),
+ (["facet 'fractionDigits'"], 'Too many decimal places'),
+ (['Missing child element'], 'Missing required element'),
+ (['not expected'], 'Wrong element order'),
+ (['XML syntax error'], 'XML syntax error'),
+ (["attribute 'Ccy'"], 'Missing currency (Ccy) attribute')]
+ADVICE = [('(?s)not expected.*Expected is[^{]*\\{[^}]+\\}(\\w+)',
+  "Element is in the wrong position or misspelled. The schema expects '{0}' at this point — verify the element sequence in the XSD."),
+ ("\\[facet 'enumeration'\\].*value '([^']+)' is not an element of the set",
+  "'{0}' is not an allowed code for this field. Consult the schema enumeration. Common sets — ChargeBearerType: DEBT, CRED, SHAR, SLEV; "
+  'PaymentMethod: TRF, CHK, TRA; ChequeType: CCHQ, CCCH, BCHQ, DRFT, ELDR; ExchangeRateType: SPOT, SALE, AGRD; Priority: NORM, HIGH.'),
+ ("attribute 'Ccy'", "The 'Ccy' attribute is missing or invalid. Currency codes must be exactly 3 uppercase letters (e.g. EUR, USD, GBP)."),
+ ("\\[facet 'pattern'\\].*not accepted by the pattern '([^']+)'",
+  'Value does not match the required format pattern. Common issues — IBAN: 2 uppercase letters + 2 digits + 1-30 alphanumeric; BIC: 8 or 11 '
+  "uppercase alphanumeric characters; UETR (UUID v4): third group must start with '4', fourth with '8', '9', 'a', or 'b'. Schema pattern: {0}"),
+ ('Missing child element.*Expected is[^{]*\\{[^}]+\\}(\\w+)',
+  "Required child element '{0}' is absent. Insert it in the correct sequence position within the parent element."),
+ ("\\[facet 'minLength'\\].*length of 0", 'Field is empty but requires at least one character. Provide a non-empty value.'),
+ ("\\[facet 'maxLength'\\].*length of (\\d+).*maximum.*?(\\d+)", 'Value is {0} characters — maximum allowed is {1}. Shorten the value.'),
+ ("\\[facet 'minInclusive'\\].*value '([^']+)'.*minimum value.*'([^']+)'",
+  "'{0}' is below the minimum allowed ({1}). Amounts and rates must be zero or positive."),
+ ("\\[facet 'totalDigits'\\]", 'Too many digits in total. ISO 20022 amounts allow at most 18 digits in total.'),
+ ("\\[facet 'fractionDigits'\\]", 'Too many decimal places. Amounts allow up to 5 decimal places; exchange rates allow up to 10.')]
+ADVICE_FALLBACK = 'Review this element against the XSD definition. Check value format, length constraints, allowed codes, and element ordering.'
+SET_LABELS = {'001': 'Customer Credit Transfer Initiation',
+ '002': 'Customer Payment Status Report',
+ '007': 'Customer Payment Reversal',
+ '008': 'Customer Direct Debit Initiation',
+ '009': 'Mandate Initiation Request',
+ '010': 'Mandate Amendment Request',
+ '011': 'Mandate Cancellation Request',
+ '012': 'Mandate Acceptance Report',
+ '013': 'Creditor Payment Activation Request',
+ '014': 'Creditor Payment Activation Status Report',
+ '017': 'Mandate Copy Request',
+ '018': 'Mandate Suspension Request'}
 STRICT = """CASE WHEN file_name LIKE 'gen-pass-%' THEN 'gen-pass' WHEN file_name LIKE 'gen-fail-%' THEN 'gen-fail'
   WHEN file_name LIKE 'gen-edge-%' THEN 'gen-edge' ELSE 'hand-crafted' END"""
 
@@ -384,7 +436,7 @@ def recon() -> dict[str, str]:
     return {
         "schema_breakdown": _with(STATE, breakdown),
         "error_patterns": _with(STATE, f"""
-            SELECT {_classes('error_detail', texts.ERROR_CATEGORIES, 'Other validation error')} AS error_category, count(*) AS occurrences,
+            SELECT {_classes('error_detail', CATEGORIES, 'Other validation error')} AS error_category, count(*) AS occurrences,
               count(DISTINCT message_set) AS schemas_affected {SET_ERRORS} GROUP BY 1"""),
         "category_outcomes": _with(STATE, outcomes),
         "category_share": _with(STATE, f"""
@@ -433,7 +485,7 @@ def recon() -> dict[str, str]:
               NULL, min(epoch_ms(s.sent_at)) FILTER (WHERE s.message_id = p.message_id), max(epoch_ms(p.processed_at)) FILTER (WHERE s.message_id = p.message_id)
             FROM sent s FULL JOIN processed p ON s.message_id = p.message_id
             UNION ALL
-            SELECT 'error', {_classes('p.error_detail', texts.ERROR_CATEGORIES, 'Other validation error')}, NULL, count(s.message_id), count(s.message_id), count(*),
+            SELECT 'error', {_classes('p.error_detail', CATEGORIES, 'Other validation error')}, NULL, count(s.message_id), count(s.message_id), count(*),
               0, count(s.message_id), count(DISTINCT p.message_set), min(epoch_ms(s.sent_at)), max(epoch_ms(p.processed_at)) FILTER (WHERE s.message_id IS NOT NULL)
             FROM processed p LEFT JOIN sent s ON s.message_id = p.message_id WHERE p.validation_status = 'fail' AND p.error_detail IS NOT NULL GROUP BY 2
             UNION ALL
@@ -642,7 +694,7 @@ def _suggestions(column: str) -> str:
     import re
 
     whens = []
-    for pattern, template in texts.ADVICE:
+    for pattern, template in ADVICE:
         parts = []
         for part in re.split(r"(\{\d\})", template):
             if re.fullmatch(r"\{\d\}", part):
@@ -650,7 +702,7 @@ def _suggestions(column: str) -> str:
             elif part:
                 parts.append(_q(part))
         whens.append(f"WHEN regexp_matches({column}, {_q(pattern)}) THEN {' || '.join(parts)}")
-    return f"CASE {' '.join(whens)} ELSE {_q(texts.ADVICE_FALLBACK)} END"
+    return f"CASE {' '.join(whens)} ELSE {_q(ADVICE_FALLBACK)} END"
 
 
 CASES = HDR + """,
@@ -677,7 +729,7 @@ def expressions() -> dict[str, str]:
         "content_id": "SELECT event_id, sha256('pain.' || event_type || ':' || props) AS message_id FROM events",
         "topic_name": _with(STATE, "SELECT event_id, 'iso20022.' || domain || '.' || message_set AS topic FROM del"),
         "schema_label": _with(STATE, "SELECT event_id, domain || '.' || message_set AS label FROM del"),
-        "set_label": _with(STATE, f"SELECT event_id, {_case('message_set', model.SET_LABELS)} AS label, 'Payments Initiation' AS domain_label FROM del"),
+        "set_label": _with(STATE, f"SELECT event_id, {_case('message_set', SET_LABELS)} AS label, 'Payments Initiation' AS domain_label FROM del"),
         "strip_ns": _with(STATE, "SELECT event_id, regexp_replace(error_detail, '\\{[^}]+\\}', '', 'g') AS message FROM del WHERE error_detail IS NOT NULL"),
         "suggest_fix": _with(STATE, f"SELECT event_id, {_suggestions('error_detail')} AS suggestion FROM del WHERE error_detail IS NOT NULL"),
         "error_summary": _with(STATE, """

@@ -9,11 +9,14 @@ from girolens.functions.text import text
 #: up to 18 integer digits, or up to 5 decimals; 18 digits in total are allowed
 MONEY = "decimal(23,5)"
 MONEY_SUM = "decimal(38,5)"
+#: a digit behind the fifth decimal, which a cast would round away
+_TOO_FINE = r"\.\d{5}\d*[1-9]"
 
 
 def amount(raw: Column) -> Column:
-    """Amount text as an exact decimal; unparsable text becomes NULL."""
-    return text(raw).try_cast(MONEY)
+    """Amount text as an exact decimal; unparsable text, and more than five decimals, become NULL."""
+    clean = text(raw)
+    return F.when(~clean.rlike(_TOO_FINE), clean.try_cast(MONEY))
 
 
 def control_sum(raw: Column) -> Column:

@@ -165,16 +165,20 @@ DOMAIN_FALLBACK = "ISO 20022 Message Domain"
 CATEGORIES = ["gen-pass", "gen-fail", "gen-edge", "hand-crafted"]
 
 # Active ISO 4217 currency codes.
-CURRENCIES = """
-AED AFN ALL AMD ANG AOA ARS AUD AWG AZN BAM BBD BDT BGN BHD BIF BMD BND BOB BRL
-BSD BTN BWP BYN BZD CAD CDF CHF CLP CNY COP CRC CUP CVE CZK DJF DKK DOP DZD EGP
-ERN ETB EUR FJD FKP GBP GEL GHS GIP GMD GNF GTQ GYD HKD HNL HTG HUF IDR ILS INR
-IQD IRR ISK JMD JOD JPY KES KGS KHR KMF KRW KWD KYD KZT LAK LBP LKR LRD LSL LYD
-MAD MDL MGA MKD MMK MNT MOP MUR MVR MWK MXN MYR MZN NAD NGN NIO NOK NPR NZD OMR
-PAB PEN PGK PHP PKR PLN PYG QAR RON RSD RUB RWF SAR SBD SCR SDG SEK SGD SHP SOS
-SRD SSP STN SZL THB TJS TMT TND TOP TRY TTD TWD TZS UAH UGX USD UYU UZS VES VND
-VUV WST XAF XCD XOF XPF YER ZAR ZMW ZWL
-""".split()
+CURRENCIES = [
+    "AED", "AFN", "ALL", "AMD", "ANG", "AOA", "ARS", "AUD", "AWG", "AZN", "BAM", "BBD", "BDT",
+    "BGN", "BHD", "BIF", "BMD", "BND", "BOB", "BRL", "BSD", "BTN", "BWP", "BYN", "BZD", "CAD",
+    "CDF", "CHF", "CLP", "CNY", "COP", "CRC", "CUP", "CVE", "CZK", "DJF", "DKK", "DOP", "DZD",
+    "EGP", "ERN", "ETB", "EUR", "FJD", "FKP", "GBP", "GEL", "GHS", "GIP", "GMD", "GNF", "GTQ",
+    "GYD", "HKD", "HNL", "HTG", "HUF", "IDR", "ILS", "INR", "IQD", "IRR", "ISK", "JMD", "JOD",
+    "JPY", "KES", "KGS", "KHR", "KMF", "KRW", "KWD", "KYD", "KZT", "LAK", "LBP", "LKR", "LRD",
+    "LSL", "LYD", "MAD", "MDL", "MGA", "MKD", "MMK", "MNT", "MOP", "MUR", "MVR", "MWK", "MXN",
+    "MYR", "MZN", "NAD", "NGN", "NIO", "NOK", "NPR", "NZD", "OMR", "PAB", "PEN", "PGK", "PHP",
+    "PKR", "PLN", "PYG", "QAR", "RON", "RSD", "RUB", "RWF", "SAR", "SBD", "SCR", "SDG", "SEK",
+    "SGD", "SHP", "SOS", "SRD", "SSP", "STN", "SZL", "THB", "TJS", "TMT", "TND", "TOP", "TRY",
+    "TTD", "TWD", "TZS", "UAH", "UGX", "USD", "UYU", "UZS", "VES", "VND", "VUV", "WST", "XAF",
+    "XCD", "XOF", "XPF", "YER", "ZAR", "ZMW", "ZWL",
+]
 
 GROUP_STATUSES = ["ACCP", "ACSP", "ACTC", "ACWC", "PART", "PDNG", "RCVD", "RJCT"]
 TX_STATUSES = ["ACCP", "ACSP", "ACTC", "ACWC", "CANC", "PDNG", "RJCT"]
@@ -182,12 +186,13 @@ REVERSAL_REASONS = ["AC04", "AM09", "CUST", "DUPL", "FRAD", "NARR", "NOAS", "TEC
 CANCELLATION_REASONS = ["AGNT", "AM09", "CUST", "DUPL", "FRAD", "NARR", "UPAY"]
 AMENDMENT_REASONS = ["AM05", "AM06", "AM09", "MD01", "MD02", "MD06", "MD07", "NARR"]
 SUSPENSION_REASONS = ["CUST", "NARR", "SSPD", "UPAY"]
-STATUS_REASONS = """
-AC01 AC04 AC06 AC13 AG01 AG02 AM01 AM02 AM03 AM04 AM05 AM06 AM07 AM09 AM10 BE01
-BE04 BE05 CH03 CH16 CUST DT01 ED01 ED03 EMVL FF01 FF05 FOCR FR01 MD01 MD02 MD06
-MD07 MS02 MS03 NARR RC01 RF01 RR01 RR02 RR03 RR04 SL01 SL02 SL11 SL12 SL13 SL14
-UPAY
-""".split()
+STATUS_REASONS = [
+    "AC01", "AC04", "AC06", "AC13", "AG01", "AG02", "AM01", "AM02", "AM03", "AM04", "AM05", "AM06",
+    "AM07", "AM09", "AM10", "BE01", "BE04", "BE05", "CH03", "CH16", "CUST", "DT01", "ED01", "ED03",
+    "EMVL", "FF01", "FF05", "FOCR", "FR01", "MD01", "MD02", "MD06", "MD07", "MS02", "MS03", "NARR",
+    "RC01", "RF01", "RR01", "RR02", "RR03", "RR04", "SL01", "SL02", "SL11", "SL12", "SL13", "SL14",
+    "UPAY",
+]
 
 BIC_PATTERN = "^[A-Z]{4}[A-Z]{2}[A-Z0-9]{2}([A-Z0-9]{3})?$"
 UUID4_PATTERN = "(?i)^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"

@@ -118,3 +118,12 @@ def test_corpus_reader(spark, tmp_path):
     only = corpus.read_corpus(spark, f"file:{tmp_path}/data/", "002").collect()
     assert [r.file_name for r in only] == ["other.xml"]
     assert corpus.well_formed(corpus.parse(corpus_rows.where("message_set = '001'"), "001")).count() == 3  # the huge one is empty but well-formed
+
+
+def test_amounts_are_never_rounded(spark):
+    from girolens.functions.amounts import amount
+
+    cases = {"0.000004": None, "1.000010": "1.00001", "1.00000": "1.00000", "7": "7.00000", "1.1234500": "1.12345", "1.123456": None, "x": None, "": None,
+             "123456789012345678": "123456789012345678.00000", "-0.00001": "-0.00001"}
+    got = {r.raw: r.a for r in spark.createDataFrame([(c,) for c in cases], "raw string").select("raw", amount(F.col("raw")).cast("string").alias("a")).collect()}
+    assert got == cases
