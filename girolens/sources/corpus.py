@@ -31,9 +31,7 @@ def read_corpus(
     any size are read.  With ``max_bytes`` larger files stay in the result,
     flagged ``oversize`` and without content, and their bytes are not read.
     """
-    place = spark._jvm.org.apache.hadoop.fs.Path(root)
-    whole_path = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
-    depth = len(whole_path.rstrip("/").split("/")) + 3
+    depth = _depth(spark, root)
 
     def files(columns: list[str]) -> DataFrame:
         reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
@@ -45,9 +43,7 @@ def read_corpus(
                 raise
             return spark.createDataFrame([], _FILE_DDL).select(*columns)
 
-    parts = F.split("path", "/")
-    keys = [F.element_at(parts, -3).alias("domain"), F.element_at(parts, -2).alias("message_set"),
-            F.element_at(parts, -1).alias("file_name")]
+    keys = _keys()
     size = F.col("length").alias("bytes")
     whole = files(["path", "length", "content"])
     if max_bytes is None:
@@ -59,6 +55,29 @@ def read_corpus(
     return with_identity(small.unionByName(large))
 
 
+def follow_corpus(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
+    """The messages of ``read_corpus`` as a stream: its checkpoint remembers the files, so each one is read once."""
+    reader = spark.readStream.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+    reader = reader.option("pathGlobFilter", "*.xml")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    found = reader.load(f"{root.rstrip('/')}/*/*").where(F.size(F.split("path", "/")) == _depth(spark, root))
+    return with_identity(found.select(*_keys(), F.lit(False).alias("oversize"), F.col("length").alias("bytes"), "content"))
+
+
+def _depth(spark: SparkSession, root: str) -> int:
+    """Parts of the paths of messages under ``root``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole_path = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return len(whole_path.rstrip("/").split("/")) + 3
+
+
+def _keys() -> list[Column]:
+    parts = F.split("path", "/")
+    return [F.element_at(parts, -3).alias("domain"), F.element_at(parts, -2).alias("message_set"),
+            F.element_at(parts, -1).alias("file_name")]
+
+
 def with_identity(messages: DataFrame) -> DataFrame:
     """Content-derived id, category and decoded text of ``(domain, message_set, content)``."""
     return messages.select(

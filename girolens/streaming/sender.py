@@ -1,15 +1,17 @@
-"""Batch job that signs new corpus messages, publishes them and logs them."""
+"""Jobs that sign new corpus messages, publish them and log them: over the whole corpus, or over new files only."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from girolens.functions import ids
 from girolens.functions.text import label
-from girolens.sources import events, state
+from girolens.sources import corpus, events, id_index, state
+from girolens.sources.commits import snapshot
 
 
 def unsent(messages: DataFrame, sent_log: DataFrame) -> DataFrame:
@@ -39,7 +41,9 @@ def send(
     records as a duplicate.
     """
     spark = messages.sparkSession
-    log = state.read_table(spark, root, "sent_messages")
+    messages = messages.persist()
+    # of the log only the folders of the ids at hand are read
+    log = id_index.lookup(spark, root, snapshot(spark, root), id_index.prefixes_of(messages), id_index.SENT)
     now = F.lit(datetime.now(timezone.utc)).cast("timestamp")
     name = schema_name(F.col("domain"), F.col("message_set"), schemas or {})
     new = unsent(messages, log).persist()
@@ -55,3 +59,19 @@ def send(
         )
     finally:
         new.unpersist()
+        messages.unpersist()
+
+
+def follow(
+    spark: SparkSession, corpus_root: str, root: str, checkpoint: str, publish: Callable[[DataFrame], None],
+    schemas: dict[str, str] | None = None, files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Send the files that came since the last run with this checkpoint; the query ends when there are no more.
+
+    A batch that is run again publishes what its log does not hold yet, as ``send`` does.
+    """
+    def write(messages: DataFrame, batch_id: int) -> None:
+        send(messages, root, publish, schemas)
+
+    stream = corpus.follow_corpus(spark, corpus_root, files_per_batch)
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(availableNow=True).start()
