@@ -33,3 +33,19 @@ def test_stages(spark, folder, tmp_path):
     assert got == {d: len(coder._coder.encode_ordinary(t)) for d, t in tables[4].items()}
     again = corpus_pipeline.run(spark, folder)
     assert sorted(rows(again, *kept[5].columns)) == sorted(rows(kept[5], *kept[5].columns))
+
+
+def test_stages_on_nulls_ties_clashing_columns_and_empty_tables(spark, folder, docs, tmp_path):
+    """Every stage keeps the columns and takes the rows of the one before; an empty table goes through all of them."""
+    for name, start in (("rows", docs), ("none", docs.limit(0))):
+        now = start
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, now, folder).write.parquet(f"{tmp_path}/{name}{k}")
+            after = spark.read.parquet(f"{tmp_path}/{name}{k}")
+            assert k == 4 or after.columns == docs.columns
+            assert after.count() <= now.count()
+            ids = {r[0] for r in rows(now, "doc_id")}
+            assert {r[0] for r in rows(after, "doc_id")} <= ids
+            if name == "none":
+                assert after.count() == 0
+            now = after
