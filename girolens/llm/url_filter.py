@@ -58,7 +58,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)),
                            lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
     prefixes = F.transform(F.filter("sizes", lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
-    wanted = places.where(F.col("host") != "").join(F.broadcast(sizes))
+    wanted = places.where(F.col("host") != "").withColumn("sizes", sizes.scalar())
     wanted = wanted.select("host", "path", F.explode(F.array_distinct(suffixes)).alias("h"), prefixes.alias("ps"))
     wanted = wanted.select("host", "path", "h", F.explode("ps").alias("p"))
     made = _expression(F.col("h"), F.col("p"))
