@@ -24,16 +24,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girolens.llm.common import cut, mapped
+from girolens.llm.common import cut, mapped, width
 
 #: Bytes of all wrappers up to which they are broadcast; beyond that pages are joined to them by a shuffle.
 BROADCAST_BYTES = 16 << 20
-SALTS = 64
+#: Parts that the wrappers of a host are folded in, at the first and at the second level.
+SALTS, FEW_SALTS = 64, 8
 #: Different pages of a host from which on a text that all of them have is template text.
 TEMPLATE_PAGES = 3
 #: The same within an article, where near copies of one article must not look like a template.
 INSIDE_PAGES = 8
-_MOST = 24  # longest block, in tokens, that is looked for as a repeated group
+#: Longest block, in tokens, that is looked for as a repeated group; longer ones stay as they are, slot by slot.
+BLOCK = 24
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
@@ -55,6 +57,13 @@ _MARKS = frozenset("ad ads advert adverts advertisement advertising banner spons
                    "complementary hidden".split())
 _ALWAYS = frozenset("comment comments reply replies ad ads advert advertisement cookie newsletter".split())
 _BODY = frozenset("content main article post body entry story text".split())
+#: Words that name a place or a shape: a class of key words and these is the name of a part, any other may be a subject.
+_PARTS = frozenset("area bar block bottom box button card cell col column container desktop fixed form group header heading hidden holder "
+                   "inline inner item items large layout left level line link links list mobile module outer overlay page panel primary "
+                   "rail reader region right row secondary section side site slot small space sticky strip thread title top unit user "
+                   "wrap wrapper zone".split())
+#: Elements whose id may name a part; headings and paragraphs have ids made from their texts.
+_HOLDERS = frozenset("div section ul ol dl table".split())
 _MAIN = frozenset(["article", "main"])
 _CLOSED_BY_BLOCK = frozenset(["p"])
 
@@ -62,22 +71,29 @@ Path = tuple[str, ...]
 
 
 def _label(tag: str, attributes: str) -> str:
-    """The tag, with ! for parts that are never main text, ? for parts that a key word speaks against, and ^ for headers,
-    which only count outside of articles."""
+    """The tag, with ! for parts that are never main text, ? for parts that a key word speaks against, and ^ for headers
+    and for key words that may be a subject (`ad-hoc`, `search-trees`, ids), which only count outside of articles."""
     words: set[str] = set()
+    sure: set[str] = set()
+    unsure: set[str] = set()
     hidden = False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         value = (a or b or c).lower()
         name = name.lower()
-        if name in ("class", "id", "role"):
-            words.update(_WORD.findall(value))
+        if name in ("class", "role") or name == "id" and tag in _HOLDERS:
+            for token in value.split():
+                found = set(_WORD.findall(token))
+                words |= found
+                named = all(w in _MARKS or w in _PARTS or w in _BODY or w[0].isdigit() for w in found)
+                (sure if named and (name != "id" or found & _ALWAYS) else unsure).update(found & _MARKS)
         hidden |= name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "")
-    main = tag in _MAIN or "main" in words and tag == "div"
-    if hidden or tag in _DROPPED or words & _ALWAYS:
+    main = tag in _MAIN or tag == "div" and "main" in words and not words & _MARKS
+    if hidden or tag in _DROPPED or sure & _ALWAYS:
         return tag + "!"
-    if words & _MARKS and not words & _BODY and tag not in ("body", "html", *_MAIN):
+    part = not words & _BODY and tag not in ("body", "html", *_MAIN)
+    if sure and part:
         return tag + "?"
-    if tag == "header" or "header" in words and not words & _BODY and tag not in ("body", "html", *_MAIN):
+    if tag == "header" or part and (unsure or "header" in words):
         return tag + "^"
     return tag + "*" if main else tag
 
@@ -197,7 +213,7 @@ def align(a: list[list], b: list[list]) -> list[list]:
 
 def folded(nodes: list[list]) -> list[list]:
     """Blocks that follow each other as repeated groups, short blocks first."""
-    for size in range(1, _MOST + 1):
+    for size in range(1, BLOCK + 1):
         if 2 * size > len(nodes):
             break
         keys = [_shape(n) for n in nodes]
@@ -277,9 +293,13 @@ def _open(path: str) -> bool:
     return _inside(path) and _never(path) and not any(p.endswith("!") for p in path.split("/"))
 
 
+def _title(path: str) -> bool:
+    return path.rpartition("/")[2] == "h1"
+
+
 def verdicts(nodes: list[list], pages: int) -> dict:
-    """What the slots of a host mean: a `root` that main text stands below if no article does, `fixed` texts, and `kept`
-    paths inside of articles whose slots are variable on every page, whatever key words say.
+    """What the slots of a host mean: a `root` that main text stands below if no article does (a title may stand outside
+    of it), `fixed` texts, and `kept` paths inside of articles whose slots are variable on every page, whatever key words say.
 
     `pages` is the number of different pages that the wrapper is of, as far as it was counted.
     """
@@ -323,7 +343,7 @@ def extract(page: str, known: dict) -> str:
             flush()
             continue
         p = "/".join(path)
-        good = _inside(p) and (not _never(p) or p in kept) if own or root is None else not _never(p) and (p == root or p.startswith(root + "/" if root else ""))
+        good = _inside(p) and (not _never(p) or p in kept) if own or root is None else not _never(p) and (p == root or _title(p) or p.startswith(root + "/" if root else ""))
         if root is None and not own:
             good = not _never(p) and bool(path)  # a page without the article that its host has: all that is not dropped
         if not good:
@@ -375,9 +395,11 @@ def wrappers(pages: DataFrame) -> DataFrame:
         return pd.DataFrame({"host": [group["host"].iloc[0]], "salt": pd.array([0], "int32"), "wrapper": [json.dumps(known)], "seen": [seen]})
 
     parts = mapped(pages.select(host(F.col("url")).alias("host"), "html"), one, shape)
-    parts = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)).cast("int"))
-    parts = parts.groupBy("host", "salt").applyInPandas(fold, shape)
-    return parts.groupBy("host").applyInPandas(fold, shape).select("host", "wrapper", F.size("seen").cast("long").alias("pages"))
+    for salts in (SALTS, FEW_SALTS):
+        # a stated number of partitions: wrappers are small, and partitions made by size would put a whole level into one task
+        parts = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salts)).cast("int")).repartition(width(pages), "host", "salt")
+        parts = parts.groupBy("host", "salt").applyInPandas(fold, shape)
+    return parts.repartition(width(pages), "host").groupBy("host").applyInPandas(fold, shape).select("host", "wrapper", F.size("seen").cast("long").alias("pages"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -385,7 +407,7 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Text is what the wrapper of the page's host and the containers of the page name as article; empty if there is none.
     Null and empty html give an empty text; pages with a null url or one without a host are taken as one host. Repeated
-    rows give repeated rows.
+    rows give repeated rows, ties do not occur, an empty table gives an empty one; very long pages are read whole.
     """
     known = cut(wrappers(pages)).select(F.col("host").alias("w_host"), "wrapper", "pages")
     size = known.agg(F.coalesce(F.sum(F.length("wrapper")), F.lit(0))).first()[0]

@@ -107,6 +107,37 @@ def test_wrapper_decides_inside_of_articles(spark):
     assert all(texts[k + n] == f"Title {m}\nBy our staff\nStory {m}" for k, n, m in [(20, 0, 0), (20, 1, 1), *((30, n, 1) for n in range(9))]), texts
 
 
+@pytest.mark.parametrize("part", ["<h2 id='related-work'>Subject</h2>", "<h2 id='comment-on-results'>Subject</h2>", "<h2 id='comments'>Subject</h2>",
+                                  "<p class='ad-hoc'>Subject</p>", "<section class='search-trees'>Subject</section>", "<div id='search'>Subject</div>"])
+def test_subjects_are_no_parts_of_a_page(part):
+    """Ids and classes that may tell a subject drop nothing inside of an article, names of parts do."""
+    nothing = {"fixed": [], "kept": []}
+    page = "<body><article><h1>Title</h1>{}<p>Story</p></article></body>"
+    assert html_wrappers.extract(page.format(part), nothing) == "Title\nSubject\nStory"
+    for attribute in ("id='comments'", "class='comment-list'", "class='ad-300x250 box'", "class='related-links'", "class='cookie-notice'", "role='search'"):
+        assert html_wrappers.extract(page.format(f"<div {attribute}>Dropped</div>"), nothing) == "Title\nStory", attribute
+
+
+def test_title_outside_of_the_text(spark):
+    rows = [(n, f"http://plain.example/{n}", f"<body><p>Welcome</p><div class='top'><h1>Title {n}</h1></div><div class='text'><section><p>Long story {n}"
+             f" goes on.</p><p>It ends {n} here.</p></section></div><div class='sidebar'><h1>Other {n}</h1></div></body>") for n in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in html_wrappers.main_text(pages).collect()}
+    assert texts == {n: f"Title {n}\nLong story {n} goes on.\nIt ends {n} here." for n in range(5)}
+
+
+def test_partitions_and_long_pages(spark, folder):
+    """The result does not depend on how pages are dealt; a very long page is read whole."""
+    from pyspark.sql import functions as F
+
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", F.lit("http://one.example/x").alias("url"), "html")
+    body = "".join(f"<p>Line {k} of a long page</p>" for k in range(30_000))
+    pages = pages.unionByName(spark.createDataFrame([(-1, "http://one.example/y", f"<body><article>{body}</article></body>")], pages.schema))
+    found = [sorted(map(tuple, html_wrappers.main_text(pages.repartition(n)).collect())) for n in (1, 7, 53)]
+    assert found[0] == found[1] == found[2]
+    assert found[0][0][2] == "\n".join(f"Line {k} of a long page" for k in range(30_000))
+
+
 @pytest.mark.parametrize("odd", [
     "<svg width='9'/>", "<math />", "<svg><style/><path d='x'/><title>Icon</title><g><text>no</text></g></svg>", "<video src='x'>", "<audio src='x'>",
     "<canvas>", "<object data='x'>", "<noscript>", "<noscript><p>no</p></noscript>", "<select><option>no<option>no", "<select><option>no</option></select>",
