@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Collection, Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from girolens import model
 from girolens.sources import id_index
 from girolens.sources.commits import FAN, Commit, compact, folder, new_name, put, read, snapshot
 
 BATCH = "batch_id"
+#: Partition column of the folders: the message set where it is a known one, else OTHER, so their number is bounded.
+SET, OTHER = "set_folder", "other"
 
 
 def path_of(root: str, table: str) -> str:
@@ -19,21 +23,38 @@ def _columns(table: str) -> list[str]:
     return [field.split()[0] for field in model.STATE_DDL[table].split(", ")]
 
 
-def read_table(spark: SparkSession, root: str, table: str, commits: list[Commit] | None = None) -> DataFrame:
+def _known(message_set: Column) -> Column:
+    return F.when(message_set.isin(model.MESSAGE_SETS), message_set).otherwise(OTHER)
+
+
+def _stored(spark: SparkSession, root: str, table: str, commits: Iterable[Commit]) -> DataFrame:
+    return read(spark, root, table, f"{model.STATE_DDL[table]}, {BATCH} BIGINT, {SET} STRING", commits)
+
+
+def read_table(
+    spark: SparkSession, root: str, table: str, commits: list[Commit] | None = None, sets: Collection[str] | None = None
+) -> DataFrame:
     """The committed rows of one state table, with the batch that wrote them.
 
-    Tables that belong together are read from one ``snapshot``, as ``load_all`` does; a later one may hold more.
+    ``sets`` names message sets; only the folders that can hold them are read.  Tables that belong together are read
+    from one ``snapshot``, as ``load_all`` does; a later one may hold more.
     """
-    found = snapshot(spark, root) if commits is None else commits
-    return read(spark, root, table, f"{model.STATE_DDL[table]}, {BATCH} BIGINT", found)
+    rows = _stored(spark, root, table, snapshot(spark, root) if commits is None else commits)
+    if sets is not None:
+        places = sorted({s if s in model.MESSAGE_SETS else OTHER for s in sets})
+        rows = rows.where(F.col(SET).isin(places) & F.col("message_set").isin(list(sets)))
+    return rows.drop(SET)
 
 
-def write_table(rows: DataFrame, root: str, table: str, name: str, batch_id: int) -> None:
-    """Write rows of one table into the folder of a commit, which nobody reads before the commit is put into place."""
-    (
-        rows.select(*_columns(table), F.lit(batch_id).cast("bigint").alias(BATCH))
-        .write.mode("overwrite").parquet(folder(root, table, name))
-    )
+def write_table(rows: DataFrame, root: str, table: str, name: str, batch_id: int, gather: bool = False) -> None:
+    """Write rows of one table into the folder of a commit, which nobody reads before the commit is put into place.
+
+    ``gather`` brings the rows of a set together first, for small batches that would make a file per task and set.
+    """
+    placed = rows.select(*_columns(table), F.lit(batch_id).cast("bigint").alias(BATCH), _known(F.col("message_set")).alias(SET))
+    if gather:
+        placed = placed.hint("rebalance", F.col(SET))  # adaptive execution splits a set that holds most of the rows
+    placed.write.mode("overwrite").partitionBy(SET).parquet(folder(root, table, name))
 
 
 def append(rows: DataFrame, root: str, table: str) -> None:
@@ -53,7 +74,7 @@ def compact_tables(spark: SparkSession, root: str, kind: str, fan: int = FAN) ->
     """Merge small commits of the state tables and the index of ids; the number of merges.
 
     The files of a merged commit follow the bytes of its parts: reading packs small files into splits, and each split
-    becomes one file.
+    becomes one file for every set that it holds.
     """
     def merge(members: list[Commit], name: str) -> tuple[tuple[str, ...], dict]:
         tables = sorted({t for c in members for t in c.tables})
@@ -65,8 +86,7 @@ def compact_tables(spark: SparkSession, root: str, kind: str, fan: int = FAN) ->
                 ) if any(c.notes.get(table, {}).get("prefixes") for c in members) else spark.createDataFrame([], id_index.DDL)
                 notes[table] = id_index.write(ids, root, name, ids.count(), table)
             else:
-                rows = read(spark, root, table, f"{model.STATE_DDL[table]}, {BATCH} BIGINT", members)
-                rows.write.mode("overwrite").parquet(folder(root, table, name))
+                _stored(spark, root, table, members).write.mode("overwrite").partitionBy(SET).parquet(folder(root, table, name))
         return tuple(tables), notes
 
     return compact(spark, root, kind, merge, fan)
@@ -78,9 +98,10 @@ def register(tables: dict[str, DataFrame], prefix: str = "") -> None:
         frame.createOrReplaceTempView(prefix + name)
 
 
-def load_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def load_all(spark: SparkSession, root: str, sets: Collection[str] | None = None) -> dict[str, DataFrame]:
+    """All state tables of one snapshot, of some message sets or of all."""
     commits = snapshot(spark, root)
-    return {name: read_table(spark, root, name, commits) for name in model.STATE_DDL}
+    return {name: read_table(spark, root, name, commits, sets) for name in model.STATE_DDL}
 
 
 def save_bucketed(table: DataFrame, name: str, buckets: int) -> None:
