@@ -774,8 +774,8 @@ mixed AS (
 )"""
 
 
-def jobs() -> dict[str, str]:
-    stream = f"""
+def _stream(chosen: str = "true") -> str:
+    return f"""
             WITH raw AS (
               SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k,
                 CASE event_type WHEN 'signup' THEN '018' WHEN 'error' THEN '010' ELSE '017' END AS message_set
@@ -797,9 +797,12 @@ def jobs() -> dict[str, str]:
                   PARTITION BY message_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0 THEN 'duplicate'
                 WHEN unsound THEN 'tampered' WHEN k < 15 OR message_set = '010' THEN 'fail' ELSE 'pass' END AS outcome FROM del
             )
-            SELECT message_id, outcome, count(*) AS deliveries FROM flow GROUP BY 1, 2
+            SELECT message_id, outcome, count(*) AS deliveries FROM flow WHERE {chosen} GROUP BY 1, 2
             UNION ALL SELECT message_id, CASE message_set WHEN '018' THEN 'BR-101' ELSE 'BR-090' END, count(*) FROM flow
-            WHERE outcome = 'fail' AND k < 10 AND message_set != '010' GROUP BY 1, 2"""
+            WHERE outcome = 'fail' AND k < 10 AND message_set != '010' AND {chosen} GROUP BY 1, 2"""
+
+
+def jobs() -> dict[str, str]:
     return {
         "xsd_flag": _with(LINES, """
             SELECT file_name, count(*) FILTER (WHERE filled) > 0 AND count(*) FILTER (WHERE filled AND NOT equivalent AND currency IS NULL) = 0 AS valid
@@ -838,8 +841,9 @@ def jobs() -> dict[str, str]:
             SELECT file_name, 'gen-pass' AS category, CASE WHEN n = 1 THEN CASE WHEN k % 4 = 0 THEN 'XXXX' ELSE 'ACCP' END END AS grp_status,
               CASE WHEN n = 2 THEN CASE WHEN k % 3 = 0 THEN 'YYYY' ELSE 'ACSP' END END AS tx_status, CAST(NULL AS VARCHAR) AS reason_code
             FROM mixed, (VALUES (1), (2)) t(n) WHERE message_set = '014' AND NOT cut_short""",
-        "stream_state": stream,
-        "stream_commits": stream,
+        "stream_state": _stream(),
+        "stream_commits": _stream(),
+        "stream_of_set": _stream("message_set = '018'"),
     }
 
 

@@ -542,8 +542,11 @@ def _outcomes(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _streamed(spark: SparkSession, folder: str, parts: int, **options) -> DataFrame:
-    """Deliveries through the streaming job, in ``parts`` files in the order of their offsets, one file a batch."""
+def _streamed(spark: SparkSession, folder: str, parts: int, sets: tuple[str, ...] | None = None, **options) -> DataFrame:
+    """Deliveries through the streaming job, in ``parts`` files in the order of their offsets, one file a batch.
+
+    Outcomes are of all message sets, or read from the folders of some.
+    """
     records = demo.stream_records(spark, folder)
     ensure_checkpoint_dir(records)
     base = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4()}"
@@ -561,7 +564,7 @@ def _streamed(spark: SparkSession, folder: str, parts: int, **options) -> DataFr
         xsd_paths=_STREAM_XSD, **options,
     )
     query.awaitTermination()
-    return _outcomes(state.load_all(spark, f"{base}/state"))
+    return _outcomes(state.load_all(spark, f"{base}/state", sets))
 
 
 def _stream_state(spark: SparkSession, folder: str) -> DataFrame:
@@ -574,6 +577,11 @@ def _stream_commits(spark: SparkSession, folder: str) -> DataFrame:
     return _streamed(spark, folder, 4, fan=2)
 
 
+def _stream_of_set(spark: SparkSession, folder: str) -> DataFrame:
+    """Outcomes of one message set, from the folders of the state tables that hold it."""
+    return _streamed(spark, folder, 2, sets=("018",), fan=2)
+
+
 def _corpus_outcomes(spark: SparkSession, folder: str) -> DataFrame:
     """A corpus of all sets, one unknown and some malformed messages, validated in one pass."""
     done = validate.validate_corpus(demo.mixed_messages(spark, folder), as_of=F.lit(demo.AS_OF).cast("date"))
@@ -597,7 +605,8 @@ def _from_store(message_set: str, shredder: Callable[[DataFrame], DataFrame]) ->
 
 
 JOBS: dict[str, Query] = {
-    "xsd_flag": _xsd_flag, "stream_state": _stream_state, "stream_commits": _stream_commits, "corpus_outcomes": _corpus_outcomes,
+    "xsd_flag": _xsd_flag, "stream_state": _stream_state, "stream_commits": _stream_commits, "stream_of_set": _stream_of_set,
+    "corpus_outcomes": _corpus_outcomes,
     "store_payment_013": _from_store("013", lambda parsed: shred.shred_payment(parsed, "013").select(
         "file_name", "category", F.col("amount").cast("decimal(18,2)").alias("amount"), "currency", "has_uetr")),
     "store_status_014": _from_store("014", shred.shred_status),
