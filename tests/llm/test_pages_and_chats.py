@@ -128,8 +128,6 @@ def test_title_outside_of_the_text(spark):
 
 def test_partitions_and_long_pages(spark, folder):
     """The result does not depend on how pages are dealt; a very long page is read whole."""
-    from pyspark.sql import functions as F
-
     pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", F.lit("http://one.example/x").alias("url"), "html")
     body = "".join(f"<p>Line {k} of a long page</p>" for k in range(30_000))
     pages = pages.unionByName(spark.createDataFrame([(-1, "http://one.example/y", f"<body><article>{body}</article></body>")], pages.schema))
