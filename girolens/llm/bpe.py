@@ -143,7 +143,8 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks: str
     """One row per row of `docs`: key, n_tokens, and ids with decoded bytes, or their digests.
 
     Null and empty texts give no ids and the digests of nothing. Repeated rows give repeated rows; other columns are
-    not read. Each row is encoded on its own, so nothing is shuffled and a lost task is simply run again.
+    not read. Very long texts are encoded whole, by halves; an empty table gives an empty one. Each row is encoded on
+    its own, so nothing is shuffled and a lost task is simply run again.
     """
     kind = dict(docs.select(key).dtypes)[key]
     rest = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded binary"

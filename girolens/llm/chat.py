@@ -136,7 +136,8 @@ def repair(turns: DataFrame) -> DataFrame:
     Turns go by (turn, role, text), null turns first; repeated rows are turns of their own. `position` orders the rows
     of a conversation, and `rendered` in that order is the formatted conversation. `inserted` counts the empty turns
     put before the turn. Roles are compared without case and outer blanks; others, and null, are unknown and get the
-    cheapest role. Null texts count as empty. Rows with a null conv_id form one conversation.
+    cheapest role. Null texts count as empty, very long ones are rendered whole. Rows with a null conv_id form one
+    conversation. An empty table gives an empty one.
 
     Conversations are dealt by range of (conversation, turn), so one that holds a third of all rows is spread over
     many partitions. The positions are fixed by a checkpoint before they are used.

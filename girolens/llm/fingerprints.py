@@ -112,7 +112,8 @@ def compare(docs: DataFrame) -> DataFrame:
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many (or all) of the next
     document, by ascending doc_id; the first document follows the last. Null ids come first, rows of equal id follow
-    each other in a fixed order, null texts count as empty. A lone document follows itself. Texts move once, compressed.
+    each other in a fixed order, null texts count as empty. A lone document follows itself. Very long texts are taken
+    whole, an empty table gives an empty one. Texts move once, compressed.
     """
 
     def chars(size: int, packed: bytes, codec: pa.Codec) -> np.ndarray:

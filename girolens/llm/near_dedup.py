@@ -278,7 +278,8 @@ def link(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     sequence where there are fewer. Two documents are linked if 100 * intersection >= percent * union. `component_id`
     is the smallest doc_id that can be reached, `kept` says whether it is the document's own. Null texts count as
     empty; empty sets are linked with nothing. Rows with a null doc_id stay outside: their component is null, and
-    they are kept. Repeated rows give repeated rows. An id that occurs with different texts is one node.
+    they are kept. Repeated rows give repeated rows. An id that occurs with different texts is one node. Very long texts
+    are taken whole; an empty table gives an empty one.
     """
     limit = budget(percent)
     prints = cut(_prints(docs, n))

@@ -167,7 +167,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Trees:
 
 
 def score(docs: DataFrame, trees: Trees, at: float = 0.3) -> DataFrame:
-    """One row per row of `docs`: doc_id, held_out, score (null and empty texts too), predicted (1 from `at` on)."""
+    """One row per row of `docs`: doc_id, held_out, score (null and empty texts too), predicted (1 from `at` on).
+
+    Equal texts have equal scores, so repeated rows and ties are decided alike. Very long texts are read whole, and an
+    empty table gives an empty one. Only doc_id and text are read, whatever other columns are called.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

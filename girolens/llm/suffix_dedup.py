@@ -603,7 +603,8 @@ def removals(docs: DataFrame, texts: bool = False) -> DataFrame:
     By default one row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256. With `texts`, the rows of
     `docs` with what is left as text (parts of characters are dropped) and n_chars, if there is one, set to its length.
     Null texts count as empty; texts shorter than a window lose nothing. Rows with a null doc_id neither lose nor take
-    anything. Rows of equal doc_id take nothing from each other; repeated rows give repeated rows.
+    anything. Rows of equal doc_id take nothing from each other; repeated rows give repeated rows. Very long texts are
+    judged whole; an empty table gives an empty one.
     """
     rest = [c for c in docs.columns if c != "text"] if texts else ["doc_id"]
     many = width(docs)

@@ -78,13 +78,19 @@ def test_near_dedup_equals_all_pairs(docs, n, percent):
         else:
             assert (size, component, kept) == (len(sets[doc]), home[doc], home[doc] == doc)
     assert home[8] == 7 and home[2] == 1 and home[6] == 6
+    assert near_dedup.link(docs.limit(0), n, percent).count() == 0
     left = near_dedup.keep(docs, n, percent)
     assert left.columns == docs.columns
     assert sorted(str(r[0]) for r in rows(left, "doc_id")) == sorted([*(str(d) for d in home if home[d] == d), "None"])
 
 
-def test_near_dedup_in_a_large_group_of_near_copies(spark):
-    """Texts of one group whose links form no star; the components are those of all pairs."""
+@pytest.mark.parametrize("block", [near_dedup.BLOCK, 24])
+def test_near_dedup_in_a_large_group_of_near_copies(spark, monkeypatch, block):
+    """Texts of one group whose links form no star; the components are those of all pairs, also if its frequent shingles
+    are dealt to many pairs of blocks."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rare, large = near_dedup._rare, []
+    monkeypatch.setattr(near_dedup, "_rare", lambda members, *rest: large.append(members.count()) or rare(members, *rest))
     rnd = np.random.default_rng(5)
     base = [f"w{i}" for i in range(60)]
     texts = []
@@ -97,6 +103,7 @@ def test_near_dedup_in_a_large_group_of_near_copies(spark):
     _, home = jaccard_components(texts, 3, 85)
     got = dict(rows(near_dedup.link(frame, 3, 85), "doc_id", "component_id"))
     assert got == home and 1 < len(set(home.values())) < 300
+    assert large[0] > 0
 
 
 def test_hamming_keys_meet_within_the_budget():
@@ -219,6 +226,10 @@ def test_quality_learns_statistics_and_scores_everything(spark, docs):
     assert len(held) > 40 and sum(truth[d] == p for d, p in held) >= 0.95 * len(held)
     nothing = quality.fit(frame, labels.limit(0))
     assert {s for _, _, s, _ in rows(quality.score(frame, nothing), "doc_id", "held_out", "score", "predicted")} == {0.5}
+    assert quality.score(frame.limit(0), trees).count() == quality.keep(docs.limit(0), trees).count() == 0
+    assert {s for _, _, s, _ in rows(quality.score(frame, quality.fit(frame.limit(0), labels)), "doc_id", "held_out", "score", "predicted")} == {0.5}
+    twice = rows(quality.score(docs.where("doc_id = 2"), trees), "score")
+    assert len(twice) == 2 and twice[0] == twice[1]
     assert quality.keep(docs, nothing).columns == docs.columns and quality.keep(docs, nothing).count() == docs.count()
 
 
@@ -259,6 +270,8 @@ def test_token_blocks_round_trip(spark, docs, tmp_path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    longer = " ".join(f"word{i % 977}" for i in range(600_000))  # more ids than a segment holds
+    docs = docs.unionByName(spark.createDataFrame([(99, longer)], "doc_id long, text string"), allowMissingColumns=True)
     token_blocks.write(docs, str(tmp_path / "ids"))
     got = sorted(rows(token_blocks.read(spark, str(tmp_path / "ids"), ids=True), "start", "doc_id", "n_tokens", "ids", "ids_crc32"))
     start = 0
@@ -266,6 +279,7 @@ def test_token_blocks_round_trip(spark, docs, tmp_path):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
         assert row == (start, doc, len(ids), ids, zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+    assert len(ids) > 1 << 20
     assert token_blocks.round_trip(docs.limit(0)).count() == 0
 
 
