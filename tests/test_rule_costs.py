@@ -56,7 +56,8 @@ def test_codes_of_payments_stand_before_those_of_their_transactions(spark):
     def info(code: str) -> str:
         return f"<RvslRsnInf>{_reason(code)}</RvslRsnInf>"
 
-    xml = s.document("007", "CstmrPmtRvsl", "<OrgnlGrpInf>" + info("G1") + "</OrgnlGrpInf>", block(info("P1"), info("T1") + info("CUST"), "", info("T2")), block("", info(" T3 ")), block(info("P2")))
+    xml = s.document("007", "CstmrPmtRvsl", "<OrgnlGrpInf>" + info("G1") + "</OrgnlGrpInf>"
+                     + block(info("P1"), info("T1") + info("CUST"), "", info("T2")) + block("", info(" T3 ")) + block(info("P2")))
     done = rules.with_violations(corpus.parse(s.frame(spark, "007", xml), "007"), "007", F.lit(AS_OF))
     hits = [(v.rule_id, v.field_path if v.rule_id == "BR-030" else v.actual) for v in done.first().violations]
     numbers = [re.sub(r"\D", "", path) for rule, path in hits if rule == "BR-030"]
@@ -84,3 +85,11 @@ def test_rules_take_fields_of_all_items_without_a_lambda(spark):
     frame = corpus.parse(s.frame(spark, "007", MESSAGES["007"]), "007")
     plan = rules.with_violations(frame, "007", F.lit(AS_OF))._jdf.queryExecution().analyzed().toString()
     assert plan.count("lambdafunction") < 30
+
+
+def test_line_without_a_number_has_no_reason(spark):
+    items = spark.createDataFrame(
+        [(1, "a.xml", "F", "1-URGENT", 1, n, "R") for n in (None, 7)],
+        "o_orderkey long, file_name string, o_orderstatus string, o_orderpriority string, l_orderkey long, l_linenumber int, l_returnflag string")
+    xml = demo.status_messages(items.repartition(2)).first().xml
+    assert xml.count("<TxInfAndSts>") == 2 and re.findall("<Cd>(.*?)</Cd>", xml) == ["XX99"]
