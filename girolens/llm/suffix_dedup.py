@@ -49,6 +49,8 @@ SHARD_BYTES = 16 << 20
 QUEUED = 32 << 20
 _BASE = 0x9E3779B97F4A7C15
 _HASH_BYTES = 4
+#: Bytes of text whose anchors are looked for at once: few, so that the hashes of a part stay in the cache of a core.
+_ANCHOR_BYTES = 1 << 17
 
 
 class _Queue:
@@ -186,17 +188,16 @@ def _anchors(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         size *= 2
     rest = _WIDE - size
     low = np.minimum(low[: len(low) - rest], low[rest:])
-    anchor = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    # a window starts where its document holds all of it; the last WINDOW - 1 bytes of a document part it from the next
     count = np.diff(at)
-    row = np.repeat(np.arange(len(count)), count)[: len(anchor)]
-    valid = np.arange(len(anchor)) + WINDOW <= at[row + 1]
-    start = np.flatnonzero(valid)
+    whole = np.maximum(count - WINDOW + 1, 0)
+    valid = np.repeat(np.tile([True, False], len(count)), np.stack([whole, count - whole], axis=1).ravel())[: len(low)]
+    joined = valid[1:] & valid[:-1] & (low[1:] == low[:-1])  # windows that go on with the anchor before them
+    start = np.flatnonzero(valid & ~np.concatenate([[False], joined]))
     if not len(start):
         return nothing
-    new = np.concatenate([[True], (anchor[start[1:]] != anchor[start[:-1]]) | (row[start[1:]] != row[start[:-1]]) | (np.diff(start) != 1)])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(start)) - 1
-    row, a = row[start[first]], anchor[start[first]]
+    end = np.flatnonzero(valid & ~np.concatenate([joined, [False]]))
+    row, a = np.searchsorted(at, start, "right") - 1, (low[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     eight = powers[8]
 
     def side(begin: np.ndarray, there: np.ndarray) -> np.ndarray:
@@ -206,7 +207,7 @@ def _anchors(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
 
     before = side(a - _SIDE, a - _SIDE >= at[row])
     behind = side(a + GRAM, a + GRAM + _SIDE <= at[row + 1])
-    return row, start[first], start[last], h[a], (before << np.uint64(8)) | behind
+    return row, start, end, h[a], (before << np.uint64(8)) | behind
 
 
 def _elsewhere(h: np.ndarray, sides: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -227,7 +228,7 @@ def _elsewhere(h: np.ndarray, sides: np.ndarray, owner: np.ndarray) -> np.ndarra
 def _runs(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     """As `_anchors`, in parts that stay small."""
     parts = []
-    for i, j in blocks(at):
+    for i, j in blocks(at, _ANCHOR_BYTES):
         row, first, last, h, sides = _anchors(text[at[i] : at[j]], at[i : j + 1] - at[i])
         parts.append((row + i, first + at[i], last + at[i], h, sides))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else _anchors(text[:0], at[:1])
