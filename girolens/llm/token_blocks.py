@@ -37,13 +37,20 @@ _WORDS = 600_000
 _MARKS = string.punctuation
 
 
+def _cell(bits: int) -> np.dtype:
+    """The number that holds a difference while its bits are taken apart."""
+    return np.dtype("<u2" if bits <= 16 else "<u4")
+
+
 def pack(ids: np.ndarray) -> bytes:
     """One block."""
     low = int(ids.min())
     v = (ids - np.uint32(low)).astype(np.uint32)
     bits = int(np.partition(v, k := min(len(v) - 1, int(len(v) * PERCENTILE)))[k]).bit_length()
     odd = np.flatnonzero(v >> np.uint32(bits)) if bits < 32 else np.zeros(0, np.int64)
-    packed = np.packbits(((v[:, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8), bitorder="little")
+    cell = _cell(bits)
+    cells = np.unpackbits(v.astype(cell).view(np.uint8), bitorder="little").reshape(len(v), 8 * cell.itemsize)
+    packed = np.packbits(cells[:, :bits], bitorder="little")
     head = np.array([low, len(v)], "<u4").tobytes() + np.array([bits, len(odd)], "<u2").tobytes()
     return head + packed.tobytes() + odd.astype("<u2").tobytes() + (v[odd] >> np.uint32(min(bits, 31))).astype("<u4").tobytes()
 
@@ -52,10 +59,10 @@ def unpack(data: bytes) -> np.ndarray:
     low, n = np.frombuffer(data, "<u4", 2)
     bits, odd = (int(x) for x in np.frombuffer(data, "<u2", 2, 8))
     size = (int(n) * bits + 7) // 8
-    cells = np.unpackbits(np.frombuffer(data, np.uint8, size, 12), count=int(n) * bits, bitorder="little").reshape(int(n), bits)
-    v = np.zeros(int(n), np.uint32)
-    for k in range(bits):
-        v |= cells[:, k].astype(np.uint32) << np.uint32(k)
+    cell = _cell(bits)
+    cells = np.zeros((int(n), 8 * cell.itemsize), np.uint8)
+    cells[:, :bits] = np.unpackbits(np.frombuffer(data, np.uint8, size, 12), count=int(n) * bits, bitorder="little").reshape(int(n), bits)
+    v = np.packbits(cells, bitorder="little").view(cell).astype(np.uint32)
     at = np.frombuffer(data, "<u2", odd, 12 + size)
     v[at] |= np.frombuffer(data, "<u4", odd, 12 + size + 2 * odd) << np.uint32(min(bits, 31))
     return v + low
