@@ -22,19 +22,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from girolens.llm.common import mapped, shared_folder, width
+from girolens.llm.common import blocks, mapped, shared_folder, spans, width
 
 BLOCK = 4096
 #: Share of a block that the width has to hold.
 PERCENTILE = 0.95
 _SEGMENT_DOCS, _SEGMENT_IDS = 256, 1 << 20
-#: Words whose ids a Python worker remembers; it starts anew beyond that.
+#: Words whose ids a Python worker remembers, the last ones in use; one call may add its own words to that.
 _WORDS = 600_000
-_MARKS = string.punctuation
+#: Words that go to the library at a time.
+_AT_ONCE = 1024
+#: Bytes of text whose words are numbered at a time.
+_TEXT_BYTES = 4 << 20
 
 
 def _cell(bits: int) -> np.dtype:
@@ -96,13 +100,51 @@ def _letters(word: str) -> bool:
     return word.isalpha() and (word.isascii() or max(word) < "\u0250" and "\u0130" not in word)
 
 
+_GAP = np.isin(np.arange(256), [0x20, 0x0A])
+_MARK = np.isin(np.arange(256), np.frombuffer(string.punctuation.encode(), np.uint8))
+_ALNUM = np.isin(np.arange(256), np.frombuffer((string.ascii_letters + string.digits).encode(), np.uint8))
+#: Latin letters of two bytes, by both.
+_LATIN = np.zeros(1 << 16, bool)
+_LATIN[[int.from_bytes(chr(k).encode()) for k in range(0x80, 0x250) if _letters(chr(k))]] = True
+
+
+def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words between spaces and line feeds, marks at the end of one apart, and each text's first one (n + 1 of them).
+
+    The marks are cut off behind ASCII letters and digits and behind Latin letters of two bytes, which the split pattern
+    never takes together with them; other words keep theirs, as those that end with a dotted capital I, whose dot does.
+    """
+    data, at = spans(texts)
+    data, at = data[at[0] : at[-1]], at - at[0]
+    n = len(data)
+    if not n:
+        return pa.array([], pa.large_string()), np.zeros(len(at), np.int64)
+    edge = np.zeros(n + 1, bool)
+    edge[at] = True
+    inside = ~_GAP[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1] | edge[1:-1]
+    mark = np.concatenate([[False], _MARK[data], [False]])
+    turns = np.flatnonzero(mark[1:] != mark[:-1])
+    begin, end = turns[::2], turns[1::2]
+    begin, end = begin[begin > 0], end[begin > 0]
+    edge[:-1] |= ~inside
+    prior, lead = data[begin - 1], data[np.maximum(begin - 2, 0)]
+    first[begin[edge[end] & (_ALNUM[prior] | _LATIN[lead.astype(np.int64) << 8 | prior])]] = True
+    first_kept = np.flatnonzero(first[inside])
+    kept = data[inside]
+    offsets = np.append(first_kept, len(kept))
+    words = pa.LargeStringArray.from_buffers(len(first_kept), pa.py_buffer(offsets), pa.py_buffer(kept))
+    return words, np.searchsorted(np.flatnonzero(first), at)
+
+
 class WordCoder:
     """Ids of texts for tokenizers that drop white space: words are encoded on their own, each new one once.
 
-    Neither the normalizer nor the split pattern of such a file looks across a space or a line feed. A mark behind
-    letters is a part of its own, as are several of them. Words of Latin letters are encoded many at a time, in lower case
-    and split at spaces: that is all that the normalizer and the pattern do to them, and each ends with the only token
-    that carries the end-of-word sign.
+    Neither the normalizer nor the split pattern of such a file looks across a space or a line feed. Marks behind letters
+    are a part of their own. Words of Latin letters are encoded many at a time, in lower case and split at spaces: that is
+    all that the normalizer and the pattern do to them, and each ends with the only token that carries the end-of-word
+    sign. Words of many texts are numbered first, so that each different one is looked up once.
     """
 
     def __init__(self, file: str):
@@ -122,52 +164,74 @@ class WordCoder:
         self._last = np.zeros(max(vocabulary.values()) + 1, bool)
         self._last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
 
     def _learn(self, new: list[str]) -> None:
         known = self._known
         whole = [w for w in new if _letters(w)]
-        for i in range(0, len(whole), 4096):
-            part = whole[i : i + 4096]
-            ids = np.array(self._plain.encode_batch_fast([" ".join(part).lower()], add_special_tokens=False)[0].ids, "<u4")
+        lower = " ".join(whole).lower().split(" ") if whole else []
+        missing = [w for w in dict.fromkeys(lower) if w not in known]
+        for i in range(0, len(missing), _AT_ONCE):
+            part = missing[i : i + _AT_ONCE]
+            ids = np.array(self._plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self._last[ids]) + 1
             if len(ends) == len(part):
                 data, start = ids.tobytes(), 0
                 for w, end in zip(part, (4 * ends).tolist(), strict=True):
                     known[w] = data[start:end]
                     start = end
+        for w, low in zip(whole, lower, strict=True):
+            if w != low and low in known:
+                known[w] = known[low]
         rest = [w for w in new if w not in known]
-        for i in range(0, len(rest), 4096):
-            part = rest[i : i + 4096]
+        for i in range(0, len(rest), _AT_ONCE):
+            part = rest[i : i + _AT_ONCE]
             for w, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[w] = np.array(e.ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str], end: int) -> tuple[list[int], np.ndarray]:
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        """The ids of different words. Of the words remembered, those not met for the longest time are forgotten."""
+        if len(self._known) > _WORDS // 2:
+            self._known, self._before = {}, self._known if len(self._known) <= _WORDS else {}
+        known, before = self._known, self._before
+        found = list(map(known.get, words))
+        open_ = [k for k, x in enumerate(found) if x is None]
+        new = []
+        for k in open_:
+            w = words[k]
+            if (x := before.get(w)) is None:
+                new.append(w)
+            else:
+                known[w] = x
+        self._learn(new)
+        for k in open_:
+            found[k] = known[words[k]]
+        return found
+
+    def encode(self, texts: list[str] | pa.Array, end: int) -> tuple[list[int], np.ndarray]:
         """Number of ids of each text with the end id, and all ids."""
-        if len(self._known) > _WORDS:
-            self._known = {}
-        known = self._known
-        signs = self._signs
-        whole = [k for k, t in enumerate(texts) if any(s in t for s in signs)]
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        for k in whole:
-            words[k] = []
-        found = [list(map(known.get, w)) for w in words]
-        open_ = [[k for k, x in enumerate(f) if x is None] if None in f else () for f in found]
-        new = list({w[k] for w, o in zip(words, open_, strict=True) for k in o})
-        bare = [w.rstrip(_MARKS) for w in new]
-        marked = [(w, b, w[len(b) :]) for w, b in zip(new, bare, strict=True) if len(b) < len(w) and b and _letters(b)]
-        parts = {*new}.difference(m[0] for m in marked).union(m[1] for m in marked).union(m[2] for m in marked)
-        self._learn([w for w in parts if w not in known])
-        for w, letters, marks in marked:
-            known[w] = known[letters] + known[marks]
-        last = np.array([end], "<u4").tobytes()
-        for w, f, o in zip(words, found, open_, strict=True):
-            for k in o:
-                f[k] = known[w[k]]
-        for k in whole:
-            found[k] = [np.array(self._tokenizer.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes()]
-        joined = [b"".join(f) + last for f in found]
-        return [len(x) // 4 for x in joined], np.frombuffer(b"".join(joined), "<u4")
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts
+        signed = np.zeros(len(texts), bool)
+        for sign in self._signs:
+            signed |= pc.match_substring(texts, sign).fill_null(False).to_numpy(zero_copy_only=False)
+        whole = np.flatnonzero(signed)
+        words, first = _pieces(pc.if_else(pa.array(signed), pa.scalar("", texts.type), texts) if len(whole) else texts)
+        words = words.dictionary_encode()
+        found = self._look_up(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        many = len(found)
+        found.append(np.array([end], "<u4").tobytes())
+        found += [np.array(self._tokenizer.encode(texts[int(k)].as_py(), add_special_tokens=False).ids, "<u4").tobytes() for k in whole]
+        # the numbers in `found` of what the texts hold, the end id behind the words of each
+        codes = np.insert(words.indices.to_numpy().astype(np.int64), first[1:], many)
+        first = first + np.arange(len(first))
+        codes = np.insert(codes, first[whole], many + 1 + np.arange(len(whole)))
+        first[1:] += np.bincount(whole, minlength=len(texts)).cumsum()
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        length = size[codes]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        at = np.repeat((np.cumsum(size) - size)[codes] - ends[:-1], length) + np.arange(ends[-1])
+        return np.diff(ends[first]).tolist(), ids[at]
 
 
 @functools.lru_cache(4)
@@ -197,15 +261,17 @@ def write(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", en
             return pa.RecordBatch.from_arrays(cells, names=["part", "segment", "n_ids", "doc_ids", "data"])
 
         for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                rows = batch.slice(low, 64)
-                n, x = words.encode([t or "" for t in rows.column(1).to_pylist()], end)
-                ids += rows.column(0).to_pylist()
-                counts += n
-                found.append(x)
-                if len(ids) >= _SEGMENT_DOCS or sum(map(len, found)) >= _SEGMENT_IDS:
-                    yield done()
-                    ids, counts, found, k = [], [], [], k + 1
+            for first, last in blocks(spans(batch.column(1))[1], _TEXT_BYTES):
+                n, x = words.encode(batch.column(1).slice(first, last - first), end)
+                ends = np.concatenate([[0], np.cumsum(n)])
+                for low in range(0, last - first, 64):
+                    high = min(low + 64, last - first)
+                    ids += batch.column(0).slice(first + low, high - low).to_pylist()
+                    counts += n[low:high]
+                    found.append(x[ends[low] : ends[high]])
+                    if len(ids) >= _SEGMENT_DOCS or sum(map(len, found)) >= _SEGMENT_IDS:
+                        yield done()
+                        ids, counts, found, k = [], [], [], k + 1
         if ids:
             yield done()
 

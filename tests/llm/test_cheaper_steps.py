@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tracemalloc
+import zlib
+from collections import Counter
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from girolens.llm import suffix_dedup, token_blocks
@@ -36,6 +40,88 @@ def test_blocks_hold_the_bits_of_the_plain_layout(high):
         assert data[12 : 12 + len(plain)] == plain.tobytes() and np.array_equal(token_blocks.unpack(data), part)
 
 
+class Counted:
+    """A tokenizer that counts the words it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.words = tokenizer, Counter()
+
+    def encode_batch_fast(self, texts, add_special_tokens):
+        self.words.update(w for t in texts for w in t.split(" "))
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+
+def test_each_different_word_of_many_texts_is_looked_up_once():
+    """Every word of every text was looked up, and the forms with a capital went to the library too."""
+
+    class Known(dict):
+        gets = 0
+
+        def get(self, *args):
+            self.gets += 1
+            return super().get(*args)
+
+    coder = token_blocks.WordCoder(public_tokenizers.path("word_bpe_49k.json"))
+    coder._known = known = Known()
+    coder._plain = counted = Counted(coder._plain)
+    texts = ["The end of the road, The road of the end.\nthe  end " * 5] * 64
+    counts, ids = coder.encode(texts, 2)
+    assert known.gets <= 20 and set(counted.words) == {"the", "end", "of", "road"} and set(counted.words.values()) == {1}
+    want = [*coder._tokenizer.encode(texts[0], add_special_tokens=False).ids, 2]
+    assert counts == [len(want)] * 64 and ids.tolist() == want * 64
+
+
+def test_words_in_use_stay_known(monkeypatch):
+    """All words were forgotten at the limit, those of every text too."""
+    monkeypatch.setattr(token_blocks, "_WORDS", 1000)
+    coder = token_blocks.WordCoder(public_tokenizers.path("word_bpe_49k.json"))
+    coder._plain = counted = Counted(coder._plain)
+    letters = "abcdefghij"
+    fresh = iter("zq" + a + b + c + d for a in letters for b in letters for c in letters for d in letters)
+    for _ in range(20):
+        text = " ".join(["often", "used", "words", *(next(fresh) for _ in range(300))])
+        _, ids = coder.encode([text], 2)
+        assert ids.tolist() == [*coder._tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        assert len(coder._known) + len(coder._before) <= 2 * 1000
+    assert [counted.words[w] for w in ("often", "used", "words")] == [1, 1, 1]
+    coder.encode([" ".join(next(fresh) for _ in range(3000))], 2)
+    coder.encode(["often"], 2)
+    assert len(coder._known) + len(coder._before) <= 1000  # what one large call added does not stay
+
+
+def test_marks_are_cut_off_where_the_library_does():
+    """Also behind letters that turn into two in lower case, signs that join the marks, and next to added tokens."""
+    coder = token_blocks.WordCoder(public_tokenizers.path("word_bpe_49k.json"))
+    ends = [chr(k) for k in [*range(1, 0x400), 0x1E9E, 0x2019, 0x2126, 0x4E2D, 0xFF0C, 0x1F600]]
+    texts = [f"{c}{m} a{c}{m} {m}{c} {c}'s{m} 1{c}{m}\n{c}x{m}" for c in ends for m in (".", "'", "!'", "|")]
+    texts += ["", "\n", " .", ".", "a.", ". a", "J\u030c, J\u030c", "b<|endoftext|>. c", "<| a.", "x."]
+    column = pa.array(["before.", None, *texts, None, ".after"]).slice(1, len(texts) + 2)
+    for given in (column, column.cast(pa.large_string())):
+        counts, ids = coder.encode(given, 2)
+        want = [[*coder._tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in column.to_pylist()]
+        assert counts == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    counts, ids = coder.encode([], 2)
+    assert counts == [] and len(ids) == 0
+
+
+def test_files_hold_texts_of_several_blocks_of_bytes(spark, tmp_path, monkeypatch):
+    """Words of as many texts as fit some bytes are numbered at a time; the rows are those of single texts."""
+    texts = {k: None if k % 17 == 0 else f"Word{k}, word " * (k % 40) for k in range(300)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    found = []
+    for size in (1, 500, 4 << 20):
+        monkeypatch.setattr(token_blocks, "_TEXT_BYTES", size)
+        token_blocks.write(frame, str(tmp_path / str(size)))
+        rows = token_blocks.read(spark, str(tmp_path / str(size)), ids=True).orderBy("doc_id").collect()
+        found.append([(r.doc_id, r.start, r.n_tokens, r.ids, r.ids_crc32) for r in rows])
+    tokenizer, start = token_blocks.coder("word_bpe_49k.json")._tokenizer, 0
+    for k, row in enumerate(found[0]):
+        ids = [*tokenizer.encode(texts[k] or "", add_special_tokens=False).ids, 2]
+        assert row == (k, start, len(ids), ids, zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert found[0] == found[1] == found[2] and len(found[0]) == 300
+
+
 def test_anchors_equal_those_of_each_window(monkeypatch):
     """Runs of windows with one anchor, also across parts, empty, short and just long enough texts."""
     rng = np.random.default_rng(5)
